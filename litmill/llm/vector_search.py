@@ -103,18 +103,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP_K, block_rows: in
     parts = max(1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     n_blocks = max(1, -(-queries.count() // query_rows))
     salts = max(1, parts // n_blocks)  # copies of a block of queries, so that few blocks still fill all tasks
-    asking = blocks(queries.repartition(n_blocks, F.xxhash64("vec_id", "weights")), 2 * query_rows)
-    asking = asking.withColumn("q", F.pmod(F.xxhash64("ids"), F.lit(n_blocks)))
-    asking = asking.select("q", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.col("ids").alias("q_ids"), F.col("sizes").alias("q_sizes"), F.col("flat").alias("q_flat"))
+    asking = queries.groupBy(F.pmod(F.xxhash64("vec_id", "weights"), F.lit(n_blocks)).alias("q")).agg(F.collect_list(F.struct("vec_id", "weights")).alias("asked"))
+    asking = asking.select("q", "asked", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     rows = blocks(vectors, block_rows).withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int"))
-    rows = rows.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).cast("long"))
+    rows = rows.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
 
     def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
-            at = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-            width = max(np.frombuffer(at[x], np.int32).max() for x in ("sizes", "q_sizes"))
-            rows, asked = dense(at["sizes"], at["flat"], width), dense(at["q_sizes"], at["q_flat"], width)
-            ids, q_ids = np.frombuffer(at["ids"], np.int64), np.frombuffer(at["q_ids"], np.int64)
+            ids, sizes, flat = (batch.column(x)[i].as_py() for x in ("ids", "sizes", "flat"))
+            asked = batch.column("asked")[i].as_py()
+            q_ids, q_rows = np.array([x["vec_id"] for x in asked]), [np.array(x["weights"]) for x in asked]
+            width = max(np.frombuffer(sizes, np.int32).max(), max(map(len, q_rows)))
+            rows, ids = dense(sizes, flat, width), np.frombuffer(ids, np.int64)
+            asked = dense(np.array([len(x) for x in q_rows], np.int32).tobytes(), np.concatenate(q_rows).tobytes(), width)
             found = best_of_block(q_ids, ids, accumulate(asked, rows), k)
             yield pa.record_batch(dict(zip(("query_id", "vec_id", "score"), map(pa.array, found))))
 
