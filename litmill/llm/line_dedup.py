@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litmill.llm.common import LOWER, SPACE, encoded, per_batch, table
+from litmill.sources.scratch import Scratch
 
 MIN_CHARS = 10
 MIN_DOCS = 2
@@ -55,7 +56,9 @@ def shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
         held = lines.groupBy("line").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("other")).where("keeper < other")
     else:
         held = lines.distinct().groupBy("line").agg(F.min("doc_id").alias("keeper"), F.count("*").alias("n")).where(F.col("n") >= min_docs)
-    lost = lines.join(held.select("line", "keeper"), "line").where("doc_id > keeper")
+    # As a written table the shared lines are a side of their own: Spark can split the rows of a very common line.
+    held = Scratch(docs.sparkSession, "lines").save(held.select("line", "keeper"), "shared")
+    lost = lines.join(held, "line").where("doc_id > keeper")
     return lost.groupBy("doc_id").agg(F.collect_set("line").alias("drop"))
 
 
