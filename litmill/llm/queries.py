@@ -5,10 +5,12 @@ from __future__ import annotations
 from litmill.llm.line_dedup import OP10_SQL, op10_line_dedup
 from litmill.llm.vector_search import OP5_SQL, op5_exact_topk
 from litmill.llm.quality import op6_quality
+from litmill.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op5_exact_topk": op5_exact_topk,
     "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
 
