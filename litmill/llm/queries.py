@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from litmill.llm.chat import OP9_SQL, op9_chat_format
 from litmill.llm.line_dedup import OP10_SQL, op10_line_dedup
 from litmill.llm.vector_search import OP5_SQL, op5_exact_topk
 from litmill.llm.quality import op6_quality
@@ -11,10 +12,12 @@ QUERIES = {
     "op5_exact_topk": op5_exact_topk,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
+    "op9_chat_format": op9_chat_format,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL = {
     "op5_exact_topk": OP5_SQL,
+    "op9_chat_format": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
 }
