@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from litmill.llm.chat import OP9_SQL, op9_chat_format
+from litmill.llm.decontaminate import OP3_SQL, op3_decontaminate
 from litmill.llm.line_dedup import OP10_SQL, op10_line_dedup
 from litmill.llm.url_filter import OP2_SQL, op2_url_filter
 from litmill.llm.vector_search import OP5_SQL, op5_exact_topk
@@ -13,6 +14,7 @@ from litmill.llm.toxicity import op7_toxicity
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_url_filter": op2_url_filter,
+    "op3_decontaminate": op3_decontaminate,
     "op5_exact_topk": op5_exact_topk,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
@@ -23,6 +25,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_warc": OP1_SQL,
     "op2_url_filter": OP2_SQL,
+    "op3_decontaminate": OP3_SQL,
     "op5_exact_topk": OP5_SQL,
     "op9_chat_format": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
