@@ -8,6 +8,7 @@ from litmill.llm.line_dedup import OP10_SQL, op10_line_dedup
 from litmill.llm.url_filter import OP2_SQL, op2_url_filter
 from litmill.llm.vector_search import OP5_SQL, op5_exact_topk
 from litmill.llm.warc import OP1_SQL, op1_warc
+from litmill.llm.packing import op4_best_fit_packing
 from litmill.llm.quality import op6_quality
 from litmill.llm.toxicity import op7_toxicity
 
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_url_filter": op2_url_filter,
     "op3_decontaminate": op3_decontaminate,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op5_exact_topk": op5_exact_topk,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
