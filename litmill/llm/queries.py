@@ -8,6 +8,7 @@ from litmill.llm.line_dedup import OP10_SQL, op10_line_dedup
 from litmill.llm.url_filter import OP2_SQL, op2_url_filter
 from litmill.llm.vector_search import OP5_SQL, op5_exact_topk
 from litmill.llm.warc import OP1_SQL, op1_warc
+from litmill.llm.near_duplicates import OP8_SQL, op8_ngram_join
 from litmill.llm.packing import op4_best_fit_packing
 from litmill.llm.quality import op6_quality
 from litmill.llm.toxicity import op7_toxicity
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_exact_topk": op5_exact_topk,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
+    "op8_ngram_join": op8_ngram_join,
     "op9_chat_format": op9_chat_format,
     "op10_line_dedup": op10_line_dedup,
 }
@@ -29,6 +31,7 @@ ORACLE_SQL = {
     "op2_url_filter": OP2_SQL,
     "op3_decontaminate": OP3_SQL,
     "op5_exact_topk": OP5_SQL,
+    "op8_ngram_join": OP8_SQL,
     "op9_chat_format": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
 }
