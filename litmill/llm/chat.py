@@ -61,7 +61,8 @@ def best_paths(links: DataFrame, branches: int = BRANCHES, name: str = "chat") -
         if jump.where("up is not null").isEmpty():
             break
         far = jump.select("tree", F.col("id").alias("up"), F.col("up").alias("far"), F.col("total").alias("more"))
-        jump = scratch.save(jump.join(far, ["tree", "up"], "left").select("tree", "id", F.col("far").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total")), "jump")
+        moved = jump.where("up is not null").join(far, ["tree", "up"]).select("tree", "id", F.col("far").alias("up"), (F.col("total") + F.col("more")).alias("total"))
+        jump = scratch.save(jump.where("up is null").unionAll(moved), "jump")
         jumps.append(jump)
     parents = jumps[0].where("up is not null").select("tree", F.col("up").alias("id")).distinct()
     leaves = jump.where("up is null").join(parents, ["tree", "id"], "left_anti")  # circles never come to an end
