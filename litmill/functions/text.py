@@ -12,6 +12,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DOI_PREFIX = r"^(https?://(dx\.)?doi\.org/|doi\s*:\s*)"
 DOI = r"^10\.\d{4,9}/\S+$"
@@ -42,7 +43,7 @@ def find_dois(c: Column) -> Column:
 def _folding(transform):
     """A column function: ``ascii`` in generated code, ``transform`` on the other rows."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def other(texts: pd.Series) -> pd.Series:
         return texts.map(transform, na_action="ignore")
 
@@ -81,7 +82,7 @@ def identity_key(c: Column) -> Column:
     return _identity(c, F.regexp_replace(F.lower(c), r"[\s\x1c-\x1f]+", ""))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     """Share of matching blocks of two texts; 0 where one is empty. Quadratic
     for a pair, so only for pairs that a join has found."""
@@ -111,7 +112,7 @@ class _Visible(html.parser.HTMLParser):
             self.parts.append(data)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def visible_text(pages: pd.Series) -> pd.Series:
     """What a reader sees of a page: no scripts, entities decoded, blocks apart."""
 
@@ -194,7 +195,7 @@ def unique_position(text: Column, part: Column) -> Column:
     return F.when((at > 0) & (F.instr(rest, part) == 0), at - 1)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def changed_blocks(left: pd.Series, right: pd.Series) -> pd.Series:
     """The first five changed blocks between two texts, word by word."""
 
