@@ -14,9 +14,10 @@ part of every set.
 3. Fragments count for the remaining classes how often each shingle occurs. By
    the order of that count, then hash, a set has a prefix so long that two sets
    that link share a shingle of their prefixes; classes with a common one are
-   candidates, bounded by their sizes and the shingle's place in either order.
+   candidates, bounded by their sizes, the shingle's place in either order and
+   parity sketches of the sets.
 4. Candidates of a shingle are never paired off with each other. A hub meets
-   the others, those it links with merge, and further hubs, four times as many
+   the others, those it links with merge, and further hubs, many times as many
    each round, come from the classes outside the largest merged group; a class
    that was a hub is done with. So a group of near copies costs a few rows a
    member, and still every pair that isn't connected yet is looked at.
@@ -53,7 +54,9 @@ PERCENT = 80
 BLOCK_SHINGLES = 1 << 20
 FRAGMENT_SHINGLES = 2_000_000
 LEAST_FRAGMENTS = 8
-MORE_HUBS = 4
+MORE_HUBS = 16
+SKETCH = 16
+SKETCHES = [f"s{i}" for i in range(SKETCH)]
 
 
 def set_key(found: np.ndarray) -> tuple[int, int]:
@@ -192,25 +195,28 @@ def segments(texts: DataFrame, fragments: int) -> DataFrame:
     return texts.mapInArrow(cut, "part long, node long, n long, found binary").groupBy("part").applyInArrow(count, SEGMENT)
 
 
-def prefixes(parts: DataFrame) -> DataFrame:
-    """``(shingle, node, n, place)``: the rare shingles that a set must share
-    with another to link with it, and their places in its order."""
+def outlines(parts: DataFrame) -> DataFrame:
+    """``(node, n, alone, prefix, s0 ...)``: how many shingles of a class are in
+    no other; of the others the rare ones that it must share with a class it
+    links with, in order; and a parity sketch, in which every bit tells whether
+    an odd number of them falls there."""
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            rows, sketches = [], []
             for node, n, shingles, times in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "shingles", "times"))):
                 shingles, times = np.concatenate([np.array(x, np.int64) for x in shingles]), np.concatenate([np.array(x, np.int64) for x in times])
                 alone = n - len(shingles)
-                length = n - -(-PERCENT * n // 100) + 1 - alone
-                if length > 0:
-                    first = np.lexsort((shingles, times))[:length]
-                    out.append((shingles[first], np.full(len(first), node), np.full(len(first), n), alone + np.arange(len(first))))
-            columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 4
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["shingle", "node", "n", "place"])
+                length = max(0, n - -(-PERCENT * n // 100) + 1 - alone)
+                rows.append((node, n, alone, shingles[np.lexsort((shingles, times))[:length]]))
+                bits = np.bincount((mix(shingles.view(np.uint64)) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) % 2
+                sketches.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
+            sketch = np.array(sketches, np.int64).reshape(-1, SKETCH)
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.record_batch([*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.list_(pa.int64())), *map(pa.array, np.ascontiguousarray(sketch.T))], names=["node", "n", "alone", "prefix", *SKETCHES])
 
     whole = parts.groupBy("node", "n").agg(F.collect_list("shingles").alias("shingles"), F.collect_list("times").alias("times"))
-    return whole.mapInArrow(choose, "shingle long, node long, n long, place long")
+    return whole.mapInArrow(choose, "node long, n long, alone long, prefix array<long>, " + ", ".join(f"{s} long" for s in SKETCHES))
 
 
 # 4. and 5. Hubs and links ---------------------------------------------------
@@ -231,9 +237,21 @@ def may_link(n_a, n_b, place_a, place_b):
     return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * PERCENT) & (F.least(n_a - place_a, n_b - place_b) >= least)
 
 
+def near_enough():
+    """Whether the sketches of a class and a hub leave room for a link: bits
+    that differ and shingles of their own are in one of the two sets only."""
+    differ = F.col("alone") + F.col("hub_alone")
+    for s in SKETCHES:
+        differ = differ + F.bit_count(F.col(s).bitwiseXOR(F.col(f"hub_{s}")))
+    total = F.col("n") + F.col("hub_n")
+    return differ <= total - 2 * F.ceil(total * PERCENT / (100 + PERCENT) - 1e-6)
+
+
 def links(parts: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs of classes that link: enough of them to connect all that do."""
-    rows = scratch.save(prefixes(parts).withColumn("group", F.col("node")), "bucket")
+    sets = scratch.save(outlines(parts), "sets")
+    rows = sets.select("node", "n", "alone", F.posexplode("prefix").alias("place", "shingle"))
+    rows = scratch.save(rows.select("shingle", "node", "n", (F.col("alone") + F.col("place")).alias("place"), F.col("node").alias("group")), "bucket")
     found, wave, hubs_wanted = None, 0, 1
     while True:
         groups = rows.groupBy("shingle", "group").agg(F.count("*").alias("members"))
@@ -252,7 +270,13 @@ def links(parts: DataFrame, scratch: Scratch) -> DataFrame:
         hubs = scratch.save(hubs, "hubs")
         if hubs.isEmpty():
             break
-        met = rows.join(hubs, "shingle").where(F.col("group") != F.col("hub_group")).where(may_link(F.col("n"), F.col("hub_n"), F.col("place"), F.col("hub_place")))
+        apart = (F.col("group") != F.col("hub_group")) & may_link(F.col("n"), F.col("hub_n"), F.col("place"), F.col("hub_place"))
+        if wave == 0:
+            met = rows.join(hubs, "shingle").where(apart)
+        else:  # fewer rows, more of them for nothing: compare sketches before a pair is made
+            own = sets.select("node", "alone", *SKETCHES)
+            theirs = sets.select(F.col("node").alias("hub"), F.col("alone").alias("hub_alone"), *(F.col(x).alias(f"hub_{x}") for x in SKETCHES))
+            met = rows.join(own, "node").join(hubs.join(theirs, "hub"), "shingle").where(apart & near_enough())
         pairs = scratch.save(met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "pairs")
         linked = scratch.save(overlapping(pairs, parts), "links")
         found = linked if found is None else found.unionAll(linked)
@@ -288,7 +312,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = scratch.save(classes, "classes")
     known = classes.where((F.col("repeated") * 100 >= F.col("n") * PERCENT) & F.col("first").isNotNull())
     size = known.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    fragments = max(LEAST_FRAGMENTS, -(-size // FRAGMENT_SHINGLES))
+    fragments = max(LEAST_FRAGMENTS // 2, -(-size // FRAGMENT_SHINGLES))
     texts = docs.join(known.select(F.col("first").alias("doc_id"), "n", "key", "key2"), "doc_id").dropDuplicates(["doc_id", "text", "key"])
     parts = scratch.save(segments(texts, fragments), "segments")
     found = links(parts, scratch)
