@@ -16,7 +16,7 @@ def _word(alternatives: str) -> str:
     return rf"(?:^|[^\p{{L}}\p{{N}}_])(?:{alternatives})(?:$|[^\p{{L}}\p{{N}}_])"
 
 
-TAGS = {"rice_paddy": _word("that"), "salinity": _word("der|to"), "water": _word("les|des"), "microbial": "ción", "field": _word("un")}
+TAGS = {"rice_paddy": _word("that"), "salinity": _word("der|to"), "water": _word("les|des"), "microbial": "ción", "field": _word("una|eine")}
 
 
 @query("term_recall", f"WITH {a.RECORDS_CTE}, k AS (SELECT unnest({list(TERMS)}) AS term, unnest(range({len(TERMS)})) AS i) SELECT pos, string_agg(term, ';' ORDER BY i) AS terms FROM records JOIN k ON contains(lower(concat_ws(chr(10), title, abstract)), term) GROUP BY pos")
