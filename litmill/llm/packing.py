@@ -23,11 +23,12 @@ each; a null doc_id is packed as any other; extra columns are left out.
 
 from __future__ import annotations
 
-import re
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,11 +38,73 @@ from litmill.sources.scratch import Scratch
 
 LENGTH = 4096
 END_ID = 1
-CACHE = 300_000
+CACHE = 1_000_000
+DOCS_AT_ONCE = 2000
+WORDS_AT_ONCE = 1000
 ROWS_PER_TASK = 4000
 MAX_SLOTS = 64
-#: Only white space that every definition of it has; the tokenizer drops it.
-BREAK = re.compile(r"[ \n\t]+")
+
+
+class Words:
+    """Token ids of words, learned as they come and kept for the worker's later
+    tasks while they are at most ``CACHE``."""
+
+    kept: dict[str, dict[str, bytes]] = {}
+
+    def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.encoder = Tokenizer.from_str(vocabulary)
+        self.encoder.encode_special_tokens = True
+        self.codes = Words.kept.setdefault(str(hash(vocabulary)), {})
+
+    def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text. Texts are cut only at white space that every
+        definition of it has."""
+        flat = texts.fill_null("")
+        for space in "\n\t":
+            flat = pc.replace_substring(flat, space, " ")
+        words = pc.split_pattern(flat, " ")
+        known = words.flatten().dictionary_encode()
+        codes = self.codes_of(known.dictionary.to_pylist())
+        sizes = np.array([len(c) // 4 for c in codes], np.int64)
+        first = np.cumsum(sizes) - sizes
+        every = np.frombuffer(b"".join(codes), "<u4")
+        index = known.indices.to_numpy()
+        n = sizes[index]
+        ends = np.cumsum(n)
+        out = every[np.repeat(first[index] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        for start, end in zip(cuts, cuts[1:]):
+            yield out[start:end]
+
+    def codes_of(self, words: list[str]) -> list[bytes]:
+        """Codes of words; a letter before a last comma or full stop ends its
+        token, so the sign is a word of its own, and ASCII is lower-cased."""
+        parts = []
+        for word in words:
+            sign = word[-1:] if word[-1:] in (",", ".") and word[-2:-1].lower().isalpha() else ""
+            body = word[:-1] if sign else word
+            parts.append((body.lower() if body.isascii() else body, sign))
+        self.learn({b for b, _ in parts} | {",", "."})
+        known = self.codes
+        return [known[b] + known[s] if s else known[b] for b, s in parts]
+
+    def learn(self, words: set[str]) -> None:
+        """Encode the words that are new, many in one string: a token belongs
+        to the word in which it starts."""
+        new = list(words.difference(self.codes))
+        if len(self.codes) + len(new) > CACHE:
+            self.codes.clear()
+            new = list(words)
+        groups = [new[i : i + WORDS_AT_ONCE] for i in range(0, len(new), WORDS_AT_ONCE)]
+        for group, code in zip(groups, self.encoder.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            ends = np.cumsum([len(w) + 1 for w in group])
+            starts = np.fromiter((o[0] for o in code.offsets), np.int64)
+            ids = np.array(code.ids, "<u4").tobytes()
+            cuts = [0, *(4 * np.searchsorted(starts, ends)).tolist()]
+            self.codes.update((w, ids[a:b]) for w, a, b in zip(group, cuts, cuts[1:]))
 
 
 def tokenized(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
@@ -52,31 +115,18 @@ def tokenized(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())  # the file's size
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        encoder = Tokenizer.from_str(vocabulary.value)
-        encoder.encode_special_tokens = True
-        known: dict[str, bytes] = {}
-        end = np.array([end_id], "<u4").tobytes()
+        known = Words(vocabulary.value)
+        end = np.array([end_id], "<u4")
         for batch in batches:
             rows: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids": []}
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = BREAK.split(text.as_py() or "")
-                new = list(set(words).difference(known))
-                if new:
-                    if len(known) + len(new) > CACHE:
-                        known.clear()
-                        new = list(set(words))
-                    for word, code in zip(new, encoder.encode_batch(new, add_special_tokens=False)):
-                        known[word] = np.array(code.ids, "<u4").tobytes()
-                ids = b"".join([known[w] for w in words]) + end
-                for piece, at in enumerate(range(0, len(ids), 4 * length)):
-                    part = ids[at : at + 4 * length]
-                    for name, value in zip(rows, (doc, piece, at // 4, len(part) // 4, part)):
-                        rows[name].append(value)
+            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
+                some = batch.slice(at, DOCS_AT_ONCE)
+                for doc, ids in zip(some.column(0).to_pylist(), known.ids(some.column(1))):
+                    ids = np.concatenate([ids, end])
+                    for piece, first in enumerate(range(0, len(ids), length)):
+                        part = ids[first : first + length]
+                        for name, value in zip(rows, (doc, piece, first, len(part), part.tobytes())):
+                            rows[name].append(value)
             yield pa.record_batch([pa.array(rows["doc_id"], pa.int64()), pa.array(rows["piece"], pa.int32()), pa.array(rows["start"], pa.int64()), pa.array(rows["length"], pa.int64()), pa.array(rows["ids"], pa.binary())], names=list(rows))
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids binary")
