@@ -39,7 +39,7 @@ SENTENCES = [
     "l_linenumber AS n",
     "concat('See 10.5555/', CAST(l_orderkey AS VARCHAR(20)), '). Then (', CAST(CAST(l_quantity AS INT) AS VARCHAR(20)), ' - ', CAST(l_linenumber AS VARCHAR(20)), ') / ',"
     " CASE WHEN l_linenumber = 5 THEN '0' ELSE CAST(l_linenumber AS VARCHAR(20)) END, ' * 100 = ',"
-    " CAST(CASE WHEN l_linenumber = 3 THEN 7 ELSE CAST((CAST(l_quantity AS INT) - l_linenumber) * 100 / l_linenumber AS INT) END AS VARCHAR(20)), '%') AS txt",
+    " CAST(CASE WHEN l_linenumber = 3 THEN 7 ELSE CAST(floor((CAST(l_quantity AS INT) - l_linenumber) * 100 / l_linenumber) AS INT) END AS VARCHAR(20)), '%') AS txt",
     "concat(lower(l_returnflag), ' vs ', lower(l_linestatus)) AS letters",
     "CASE WHEN l_quantity > 25 THEN 'significant' ELSE 'not significant' END AS claim",
     "CAST(CAST(l_quantity AS INT) AS VARCHAR(20)) AS amount",

@@ -10,7 +10,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 #: Modules of this package that register queries when they are imported.
-MODULES: tuple[str, ...] = ("identity", "ingest", "quality", "grounding")
+MODULES: tuple[str, ...] = ("identity", "ingest", "quality", "grounding", "review", "documents")
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
