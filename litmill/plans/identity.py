@@ -11,7 +11,12 @@ from litmill.plans.registry import query
 
 #: Plain titles, as both engines fold them.
 TITLE = "trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g'))"
-ASCII_TITLE = F.trim(F.regexp_replace(F.lower("title"), r"[^a-z0-9]+", " "))
+
+
+def ascii_title():
+    return F.trim(F.regexp_replace(F.lower("title"), r"[^a-z0-9]+", " "))
+
+
 
 GROUPS_CTE = f"""{a.RECORDS_CTE},
 bad AS (SELECT uid FROM records WHERE uid IS NOT NULL AND doi IS NOT NULL GROUP BY uid HAVING count(DISTINCT doi) > 1),
@@ -28,12 +33,12 @@ groups AS (SELECT x AS pos, min(y) AS grp FROM r GROUP BY x)"""
 
 @query("dedup_components", f'WITH RECURSIVE {GROUPS_CTE} SELECT pos, grp AS "group" FROM groups')
 def dedup_components(spark, sf_dir):
-    return ops.identity_groups(a.records(spark, sf_dir), ASCII_TITLE)
+    return ops.identity_groups(a.records(spark, sf_dir), ascii_title())
 
 
 def merged(spark, sf_dir):
     rows = a.records(spark, sf_dir)
-    grouped = rows.join(ops.identity_groups(rows, ASCII_TITLE), "pos").withColumn("langs", F.array("lang"))
+    grouped = rows.join(ops.identity_groups(rows, ascii_title()), "pos").withColumn("langs", F.array("lang"))
     return ops.merge_groups(grouped, ["doi", "uid", "title", "publish_year", "source_title"], ["langs"])
 
 
@@ -188,7 +193,7 @@ UNION ALL SELECT 'uid', uid, count(*), string_agg(CAST(pos AS VARCHAR), ',' ORDE
 UNION ALL SELECT 'title', {TITLE} AS tt, count(*), string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) FROM records GROUP BY tt HAVING count(DISTINCT doi) > 1""",
 )
 def duplicate_groups(spark, sf_dir):
-    rows = a.records(spark, sf_dir).withColumn("t", ASCII_TITLE)
+    rows = a.records(spark, sf_dir).withColumn("t", ascii_title())
     members = F.array_join(F.transform(F.array_sort(F.collect_list("pos")), lambda p: p.cast("string")), ",").alias("members")
     same = [rows.where(f"{k} is not null").groupBy(F.lit(k).alias("kind"), F.col(k).alias("key")).agg(F.count("*").alias("n"), members).where("n > 1") for k in ("doi", "uid")]
     titles = rows.groupBy(F.lit("title").alias("kind"), F.col("t").alias("key")).agg(F.count("*").alias("n"), members, F.countDistinct("doi").alias("d")).where("d > 1").drop("d")

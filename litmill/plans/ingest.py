@@ -84,20 +84,22 @@ def narrow_scan(spark, sf_dir):
     return ops.narrow(spark, path, "doc_id long, lang string, source string", "text")
 
 
-NESTED = F.struct(
-    F.concat(F.lit("l"), "l_linenumber").alias("uid"),
-    F.col("l_returnflag").alias("title"),
-    F.when(F.col("l_linenumber") > 1, F.array("l_linestatus")).alias("types"),
-    F.struct(F.when(F.col("l_quantity") > 10, F.array(F.struct(F.col("l_returnflag").alias("displayName"), F.col("l_linestatus").alias("other")))).alias("authors")).alias("names"),
-    F.struct(F.col("l_linestatus").alias("sourceTitle"), F.year("l_shipdate").alias("publishYear")).alias("source"),
-    F.array(F.struct(F.lit("SIDE").alias("db"), F.col("l_linenumber").alias("count")), F.struct(F.when(F.col("l_quantity") > 25, "MAIN").alias("db"), F.col("l_quantity").cast("int").alias("count"))).alias("citations"),
-    F.struct(F.when(F.col("l_linenumber") == 2, F.array("l_returnflag", "l_linestatus")).alias("authorKeywords")).alias("keywords"),
-)
+def nested():
+    """An order line as a nested hit."""
+    return F.struct(
+        F.concat(F.lit("l"), "l_linenumber").alias("uid"),
+        F.col("l_returnflag").alias("title"),
+        F.when(F.col("l_linenumber") > 1, F.array("l_linestatus")).alias("types"),
+        F.struct(F.when(F.col("l_quantity") > 10, F.array(F.struct(F.col("l_returnflag").alias("displayName"), F.col("l_linestatus").alias("other")))).alias("authors")).alias("names"),
+        F.struct(F.col("l_linestatus").alias("sourceTitle"), F.year("l_shipdate").alias("publishYear")).alias("source"),
+        F.array(F.struct(F.lit("SIDE").alias("db"), F.col("l_linenumber").alias("count")), F.struct(F.when(F.col("l_quantity") > 25, "MAIN").alias("db"), F.col("l_quantity").cast("int").alias("count"))).alias("citations"),
+        F.struct(F.when(F.col("l_linenumber") == 2, F.array("l_returnflag", "l_linestatus")).alias("authorKeywords")).alias("keywords"),
+    )
 
 
 def nested_pages(spark, sf_dir):
     """Orders as pages and their lines as nested hits."""
-    rows = a.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), "l_linenumber", NESTED.alias("hit"))
+    rows = a.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), "l_linenumber", nested().alias("hit"))
     pages = rows.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "hit"))).getField("hit").alias("hits"), F.count("*").cast("int").alias("total"))
     return pages.select(F.lit("q").alias("query_id"), "page", F.struct("total", F.col("page").alias("page"), F.lit(50).alias("limit")).alias("metadata"), "hits")
 
@@ -123,13 +125,13 @@ CASE WHEN l_quantity > 10 THEN l_returnflag ELSE '' END AS author_names, l_lines
 CASE WHEN l_quantity > 25 THEN CAST(l_quantity AS INT) END AS times_cited, CASE WHEN l_linenumber = 2 THEN l_returnflag || ';' || l_linestatus ELSE '' END AS author_keywords FROM lineitem""",
 )
 def project_canonical(spark, sf_dir):
-    rows = a.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), NESTED.alias("hit"))
+    rows = a.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), nested().alias("hit"))
     return ops.canonical(rows, "page").withColumns({c: F.array_join(c, ";") for c in ("document_types", "author_names", "author_keywords")})
 
 
 @query("first_match", "SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 25 THEN CAST(l_quantity AS INT) END AS cited FROM lineitem")
 def first_match(spark, sf_dir):
-    rows = a.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", NESTED.alias("hit"))
+    rows = a.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", nested().alias("hit"))
     return rows.select("l_orderkey", "l_linenumber", ops.first_match(F.col("hit.citations"), "db", "MAIN", "count").alias("cited"))
 
 
