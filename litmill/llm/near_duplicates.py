@@ -329,7 +329,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without those that a smaller doc_id represents."""
+    """``docs`` without those that a smaller doc_id represents; rows without a
+    doc_id stay."""
     gone = near_duplicates(docs).where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
