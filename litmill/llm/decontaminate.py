@@ -5,9 +5,13 @@ spaced seed is a mask that reads some of the words from a position on and
 ignores the others, so a hash over it survives replaced words that fall in its
 holes; the masks are chosen so that one of them misses every second, third or
 fourth word. Hashes of the items are joined with those of the documents. Each
-hit puts an item on a diagonal of a document; the words that agree all along
-the diagonal are counted, and a document holds an item if at least
-``MIN_WORDS`` and ``MIN_SHARE`` of the item's words agree.
+hit puts an item on a diagonal of a document. A document holds an item
+
+* if at least ``MIN_WORDS`` and ``MIN_SHARE`` of the item's words agree all
+  along one diagonal, or
+* if it holds a stretch of the item: ``MIN_WORDS`` words that agree beside seeds,
+  ``STRETCH_SHARE`` of the words from the first to the last of them, on
+  diagonals at most ``SHIFT`` apart, so that words may be put in or left out.
 
 Only Spark expressions run. Seeds of a document leave the scan as one array,
 are exploded and meet the items' seeds in a hash join within one stage, so rows
@@ -18,14 +22,18 @@ shuffle.
 
 Defined cases: null and empty texts and items hold no words and match nothing;
 items shorter than ``MIN_WORDS`` match if all their words agree, those shorter
-than the longest mask never; rows that repeat a doc_id or item_id count as one
-pair with the better match; null ids are ignored; other columns pass through
+than every mask by one hash of all their words; rows that repeat a doc_id or
+item_id count as one pair with the better match, one along a whole diagonal
+before a stretch; null ids are ignored; other columns pass through
 ``decontaminate`` and are left out of the pairs.
+
+Not found: pieces of which none has six words in a row and no mask fits (words
+put in, left out or replaced more often than that).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from litmill.llm.common import table
@@ -35,6 +43,8 @@ MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 4, 6), (0, 2, 4, 6, 8))
 SPAN = 1 + max(max(m) for m in MASKS)
 MIN_WORDS = 10
 MIN_SHARE = 0.5
+STRETCH_SHARE = 2 / 3
+SHIFT = 8
 BROADCAST_SEEDS = 2_000_000
 
 
@@ -44,41 +54,74 @@ def words(text: Column) -> Column:
     return F.transform(cut, lambda w: F.xxhash64(w))
 
 
-def seeds(hashes: Column) -> Column:
+def seeds(hashes: Column, masks: tuple[tuple[int, ...], ...] = MASKS) -> Column:
     """The seeds of all masks at all positions, mask after mask; null past the end."""
 
     def at(number: int, mask: tuple[int, ...]) -> Column:
         return F.transform(hashes, lambda h, i: F.when(i + mask[-1] < F.size(hashes), F.xxhash64(F.lit(number), h, *(F.get(hashes, i + k) for k in mask[1:]))))
 
-    return F.concat(*(at(i, m) for i, m in enumerate(MASKS)))
+    return F.concat(*(at(i, m) for i, m in enumerate(masks)))
 
 
-def seeded(texts: DataFrame, name: str) -> DataFrame:
+def seeded(texts: DataFrame, name: str, masks: tuple[tuple[int, ...], ...] = MASKS) -> DataFrame:
     """``(name, words, at, seed)``, a row for each mask and position."""
     hashed = texts.where(f"{name} is not null").select(name, words(F.col("text")).alias("words"))
     # The outer form keeps Spark from computing the array once more for a filter on its size.
-    rows = hashed.select(name, "words", seeds(F.col("words")).alias("seeds")).select(name, "words", F.posexplode_outer("seeds").alias("at", "seed"))
-    return rows.withColumn("at", F.pmod("at", F.size("words")))
+    rows = hashed.select(name, "words", seeds(F.col("words"), masks).alias("seeds")).select(name, "words", F.posexplode_outer("seeds").alias("nth", "seed"))
+    return rows.select(name, "words", F.pmod("nth", F.size("words")).alias("at"), "seed", F.floor(F.col("nth") / F.size("words")).alias("mask"))
+
+
+def whole_masks(items: DataFrame) -> tuple[tuple[int, ...], ...]:
+    """For each length of items that no mask fits, a mask of all their words."""
+    length = items.where("item_id is not null").select(F.size(words(F.col("text"))).alias("n"))
+    return tuple(tuple(range(r.n)) for r in length.where(F.col("n") <= min(m[-1] for m in MASKS)).distinct().orderBy("n").collect())
+
+
+def holds_stretch(places: Column, min_words: Column) -> Column:
+    """Whether among sorted places some ``min_words`` or more are ``STRETCH_SHARE``
+    of those from the first to the last: for each last one the best first one is
+    the running least of what lies far enough before it."""
+    last = min_words - 1
+
+    def step(state: Column, j: Column) -> Column:
+        i = j - last
+        least = F.least(state["least"], i - STRETCH_SHARE * F.get(places, i))
+        return F.struct(least.alias("least"), (state["found"] | (j + 1 - STRETCH_SHARE * (F.get(places, j) + 1) >= least - 1e-9)).alias("found"))
+
+    start = F.struct(F.lit(float("inf")).alias("least"), F.lit(False).alias("found"))
+    return F.when(F.size(places) >= min_words, F.aggregate(F.sequence(last, F.size(places) - 1), start, step, lambda s: s["found"])).otherwise(False)
 
 
 def leaks(docs: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE) -> DataFrame:
     """``(doc_id, item_id, n_words, n_matched, start)``: items that documents
-    hold, their words, how many agree and the word of the text where they begin."""
-    known = seeded(items.select("item_id", "text"), "item_id").where("seed is not null")
-    known = known.select("seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item_words"))
+    hold, their words, how many agree and the word of the text where they begin
+    (where only a stretch is held, where the item would begin)."""
+    masks = MASKS + whole_masks(items)
+    known = seeded(items.select("item_id", "text"), "item_id", masks).where("seed is not null")
+    # A mask of all words is for items of that length alone, and no words are no item.
+    known = known.where((F.col("mask") < len(MASKS)) | (F.size("words") == F.get(F.array(*(F.lit(len(m)) for m in masks)), F.col("mask").cast("int"))))
+    known = known.where((F.size("words") > 1) | (F.get("words", F.lit(0)) != F.xxhash64(F.lit(""))))
+    known = known.select("seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item_words"), F.xxhash64("words").alias("copy"))
     if known.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
-        items_of = known.select("item_id", "item_words").dropDuplicates(["item_id", "item_words"])
-        known, items_of = F.broadcast(known.select("seed", "item_id", "item_at", F.xxhash64("item_words").alias("copy"))), F.broadcast(items_of.withColumn("copy", F.xxhash64("item_words")))
-        hits = seeded(docs.select("doc_id", "text"), "doc_id").join(known, "seed").join(items_of, ["item_id", "copy"])
+        items_of = F.broadcast(known.select("item_id", "copy", "item_words").dropDuplicates(["item_id", "copy"]))
+        hits = seeded(docs.select("doc_id", "text"), "doc_id", masks).join(F.broadcast(known.drop("item_words")), "seed").join(items_of, ["item_id", "copy"])
     else:
-        hits = seeded(docs.select("doc_id", "text"), "doc_id").where("seed is not null").join(known, "seed")
+        hits = seeded(docs.select("doc_id", "text"), "doc_id", masks).where("seed is not null").join(known, "seed")
     start = F.col("at") - F.col("item_at")
     beside = F.slice("words", F.greatest(start, F.lit(0)) + 1, F.size("item_words") + F.least(start, F.lit(0)))
     item = F.slice("item_words", F.greatest(-start, F.lit(0)) + 1, F.size("item_words"))
     agree = F.size(F.filter(F.zip_with(beside, item, lambda a, b: a == b), lambda same: same))
-    found = hits.select("doc_id", "item_id", start.alias("start"), F.size("item_words").alias("n_words"), agree.alias("n_matched"))
-    enough = (F.col("n_matched") >= F.least(F.lit(min_words), F.col("n_words"))) & (F.col("n_matched") >= min_share * F.col("n_words"))
-    best = found.where(enough).groupBy("doc_id", "item_id").agg(F.max(F.struct("n_matched", (-F.col("n_words")).alias("fewer"), (-F.col("start")).alias("before"))).alias("best"))
+    near = F.filter(F.sequence(F.col("item_at"), F.least(F.col("item_at") + SPAN, F.size("item_words")) - 1), lambda p: F.get("item_words", p) == F.get("words", p + start))
+    # Rows that repeat a doc_id may differ in text: a diagonal belongs to one text.
+    found = hits.select("doc_id", F.xxhash64("words").alias("text"), "item_id", "copy", start.alias("start"), F.size("item_words").alias("n_words"), agree.alias("n_matched"), near.alias("near"))
+    diagonals = found.groupBy("doc_id", "text", "item_id", "copy", "start", "n_words").agg(F.max("n_matched").alias("n_matched"), F.array_distinct(F.flatten(F.collect_set("near"))).alias("near"))
+    beside_it = Window.partitionBy("doc_id", "text", "item_id", "copy").orderBy("start").rangeBetween(0, SHIFT)
+    diagonals = diagonals.withColumn("places", F.array_sort(F.array_distinct(F.flatten(F.collect_list("near").over(beside_it)))))
+    least = F.least(F.lit(min_words), F.col("n_words"))
+    along = (F.col("n_matched") >= least) & (F.col("n_matched") >= min_share * F.col("n_words"))
+    judged = diagonals.withColumn("along", along).where(F.col("along") | holds_stretch(F.col("places"), least))
+    judged = judged.withColumn("n_matched", F.when(F.col("along"), F.col("n_matched")).otherwise(F.size("places")))
+    best = judged.groupBy("doc_id", "item_id").agg(F.max(F.struct("along", "n_matched", (-F.col("n_words")).alias("fewer"), (-F.col("start")).alias("before"))).alias("best"))
     return best.select("doc_id", "item_id", (-F.col("best.fewer")).cast("long").alias("n_words"), F.col("best.n_matched").cast("long").alias("n_matched"), (-F.col("best.before")).cast("long").alias("start"))
 
 

@@ -40,3 +40,45 @@ def test_the_plan_runs_no_python(spark, documents):
     items = spark.createDataFrame([(0, " ".join(ITEM))], "item_id long, text string")
     plan = leaks(documents(["a b"]), items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_stretches_shifts_and_short_items(spark, documents):
+    rng = random.Random(2)
+    filler = lambda n: [f"f{rng.randrange(10**9)}" for _ in range(n)]
+    long = [f"w{i}" for i in range(300)]
+    middle = [f"m{i}" for i in range(38)]
+    items = spark.createDataFrame([(0, " ".join(ITEM)), (1, " ".join(long)), (2, " ".join(middle)), (3, "Five words, and no more"), (4, "zebra"), (5, "  ")], "item_id long, text string")
+    texts = {
+        1: filler(40) + long[120:220] + filler(40),
+        2: filler(9) + middle[10:20] + filler(9),
+        3: filler(9) + middle[10:19] + filler(9),
+        4: ITEM[:7] + ["put", "in"] + ITEM[7:14] + ["once", "more"] + ITEM[14:],
+        5: filler(3) + ITEM[:7] + ITEM[8:15] + filler(3),
+        6: ["five", "words", "and", "no", "more"],
+        7: ["five", "words", "and", "so", "more"],
+        8: filler(4) + ["zebra"] + filler(4),
+        9: [],
+        10: ITEM[:6] + filler(60) + ITEM[10:16],
+        11: filler(5) + [w if i % 3 else f"r{i}" for i, w in enumerate(long[200:220])] + filler(5),
+        12: filler(5) + [w if i not in (6, 7, 8, 9) else f"r{i}" for i, w in enumerate(long[30:46])] + filler(5),
+    }
+    for limit in (2_000_000, 0):  # hits by broadcast and by shuffle
+        with_limit(limit, lambda: check(leaks(documents({d: " ".join(w) for d, w in texts.items()}), items).collect()))
+
+
+def with_limit(limit, run):
+    from litmill.llm import decontaminate as module
+
+    before, module.BROADCAST_SEEDS = module.BROADCAST_SEEDS, limit
+    try:
+        run()
+    finally:
+        module.BROADCAST_SEEDS = before
+
+
+def check(rows):
+    found = {(r.doc_id, r.item_id): r for r in rows}
+    assert sorted(found) == [(1, 1), (2, 2), (4, 0), (5, 0), (6, 3), (8, 4), (11, 1), (12, 1)]
+    assert found[1, 1].n_matched == 100 and found[1, 1].start == 40 - 120
+    assert found[2, 2].n_matched == 10 and found[4, 0].n_matched == len(ITEM)
+    assert found[8, 4].n_words == found[8, 4].n_matched == 1 and found[8, 4].start == 4
