@@ -9,7 +9,8 @@ a logistic curve fitted on labelled rows that built no dictionary makes it a
 probability.
 
 Scale: the fit takes at most ``SAMPLE_ROWS`` labelled rows and ``SAMPLE_BYTES``
-of text a class, by hash of the id, whatever the corpus holds; only that sample
+of text a class, by hash of the id, whatever the corpus holds; texts longer than
+``1 / LONG`` of that come in only where shorter ones leave room. Only that sample
 and the two dictionaries (``DICT_BYTES`` each) pass through the driver. Scoring
 is one scan without a shuffle.
 
@@ -32,18 +33,24 @@ from litmill.llm.common import crc_of_id, encoded, per_batch, table
 
 SAMPLE_ROWS = 1500
 SAMPLE_BYTES = 6 << 20
+LONG = 8
 DICT_BYTES = 64 << 10
 WINDOW = 2048
 LEVEL = 3
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, size: int) -> DataFrame:
-    """``(doc_id, label, text)`` of at most so many rows and bytes a class."""
+    """``(doc_id, label, text)`` of at most so many rows and bytes a class, by
+    hash of the id; texts over ``1 / LONG`` of the bytes come after all others,
+    the shortest first, so that none of them ends the sample before it is full."""
     known = labels.where(f"doc_id is not null and {label} in (0, 1)").groupBy("doc_id").agg(F.min(label).alias("label"))
-    order = F.xxhash64("doc_id")
-    chosen = known.where("label = 0").orderBy(order, "doc_id").limit(rows).unionAll(known.where("label = 1").orderBy(order, "doc_id").limit(rows))
-    texts = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 2 * rows ids
-    sums = F.sum(F.octet_length("text")).over(Window.partitionBy("label").orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    length, order = F.octet_length("text"), F.xxhash64("doc_id")
+    held = docs.where("text is not null").select("doc_id", "text", F.when(length > size // LONG, length).otherwise(0).alias("late"))
+    ids = held.select("doc_id", "late").join(known, "doc_id").groupBy("doc_id", "label").agg(F.min("late").alias("late"))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("late", order, "doc_id"))
+    chosen = ids.withColumn("rank", rank).where(F.col("rank") <= rows).select("doc_id", "label")
+    texts = held.join(F.broadcast(chosen), "doc_id")  # at most 2 * rows ids
+    sums = F.sum(length).over(Window.partitionBy("label").orderBy("late", order, "doc_id").rowsBetween(Window.unboundedPreceding, 0))
     return texts.withColumn("bytes", sums).where(F.col("bytes") <= size).select("doc_id", "label", "text")
 
 

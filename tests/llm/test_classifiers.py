@@ -60,3 +60,19 @@ def test_decoder_restores_disguises(spark, documents):
     for said, meant in {"1d10t": "idiot", "l0s3r": "loser", "m0r0n": "moron", "i d i o t": "idiot", "l-o-s-e-r": "loser", "$tup1d": "stupid", "looooser": "loser", "idi0t!!": "idiot", "5cum": "scum"}.items():
         assert meant in list(decode.restored(f"the {said} and")), said
     assert list(decode.restored("plain words, nothing else")) == []
+
+
+def test_a_long_text_does_not_end_the_sample(spark, documents):
+    from pyspark.sql import functions as F
+
+    ids = [r.id for r in spark.range(60).orderBy(F.xxhash64("id")).collect()]
+    labels = [(d, i % 2, i % 2) for i, d in enumerate(ids)]
+    long = set(ids[:12])  # first of both classes in the order of the hash
+    docs = documents({d: "long " * 2000 if d in long else f"text {d} " * 10 for d in ids})
+    for name in ("quality", "toxic"):
+        got = quality.labelled_sample(docs, spark.createDataFrame(labels, LABELS), name, 5, 5000).collect()
+        assert sorted(r.label for r in got) == [0] * 5 + [1] * 5 and not long & {r.doc_id for r in got}
+        assert {r.doc_id for r in got} == set(ids[12:22])
+    only = documents({d: "long " * (150 + d) for d in range(4)})
+    got = quality.labelled_sample(only, spark.createDataFrame([(d, 1, 1) for d in range(4)], LABELS), "toxic", 5, 2000).collect()
+    assert sorted(r.doc_id for r in got) == [0, 1]
