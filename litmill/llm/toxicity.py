@@ -6,7 +6,11 @@ row, single letters set apart - its characters become a lattice: a sign may be
 itself or a letter it stands for, one of a run of equal letters may fall away,
 a separator between single letters may fall away or stay. The Viterbi path of
 least cost under the trigram model restores the text. A token without such
-signs has one path, itself, so it is not decoded.
+signs has one path, itself, so it is not decoded. Doubled letters and words cut
+in pieces are far too common to decode all: when texts are scored, a stretch
+becomes a lattice too if its letters, joined and runs of them taken as one,
+begin like a lexicon entry. Its pieces are single letters with anything but
+letters and digits between them, or longer ones one such character apart.
 
 Restored words are scored by a logistic model over a short lexicon of words and
 beginnings of words. The lexicon is chosen on labelled rows: an entry must be
@@ -29,7 +33,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +70,9 @@ SIGN = re.compile(rf"(?<=[^\W\d_])[{LEET}]|[{LEET}](?=[^\W\d_])")
 TOKEN = re.compile(rf"(?:[^\W_]|[{LEET}])+")
 REPEAT = re.compile(r"([^\W\d_])\1\1")
 SPACED = re.compile(rf"(?<![^\W_])(?:[^\W_]|[$@!|])(?:[{re.escape(SEPARATORS)}]{{1,2}}(?:[^\W_]|[$@!|])(?![^\W_])){{2,}}")
+#: What may lie between the pieces of a word.
+GAP = re.compile(r"[\W_]+")
+RUN = re.compile(r"(.)\1+")
 #: Two or more of one sign at an end of a token are punctuation.
 EDGES = re.compile(r"^([^\w\s])\1+|([^\w\s])\2+$")
 WORD = re.compile(r"[^\W\d_]+")
@@ -222,6 +231,47 @@ LONE = np.zeros(256, np.uint8)
 LONE[[*range(48, 58), *range(97, 123), *map(ord, "$@!|"), *range(128, 256)]] = 1
 
 
+@cache
+def letter_table() -> np.ndarray:
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+
+
+class Cut:
+    """Stretches of a text that begin like an entry of a lexicon once pieces are
+    joined and runs of a letter taken as one, and are not written plainly."""
+
+    def __init__(self, lexicon: Iterable[str]):
+        self.parts: dict[str, bool] = {}  # whether something may follow in the same token
+        for entry in lexicon:
+            word = entry.rstrip("~")
+            for part in {word, RUN.sub(r"\1", word)}:
+                self.parts[part] = self.parts.get(part, False) or entry[-1] == "~"
+
+    def __call__(self, text: str) -> Iterator[str]:
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        letter = letter_table()[points]
+        kept = letter.copy()
+        kept[1:] &= ~(letter[:-1] & (points[1:] == points[:-1]))
+        at = np.flatnonzero(kept)
+        joined = points[at].tobytes().decode("utf-32-le")
+        for part, more in self.parts.items():
+            found = joined.find(part)
+            while found >= 0:
+                start, last = int(at[found]), int(at[found + len(part) - 1])
+                if not start or not letter[start - 1]:
+                    end = last + 1
+                    while end < len(text) and text[end] == text[last]:
+                        end += 1
+                    if more or end == len(text) or not letter[end]:
+                        while end < len(text) and letter[end]:
+                            end += 1
+                        if text[start : last + 1] != part or text[last + 1 : last + 2] == text[last]:
+                            pieces, gaps = GAP.split(text[start:end]), GAP.findall(text[start:end])
+                            if all(p.isalpha() for p in pieces) and (all(len(g) == 1 for g in gaps) or all(len(RUN.sub(r"\1", p)) == 1 for p in pieces)):
+                                yield " ".join(pieces)
+                found = joined.find(part, found + 1)
+
+
 def features(text: str, decoder: Decoder) -> set[str]:
     """Words of a text, restored ones too, and their first letters (``abcd~``)."""
     low = text.lower()
@@ -310,13 +360,13 @@ def toxicity_scores(docs: DataFrame, model: dict) -> DataFrame:
     docs = docs.drop("score")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(sent.value)
+        decoder, cut = Decoder(sent.value), Cut(lexicon)
         for batch in batches:
             out = []
             for value in batch.column("text"):
                 low = (value.as_py() or "").lower()
                 held = {w for w, (part, pattern) in looked_for.items() if part in low and pattern.search(low)}
-                for w in decoder.restored(low):
+                for w in chain(decoder.restored(low), *(decoder(x, True).split() for x in cut(low))):
                     held |= {x for x in (w, *(w[:k] + "~" for k in STEMS if len(w) > k)) if x in lexicon}
                 z = weights.get("", -30.0) + sum(lexicon[w] for w in held)
                 out.append(1 / (1 + np.exp(-np.clip(z, -30, 30))) if weights else 0.0)

@@ -76,3 +76,18 @@ def test_a_long_text_does_not_end_the_sample(spark, documents):
     only = documents({d: "long " * (150 + d) for d in range(4)})
     got = quality.labelled_sample(only, spark.createDataFrame([(d, 1, 1) for d in range(4)], LABELS), "toxic", 5, 2000).collect()
     assert sorted(r.doc_id for r in got) == [0, 1]
+
+
+def test_scores_find_doubled_letters_and_pieces(spark, documents):
+    import numpy as np
+
+    text = "the idiot and the loser met a moron who said that this is stupid and worthless scum, an ass " * 50
+    counts = np.zeros(toxicity.SYMBOLS**3, np.int64)
+    for r in toxicity.trigram_counts(documents([text])).collect():
+        counts[r.gram] = r.n
+    model = {"weights": {"": -5.0, "idiot": 8.0, "stupi~": 8.0, "ass": 8.0}, "costs": toxicity.costs(counts)}
+    said = ["iddiot", "stuppid", "id iot", "stu pid", "st-upid", "i   d   i   o   t", "i:d:i:o:t", "i\u2013d\u2013i\u2013o\u2013t", "id\u00b7iot", "st-up-id", "idiott", "as s", "a s  s", "iddi-ott"]
+    clean = ["aside it is to the", "rapid iota", "idio", "as so", "id and iot", "said io tea", "study", "id 7 iot", ""]
+    rows = toxicity.toxicity_scores(documents([f"the {x} met" for x in said + clean]), model).collect()
+    scores = {r.doc_id: r.score for r in rows}
+    assert [x for i, x in enumerate(said + clean) if (scores[i] >= toxicity.THRESHOLD) != (i < len(said))] == []
