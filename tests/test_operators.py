@@ -197,3 +197,13 @@ def test_caps_and_statuses(spark):
     assert rows(ingest.capped(table, "q", ["seq"], 3), "total", "kept", "omitted", "stop") == [(5, 3, 2, "record_cap")]
     assert rows(ingest.cumulative_unique(table, "q", "page", "hit"), "page", "new", "unique_so_far") == [(0, 2, 2), (1, 1, 3), (2, 0, 3)]
     assert isinstance(ingest.overlap_pairs(table, "hit", "page").toPandas(), pd.DataFrame)
+
+
+def test_token_subsequence_reads_whole_texts(spark, tmp_path, monkeypatch):
+    from litmill.plans import documents as plans
+
+    texts = [(i, " ".join(f"w{i}" for i in range(n))) for i, n in enumerate((1, 60, 61, 5000))] + [(4, None), (5, "")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert rows(plans.token_subsequence(spark, str(tmp_path)), "doc_id", "within") == [(i, i % 2 == 0) for i in (0, 1, 2, 3, 5)]
+    monkeypatch.setattr(plans.ops, "token_subsequence", lambda a, b: F.size(F.split(b, " ")))
+    assert rows(plans.token_subsequence(spark, str(tmp_path)), "doc_id", "within") == [(0, 1), (1, 60), (2, 61), (3, 5000), (5, 1)]
