@@ -39,11 +39,14 @@ from litmill.sources.scratch import Scratch
 LENGTH = 4096
 END_ID = 1
 CACHE = 600_000
-DOCS_AT_ONCE = 1000
+#: Texts are encoded together up to so many bytes; a longer one alone.
+BYTES_AT_ONCE = 6 << 20
 WORDS_AT_ONCE = 1000
 GROUPS_AT_ONCE = 8
 #: Letters before this one are one code point in every form that the tokenizer makes of them.
 LAST_PLAIN = "\u0130"
+#: Plain letters before the last sign.
+SIGNED = "[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f][.,]$"
 ROWS_PER_TASK = 4000
 MAX_SLOTS = 64
 
@@ -68,34 +71,30 @@ class Words:
     def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text. Texts are cut only at white space that every
         definition of it has."""
-        flat = texts.fill_null("")
-        for space in "\n\t":
-            flat = pc.replace_substring(flat, space, " ")
-        words = pc.split_pattern(flat, " ")
+        words = pc.ascii_split_whitespace(texts.fill_null(""))
         known = words.flatten().dictionary_encode()
-        codes = self.codes_of(known.dictionary.to_pylist())
-        sizes = np.array([len(c) // 4 for c in codes], np.int64)
-        first = np.cumsum(sizes) - sizes
-        every = np.frombuffer(b"".join(codes), "<u4")
-        index = known.indices.to_numpy()
-        n = sizes[index]
-        ends = np.cumsum(n)
-        out = every[np.repeat(first[index] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-        cuts = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        # A word's codes are bytes, so taking them by index lays out all ids in order.
+        every = self.codes_of(known.dictionary).take(known.indices)
+        ends = np.frombuffer(every.buffers()[1], np.int64, len(every) + 1, 8 * every.offset) // 4
+        data = every.buffers()[2]
+        every = np.frombuffer(data, "<u4") if data is not None and data.size else np.empty(0, "<u4")
+        cuts = ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
         for start, end in zip(cuts, cuts[1:]):
-            yield out[start:end]
+            yield every[start:end]
 
-    def codes_of(self, words: list[str]) -> list[bytes]:
+    def codes_of(self, words: pa.Array) -> pa.Array:
         """Codes of words; a letter before a last comma or full stop ends its
         token, so the sign is a word of its own, and ASCII is lower-cased."""
-        parts = []
-        for word in words:
-            sign = word[-1:] if word[-1:] in (",", ".") and word[-2:-1].lower().isalpha() else ""
-            body = word[:-1] if sign else word
-            parts.append((body.lower() if body.isascii() else body, sign))
-        self.learn({b for b, _ in parts} | {",", "."})
-        known = self.codes
-        return [known[b] + known[s] if s else known[b] for b, s in parts]
+        words = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
+        signed = pc.match_substring_regex(words, SIGNED)
+        bodies = pc.if_else(signed, pc.utf8_slice_codeunits(words, 0, -1), words).dictionary_encode()
+        signs = pc.if_else(signed, pc.utf8_slice_codeunits(words, -1), "").dictionary_encode()
+        return pc.binary_join_element_wise(self.known(bodies), self.known(signs), pa.scalar(b"", pa.large_binary()))
+
+    def known(self, words: pa.DictionaryArray) -> pa.Array:
+        distinct = words.dictionary.to_pylist()
+        self.learn(set(distinct))
+        return pa.array([self.codes[w] for w in distinct], pa.large_binary()).take(words.indices)
 
     def learn(self, words: set[str]) -> None:
         """Encode the words that are new, many in one string: a token belongs
@@ -107,18 +106,27 @@ class Words:
         # A word of plain letters is one unit of the vocabulary, which marks the ends of units.
         letters = [w for w in new if w.isalpha() and max(w) < LAST_PLAIN]
         plain = set(letters)
-        for words in (letters, [w for w in new if w not in plain]):
-            groups = [words[i : i + WORDS_AT_ONCE] for i in range(0, len(words), WORDS_AT_ONCE)]
-            for k in range(0, len(groups), GROUPS_AT_ONCE):  # few at a time: the encoder's own results are large
-                some = groups[k : k + GROUPS_AT_ONCE]
-                for group, code in zip(some, self.encoder.encode_batch([" ".join(g) for g in some], add_special_tokens=False)):
+        for words, units in ((letters, True), ([w for w in new if w not in plain], False)):
+            encode = self.encoder.encode_batch_fast if units else self.encoder.encode_batch  # the fast one tells no places
+            for k in range(0, len(words), WORDS_AT_ONCE * GROUPS_AT_ONCE):  # few at a time: the encoder's own results are large
+                some = words[k : k + WORDS_AT_ONCE * GROUPS_AT_ONCE]
+                groups = [some[i : i + WORDS_AT_ONCE] for i in range(0, len(some), WORDS_AT_ONCE)]
+                for group, code in zip(groups, encode([" ".join(g) for g in groups], add_special_tokens=False)):
                     ids = np.array(code.ids, "<u4")
                     cuts = np.flatnonzero(self.ends[ids]) + 1
-                    if words is not letters or len(cuts) != len(group):
-                        starts = np.fromiter((o[0] for o in code.offsets), np.int64)
+                    if not units or len(cuts) != len(group):
+                        offsets = code.offsets if not units else self.encoder.encode(" ".join(group), add_special_tokens=False).offsets
+                        starts = np.fromiter((o[0] for o in offsets), np.int64)
                         cuts = np.searchsorted(starts, np.cumsum([len(w) + 1 for w in group]))
                     data, cuts = ids.tobytes(), [0, *(4 * cuts).tolist()]
-                    self.codes.update((w, data[a:b]) for w, a, b in zip(group, cuts, cuts[1:]))
+                    self.codes.update(zip(group, (data[a:b] for a, b in zip(cuts, cuts[1:]))))
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    size = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy())
+    starts = np.flatnonzero(np.diff(size // BYTES_AT_ONCE, prepend=-1))
+    for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(start, end - start)
 
 
 def tokenized(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
@@ -133,8 +141,7 @@ def tokenized(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int
         end = np.array([end_id], "<u4")
         for batch in batches:
             rows: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids": []}
-            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
-                some = batch.slice(at, DOCS_AT_ONCE)
+            for some in slices(batch):
                 for doc, ids in zip(some.column(0).to_pylist(), known.ids(some.column(1))):
                     ids = np.concatenate([ids, end])
                     for piece, first in enumerate(range(0, len(ids), length)):
