@@ -1,6 +1,8 @@
 import random
 
-from litmill.llm.decontaminate import decontaminate, leaks
+import duckdb
+
+from litmill.llm.decontaminate import OP3_SQL, decontaminate, leaks, op3_decontaminate
 
 ITEM = "the quick brown fox jumps over the lazy dog while seven other animals look on in silence and wonder why".split()
 
@@ -66,6 +68,29 @@ def test_stretches_shifts_and_short_items(spark, documents):
         with_limit(limit, lambda: check(leaks(documents({d: " ".join(w) for d, w in texts.items()}), items).collect()))
 
 
+def test_repeated_words_and_the_oracle(spark, documents, tables):
+    """Degenerate texts stay cheap, and Spark, by either join, agrees with the SQL."""
+    rng = random.Random(4)
+    few = lambda n: [f"v{rng.randrange(6)}" for _ in range(n)]
+    texts = {0: "same " * 500, 1: "ab cd " * 200, 2: " ".join(few(200)), 3: "x same " + "same " * 12 + "y", 4: " ".join(ITEM[:11]) + " zz " + "same " * 60, 5: "zebra zebra zebra " * 5}
+    texts |= {10 + i: " ".join(few(40) + ITEM[rng.randrange(9) :] + few(9)) for i in range(10)}
+    items = [(0, "same " * 60), (1, "ab cd " * 20), (2, " ".join(few(30))), (3, " ".join(ITEM)), (4, " ".join(few(12) + ITEM[:12])), (5, "zebra"), (6, "same same same"), (7, "")]
+    folder = tables(documents=documents(texts), benchmark=spark.createDataFrame(items, "item_id long, text string"))
+    rows = {}
+    for limit in (2_000_000, 0):
+        with_limit(limit, lambda: rows.update({limit: ordered(op3_decontaminate(spark, folder))}))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"create view {name} as select * from '{folder}/{name}.parquet/*.parquet'")
+    want = sorted(con.execute(f"select doc_id, item_id, n_words, n_matched, start from ({OP3_SQL})").fetchall())
+    assert rows[0] == want and rows[2_000_000] == want
+    assert {(0, 0), (1, 1), (0, 6), (5, 5)} <= {r[:2] for r in want}
+
+
+def ordered(frame):
+    return sorted((r.doc_id, r.item_id, r.n_words, r.n_matched, r.start) for r in frame.collect())
+
+
 def with_limit(limit, run):
     from litmill.llm import decontaminate as module
 
