@@ -1,8 +1,8 @@
 """Join documents whose sets of word shingles have a Jaccard similarity of at
 least 0.8, by vertical partitions of the shingles.
 
-The range of shingle hashes is cut in fragments, and a fragment sees only its
-part of every set.
+The order of shingle hashes is cut in fragments, ranges of that order, and a
+fragment sees only its part of every set.
 
 1. Each fragment tells for each document how many of its shingles there occur
    in any other document; the counts are summed per document. Four fifths of
@@ -23,16 +23,20 @@ part of every set.
    member, and still every pair that isn't connected yet is looked at.
 5. Overlaps of pairs are counted fragment by fragment and summed per pair.
 
-Scale: the first pass shuffles 4 bytes a shingle, fragments are as many as the
-shuffle has partitions, and no stage gathers a group: buckets, hubs and links
-are joins and aggregates on keys whose large partitions Spark can split.
+Scale: the first pass shuffles 4 to 8 bytes a shingle. Fragments are as many as
+the shuffle has partitions and more where one would hold over ``FRAGMENT_BYTES``
+of text, so that the largest does not grow with the corpus. No stage gathers a
+group: buckets, hubs and links are joins and aggregates on keys; the rows of a
+shingle with over ``HOT_ROWS`` are dealt by a salt, and what they meet is
+repeated for each.
 
 Defined cases: words are runs without ASCII white space, A-Z lower-cased; null
 and empty texts have no shingles and link with nothing; documents of fewer than
 five words have one shingle, their words; rows that repeat a doc_id stay rows
 and are compared by text; a null doc_id is labelled if its text links with a
-document that has one; the input must read the same rows in the same order when
-a task is run again, as a scan of files does.
+document that has one. Blocks know documents by their place, so an input that a
+task run again might read in another order (one behind a shuffle) is written
+first.
 """
 
 from __future__ import annotations
@@ -45,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from litmill.llm.common import encoded, table
+from litmill.llm.common import encoded, per_batch, table
 from litmill.llm.shingles import mix, shingle_set
 from litmill.operators.components import components
 from litmill.sources.scratch import Scratch
@@ -53,10 +57,14 @@ from litmill.sources.scratch import Scratch
 PERCENT = 80
 BLOCK_SHINGLES = 1 << 20
 FRAGMENT_SHINGLES = 2_000_000
+FRAGMENT_BYTES = 96 << 20
+HOT_ROWS = 2000
 LEAST_FRAGMENTS = 8
 MORE_HUBS = 16
 SKETCH = 16
 SKETCHES = [f"s{i}" for i in range(SKETCH)]
+#: Names beside those of the documents' own columns.
+ID, KEY, OWN = "__near_id", "__near_key", "__near_own"
 
 
 def set_key(found: np.ndarray) -> tuple[int, int]:
@@ -71,7 +79,23 @@ def raw(values: np.ndarray) -> bytes:
 
 # 1. Repeated shingles -------------------------------------------------------
 
-PART = "part long, block long, docs binary, counts binary, single binary, again binary"
+PART = "part long, block long, docs binary, dense boolean, owners binary, single binary, again binary"
+
+
+def fragment_of(shingles: np.ndarray, fragments: int) -> np.ndarray:
+    """The range of the order of hashes that a shingle lies in."""
+    return (shingles >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
+
+
+def packed(owners: np.ndarray, n: int) -> tuple[bool, bytes]:
+    """Sorted owners out of ``n``, as counts of all of them where that is shorter."""
+    dense = len(owners) >= n
+    return dense, raw((np.bincount(owners, minlength=n) if dense else owners).astype(np.uint32))
+
+
+def unpacked(dense: bool, data: bytes) -> np.ndarray:
+    found = np.frombuffer(data, np.uint32)
+    return np.repeat(np.arange(len(found)), found) if dense else found
 
 
 def split_sets(fragments: int):
@@ -88,20 +112,21 @@ def split_sets(fragments: int):
         keys = np.array([set_key(s) for s in sets], np.int64).reshape(-1, 2)
         null = np.array([i is None for i in ids], np.int64)
         about = np.stack([np.array([i or 0 for i in ids], np.int64), null, sizes, keys[:, 0], keys[:, 1], known], 1)
-        part = (every[alone] >> np.uint64(40)) % np.uint64(fragments)
+        part = fragment_of(every[alone], fragments)
         order = np.lexsort((doc[alone], part))
         part, value, owner = part[order], every[alone][order].astype(np.uint32), doc[alone][order]
         twice = values[times > 1]
-        twice_part = (twice >> np.uint64(40)) % np.uint64(fragments)
+        twice_part = fragment_of(twice, fragments)
         cuts = np.searchsorted(part, np.arange(fragments + 1, dtype=np.uint64))
-        rows = [(number % fragments, number, raw(about), b"", b"", b"")]
+        twice_cuts = np.searchsorted(twice_part, np.arange(fragments + 1, dtype=np.uint64))  # hashes in order are fragments in order
+        rows = [(number % fragments, number, raw(about), True, b"", b"", b"")]
         for p in range(fragments):
             lo, hi = cuts[p], cuts[p + 1]
-            again = twice[twice_part == p].astype(np.uint32)
+            again = twice[twice_cuts[p] : twice_cuts[p + 1]].astype(np.uint32)
             if hi > lo or len(again):
-                rows.append((p, number, None, raw(np.bincount(owner[lo:hi], minlength=len(sets)).astype(np.uint32)), raw(value[lo:hi]), raw(again)))
+                rows.append((p, number, None, *packed(owner[lo:hi], len(sets)), raw(value[lo:hi]), raw(again)))
         names = [x.split()[0] for x in PART.split(", ")]
-        kinds = [pa.int64()] * 2 + [pa.binary()] * 4
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.bool_(), *[pa.binary()] * 3]
         return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,13 +154,14 @@ def count_repeats(group: pa.Table) -> pa.Table:
     again = np.unique(np.concatenate([np.frombuffer(r["again"], np.uint32) for r in parts] or [np.empty(0, np.uint32)]))
     values, times = np.unique(np.concatenate(single or [again]), return_counts=True)
     repeated = np.union1d(values[times > 1], again)
-    out = [(r["block"], r["docs"], None) for r in rows if r["docs"] is not None]
+    out = [(r["block"], r["docs"], True, None) for r in rows if r["docs"] is not None]
     for r, own in zip(parts, single):
-        counts = np.frombuffer(r["counts"], np.uint32)
         at = np.minimum(np.searchsorted(repeated, own), max(0, len(repeated) - 1))
         hit = repeated[at] == own if len(repeated) else np.zeros(len(own), bool)
-        out.append((r["block"], None, raw(np.bincount(np.repeat(np.arange(len(counts)), counts)[hit], minlength=len(counts)).astype(np.uint32))))
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary()))], names=["block", "docs", "repeats"])
+        n = len(r["owners"]) // 4 if r["dense"] else len(own) + 1
+        out.append((r["block"], None, *packed(unpacked(r["dense"], r["owners"])[hit], n)))
+    kinds = (pa.int64(), pa.binary(), pa.bool_(), pa.binary())
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["block", "docs", "dense", "repeats"])
 
 
 def sum_repeats(group: pa.Table) -> pa.Table:
@@ -145,7 +171,7 @@ def sum_repeats(group: pa.Table) -> pa.Table:
     total = about[:, 5].copy()
     for r in rows:
         if r["repeats"] is not None:
-            total += np.frombuffer(r["repeats"], np.uint32)
+            total += np.bincount(unpacked(r["dense"], r["repeats"]), minlength=len(total))
     names = ("doc_id", "n", "key", "key2", "repeated")
     columns = (pa.array(about[:, 0], pa.int64(), mask=about[:, 1] == 1), *map(pa.array, (about[:, 2], about[:, 3], about[:, 4], total)))
     return pa.table(list(columns), names=list(names))
@@ -153,9 +179,10 @@ def sum_repeats(group: pa.Table) -> pa.Table:
 
 def profiles(docs: DataFrame) -> DataFrame:
     """``(doc_id, n, key, key2, repeated)``, a row for each row of ``docs``."""
-    fragments = max(LEAST_FRAGMENTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    fragments = max(LEAST_FRAGMENTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // FRAGMENT_BYTES))
     parts = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(split_sets(fragments), PART)
-    counts = parts.groupBy("part").applyInArrow(count_repeats, "block long, docs binary, repeats binary")
+    counts = parts.groupBy("part").applyInArrow(count_repeats, "block long, docs binary, dense boolean, repeats binary")
     return counts.groupBy("block").applyInArrow(sum_repeats, "doc_id long, n long, key long, key2 long, repeated long")
 
 
@@ -175,10 +202,9 @@ def segments(texts: DataFrame, fragments: int) -> DataFrame:
                 found = shingle_set(text)
                 if (len(found), *set_key(found)) != (n, key, key2):
                     continue  # another text with the same id
-                part = (found >> np.uint64(20)) % np.uint64(fragments)
-                order = np.argsort(part, kind="stable")
-                cuts = np.searchsorted(part[order], np.arange(fragments + 1, dtype=np.uint64))
-                rows += [(p, key, n, raw(found[order[cuts[p] : cuts[p + 1]]])) for p in range(fragments) if cuts[p + 1] > cuts[p]]
+                part = fragment_of(found, fragments)
+                first = np.flatnonzero(np.diff(part, prepend=np.uint64(fragments)))
+                rows += [(int(part[a]), key, n, raw(found[a:b])) for a, b in zip(first, [*first[1:], len(found)])]
             columns = list(zip(*rows)) or [()] * 4
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (*[pa.int64()] * 3, pa.binary()))], names=["part", "node", "n", "found"])
 
@@ -251,41 +277,44 @@ def links(parts: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs of classes that link: enough of them to connect all that do."""
     sets = scratch.save(outlines(parts), "sets")
     rows = sets.select("node", "n", "alone", F.posexplode("prefix").alias("place", "shingle"))
-    rows = scratch.save(rows.select("shingle", "node", "n", (F.col("alone") + F.col("place")).alias("place"), F.col("node").alias("group")), "bucket")
+    rows = scratch.save(rows.select("shingle", "node", "n", (F.col("alone") + F.col("place")).alias("place"), F.col("node").alias("group")), "prefixes")
+    hot = rows.groupBy("shingle").agg(F.count("*").alias("rows")).where(F.col("rows") > HOT_ROWS)
+    hot = scratch.save(hot.select("shingle", F.ceil(F.col("rows") / HOT_ROWS).cast("int").alias("salts")), "hot")
+    rows = rows.join(hot, "shingle", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    rows = scratch.save(rows.withColumn("salt", F.pmod(F.xxhash64("node"), "salts").cast("int")), "bucket")
     found, wave, hubs_wanted = None, 0, 1
     while True:
-        groups = rows.groupBy("shingle", "group").agg(F.count("*").alias("members"))
-        alive = groups.groupBy("shingle").agg(F.max(F.struct("members", (-F.col("group")).alias("minus"))).alias("main"), F.count("*").alias("groups")).where("groups > 1")
         if wave == 0:  # all are groups of their own: the first is the hub
-            hubs = rows.groupBy("shingle").agg(F.min(F.struct("node", "n", "place", "group")).alias("h"), F.count("*").alias("members")).where("members > 1")
-            hubs = hubs.select("shingle", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.place").alias("hub_place"), F.col("h.group").alias("hub_group"))
+            hubs = rows.groupBy("shingle", "salts").agg(F.min(F.struct("node", "n", "place", "group")).alias("h"), F.count("*").alias("members")).where("members > 1")
+            hubs = hubs.select("shingle", "salts", "h.*")
         else:
-
-
-            main = alive.select("shingle", (-F.col("main.minus")).alias("main_group"))
-            outside = rows.join(main, "shingle").where("group <> main_group")
-            rank = F.row_number().over(Window.partitionBy("shingle").orderBy("node"))
-            hubs = outside.withColumn("rank", rank).where(F.col("rank") <= hubs_wanted)
-            hubs = hubs.select("shingle", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"), F.col("group").alias("hub_group"))
+            groups = rows.groupBy("shingle", "salts", "group").agg(F.count("*").alias("members"))
+            main = groups.groupBy("shingle", "salts").agg(F.max(F.struct("members", (-F.col("group")).alias("minus"))).alias("main"), F.count("*").alias("groups")).where("groups > 1")
+            main = for_each_salt(main.select("shingle", "salts", (-F.col("main.minus")).alias("main_group"))).drop("salts")
+            outside = rows.join(main, ["shingle", "salt"]).where("group <> main_group")
+            rank = F.row_number().over(Window.partitionBy("shingle", "salt").orderBy("node"))
+            hubs = outside.withColumn("rank", rank).where(F.col("rank") <= F.ceil(F.lit(hubs_wanted) / F.col("salts"))).select("shingle", "salts", "node", "n", "place", "group")
+        hubs = hubs.select("shingle", "salts", *(F.col(c).alias(h) for c, h in (("node", "hub"), ("n", "hub_n"), ("place", "hub_place"), ("group", "hub_group"))))
         hubs = scratch.save(hubs, "hubs")
         if hubs.isEmpty():
             break
         apart = (F.col("group") != F.col("hub_group")) & may_link(F.col("n"), F.col("hub_n"), F.col("place"), F.col("hub_place"))
+        meeting = for_each_salt(hubs).drop("salts")
         if wave == 0:
-            met = rows.join(hubs, "shingle").where(apart)
+            met = rows.join(meeting, ["shingle", "salt"]).where(apart)
         else:  # fewer rows, more of them for nothing: compare sketches before a pair is made
             own = sets.select("node", "alone", *SKETCHES)
             theirs = sets.select(F.col("node").alias("hub"), F.col("alone").alias("hub_alone"), *(F.col(x).alias(f"hub_{x}") for x in SKETCHES))
-            met = rows.join(own, "node").join(hubs.join(theirs, "hub"), "shingle").where(apart & near_enough())
+            met = rows.join(own, "node").join(meeting.join(theirs, "hub"), ["shingle", "salt"]).where(apart & near_enough())
         pairs = scratch.save(met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "pairs")
         linked = scratch.save(overlapping(pairs, parts), "links")
         found = linked if found is None else found.unionAll(linked)
         # Hubs leave their buckets; groups merge along the new links.
         merged = joined_groups(rows, linked)
         left = rows.join(hubs.select("shingle", F.col("hub").alias("node")), ["shingle", "node"], "left_anti")
-        left = left.join(merged, "group", "left").select("shingle", "node", "n", "place", F.coalesce("to", "group").alias("group"))
-        still = left.groupBy("shingle").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("shingle")
-        after = scratch.save(left.join(still, "shingle", "left_semi"), "bucket")
+        left = left.join(merged, "group", "left").select("shingle", "node", "n", "place", F.coalesce("to", "group").alias("group"), "salts", "salt")
+        still = left.groupBy("shingle", "salts").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
+        after = scratch.save(left.join(for_each_salt(still).select("shingle", "salt"), ["shingle", "salt"], "left_semi"), "bucket")
         scratch.drop(rows)
         rows, wave = after, wave + 1
         hubs_wanted = MORE_HUBS**wave
@@ -294,6 +323,10 @@ def links(parts: DataFrame, scratch: Scratch) -> DataFrame:
     return found
 
 
+def for_each_salt(frame: DataFrame) -> DataFrame:
+    return frame.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+
+
 def joined_groups(rows: DataFrame, linked: DataFrame) -> DataFrame:
     """``(group, to)``: groups that a link joins with a smaller one, two steps on."""
     of = rows.select("node", "group").distinct()
@@ -304,9 +337,16 @@ def joined_groups(rows: DataFrame, linked: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, a row for each row of ``docs``."""
+    return classified(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def classified(docs: DataFrame) -> DataFrame:
+    """``(doc_id, n, key, key2, component_id)``: ``near_duplicates`` with the hashes of each row's set."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     docs = docs.select(F.col("doc_id").cast("long"), "text")
+    if "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
+        docs = scratch.save(docs, "input")
     profile = scratch.save(profiles(docs), "profiles")
     classes = profile.where("n > 0").groupBy("n", "key", "key2").agg(F.min("doc_id").alias("first"), F.max("repeated").alias("repeated"))
     classes = scratch.save(classes, "classes")
@@ -325,14 +365,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = classes if labels is None else classes.join(labels, ["key", "first"], "left")
     named = scratch.save(named.select("n", "key", "key2", (F.col("first") if labels is None else F.coalesce("label", "first")).alias("component")), "named")
     out = profile.join(named, ["n", "key", "key2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    return out.select("doc_id", "n", "key", "key2", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without those that a smaller doc_id represents; rows without a
-    doc_id stay."""
-    gone = near_duplicates(docs).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows that a smaller doc_id represents; rows without a
+    doc_id stay. Where rows of one doc_id differ in text, each has its own fate."""
+    scratch = Scratch(docs.sparkSession, "each")
+    rows = classified(docs).select("doc_id", "key", "key2", F.coalesce(F.col("component_id") != F.col("doc_id"), F.lit(False)).alias("gone"))
+    lost = scratch.save(rows.groupBy("doc_id").agg(F.max("gone").alias("gone"), F.min("gone").alias("all")).where("gone"), "lost")
+    kept = docs.join(lost.select(F.col("doc_id").alias(ID)), F.col("doc_id").cast("long") == F.col(ID), "left_anti")
+    mixed = lost.where("not all").select("doc_id")
+    if mixed.isEmpty():
+        return kept
+    twice = rows.where("gone").join(mixed, "doc_id", "left_semi").select(F.col("doc_id").alias(ID), F.col("key").alias(KEY)).distinct()
+    some = docs.join(mixed.select(F.col("doc_id").alias(ID)), F.col("doc_id").cast("long") == F.col(ID), "left_semi")
+
+    def keyed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        keys = [set_key(shingle_set(text))[0] for text in encoded(batch.column("text"))]
+        yield pa.record_batch({**{c: batch.column(c) for c in batch.schema.names}, OWN: pa.array(keys, pa.int64())})
+
+    some = some.mapInArrow(per_batch(keyed), some.withColumn(OWN, F.lit(0).cast("long")).schema)
+    some = some.join(twice, (F.col("doc_id").cast("long") == F.col(ID)) & (F.col(OWN) == F.col(KEY)), "left_anti")
+    return kept.unionAll(some.select(*docs.columns))
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

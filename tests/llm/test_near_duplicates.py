@@ -56,7 +56,10 @@ def corpus(seed, n=160):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_against_brute_force(spark, documents, seed):
+def test_against_brute_force(spark, documents, monkeypatch, seed):
+    if seed == 2:  # many fragments, sparse counts, salted buckets
+        monkeypatch.setattr(near, "HOT_ROWS", 5)
+        monkeypatch.setattr(near, "FRAGMENT_BYTES", 2000)
     texts = corpus(seed)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(documents(texts).repartition(3)).collect()}
     assert got == brute(texts)
@@ -86,6 +89,13 @@ def test_repeated_rows_null_ids_empty_table_and_extra_columns(spark, documents):
     assert kept.columns == docs.columns and sorted(r.key for r in kept.collect()) == [1, 2, 3, 5]
 
 
+def test_rows_of_one_id_are_decided_one_by_one(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    docs = spark.createDataFrame([(3, a, 1), (4, a, 2), (4, b, 3), (5, b, 4), (4, None, 5), (6, a, 6)], "doc_id long, text string, gone int")
+    kept = near.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(r.gone for r in kept.collect()) == [1, 3, 5]
+
+
 def test_words_are_bytes_between_ascii_spaces():
     assert len(word_hashes("a　b\tc".encode())) == 2
     assert word_hashes(b"ABC x")[0] == word_hashes(b"x abc")[1]
