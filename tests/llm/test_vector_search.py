@@ -1,6 +1,7 @@
 import math
 import random
 
+from litmill.llm import vector_search as search
 from litmill.llm.vector_search import integer_vectors, top_k
 
 
@@ -20,7 +21,7 @@ def test_against_brute_force_with_ties_and_bad_rows(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, weights int").repartition(3)
     vectors = integer_vectors(table.drop("weights"))
     weights = [(r.vec_id, r.weights) for r in vectors.collect()]
-    assert len(weights) == 330
+    assert len(weights) == 331  # the empty one takes part
     assert dict(weights)[0] == [math.floor(1024 * float(x)) for x in table.where("vec_id = 0").first().embedding]
     got = {}
     for r in top_k(vectors, vectors.where("vec_id % 50 = 0"), 10, block_rows=64, query_rows=2).orderBy("query_id", "rank").collect():
@@ -29,6 +30,24 @@ def test_against_brute_force_with_ties_and_bad_rows(spark):
     assert got == brute(weights, [w for w in weights if w[0] % 50 == 0], 10)
 
 
+def test_wide_sparse_rows_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(search, "BLOCK_CELLS", 40)
+    monkeypatch.setattr(search, "PAIRS", 2)
+    rng = random.Random(6)
+    rows = []
+    for i in range(90):
+        weights = [0] * rng.choice([0, 5, 3000])
+        for _ in range(min(len(weights), 12)):
+            weights[rng.randrange(len(weights))] = rng.choice([1, -3, 1 << 29])
+        rows.append((i // 2 * 2 if i == 81 else i, weights))
+    vectors = spark.createDataFrame(rows, "vec_id long, weights array<long>").repartition(5)
+    got = {}
+    for r in top_k(vectors, vectors.where("vec_id % 7 = 0"), 10, block_rows=16, query_rows=3).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == brute(rows, [w for w in rows if w[0] % 7 == 0], 10)
+    assert search.grid(10**9, 10**7, 4096, 512, 200)[0] > 1000
+
+
 def test_sparse_rows_few_rows_and_no_rows(spark):
     vectors = spark.createDataFrame([(0, [0, 3, 0]), (1, [2, 0]), (2, [0, 1, 5])], "vec_id long, weights array<long>")
     got = {(r.query_id, r.vec_id): r.score for r in top_k(vectors, vectors, 10).collect()}
