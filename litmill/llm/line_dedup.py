@@ -30,6 +30,8 @@ from litmill.sources.scratch import Scratch
 
 MIN_CHARS = 10
 MIN_DOCS = 2
+#: Names beside those of the documents' own columns.
+ID, GONE = "__line_doc", "__line_gone"
 
 
 def line_keys(text: bytes, min_chars: int) -> Iterator[bytes | None]:
@@ -65,12 +67,12 @@ def shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with ``text`` replaced and ``n_lines``, ``n_dropped`` added."""
     rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    drops = shared_lines(docs, min_chars, min_docs).withColumnRenamed("doc_id", "_doc")
-    both = docs.select(*rest, "text").join(drops, F.col("doc_id") == F.col("_doc"), "left").select(*rest, "text", "drop")
+    drops = shared_lines(docs, min_chars, min_docs).select(F.col("doc_id").alias(ID), F.col("drop").alias(GONE))
+    both = docs.select(*rest, "text").join(drops, F.col("doc_id") == F.col(ID), "left").select(*rest, "text", GONE)
 
     def reassemble(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts, lines, dropped = [], [], []
-        for text, drop in zip(encoded(batch.column("text")), batch.column("drop").to_pylist()):
+        for text, drop in zip(encoded(batch.column("text")), batch.column(GONE).to_pylist()):
             n = text.count(b"\n") + 1
             lines.append(n)
             if drop:
@@ -86,7 +88,7 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
         columns |= {"text": pa.array(texts, pa.binary()).cast(pa.string()), "n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64())}
         yield pa.record_batch(columns)
 
-    schema = both.drop("drop").withColumns({"n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long")}).schema
+    schema = both.drop(GONE).withColumns({"n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long")}).schema
     return both.mapInArrow(per_batch(reassemble), schema)
 
 
