@@ -83,20 +83,27 @@ def member(data: bytes, level: int) -> bytes:
     return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H", len(extra)) + extra + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
 
 
+def archives(fs: pafs.FileSystem, base: str) -> list[pafs.FileInfo]:
+    """Archives of a folder, without those that a write has not committed."""
+    found = fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))
+    return [f for f in found if f.path.endswith((".warc", ".warc.gz")) and "/_tasks-" not in f.path[len(base) :]]
+
+
 @dataclass
 class Written(ds.WriterCommitMessage):
     name: str
 
 
 class Writer(ds.DataSourceArrowWriter):
-    def __init__(self, path: str, level: int):
-        self.path, self.level = path, level
+    def __init__(self, path: str, level: int, overwrite: bool = False):
+        self.path, self.level, self.overwrite = path, level, overwrite
+        self.tasks = f"_tasks-{uuid.uuid4().hex}"  # this write's own, so that others can't lose files to it
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, base = pafs.FileSystem.from_uri(self.path)
-        fs.create_dir(f"{base}/_tasks", recursive=True)
+        fs.create_dir(f"{base}/{self.tasks}", recursive=True)
         name = f"{uuid.uuid4().hex}.warc.gz"
-        with fs.open_output_stream(f"{base}/_tasks/{name}", compression=None) as out:
+        with fs.open_output_stream(f"{base}/{self.tasks}/{name}", compression=None) as out:
             for batch in iterator:
                 for row in batch.to_pylist():
                     out.write(member(b"".join(record(row)), self.level))
@@ -104,14 +111,18 @@ class Writer(ds.DataSourceArrowWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         fs, base = pafs.FileSystem.from_uri(self.path)
+        if self.overwrite:
+            for old in archives(fs, base):
+                fs.delete_file(old.path)
         for message in messages:
             if message:
-                fs.move(f"{base}/_tasks/{message.name}", f"{base}/{message.name}")
+                fs.move(f"{base}/{self.tasks}/{message.name}", f"{base}/{message.name}")
         self.abort(messages)
 
     def abort(self, messages: list[Written | None]) -> None:
         fs, base = pafs.FileSystem.from_uri(self.path)
-        fs.delete_dir_contents(f"{base}/_tasks", missing_dir_ok=True)
+        if fs.get_file_info(f"{base}/{self.tasks}").type == pafs.FileType.Directory:
+            fs.delete_dir(f"{base}/{self.tasks}")
 
 
 @dataclass
@@ -148,7 +159,7 @@ class Reader(ds.DataSourceReader):
     def partitions(self) -> list[Slice]:
         fs, base = pafs.FileSystem.from_uri(self.path)
         out = []
-        for info in fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True)):
+        for info in archives(fs, base):
             if not info.is_file or "/_" in info.path[len(base) :]:
                 continue
             if info.path.endswith(".warc.gz"):
@@ -310,7 +321,7 @@ class WarcSource(ds.DataSource):
         return Reader(self.options["path"], int(self.options.get("split_bytes", SPLIT_BYTES)), self.options.get("payload", "true") == "true")
 
     def writer(self, schema, overwrite: bool) -> Writer:
-        return Writer(self.options["path"], int(self.options.get("level", 3)))
+        return Writer(self.options["path"], int(self.options.get("level", 3)), overwrite)
 
 
 def register(spark: SparkSession) -> None:

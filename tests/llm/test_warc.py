@@ -42,5 +42,17 @@ def test_splits_push_down_and_foreign_archives(spark, tmp_path):
     assert spark.read.format(warc.FORMAT).option("payload", "false").load(f"file://{tmp_path}/b").where("payload is not null").count() == 0
 
 
+def test_overwrite_and_long_headers(spark, tmp_path):
+    warc.register(spark)
+    folder = f"file://{tmp_path}/c"
+    for mode, n in (("overwrite", 3), ("overwrite", 2), ("append", 4)):
+        url = "http://h/" + "x" * 200_000
+        pages = spark.createDataFrame([(i, url + str(i), "page " * 400, 0) for i in range(n)], PAGES)
+        warc.records(pages).write.format(warc.FORMAT).mode(mode).save(folder)
+    rows = spark.read.format(warc.FORMAT).option("split_bytes", 1000).load(folder).collect()
+    assert len(rows) == 6 and {len(r.target_uri) for r in rows} == {len("http://h/") + 200_001}
+    assert not [p for p in (tmp_path / "c").iterdir() if p.is_dir()]
+
+
 def test_no_pages(spark, tables):
     assert warc.op1_warc(spark, tables(pages=spark.createDataFrame([], PAGES))).collect() == []
