@@ -2,9 +2,10 @@
 
 Hosts with pages that an allow rule fits are trusted seeds, those with pages
 that a block rule fits distrusted ones, each in proportion to the pages. Trust
-flows along links between hosts, distrust against them: personalised PageRank
-with a fixed number of rounds. A host is blocked if distrust is more than
-``THRESHOLD`` of the two; a host that neither reaches is allowed.
+flows along links between hosts, distrust against them: personalised PageRank,
+in rounds until ``STEPS`` of them reach no further host and move less than
+``TOLERANCE`` of the scores' sum, which only grows. A host is blocked if distrust
+is more than ``THRESHOLD`` of the two; a host that neither reaches is allowed.
 
 Scale: links are summed to weighted edges between hosts before they are
 shuffled, so a host with a third of all pages costs a row for each of its
@@ -30,7 +31,10 @@ from litmill.sources.scratch import Scratch
 #: (host, path, verdict); a rule fits a host and its subdomains, the longest wins.
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 DAMPING = 0.85
-ROUNDS = 10
+STEPS = 6
+TOLERANCE = 1e-3
+#: Rounds in the SQL, which can't tell when to stop.
+SQL_ROUNDS = 48
 THRESHOLD = 0.5
 UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)href\s*=\s*["']?(?:https?:)?//([^/?#"'\s>]+)"""
@@ -75,7 +79,7 @@ def seeds(pages: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(total), "kind").select("kind", "host", (F.col("n") / F.col("total")).alias("share"))  # two rows
 
 
-def propagate(edges: DataFrame, start: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagate(edges: DataFrame, start: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """``(kind, host, score)``: allow follows the edges, block goes back."""
     scratch = Scratch(edges.sparkSession, "hosts")
     back = edges.groupBy("dst").agg(F.sum("p").alias("all"))
@@ -83,15 +87,18 @@ def propagate(edges: DataFrame, start: DataFrame, rounds: int = ROUNDS, damping:
     reverse = edges.join(back, "dst").select(F.lit("block").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), (F.col("p") / F.col("all")).alias("p"))
     both = scratch.save(forward.unionAll(reverse), "edges")
     own = scratch.save(start.select("kind", "host", ((1 - damping) * F.col("share")).alias("score")), "seeds")
-    score = own
+    score, before = own, None
     if both.isEmpty():
         return score
-    for k in range(rounds):
-        moved = both.join(score, ["kind", "host"]).select("kind", F.col("to").alias("host"), (damping * F.col("p") * F.col("score")).alias("score"))
-        score = own.unionAll(moved).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if k % 3 == 2:
-            score = scratch.save(score, "score")
-    return score
+    while True:
+        now = score.agg(F.count("*").alias("hosts"), F.coalesce(F.sum("score"), F.lit(0.0)).alias("sum")).first()
+        if before and now.hosts == before.hosts and now.sum - before.sum < tolerance * now.sum or not now.hosts:
+            return score
+        before = now
+        for _ in range(STEPS):
+            moved = both.join(score, ["kind", "host"]).select("kind", F.col("to").alias("host"), (damping * F.col("p") * F.col("score")).alias("score"))
+            score = own.unionAll(moved).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        score = scratch.save(score, "score")
 
 
 def url_filter(pages: DataFrame, rules: tuple = RULES, threshold: float = THRESHOLD) -> DataFrame:
@@ -118,7 +125,7 @@ def _sql() -> str:
     rounds = "".join(
         f""", s{k + 1} AS MATERIALIZED (SELECT kind, host, sum(score) AS score FROM (
   SELECT * FROM s0 UNION ALL SELECT b.kind, b.nxt, {DAMPING} * b.p * s.score FROM both_ways b JOIN s{k} s ON s.kind = b.kind AND s.host = b.host) GROUP BY ALL)"""
-        for k in range(ROUNDS)
+        for k in range(SQL_ROUNDS)
     )
     return rf"""
 WITH u AS (
@@ -135,7 +142,7 @@ both_ways AS MATERIALIZED (
   UNION ALL SELECT 'block', dst, src, p / sum(p) OVER (PARTITION BY dst) FROM p
 ), c AS (SELECT ruled AS kind, host, count(*) AS n FROM j WHERE host <> '' AND ruled IS NOT NULL GROUP BY ALL),
 s0 AS MATERIALIZED (SELECT kind, host, {1 - DAMPING} * (n / sum(n) OVER (PARTITION BY kind)) AS score FROM c){rounds},
-t AS (SELECT host, coalesce(sum(score) FILTER (WHERE kind = 'allow'), 0) AS trust, coalesce(sum(score) FILTER (WHERE kind = 'block'), 0) AS distrust FROM s{ROUNDS} GROUP BY host)
+t AS (SELECT host, coalesce(sum(score) FILTER (WHERE kind = 'allow'), 0) AS trust, coalesce(sum(score) FILTER (WHERE kind = 'block'), 0) AS distrust FROM s{SQL_ROUNDS} GROUP BY host)
 SELECT page_id, j.host, path, rule,
        coalesce(ruled, CASE WHEN distrust > {THRESHOLD} * (trust + distrust) THEN 'block' END, 'allow') AS verdict
 FROM j LEFT JOIN t ON t.host = j.host

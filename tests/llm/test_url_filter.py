@@ -19,6 +19,29 @@ def test_rules_hosts_and_paths(spark):
     assert out[9] == ("u@q.com:80", "/de/", None, "allow")
 
 
+def test_a_long_chain_and_a_long_page(spark):
+    """Scores reach a host behind any number of links, and are those of the fixed point."""
+    rules = (("h0.net", "/", "allow"), ("bad.net", "/", "block"))
+    links = {**{f"h{i}.net": [f"h{i + 1}.net"] for i in range(25)}, "bad.net": ["h0.net"], **{f"s{i + 1}.net": [f"s{i}.net"] for i in range(1, 20)}, "s1.net": ["bad.net", "h0.net"]}
+    rows = [(i, f"http://{h}/", link(*to) + "x" * (300_000 if h == "h3.net" else 0), "") for i, (h, to) in enumerate(links.items())]
+    pages = u.judged(spark.createDataFrame(rows, PAGES), rules)
+    got = {(r.kind, r.host): r.score for r in u.propagate(u.host_edges(pages), u.seeds(pages), tolerance=1e-9).collect()}
+    edges = [("allow", a, b, 1 / len(to)) for a, to in links.items() for b in to]
+    share = {b: sum(p for _, _, x, p in edges if x == b) for _, _, b, _ in edges}
+    edges += [("block", b, a, p / share[b]) for _, a, b, p in edges]
+    own = {("allow", "h0.net"): 0.15, ("block", "bad.net"): 0.15}
+    want = dict(own)
+    for _ in range(200):
+        new = dict(own)
+        for kind, a, b, p in edges:
+            if (kind, a) in want:
+                new[kind, b] = new.get((kind, b), 0) + 0.85 * p * want[kind, a]
+        want = new
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    verdicts = {r.host: r.verdict for r in u.url_filter(spark.createDataFrame(rows, PAGES), rules).collect()}
+    assert verdicts["s19.net"] == "block" and verdicts["h25.net" if "h25.net" in verdicts else "h24.net"] == "allow"
+
+
 def test_trust_and_distrust_travel(spark):
     rules = (("good.net", "/", "allow"), ("bad.net", "/", "block"))
     rows = [
