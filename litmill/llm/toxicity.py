@@ -20,8 +20,9 @@ a few times over, so that words that merely accompany a toxic passage stay out.
 Scale: the counts of a task are bounded by the alphabet (``SYMBOLS`` cubed), so
 every document is counted at the cost of one small table a task; the model that
 is sent out has that bound too. The fit takes at most ``SAMPLE_ROWS`` labelled
-rows and ``SAMPLE_BYTES`` of text a class by hash of the id. Scoring is one
-scan without a shuffle.
+rows and ``SAMPLE_BYTES`` of text a class by hash of the id; of the words and
+beginnings there, the ``CANDIDATES`` in most toxic rows may enter a lexicon of at
+most ``LEXICON``. Scoring is one scan without a shuffle.
 
 Defined cases: null and empty texts hold no word and get the score of such
 texts; a null id gets a row as any other; labels that are null or neither 0
@@ -211,15 +212,16 @@ def around(text: str, at: int) -> re.Match:
 
 def signs_of_length(text: str) -> tuple[bool, bool]:
     """Whether a letter may come three times in a row, and whether three single
-    characters may stand apart: a quick look before the patterns, over ASCII and
-    letters of two bytes."""
+    characters may stand apart: a quick look before the patterns."""
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     if len(data) < 3:
         return False, False
     same = data[1:] == data[:-1]
     again = bool((same[1:] & same[:-1] & (data[2:] >= 97)).any())
-    if not again and len(data) >= 6:  # letters of two bytes; rarer ones have no model
-        again = bool(((data[4:] == data[2:-2]) & (data[2:-2] == data[:-4]) & (data[4:] >= 128)).any())
+    for n, first, last in ((2, 0xC0, 0xDF), (3, 0xE0, 0xEF), (4, 0xF0, 0xFF)):  # letters of several bytes
+        if not again and len(data) >= 3 * n:
+            lead, middle, end = data[: len(data) - 2 * n], data[n : len(data) - n], data[2 * n :]
+            again = bool(((lead == middle) & (middle == end) & (lead >= first) & (lead <= last)).any())
     kind = LONE[data]
     word = np.concatenate([[False], kind > 0, [False]])
     lone = np.flatnonzero(word[1:-1] & ~word[:-2] & ~word[2:])

@@ -62,6 +62,55 @@ def test_decoder_restores_disguises(spark, documents):
     assert list(decode.restored("plain words, nothing else")) == []
 
 
+def test_the_decoder_finds_the_cheapest_path(spark):
+    """Viterbi against every path of small lattices."""
+    import itertools
+
+    import numpy as np
+
+    rng = random.Random(8)
+    counts = np.array([rng.choice([0, 0, 1, 5, 40]) for _ in range(toxicity.SYMBOLS**3)])
+    decoder = toxicity.Decoder(toxicity.costs(counts))
+    for _ in range(60):
+        text = "".join(rng.choice("abe01*$. aab\u0436") for _ in range(rng.randint(1, 6)))
+        for spaced in (False, True):
+            best = np.inf
+            for path in itertools.product(*decoder.arcs(text, spaced)):
+                out = "".join(x for x, _ in path)
+                s = [0, 0, *map(toxicity.symbol, out), 0]
+                cost = sum(c for _, c in path) + sum(decoder.cost[a][b][c] for a, b, c in zip(s, s[1:], s[2:]))
+                if cost < best - 1e-9:
+                    best, word = cost, out
+            got = decoder.decode(text, spaced)
+            assert got == word or price(decoder, text, spaced, got) <= best + 1e-6
+
+
+def price(decoder, text, spaced, word):
+    import itertools
+
+    costs = []
+    for path in itertools.product(*decoder.arcs(text, spaced)):
+        if "".join(x for x, _ in path) == word:
+            s = [0, 0, *map(toxicity.symbol, word), 0]
+            costs.append(sum(c for _, c in path) + sum(decoder.cost[a][b][c] for a, b, c in zip(s, s[1:], s[2:])))
+    return min(costs)
+
+
+def test_letters_of_any_width_may_repeat():
+    for letter in ("a", "\u00e9", "\u0436", "\u4e2d", "\U00010400"):
+        assert toxicity.signs_of_length(f"x{letter * 3}y")[0] and not toxicity.signs_of_length(f"x{letter * 2}y")[0]
+
+
+def test_extra_columns_and_a_text_above_the_bound(spark, documents, monkeypatch, tables):
+    docs, labels = corpus(200, random.Random(3))
+    long = [d for d, _, t in labels if not held(d, 3, 1) and not held(d, 4, 2)][:4]
+    docs |= {d: docs[d] + (" " + GOOD) * 200 for d in long}
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 12_000)
+    folder = tables(documents=documents(docs).withColumn("label", quality.F.lit("x")).withColumn("held", quality.F.lit(1)), labels=spark.createDataFrame(labels, LABELS))
+    for rows in (quality.op6_quality(spark, folder).collect(), toxicity.op7_toxicity(spark, folder).collect()):
+        assert len(rows) == 200 and len({round(r.score, 3) for r in rows}) > 1
+
+
 def test_a_long_text_does_not_end_the_sample(spark, documents):
     from pyspark.sql import functions as F
 
