@@ -20,19 +20,29 @@ from litmill.llm.toxicity import THRESHOLD, fit_model, toxicity_scores
 from litmill.sources.scratch import Scratch
 
 
+def aside(docs: DataFrame, *names: str) -> DataFrame:
+    """Columns that an operator would write over, under another name."""
+    return docs.withColumnsRenamed({c: f"__own_{c}" for c in names})
+
+
+def back(out: DataFrame, docs: DataFrame) -> DataFrame:
+    return out.select(*(F.col(f"__own_{c}").alias(c) if f"__own_{c}" in out.columns else F.col(c) for c in docs.columns))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score says toxic go; labels of held-out rows stay unseen."""
     labels = table(spark, sf_dir, "labels").where(~(crc_of_id() % 4 == 2))
-    scored = toxicity_scores(docs.withColumnRenamed("score", "_score") if "score" in docs.columns else docs, fit_model(docs, labels))
-    kept = scored.where(F.col("score") < THRESHOLD).drop("score")
-    return kept.withColumnRenamed("_score", "score").select(*docs.columns)
+    scored = toxicity_scores(aside(docs, "score"), fit_model(docs, labels))
+    return back(scored.where(F.col("score") < THRESHOLD), docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that another document holds go; ``n_chars`` follows the text."""
-    out = line_dedup(docs.select(*(F.col(c).alias(f"_{c}") if c in ("n_lines", "n_dropped") else F.col(c) for c in docs.columns)))
-    chars = F.length("text").cast("long").alias("n_chars")
-    return out.select(*(F.col(f"_{c}").alias(c) if c in ("n_lines", "n_dropped") else chars if c == "n_chars" else F.col(c) for c in docs.columns))
+    """Lines that another document holds go, and documents that have no other;
+    ``n_chars`` follows the text."""
+    out = line_dedup(aside(docs, "n_lines", "n_dropped")).where("text <> '' or n_dropped = 0")
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast("long"))
+    return back(out, docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
