@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from litmill.functions.text import similarity
+from litmill.functions.text import similarity, similarity_over
 from litmill.operators.quality import all_true, text_gate
 
 TITLE_RATIO, AGREEMENT = 0.85, 0.90
@@ -43,12 +43,13 @@ def by_provider(records: DataFrame, answers: DataFrame, providers: Sequence[str]
 
 
 def agreement(accepted: DataFrame, key: str) -> DataFrame:
-    """Similarity of every two accepted candidates of a record."""
+    """Similarity of every two accepted candidates of a record, or below
+    ``AGREEMENT`` a bound above it."""
     left = accepted.select(key, F.col("priority").alias("a"), F.col("candidate_text").alias("text_a"))
     right = accepted.select(key, F.col("priority").alias("b"), F.col("candidate_text").alias("text_b"))
     pairs = left.join(right, key).where("a < b")
     differ = F.col("text_a") != F.col("text_b")
-    score = F.when(~differ, 1.0).otherwise(similarity(F.when(differ, F.col("text_a")), F.col("text_b")))
+    score = F.when(~differ, 1.0).otherwise(similarity_over(AGREEMENT)(F.when(differ, F.col("text_a")), F.col("text_b")))
     return pairs.select(key, "a", "b", score.alias("similarity"))
 
 

@@ -160,7 +160,11 @@ def dedup_findings(findings: DataFrame, key: str) -> DataFrame:
     return rows.join(kept, [key, "kept_place"]).select(*findings.columns, "new_place")
 
 
+#: Wording of association and of cause.
+ASSOCIATION, CAUSE = "correlat|associat", "caus|caused|led to|driv|promot|inhibit"
+
+
 def causal_overclaims(claims: DataFrame) -> DataFrame:
     """Causal claims whose quote only speaks of association."""
     quote = F.lower("quote")
-    return claims.where((F.col("claim_type") == "causal") & quote.rlike("correlat|associat") & ~quote.rlike("caus|caused|led to|driv|promot|inhibit"))
+    return claims.where((F.col("claim_type") == "causal") & quote.rlike(ASSOCIATION) & ~quote.rlike(CAUSE))

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+import re
+import unicodedata
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from litmill.functions.text import prf
+from litmill.functions.text import item_key, prf
+from litmill.operators.quality import first_true
 
 
 def set_metric(gold: DataFrame, pred: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -53,51 +58,70 @@ def finding_match(gold: DataFrame, pred: DataFrame, key: str) -> DataFrame:
     return gold.groupBy(key).cogroup(pred.groupBy(key)).applyInPandas(match, f"{key} {kind}, pred_place long, gold_place long, level string")
 
 
-def _run(tokens: list[str], inside: list[str]) -> tuple[int, int] | None:
-    """Where the tokens occur in order, from the first to the last."""
-    at, places = 0, []
-    for token in tokens:
-        while at < len(inside) and inside[at] != token:
-            at += 1
-        if at == len(inside):
-            return None
-        places.append(at)
-        at += 1
-    return (places[0], places[-1] + 1) if places else None
+WORD = re.compile(r"\w+")
+
+
+def folded(text: str) -> str:
+    """As ``item_key``: case and width folded, white space to single spaces."""
+    return " ".join(unicodedata.normalize("NFKC", text).casefold().split())
+
+
+def place_of(words: list[str], inside: list[tuple[int, int, str]]) -> tuple[int, int] | None:
+    """From where to where the words lie in order among placed ones, each at the
+    first chance."""
+    rest = iter(inside)
+    found = [next((w for w in rest if w[2] == word), None) for word in words]
+    return (found[0][0], found[-1][1]) if found and all(found) else None
 
 
 def boundary_equal(g, p) -> bool:
-    """Whether two values with overlapping quotes name the same thing by their
-    place in what the quotes share."""
+    """Whether two values, each with a quote that is what its source holds from
+    ``a_start`` to ``a_end``, name the same thing by their place in what the
+    quotes share: the shorter lies there if one holds the other; else both lie
+    there and overlap, and one is the other with words left out, or one quote is
+    part of the other and both values are written in the shared text."""
     low, high = max(g.a_start, p.a_start), min(g.a_end, p.a_end)
-    if low >= high or not g.value or not p.value:
+    if low >= high or any(not 0 <= x.a_start < x.a_end <= len(x.source_text) or x.source_text[x.a_start : x.a_end] != x.quote for x in (g, p)):
         return False
-    shared = g.source_text[low:high].lower().split()
-    a, b = g.value.split(), p.value.split()
-    if g.value in p.value or p.value in g.value:
-        return _run(min(a, b, key=len), shared) is not None
-    x, y = _run(a, shared), _run(b, shared)
-    if not x or not y or max(x[0], y[0]) >= min(x[1], y[1]):
+    a, b = sorted((folded(g.value or ""), folded(p.value or "")), key=len)
+    if not a:
         return False
-    joined = " ".join(shared)
-    contains = g.quote != p.quote and (g.quote in p.quote or p.quote in g.quote)
-    return _run(a, b) is not None or _run(b, a) is not None or contains and g.value in joined and p.value in joined
-
-
-def boundary_match(gold: DataFrame, pred: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Exact pairs first, in Spark; what they leave goes to a greedy match on
-    source boundaries within each key, the lowest free reference first."""
-    exact = exact_pairs(gold, pred, key)
-    left_g = gold.join(exact.select(*key, F.col("gold_place").alias("place")), [*key, "place"], "left_anti")
-    left_p = pred.join(exact.select(*key, F.col("pred_place").alias("place")), [*key, "place"], "left_anti")
+    shared = [(w.start(), w.end(), folded(w[0])) for w in WORD.finditer(g.source_text[low:high])]
+    few, many = WORD.findall(a), WORD.findall(b)
+    x, y = place_of(few, shared), place_of(many, shared)
+    if a in b:
+        return x is not None
+    if x is None or y is None or max(x[0], y[0]) >= min(x[1], y[1]):
+        return False
+    few, many = sorted((few, many), key=len)
+    if len(few) < len(many) and place_of(few, [(i, i, w) for i, w in enumerate(many)]):
+        return True
+    inner, outer = sorted((folded(g.quote), folded(p.quote)), key=len)
+    text = folded(g.source_text[low:high])
+    return bool(inner) and inner != outer and inner in outer and a in text and b in text
+
+
+def boundary_match(gold: DataFrame, pred: DataFrame, key: Sequence[str], scale: Column | None = None) -> DataFrame:
+    """Exact pairs of folded values first, in Spark; what they leave goes to a
+    greedy match on source boundaries within each key, the lowest free reference
+    first. Rows that ``scale`` holds for match by their value as it is or not at all."""
+    scale = F.lit(False) if scale is None else F.coalesce(scale, F.lit(False))
+    gold, pred = (t.withColumn("__scale", scale).withColumn("__value", F.col("value")) for t in (gold, pred))
+    same = F.when(F.col("__scale"), F.col("value")).otherwise(F.coalesce(item_key(F.col("value")), F.lit("")))
+    exact = exact_pairs(gold.withColumn("value", same), pred.withColumn("value", same), key).drop("value")
+    left_g = gold.join(exact.select(*key, F.col("gold_place").alias("place")), [*key, "place"], "left_anti").where("not __scale").drop("__scale", "__value")
+    left_p = pred.join(exact.select(*key, F.col("pred_place").alias("place")), [*key, "place"], "left_anti").where("not __scale").drop("__scale", "__value")
 
     def match(g: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        free = list(g.sort_values("place").itertuples(index=False))
-        rows = []
+        g = g.sort_values("place")
+        references, start, end = list(g.itertuples(index=False)), g["a_start"].to_numpy(), g["a_end"].to_numpy()
+        free, rows = np.ones(len(g), bool), []
         for q in p.sort_values("place").itertuples(index=False):
-            found = next((i for i, x in enumerate(free) if boundary_equal(x, q)), None)
+            near = np.flatnonzero(free & (start < q.a_end) & (end > q.a_start))
+            found = next((i for i in near if boundary_equal(references[i], q)), None)
             if found is not None:
-                rows.append((*(getattr(q, k) for k in key), free.pop(found).place, q.place))
+                free[found] = False
+                rows.append((*(getattr(q, k) for k in key), references[found].place, q.place))
         return pd.DataFrame(rows, columns=[*key, "gold_place", "pred_place"])
 
     kinds = dict(gold.dtypes)
@@ -141,37 +165,74 @@ def pareto(counts: DataFrame, name: str, share: float = 0.8) -> DataFrame:
     return rows.where(F.col("cumulative") - F.col("share") < share)
 
 
-def error_class(pointer, kind, routed_from):
-    """The class of a false positive or negative, by its field and by where
-    the other side has it."""
-    ends = lambda s: pointer.endswith(s)
-    from litmill.operators.quality import first_true
-
-    routed = routed_from.isNotNull()
-    to_other = routed & (ends("/measurements/other") | routed_from.endswith("/measurements/other"))
-    any_end = lambda s: ends(s) | routed_from.endswith(s)
-    return first_true(
-        [
-            (to_other & any_end("/plant_growth"), "PLANT_TO_OTHER"),
-            (to_other & any_end("/microbial"), "MICROBIAL_ROUTING"),
-            (to_other & any_end("/carbon"), "CARBON_ROUTING"),
-            (to_other & any_end("/soil_chemical"), "SOIL_CHEM_ROUTING"),
-            (routed & (pointer.contains("fertilization") | pointer.contains("amendments")), "FERTILIZATION_AMENDMENT_ROUTING"),
-            (routed & (pointer.contains("soil_type") | pointer.contains("salinity_context")), "SALINITY_LINK_ERROR"),
-            (routed, "WRONG_CATEGORY"),
-            (ends("experimental_scale"), "SCALE_ERROR"),
-            (ends("salinity_context"), "SALINITY_LINK_ERROR"),
-            (ends("soil_type") & (kind == "FN"), "SOIL_TYPE_ABSTENTION"),
-            (ends("measurements/other") & (kind == "FP"), "OTHER_OVERUSE"),
-            (ends("measurements/microbial"), "MICROBIAL_ROUTING"),
-            (ends("measurements/carbon"), "CARBON_ROUTING"),
-            (ends("measurements/soil_chemical"), "SOIL_CHEM_ROUTING"),
-            (pointer.contains("fertilization") | pointer.contains("amendments"), "TREATMENT_ROLE_ERROR"),
-            (kind == "FP", "TRUE_OVEREXTRACTION"),
-            (kind == "FN", "TRUE_OMISSION"),
-        ],
-        "OTHER",
-    )
+#: Classes of errors, by the field's end and by wording.
+ROUTED = {"plant_growth": "PLANT_TO_OTHER", "microbial": "MICROBIAL_ROUTING", "carbon": "CARBON_ROUTING", "soil_chemical": "SOIL_CHEM_ROUTING"}
+LAND_USE = ("paddy field", "upland field", "saline-alkali land")
+STUDIED_SOIL = ("pot", "substrate", "experimental soil", "soil sample", "soil samples", "collected from", "field soil", "soil was collected")
+ANY_SOIL = ("soil", "site", "field", "substrate")
+BACKGROUND = ("application", "potential", "background", "in general")
+INDUCED = ("induced", "irrigated with", "saline water", "salt stress", "salt treatment")
+PHYSIOLOGY = {
+    "photosynthesis": ("photosynth",),
+    "pigments": ("chlorophyll", "pigment"),
+    "gas_exchange": ("gas exchange",),
+    "plant_ions": ("na+", "k+", "na/k", "sodium", "potassium"),
+    "antioxidant": ("antioxidant", "superoxide dismutase", "catalase", "peroxidase"),
+    "ros": ("reactive oxygen", "hydrogen peroxide", "ros"),
+    "osmolyte": ("proline", "osmolyte", "soluble sugar"),
+    "gene_expression": ("gene expression", "transcript", "mrna"),
+    "morphology": ("root length", "shoot length", "biomass", "plant height"),
+}
+
+
+def any_of(text: Column, terms: Sequence[str]) -> Column:
+    return F.exists(F.array(*map(F.lit, terms)), lambda term: F.contains(text, term))
+
+
+def of_review(document_types: Column) -> Column:
+    return F.coalesce(F.contains(F.lower(F.array_join(document_types, " ")), F.lit("review")), F.lit(False))
+
+
+def error_class(pointer: Column, kind: Column, routed_from: Column, document_types: Column | None = None) -> Column:
+    """The class of a false positive or negative, by its field and by where the
+    other side has it."""
+    ends = lambda c, *names: functools.reduce(Column.__or__, (F.endswith(c, F.lit(n)) for n in names))
+    holds = lambda *names: functools.reduce(Column.__or__, (F.contains(pointer, F.lit(n)) for n in names))
+    routed, missed, extra = routed_from.isNotNull(), kind == "FN", kind == "FP"
+    review = F.lit(False) if document_types is None else of_review(document_types)
+    into_other = [(missed & ends(pointer, f"/measurements/{n}") & ends(routed_from, "/measurements/other"), c) for n, c in ROUTED.items()]
+    from_other = [(ends(pointer, "/measurements/other") & ends(routed_from, f"/{n}"), c) for n, c in ROUTED.items()]
+    elsewhere = [(holds("fertilization", "amendments"), "FERTILIZATION_AMENDMENT_ROUTING"), (holds("soil_type", "salinity_context"), "SALINITY_LINK_ERROR"), (F.lit(True), "WRONG_CATEGORY")]
+    in_place = [
+        (ends(pointer, "experimental_scale"), "SCALE_ERROR"),
+        (ends(pointer, "salinity_context"), "SALINITY_LINK_ERROR"),
+        (ends(pointer, "soil_type") & missed, "SOIL_TYPE_ABSTENTION"),
+        (ends(pointer, "measurements/other") & extra, "OTHER_OVERUSE"),
+        *((ends(pointer, f"measurements/{n}"), c) for n, c in ROUTED.items() if n != "plant_growth"),
+        (holds("treatments") & review & extra, "REVIEW_ATTRIBUTION"),
+        (holds("fertilization", "amendments"), "TREATMENT_ROLE_ERROR"),
+        (extra, "TRUE_OVEREXTRACTION"),
+        (missed, "TRUE_OMISSION"),
+    ]
+    return F.when(routed, first_true([*into_other, *from_other, *elsewhere], "OTHER")).otherwise(first_true(in_place, "OTHER"))
+
+
+def soil_miss_class(text: Column, document_types: Column) -> Column:
+    """Why a soil type was missed, by what stands around it."""
+    low = F.lower(text)
+    rules = [(of_review(document_types) | any_of(low, ("review",)), "review scope"), (any_of(low, LAND_USE), "land-use ambiguity"), (any_of(low, STUDIED_SOIL), "explicit studied-soil descriptor"), (any_of(low, ANY_SOIL), "actual-system linkage missing")]
+    return first_true(rules, "worker abstention")
+
+
+def physiology_class(text: Column) -> Column:
+    low = F.lower(text)
+    return first_true([(any_of(low, terms), name) for name, terms in PHYSIOLOGY.items()], "other_physiology")
+
+
+def salinity_class(kind: Column, text: Column, document_types: Column) -> Column:
+    low, extra = F.lower(text), kind == "FP"
+    rules = [(of_review(document_types) & extra, "review_scope_errors"), (any_of(low, BACKGROUND), "background/application FP"), (extra, "bare descriptor FP"), (any_of(low, INDUCED), "treatment-induced salinity")]
+    return first_true(rules, "other/ambiguous")
 
 
 def paired_runs(before: DataFrame, after: DataFrame, field: str, gain: float = 0.01) -> DataFrame:

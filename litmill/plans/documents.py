@@ -156,13 +156,18 @@ def line_cooccur(spark, sf_dir):
 
 @query("token_diff")
 def token_diff(spark, sf_dir):
-    docs = a.table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 1000).alias("x"), F.substring("text", 20, 1000).alias("y"))
+    """Each text against itself with words changed about its middle."""
+    words = F.split("text", " ")
+    middle = (F.size(words) / 2).cast("int")
+    other = F.concat(F.transform(words, lambda w, i: F.when(i == middle, F.concat(w, F.lit("☃"))).when(i == middle + 9, F.concat(F.lit("put in "), w)).otherwise(w)))
+    docs = a.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("x"), F.array_join(other, " ").alias("y"))
     return docs.select("doc_id", F.array_join(t.changed_blocks("x", "y"), "|").alias("changes"))
 
 
-@query("token_coverage", "WITH w AS (SELECT doc_id, list_distinct(string_split(substr(text, 1, 100), ' ')) AS x, list_distinct(string_split(substr(text, 51, 100), ' ')) AS y FROM documents WHERE text IS NOT NULL) SELECT doc_id, round(CAST(len(list_intersect(x, y)) AS DOUBLE) / len(x), 6) AS share FROM w")
+@query("token_coverage", "WITH w AS (SELECT doc_id, list_distinct(string_split(text, ' ')) AS x, list_distinct(list_filter(string_split(text, ' '), lambda x, i: i % 3 <> 2)) AS y FROM documents WHERE text IS NOT NULL) SELECT doc_id, round(CAST(len(list_intersect(x, y)) AS DOUBLE) / len(x), 6) AS share FROM w")
 def token_coverage(spark, sf_dir):
-    return a.table(spark, sf_dir, "documents").where("text is not null").select("doc_id", ops.token_coverage(F.substring("text", 1, 100), F.substring("text", 51, 100)).alias("share"))
+    some = F.array_join(F.filter(F.split("text", " "), lambda _, i: i % 3 != 1), " ")
+    return a.table(spark, sf_dir, "documents").where("text is not null").select("doc_id", ops.token_coverage(F.col("text"), some).alias("share"))
 
 
 @query("token_subsequence", "SELECT doc_id, doc_id % 2 = 0 AS within FROM documents WHERE text IS NOT NULL")

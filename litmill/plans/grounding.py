@@ -49,9 +49,9 @@ def sentence_of(spark, sf_dir):
 WORDS = "CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 4 = 1 THEN 'unknown' ELSE source END"
 
 
-@query("pointer_rows", f"SELECT doc_id, '/evidence/terms/' || i AS pointer, w[i + 1] AS value FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM (SELECT doc_id, string_split(substr(text, 1, 100), ' ') AS w FROM documents)) WHERE w[i + 1] NOT IN ('', 'unknown') UNION ALL SELECT doc_id, '/evidence/source', source FROM documents WHERE doc_id % 4 > 1 UNION ALL SELECT doc_id, '/evidence/lang', lang FROM documents")
+@query("pointer_rows", f"SELECT doc_id, '/evidence/terms/' || i AS pointer, w[i + 1] AS value FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)) WHERE w[i + 1] NOT IN ('', 'unknown') UNION ALL SELECT doc_id, '/evidence/source', source FROM documents WHERE doc_id % 4 > 1 UNION ALL SELECT doc_id, '/evidence/lang', lang FROM documents")
 def pointer_rows(spark, sf_dir):
-    docs = a.table(spark, sf_dir, "documents").withColumn("w", F.split(F.substring("text", 1, 100), " ")).withColumn("s", F.expr(WORDS))
+    docs = a.table(spark, sf_dir, "documents").withColumn("w", F.split("text", " ")).withColumn("s", F.expr(WORDS))
     return ops.pointer_rows(docs, "doc_id", {"/evidence/terms": "w"}, {"/evidence/source": "s", "/evidence/lang": "lang"})
 
 
@@ -90,14 +90,14 @@ def audit_flags_v2(spark, sf_dir):
 STAND_INS = {"field": "ing", "pot": "heit", "greenhouse": "ciones", "lab": "eaux"}
 
 
-@query("scale_class", "SELECT doc_id, concat_ws(',', " + ", ".join(f"CASE WHEN regexp_matches(lower(left(text, 200)), '{p}') THEN '{s}' END" for s, p in STAND_INS.items()) + ") AS scales FROM documents")
+@query("scale_class", "SELECT doc_id, concat_ws(',', " + ", ".join(f"CASE WHEN regexp_matches(lower(text), '{p}') THEN '{s}' END" for s, p in STAND_INS.items()) + ") AS scales FROM documents")
 def scale_class(spark, sf_dir):
-    return a.table(spark, sf_dir, "documents").select("doc_id", F.array_join(ops.scales_in(F.left("text", F.lit(200)), STAND_INS), ",").alias("scales"))
+    return a.table(spark, sf_dir, "documents").select("doc_id", F.array_join(ops.scales_in(F.col("text"), STAND_INS), ",").alias("scales"))
 
 
-@query("scale_resolve", "WITH s AS (SELECT doc_id, lower(left(text, 200)) AS x FROM documents), c AS (SELECT doc_id, x, list_filter([" + ", ".join(f"CASE WHEN contains(x, '{p}') THEN '{s}' END" for s, p in STAND_INS.items()) + "], lambda y: y IS NOT NULL) AS f FROM s) SELECT doc_id, CASE WHEN len(f) > 1 THEN 'unknown' WHEN len(f) = 1 THEN f[1] WHEN contains(x, 'que') THEN 'model' ELSE 'unknown' END AS scale, len(f) > 1 AS ambiguous FROM c")
+@query("scale_resolve", "WITH s AS (SELECT doc_id, lower(text) AS x FROM documents), c AS (SELECT doc_id, x, list_filter([" + ", ".join(f"CASE WHEN contains(x, '{p}') THEN '{s}' END" for s, p in STAND_INS.items()) + "], lambda y: y IS NOT NULL) AS f FROM s) SELECT doc_id, CASE WHEN len(f) > 1 THEN 'unknown' WHEN len(f) = 1 THEN f[1] WHEN contains(x, 'que') THEN 'model' ELSE 'unknown' END AS scale, len(f) > 1 AS ambiguous FROM c")
 def scale_resolve(spark, sf_dir):
-    scale, ambiguous = ops.resolve_scale(F.left("text", F.lit(200)), STAND_INS, "que")
+    scale, ambiguous = ops.resolve_scale(F.col("text"), STAND_INS, "que")
     return a.table(spark, sf_dir, "documents").select("doc_id", scale.alias("scale"), ambiguous.alias("ambiguous"))
 
 
@@ -142,21 +142,22 @@ def fulltext_rules(spark, sf_dir):
     return ops.causal_overclaims(claims).select("event_id")
 
 
-# Metrics: distinct words of two stretches of each document.
-GOLD = r"""w AS (SELECT doc_id AS uid, lang AS field, substr(text, 1, 150) AS s, lower(substr(text, 1, 100)) AS g, lower(substr(text, 51, 100)) AS p FROM documents),
-gold AS (SELECT DISTINCT uid, field, unnest(string_split(g, ' ')) AS value FROM w), pred AS (SELECT DISTINCT uid, field, unnest(string_split(p, ' ')) AS value FROM w),
+# Metrics: words of each document; the reference leaves out every fifth, the prediction every seventh.
+WORDS_OF = r"""w AS (SELECT doc_id AS uid, lang AS field, string_split(text, ' ') AS w FROM documents), t AS (SELECT uid, field, unnest(w) AS value, unnest(range(len(w))) AS place FROM w)"""
+GOLD = rf"""{WORDS_OF}, gold AS (SELECT DISTINCT uid, field, value FROM t WHERE place % 5 <> 1), pred AS (SELECT DISTINCT uid, field, value FROM t WHERE place % 7 <> 2),
 per AS (SELECT uid, field, count(*) FILTER (WHERE g AND p) AS tp, count(*) FILTER (WHERE g IS NULL) AS fp, count(*) FILTER (WHERE p IS NULL) AS fn FROM (SELECT *, true AS g FROM gold) FULL JOIN (SELECT *, true AS p FROM pred) USING (uid, field, value) GROUP BY ALL)"""
 PRF = """round(CASE WHEN tp + fp = 0 THEN CASE WHEN tp + fn = 0 THEN 1.0 ELSE 0.0 END ELSE CAST(tp AS DOUBLE) / (tp + fp) END, 6) AS precision,
 round(CASE WHEN tp + fn = 0 THEN 1.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END, 6) AS recall, round(CASE WHEN tp = 0 THEN CASE WHEN fp + fn = 0 THEN 1.0 ELSE 0.0 END ELSE 2.0 * tp / (2 * tp + fp + fn) END, 6) AS f1"""
 
 
-def stretch(spark, sf_dir, start):
-    rows = a.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("uid"), F.col("lang").alias("field"), "text", F.split(F.lower(F.substring("text", start, 100)), " ").alias("w"))
-    return rows.select("uid", "field", "text", F.posexplode("w").alias("place", "value"))
+def said(spark, sf_dir):
+    """Two readings of the words of each document."""
+    rows = a.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("uid"), F.col("lang").alias("field"), F.posexplode(F.split("text", " ")).alias("place", "value"))
+    return rows.where("place % 5 <> 1"), rows.where("place % 7 <> 2")
 
 
 def per_paper(spark, sf_dir):
-    return metrics.set_metric(stretch(spark, sf_dir, 1), stretch(spark, sf_dir, 51), ["uid", "field"])
+    return metrics.set_metric(*said(spark, sf_dir), ["uid", "field"])
 
 
 @query("strict_metric", f"WITH {GOLD} SELECT *, {PRF} FROM per")
@@ -177,23 +178,23 @@ def prf(spark, sf_dir):
     return metrics.with_prf(a.table(spark, sf_dir, "documents").select("doc_id", *((F.col("doc_id") % n).alias(c) for c, n in (("tp", 3), ("fp", 4), ("fn", 5)))))
 
 
-@query("gate", f"WITH {MICRO}, x AS (SELECT *, {PRF} FROM m) SELECT field, concat_ws(',', CASE WHEN precision < 0.35 THEN 'precision' END, CASE WHEN recall < 0.5 THEN 'recall' END, CASE WHEN f1 < 0.4 THEN 'f1' END) AS failed, precision >= 0.35 AND recall >= 0.5 AND f1 >= 0.4 AS passed FROM x")
+@query("gate", f"WITH {MICRO}, x AS (SELECT *, {PRF} FROM m) SELECT field, concat_ws(',', CASE WHEN precision < 0.822 THEN 'precision' END, CASE WHEN recall < 0.874 THEN 'recall' END, CASE WHEN f1 < 0.847 THEN 'f1' END) AS failed, precision >= 0.822 AND recall >= 0.874 AND f1 >= 0.847 AS passed FROM x")
 def gate(spark, sf_dir):
-    out = metrics.gate(metrics.micro(per_paper(spark, sf_dir), "field"), {"precision": 0.35, "recall": 0.5, "f1": 0.4})
+    out = metrics.gate(metrics.micro(per_paper(spark, sf_dir), "field"), {"precision": 0.822, "recall": 0.874, "f1": 0.847})
     return out.select("field", F.array_join("failed", ",").alias("failed"), "passed")
 
 
-@query("exact_pairs", r"""WITH w AS (SELECT doc_id AS uid, string_split(lower(substr(text, 1, 100)), ' ') AS g, string_split(lower(substr(text, 51, 100)), ' ') AS p FROM documents),
-g AS (SELECT uid, g[i + 1] AS value, i AS place, row_number() OVER (PARTITION BY uid, g[i + 1] ORDER BY i) AS k FROM (SELECT uid, g, unnest(range(len(g))) AS i FROM w)),
-p AS (SELECT uid, p[i + 1] AS value, i AS place, row_number() OVER (PARTITION BY uid, p[i + 1] ORDER BY i) AS k FROM (SELECT uid, p, unnest(range(len(p))) AS i FROM w))
+@query("exact_pairs", rf"""WITH {WORDS_OF}, g AS (SELECT uid, value, place, row_number() OVER (PARTITION BY uid, value ORDER BY place) AS k FROM t WHERE place % 5 <> 1),
+p AS (SELECT uid, value, place, row_number() OVER (PARTITION BY uid, value ORDER BY place) AS k FROM t WHERE place % 7 <> 2)
 SELECT uid, value, CAST(g.place AS INT) AS gold_place, CAST(p.place AS INT) AS pred_place FROM g JOIN p USING (uid, value, k)""")
 def exact_pairs(spark, sf_dir):
-    return metrics.exact_pairs(stretch(spark, sf_dir, 1), stretch(spark, sf_dir, 51), ["uid"])
+    return metrics.exact_pairs(*said(spark, sf_dir), ["uid"])
 
 
 def findings(spark, sf_dir, cut):
-    rows = a.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("uid"), F.posexplode(F.slice(F.split(F.substring("text", 1, 2000), r"\. "), 1, 8)).alias("place", "text"))
-    return rows.select("uid", F.col("place").cast("long").alias("place"), F.when(F.col("place") % 2 == cut, F.substring("text", 1, 30)).otherwise(F.col("text")).alias("text"))
+    """Every sentence of each document; one of two loses its end."""
+    rows = a.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("uid"), F.posexplode(F.split("text", r"\. ")).alias("place", "text"))
+    return rows.select("uid", F.col("place").cast("long").alias("place"), F.when(F.col("place") % 2 == cut, F.expr("substring(text, 1, int(length(text) / 2))")).otherwise(F.col("text")).alias("text"))
 
 
 @query("finding_match")
@@ -201,22 +202,31 @@ def finding_match(spark, sf_dir):
     return metrics.finding_match(findings(spark, sf_dir, 0), findings(spark, sf_dir, 1), "uid")
 
 
+STEP, QUOTE = 40, 30
+
+
 def spans(spark, sf_dir, start, longer):
-    """Values of a few words with the quote that holds them."""
-    rows = stretch(spark, sf_dir, 1).groupBy("uid", "field", "text").agg(F.count("*").alias("n")).select("uid", "field", F.substring("text", 1, 150).alias("source_text"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("place"))
-    at = F.col("place") * 20 + start
-    rows = rows.withColumn("a_start", at.cast("long")).withColumn("a_end", (at + 30 + longer).cast("long")).withColumn("quote", F.substring(F.col("source_text"), F.col("a_start").cast("int") + 1, F.lit(30 + longer)))
-    return rows.withColumn("value", F.trim(F.lower(F.substring("quote", 4, 20 + longer)))).withColumn("place", F.col("place").cast("long"))
+    """Quotes all along each text, some characters of each as its value."""
+    rows = a.table(spark, sf_dir, "documents").where("length(text) > 0").select(F.col("doc_id").alias("uid"), F.col("lang").alias("field"), F.col("text").alias("source_text"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(length(source_text) - 1) div {STEP}"))).alias("place"))
+    at = F.col("place") * STEP + start
+    rows = rows.withColumn("a_start", at).withColumn("a_end", F.least(at + QUOTE + longer, F.length("source_text").cast("long")))
+    rows = rows.where("a_start < a_end").withColumn("quote", F.substring("source_text", F.col("a_start").cast("int") + 1, (F.col("a_end") - F.col("a_start")).cast("int")))
+    return rows.withColumn("value", F.trim(F.substring("quote", 4, 20 + longer)))
+
+
+def both_spans(spark, sf_dir):
+    return spans(spark, sf_dir, 0, 0), spans(spark, sf_dir, 2, 5)
 
 
 @query("boundary_match")
 def boundary_match(spark, sf_dir):
-    return metrics.boundary_match(spans(spark, sf_dir, 0, 0), spans(spark, sf_dir, 2, 5), ["uid", "field"]).drop("value")
+    return metrics.boundary_match(*both_spans(spark, sf_dir), ["uid", "field"])
 
 
 @query("boundary_micro")
 def boundary_micro(spark, sf_dir):
-    gold, pred = spans(spark, sf_dir, 0, 0), spans(spark, sf_dir, 2, 5)
+    gold, pred = both_spans(spark, sf_dir)
     return metrics.micro(metrics.boundary_counts(gold, pred, metrics.boundary_match(gold, pred, ["uid", "field"]), "field"), "field")
 
 
@@ -239,15 +249,22 @@ def same_span(spark, sf_dir):
     return metrics.same_span(anchors(spark, sf_dir).withColumn("field", F.col("lang")), moved(spark, sf_dir))
 
 
-POINTERS = ("/evidence/measurements/other", "/evidence/measurements/microbial", "/evidence/study_system/soil_type", "/evidence/treatments/fertilization", "/evidence/study_system/experimental_scale", "/evidence/measurements/yield")
-CLASS = "CASE i WHEN 0 THEN CASE WHEN r THEN 'MICROBIAL_ROUTING' WHEN k = 'FP' THEN 'OTHER_OVERUSE' ELSE 'TRUE_OMISSION' END WHEN 1 THEN CASE WHEN r THEN 'WRONG_CATEGORY' ELSE 'MICROBIAL_ROUTING' END WHEN 2 THEN CASE WHEN r THEN 'SALINITY_LINK_ERROR' WHEN k = 'FN' THEN 'SOIL_TYPE_ABSTENTION' ELSE 'TRUE_OVEREXTRACTION' END WHEN 3 THEN CASE WHEN r THEN 'FERTILIZATION_AMENDMENT_ROUTING' ELSE 'TREATMENT_ROLE_ERROR' END WHEN 4 THEN CASE WHEN r THEN 'WRONG_CATEGORY' ELSE 'SCALE_ERROR' END ELSE CASE WHEN r THEN 'WRONG_CATEGORY' WHEN k = 'FP' THEN 'TRUE_OVEREXTRACTION' ELSE 'TRUE_OMISSION' END END"
-ERRORS = f"e AS (SELECT event_id, event_id % 6 AS i, CASE WHEN value > 10 THEN 'FP' ELSE 'FN' END AS k, user_id % 4 = 0 AS r FROM events), c AS (SELECT event_id, {CLASS} AS class FROM e), n AS (SELECT class, count(*) AS n FROM c GROUP BY class)"
+POINTERS = ("/evidence/measurements/other", "/evidence/measurements/microbial", "/evidence/study_system/soil_type", "/evidence/treatments/fertilization", "/evidence/study_system/experimental_scale", "/evidence/measurements/yield", "/evidence/measurements/plant_growth", "/evidence/measurements/carbon", "/evidence/measurements/soil_chemical", "/evidence/treatments/irrigation", "/evidence/study_system/salinity_context")
+ROUTES = ("/evidence/measurements/microbial", "/evidence/measurements/other", "/evidence/measurements/plant_growth", "/evidence/measurements/soil_chemical")
+NAMES = "CASE {c} WHEN 'plant_growth' THEN 'PLANT_TO_OTHER' WHEN 'microbial' THEN 'MICROBIAL_ROUTING' WHEN 'carbon' THEN 'CARBON_ROUTING' WHEN 'soil_chemical' THEN 'SOIL_CHEM_ROUTING' END"
+CLASS = f"""coalesce(CASE WHEN r IS NOT NULL AND k = 'FN' AND r = 'other' THEN {NAMES.format(c='f')} END, CASE WHEN r IS NOT NULL AND f = 'other' THEN {NAMES.format(c='r')} END,
+CASE WHEN r IS NOT NULL THEN CASE f WHEN 'fertilization' THEN 'FERTILIZATION_AMENDMENT_ROUTING' WHEN 'soil_type' THEN 'SALINITY_LINK_ERROR' WHEN 'salinity_context' THEN 'SALINITY_LINK_ERROR' ELSE 'WRONG_CATEGORY' END END,
+CASE WHEN f = 'experimental_scale' THEN 'SCALE_ERROR' WHEN f = 'salinity_context' THEN 'SALINITY_LINK_ERROR' WHEN f = 'soil_type' AND k = 'FN' THEN 'SOIL_TYPE_ABSTENTION' WHEN f = 'other' AND k = 'FP' THEN 'OTHER_OVERUSE' WHEN f = 'plant_growth' THEN NULL ELSE {NAMES.format(c='f')} END,
+CASE WHEN f IN ('fertilization', 'irrigation') AND review AND k = 'FP' THEN 'REVIEW_ATTRIBUTION' WHEN f = 'fertilization' THEN 'TREATMENT_ROLE_ERROR' WHEN k = 'FP' THEN 'TRUE_OVEREXTRACTION' ELSE 'TRUE_OMISSION' END)"""
+LAST = "regexp_extract({}, '[^/]*$')"
+ERRORS = f"e AS (SELECT event_id, {LAST.format(str(list(POINTERS)) + '[event_id % 11 + 1]')} AS f, CASE WHEN value > 10 THEN 'FP' ELSE 'FN' END AS k, CASE WHEN user_id % 3 = 0 THEN {LAST.format(str(list(ROUTES)) + '[user_id % 4 + 1]')} END AS r, user_id % 5 = 0 AS review FROM events), c AS (SELECT event_id, {CLASS} AS class FROM e), n AS (SELECT class, count(*) AS n FROM c GROUP BY class)"
 
 
 def errors(spark, sf_dir):
-    rows = a.table(spark, sf_dir, "events").withColumn("pointer", F.element_at(F.array(*map(F.lit, POINTERS)), (F.col("event_id") % 6 + 1).cast("int")))
-    routed = F.when(F.col("user_id") % 4 == 0, "/evidence/measurements/microbial")
-    return rows.select("event_id", metrics.error_class(F.col("pointer"), F.when(F.col("value") > 10, "FP").otherwise("FN"), routed).alias("class"))
+    one_of = lambda names, column: F.element_at(F.array(*map(F.lit, names)), (F.col(column) % len(names) + 1).cast("int"))
+    types = F.array(F.when(F.col("user_id") % 5 == 0, "Review; Early Access").otherwise("Article"))
+    made = metrics.error_class(one_of(POINTERS, "event_id"), F.when(F.col("value") > 10, "FP").otherwise("FN"), F.when(F.col("user_id") % 3 == 0, one_of(ROUTES, "user_id")), types)
+    return a.table(spark, sf_dir, "events").select("event_id", made.alias("class"))
 
 
 @query("error_class", f"WITH {ERRORS} SELECT * FROM c")

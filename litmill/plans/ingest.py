@@ -203,10 +203,11 @@ def responses_left(spark, sf_dir):
     return ops.with_responses(a.table(spark, sf_dir, "documents").select("doc_id"), files.read_strict_json(spark, path, "doc_id long, response int"), "doc_id")
 
 
-@query("labelled_union", "SELECT lang AS query_id, doc_id, CASE WHEN lang = 'en' THEN source END AS source FROM documents WHERE lang IN ('en', 'de', 'fr')")
+@query("labelled_union", "SELECT lang AS query_id, doc_id, CASE WHEN lang = 'en' THEN source END AS source FROM documents WHERE lang IS NOT NULL")
 def labelled_union(spark, sf_dir):
     docs = a.table(spark, sf_dir, "documents")
-    parts = {lang: docs.where(F.col("lang") == lang).select("doc_id", *(["source"] if lang == "en" else [])) for lang in ("en", "de", "fr")}
+    languages = [r.lang for r in docs.where("lang is not null").select("lang").distinct().collect()]  # a file each
+    parts = {lang: docs.where(F.col("lang") == lang).select("doc_id", *(["source"] if lang == "en" else [])) for lang in languages}
     return ops.labelled_union(parts)
 
 
@@ -269,9 +270,9 @@ def ordered_distinct(spark, sf_dir):
     return rows.groupBy("source_title").agg(F.array_join(F.array_distinct(langs), ",").alias("langs"))
 
 
-@query("slug", "SELECT doc_id, CASE WHEN trim(regexp_replace(lower(left(text, 60)), '[^a-z0-9]+', '-', 'g'), '-') = '' THEN 'section' ELSE trim(regexp_replace(lower(left(text, 60)), '[^a-z0-9]+', '-', 'g'), '-') END AS slug FROM documents")
+@query("slug", "SELECT doc_id, CASE WHEN trim(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '-') = '' THEN 'section' ELSE trim(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '-') END AS slug FROM documents")
 def slug(spark, sf_dir):
-    return a.table(spark, sf_dir, "documents").select("doc_id", t.slug(F.left("text", F.lit(60))).alias("slug"))
+    return a.table(spark, sf_dir, "documents").select("doc_id", t.slug(F.col("text")).alias("slug"))
 
 
 @query("doi_find", f"WITH {a.view('s', a.SENTENCES, 'lineitem')} SELECT doc, n, '10.5555/' || doc AS dois FROM s")

@@ -146,7 +146,7 @@ def severity(spark, sf_dir):
     return rows.join(F.broadcast(top), "pos", "left").select("pos", "state", F.coalesce("urgent", F.lit(False)).alias("urgent"))
 
 
-@query("url_filter", r"""WITH p AS (SELECT page_id, url, regexp_extract(url, '^([^?#]*)', 1) AS base, regexp_extract(url, '^[^?#]*\?([^#]*)', 1) AS q FROM pages)
+@query("url_filter", r"""WITH p AS (SELECT page_id, url, regexp_extract(url, '^([^?#]*)', 1) AS base, array_to_string(list_transform(list_filter(string_split(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), '&'), lambda x: x <> ''), lambda x: CASE WHEN contains(x, '=') THEN x ELSE x || '=' END), '&') AS q FROM pages)
 SELECT page_id, CASE WHEN starts_with(url, 'https://') THEN CASE WHEN q = '' THEN base ELSE base || '?' || q END END AS public_url FROM p""")
 def url_filter(spark, sf_dir):
     return a.table(spark, sf_dir, "pages").select("page_id", t.public_url(F.col("url")).alias("public_url"))
@@ -216,27 +216,27 @@ def provider_left(spark, sf_dir):
     return enrich.by_provider(a.records(spark, sf_dir), answers, ("one", "two", "three")).select("pos", "one", "two", "three")
 
 
-@query("agreement_pairs", f"WITH {VALID}, g AS (SELECT pos, priority FROM v WHERE NOT (r1 OR r2 OR r4 OR r5)) SELECT x.pos, x.priority AS a, y.priority AS b FROM g x JOIN g y ON x.pos = y.pos AND x.priority < y.priority")
+@query("agreement_pairs", f"WITH {VALID}, g AS (SELECT pos, priority, candidate_text AS c FROM v WHERE NOT (r1 OR r2 OR r4 OR r5)) SELECT x.pos, x.priority AS a, y.priority AS b, round(CASE WHEN x.c = y.c THEN 1.0 ELSE 2.0 * least(length(x.c), length(y.c)) / (length(x.c) + length(y.c)) END, 6) AS similarity FROM g x JOIN g y ON x.pos = y.pos AND x.priority < y.priority")
 def agreement_pairs(spark, sf_dir):
-    good = validated(spark, sf_dir).where("accepted").select("pos", "priority", F.lit("").alias("candidate_text"))
-    return enrich.agreement(good, "pos").select("pos", "a", "b")
+    good = validated(spark, sf_dir).where("accepted").select("pos", "priority", "candidate_text")
+    return enrich.agreement(good, "pos").select("pos", "a", "b", F.round("similarity", 6).alias("similarity"))
 
 
 @query("similarity")
 def similarity(spark, sf_dir):
     """Title against the benchmark text that would replace its abstract."""
     rows = candidates(spark, sf_dir).where("priority = 1")
-    return rows.select("pos", F.round(t.similarity(F.col("title"), F.substring("other", 1, 60)), 6).alias("similarity"))
+    return rows.select("pos", F.round(t.similarity(F.col("title"), F.col("other")), 6).alias("similarity"))
 
 
 def selected(spark, sf_dir):
-    rows = validated(spark, sf_dir).withColumn("candidate_text", F.substring("candidate_text", 1, 200)).withColumn("failed", F.col("n_chars") % 10 == 0)
+    rows = validated(spark, sf_dir).withColumn("failed", F.col("n_chars") % 10 == 0)
     records = a.records(spark, sf_dir).select("pos", "doi", F.when(F.col("pos") % 11 == 0, F.col("title")).alias("previous"))
     return enrich.select_source(records, rows, enrich.agreement(rows.where("accepted"), "pos"), "pos")
 
 
 SELECTED = f"""{VALID}, c AS (SELECT *, NOT (r1 OR r2 OR r4 OR r5) AS good FROM v),
-s AS (SELECT pos, arg_min(provider, priority) FILTER (WHERE good) AS best, arg_min(substr(candidate_text, 1, 200), priority) FILTER (WHERE good) AS txt, bool_or(n_chars % 10 = 0) AS failed FROM c GROUP BY pos),
+s AS (SELECT pos, arg_min(provider, priority) FILTER (WHERE good) AS best, arg_min(candidate_text, priority) FILTER (WHERE good) AS txt, bool_or(n_chars % 10 = 0) AS failed FROM c GROUP BY pos),
 z AS (SELECT r.pos, s.best, s.txt, CASE WHEN r.pos % 11 = 0 THEN r.title END AS previous, CASE WHEN r.doi IS NULL THEN 'no_doi' WHEN s.best IS NOT NULL THEN 'found' WHEN r.pos % 11 = 0 THEN 'retained_previous' WHEN coalesce(s.failed, false) THEN 'missing_with_errors' ELSE 'missing' END AS status FROM records r LEFT JOIN s USING (pos))"""
 
 
@@ -256,15 +256,15 @@ def cache_split(spark, sf_dir):
     return enrich.cache_split(asked, known, "c_custkey")
 
 
-BATCH = """asked AS (SELECT c_nationkey AS batch, c_custkey AS k, CASE WHEN c_nationkey % 3 = 0 THEN 1 ELSE n END AS declared FROM customer JOIN (SELECT c_nationkey AS nk, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'F' GROUP BY 1) ON nk = c_nationkey),
-ans AS (SELECT c_nationkey AS batch, o_custkey + CASE WHEN o_orderkey % 97 = 0 THEN 1000000 ELSE 0 END AS k, CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority ELSE 'same' END AS payload FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'F')"""
+BATCH = """asked AS (SELECT c_nationkey AS batch, c_custkey AS k, CASE WHEN c_nationkey % 3 = 0 THEN 1 ELSE n END AS declared FROM customer JOIN (SELECT c_nationkey AS nk, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1) ON nk = c_nationkey),
+ans AS (SELECT c_nationkey AS batch, o_custkey + CASE WHEN o_orderkey % 97 = 0 THEN 1000000 ELSE 0 END AS k, CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority ELSE 'same' END AS payload FROM orders JOIN customer ON c_custkey = o_custkey)"""
 
 
 @query("batch_map", f"""WITH {BATCH}, p AS (SELECT batch, k, count(*) AS rows, count(DISTINCT payload) AS d, min(payload) AS payload FROM ans GROUP BY ALL), s AS (SELECT batch, max(declared) AS declared FROM asked GROUP BY 1), g AS (SELECT batch, count(*) AS got FROM ans GROUP BY 1)
 SELECT batch, k, CASE WHEN a.asked IS NULL THEN 'unexpected' WHEN d > 1 THEN 'ambiguous' WHEN rows > 0 THEN 'found' WHEN coalesce(declared = coalesce(got, 0), false) THEN 'not_found' ELSE 'error' END AS outcome, payload FROM (SELECT DISTINCT batch, k, true AS asked FROM asked) a FULL JOIN p USING (batch, k) LEFT JOIN s USING (batch) LEFT JOIN g USING (batch)""")
 def batch_map(spark, sf_dir):
     customers = a.table(spark, sf_dir, "customer").select(F.col("c_custkey"), F.col("c_nationkey").alias("batch"))
-    orders = a.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    orders = a.table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
     key = F.col("o_custkey") + F.when(F.col("o_orderkey") % 97 == 0, 1000000).otherwise(0)
     answers = orders.select("batch", key.alias("k"), F.when(F.col("o_orderkey") % 5 == 0, F.col("o_orderpriority")).otherwise("same").alias("payload"))
     sizes = answers.groupBy("batch").agg(F.count("*").alias("n"))

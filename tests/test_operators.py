@@ -62,6 +62,7 @@ def test_order_not_partitions_decides(spark, parts):
 
 def test_keys_and_text_functions(spark):
     assert one(spark, t.normalize_doi, " HTTPS://dx.doi.org/10.1234/AbC ") == "10.1234/abc"
+    assert one(spark, t.normalize_doi, "\t10.1234/ab\u00a0\n") == "10.1234/ab"
     assert one(spark, t.normalize_doi, "doi:") is None and one(spark, t.valid_doi, "10.12/x") is False
     assert one(spark, t.title_key, "The  Ｓtraße: A-Test_é") == "the strasse a test é"
     assert one(spark, t.title_key, "A (b)  c!") == "a b c"
@@ -70,10 +71,18 @@ def test_keys_and_text_functions(spark):
     assert one(spark, t.slug, " Été 2 & more ") == "t-2-more" and one(spark, t.slug, "!!") == "section"
     assert one(spark, t.formula_guard, " =1+1") == "' =1+1" and one(spark, t.formula_guard, "a=1") == "a=1"
     assert one(spark, t.visible_text, "<p>a&amp;b<script>x</script></p><div>c</div>") == "a&b c"
+    assert one(spark, t.visible_text, '<!DOCTYPE x><head><title>t</title></head><b title="a>b">x</b>y<br/>1 < 2 &eacute;<!-- <p> --><STYLE>z</STYLE >!<script>never') == "xy 1 < 2 é!"
+    scored = [one(spark, t.similarity_over(0.9), *pair) for pair in (("abcdefghij", "abcdefghiX"), ("ab", "abcdefgh"), ("abcd", "wxyz"), ("x" * 5000, "x" * 5200), ("", "a"))]
+    assert scored == [0.9, 0.4, 0.0, 10000 / 10200, 0.0]
+    long = " ".join(f"w{i}" for i in range(2000))
+    assert one(spark, t.changed_blocks, long, long.replace("w700 ", "").replace("w710 ", "new ")) == ["delete: w700 -> ", "replace: w710 -> new"]
     assert one(spark, lambda a, b: t.unique_position(a, b), "abcab", "ab") is None
     assert one(spark, lambda a, b: t.unique_position(a, b), "x🙂bc", "bc") == 2
     assert one(spark, t.public_url, "https://a.org/x?token=1&b=2#f") == "https://a.org/x?b=2"
-    for url in ("http://a.org/", "https://u:p@a.org/", "https://localhost/", "https://10.0.0.1/", "https://a.org/?X-Amz-Signature=1", None):
+    for said, kept in (("HTTPS://a.org/x", "https://a.org/x"), ("https://a.org/?%74oken=s&a=b+c&d", "https://a.org/?a=b+c&d="), ("https://8.8.8.8:443/p;q", "https://8.8.8.8:443/p;q"), ("https://[2600::1]/x?u=~*%2F%", "https://[2600::1]/x?u=~%2A%2F%25"), ("https://@a.org", "https://@a.org")):
+        assert one(spark, t.public_url, said) == kept
+    private = ("https://[::1]/x", "https://100.64.0.1/x", "https://192.0.2.9/", "https://[fd00::1]/", "https://[::1/", "https://metadata.google.internal/", "https://x.Local/", "https://sci-hub.se/x", "https://a.org/?%73ig=1", "https:///x", "a.org/x")
+    for url in (*private, "http://a.org/", "https://u:p@a.org/", "https://localhost/", "https://10.0.0.1/", "https://a.org/?X-Amz-Signature=1", None):
         assert one(spark, t.public_url, url) is None
     assert one(spark, t.section_scope, "Materials and Methods") == "methods" and one(spark, t.section_scope, "Intro") == "other"
     assert one(spark, t.zoned, "2024-01-01T00:00:00+02:00") and not one(spark, t.zoned, "2024-01-01T00:00:00") and not one(spark, t.zoned, "not a time Z")
@@ -132,6 +141,41 @@ def test_metric_rules(spark):
     assert rows(metrics.finding_match(left, right, "uid"), "pred_place", "gold_place", "level") == [(0, 0, "contained"), (1, 1, "exact")]
 
 
+def test_boundary_rules(spark):
+    """Pairs that the rules accept or refuse, one document each."""
+    source = "Soil organic carbon, paddy field yield and carbon soil data"
+    cases = [
+        ("carbon", (0, 20), "organic carbon", (5, 20), "boundary"),  # a comma after the word
+        ("ORGANIC  Carbon", (0, 20), "organic carbon", (30, 45), "exact"),
+        ("organic carbon", (0, 19), "carbon organic", (0, 20), None),  # the same number of words, another order
+        ("soil carbon", (0, 19), "soil organic carbon", (0, 19), "boundary"),
+        ("carbon", (0, 19), "organic carbon", (43, 59), None),  # quotes apart
+        ("carbon", (0, 19), "organic carbon", (0, 999), None),  # no slice of the source
+        ("paddy yield", (21, 38), "field yield", (21, 38), None),
+        ("paddy field", (21, 38), "field yield", (20, 42), "boundary"),  # one quote within the other
+        ("%", (0, 19), "% carbon", (0, 20), None),
+    ]
+    schema = "uid int, field string, place long, value string, quote string, a_start long, a_end long, source_text string"
+    make = lambda v, q: spark.createDataFrame([(i, "f", 0, c[v], source[slice(*c[q])], *c[q], source) for i, c in enumerate(cases)], schema)
+    found = {r.uid: r.level for r in metrics.boundary_match(make(0, 1), make(2, 3), ["uid", "field"]).collect()}
+    assert found == {i: c[4] for i, c in enumerate(cases) if c[4]}
+    scale = metrics.boundary_match(make(0, 1), make(2, 3), ["uid", "field"], scale=F.col("field") == "f")
+    assert scale.collect() == []
+
+
+def test_error_classes(spark):
+    m = "/evidence/measurements/"
+    cases = [(m + "plant_growth", "FP", m + "other", "WRONG_CATEGORY"), (m + "plant_growth", "FN", m + "other", "PLANT_TO_OTHER"), (m + "other", "FP", m + "carbon", "CARBON_ROUTING"), ("/t/treatments/irrigation", "FP", None, "REVIEW_ATTRIBUTION"), ("/t/treatments/irrigation", "FN", None, "TRUE_OMISSION"), ("/s/soil_type", "FP", None, "TRUE_OVEREXTRACTION")]
+    table = spark.createDataFrame([(*c, ["Article", "REVIEW"]) for c in cases], "p string, k string, r string, want string, types array<string>")
+    assert [r for r in table.select("want", metrics.error_class(F.col("p"), F.col("k"), F.col("r"), F.col("types")).alias("got")).collect() if r.want != r.got] == []
+    texts = [("a paddy field", ["x"], "land-use ambiguity"), ("pot", ["x"], "explicit studied-soil descriptor"), ("any", ["Review"], "review scope"), ("the site", [], "actual-system linkage missing"), ("none", [], "worker abstention")]
+    table = spark.createDataFrame(texts, "t string, types array<string>, want string")
+    assert [r for r in table.select("want", metrics.soil_miss_class(F.col("t"), F.col("types")).alias("got")).collect() if r.want != r.got] == []
+    assert one(spark, metrics.physiology_class, "Na+ and proline") == "plant_ions" and one(spark, metrics.physiology_class, "x") == "other_physiology"
+    assert one(spark, lambda c: metrics.salinity_class(F.lit("FN"), c, F.array(F.lit("a"))), "Salt stress") == "treatment-induced salinity"
+    assert one(spark, lambda c: metrics.salinity_class(F.lit("FP"), c, F.array(F.lit("review"))), "x") == "review_scope_errors"
+
+
 def test_boundary_pairs_follow_shared_source(spark):
     schema = "uid int, field string, place long, value string, quote string, a_start long, a_end long, source_text string"
     source = "Soil organic carbon was measured in paddy fields"
