@@ -310,7 +310,7 @@ def links(parts: DataFrame, scratch: Scratch) -> DataFrame:
         linked = scratch.save(overlapping(pairs, parts), "links")
         found = linked if found is None else found.unionAll(linked)
         # Hubs leave their buckets; groups merge along the new links.
-        merged = joined_groups(rows, linked)
+        merged = joined_groups(rows, linked, scratch)
         left = rows.join(hubs.select("shingle", F.col("hub").alias("node")), ["shingle", "node"], "left_anti")
         left = left.join(merged, "group", "left").select("shingle", "node", "n", "place", F.coalesce("to", "group").alias("group"), "salts", "salt")
         still = left.groupBy("shingle", "salts").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
@@ -327,12 +327,14 @@ def for_each_salt(frame: DataFrame) -> DataFrame:
     return frame.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
 
 
-def joined_groups(rows: DataFrame, linked: DataFrame) -> DataFrame:
-    """``(group, to)``: groups that a link joins with a smaller one, two steps on."""
+def joined_groups(rows: DataFrame, linked: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(group, to)``: groups that a link joins with a smaller one, two steps
+    on. As written tables their size is known before the rows of a large group
+    are dealt by it: where they are small, those rows stay where they are."""
     of = rows.select("node", "group").distinct()
     ends = linked.join(of.toDF("a", "group_a"), "a").join(of.toDF("b", "group_b"), "b").where("group_a <> group_b")
-    step = ends.groupBy(F.greatest("group_a", "group_b").alias("group")).agg(F.min(F.least("group_a", "group_b")).alias("to"))
-    return step.join(step.toDF("to", "further"), "to", "left").select("group", F.coalesce("further", "to").alias("to"))
+    step = scratch.save(ends.groupBy(F.greatest("group_a", "group_b").alias("group")).agg(F.min(F.least("group_a", "group_b")).alias("to")), "step")
+    return scratch.save(step.join(step.toDF("to", "further"), "to", "left").select("group", F.coalesce("further", "to").alias("to")), "merged")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
