@@ -34,6 +34,8 @@ from litmill.llm.common import crc_of_id, encoded, per_batch, table
 SAMPLE_ROWS = 1500
 SAMPLE_BYTES = 6 << 20
 LONG = 8
+#: Parts that the labelled rows are dealt to before they are ranked.
+DEALS = 64
 DICT_BYTES = 64 << 10
 WINDOW = 2048
 LEVEL = 3
@@ -47,8 +49,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, s
     length, order = F.octet_length("text"), F.xxhash64("doc_id")
     held = docs.where("text is not null").select("doc_id", "text", F.when(length > size // LONG, length).otherwise(0).alias("late"))
     ids = held.select("doc_id", "late").join(known, "doc_id").groupBy("doc_id", "label").agg(F.min("late").alias("late"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("late", order, "doc_id"))
-    chosen = ids.withColumn("rank", rank).where(F.col("rank") <= rows).select("doc_id", "label")
+    best = ids.withColumn("deal", F.pmod(order, F.lit(DEALS)))
+    for key in (["label", "deal"], ["label"]):  # no task orders all rows of a label, only the best of each deal
+        rank = F.row_number().over(Window.partitionBy(*key).orderBy("late", order, "doc_id"))
+        best = best.withColumn("rank", rank).where(F.col("rank") <= rows).drop("rank")
+    chosen = best.select("doc_id", "label")
     texts = held.join(F.broadcast(chosen), "doc_id")  # at most 2 * rows ids
     sums = F.sum(length).over(Window.partitionBy("label").orderBy("late", order, "doc_id").rowsBetween(Window.unboundedPreceding, 0))
     return texts.withColumn("bytes", sums).where(F.col("bytes") <= size).select("doc_id", "label", "text")
