@@ -1,4 +1,9 @@
-"""Pages as a stream: deduplicated as they come, equal to the batch result."""
+"""Pages as a stream: deduplicated as they come, equal to the batch result.
+
+Each job keeps its offsets and what it has found under one folder, ``home``. Given
+the same folder a job that was ended goes on where it was; without one it takes a
+new folder of its own.
+"""
 
 from __future__ import annotations
 
@@ -10,53 +15,83 @@ from pyspark.sql import functions as F
 from litmill.sources.scratch import Scratch
 
 
-def _run(stream: DataFrame, scratch: Scratch, mode: str, sink: Callable[[DataFrame, int], None]) -> None:
-    query = stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", scratch.path("offsets")).trigger(availableNow=True).start()
+class Versions:
+    """A table in numbered versions, one for each batch that changed it. A batch
+    that runs again writes its version anew from the one before; only the last
+    two stay."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.path = spark._jvm.org.apache.hadoop.fs.Path
+        self.files = self.path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def written(self) -> list[int]:
+        """The versions that were written to their end."""
+        if not self.files.exists(self.path(self.root)):
+            return []
+        names = [f.getPath().getName() for f in self.files.listStatus(self.path(self.root))]
+        return sorted(int(n) for n in names if n.isdigit() and self.files.exists(self.path(f"{self.root}/{n}/_SUCCESS")))
+
+    def read(self, schema, before: int | None = None) -> DataFrame | None:
+        """The last version, or the last before a batch."""
+        found = [n for n in self.written() if before is None or n < before]
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{found[-1]}") if found else None
+
+    def write(self, frame: DataFrame, number: int) -> None:
+        frame.write.mode("overwrite").parquet(f"{self.root}/{number}")
+        for old in [n for n in self.written() if n < number][:-1]:
+            self.files.delete(self.path(f"{self.root}/{old}"), True)
+
+
+def _run(stream: DataFrame, home: str, mode: str, sink: Callable[[DataFrame, int], None]) -> None:
+    query = stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", f"{home}/offsets").trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def merged_pages(spark: SparkSession, path: str, schema, key: list[str], order: str) -> DataFrame:
+def merged_pages(spark: SparkSession, path: str, schema, key: list[str], order: str, home: str | None = None, files: int = 2) -> DataFrame:
     """The first row of each key over all files of a folder, merged batch by
     batch into a keyed table; a batch that runs twice changes nothing."""
-    scratch = Scratch(spark, "stream")
-    state: dict[str, DataFrame] = {}
+    home = home or Scratch(spark, "stream").root
+    table = Versions(spark, f"{home}/merged")
 
     def merge(batch: DataFrame, number: int) -> None:
-        rows = batch if "now" not in state else state["now"].unionByName(batch)
+        known = table.read(schema, number)
+        rows = batch if known is None else known.unionByName(batch)
         columns = [c for c in rows.columns if c not in key]
         first = rows.groupBy(*key).agg(F.min_by(F.struct(*columns), order).alias("r")).select(*key, "r.*")
-        state["now"] = scratch.save(first.select(*batch.columns), f"merged-{number}")
+        table.write(first.select(*batch.columns), number)
 
-    _run(spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path), scratch, "append", merge)
-    return state["now"]
+    _run(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path), home, "append", merge)
+    merged = table.read(schema)
+    return spark.createDataFrame([], schema) if merged is None else merged
 
 
-def distinct_pages(spark: SparkSession, path: str, schema, key: list[str], watermark: str | None = None) -> DataFrame:
-    """Pages without repeats: those of the same content hash in a group."""
-    scratch = Scratch(spark, "stream")
-    out = scratch.path("pages")
-    pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path)
+def distinct_pages(spark: SparkSession, path: str, schema, key: list[str], watermark: str | None = None, home: str | None = None, files: int = 2) -> DataFrame:
+    """Pages without repeats: those of the same content hash in a group. State is
+    kept for every page unless a watermark column bounds it."""
+    home = home or Scratch(spark, "stream").root
+    pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
     pages = pages.withColumn("fingerprint", F.sha2(F.to_json("hits"), 256))
     if watermark:
         pages = pages.withWatermark(watermark, "1 hour").dropDuplicatesWithinWatermark([*key, "fingerprint"])
     else:
         pages = pages.dropDuplicates([*key, "fingerprint"])
-    _run(pages, scratch, "append", lambda batch, number: batch.write.mode("overwrite").parquet(f"{out}/{number}"))
-    return spark.read.option("recursiveFileLookup", True).parquet(out)
+    _run(pages, home, "append", lambda batch, number: batch.write.mode("overwrite").parquet(f"{home}/pages/{number}"))
+    return spark.read.schema(pages.schema).option("recursiveFileLookup", True).parquet(f"{home}/pages")
 
 
-def last_status(spark: SparkSession, path: str, schema, key: str, status: str, order: str) -> DataFrame:
+def last_status(spark: SparkSession, path: str, schema, key: str, status: str, order: str, home: str | None = None, files: int = 2) -> DataFrame:
     """The last status of each key, kept as streaming state."""
-    scratch = Scratch(spark, "stream")
-    state: dict[str, DataFrame] = {}
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path)
+    home = home or Scratch(spark, "stream").root
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
     last = stream.groupBy(key).agg(F.max_by(status, order).alias(status), F.max(order).alias(order), F.count("*").alias("n"))
+    table = Versions(spark, f"{home}/status")
 
     def upsert(batch: DataFrame, number: int) -> None:
-        if "now" in state:
-            old = state["now"].join(batch.select(key), key, "left_anti")
-            batch = old.unionByName(batch)
-        state["now"] = scratch.save(batch, f"status-{number}")
+        known = table.read(last.schema, number)
+        kept = batch if known is None else known.join(batch.select(key), key, "left_anti").unionByName(batch)
+        table.write(kept, number)
 
-    _run(last, scratch, "update", upsert)
-    return state["now"]
+    _run(last, home, "update", upsert)
+    found = table.read(last.schema)
+    return spark.createDataFrame([], last.schema) if found is None else found
