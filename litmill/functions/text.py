@@ -9,6 +9,7 @@ import html
 import ipaddress
 import re
 import unicodedata
+import urllib.parse
 
 import pandas as pd
 from pyspark.sql import Column
@@ -140,6 +141,29 @@ def page_links(page: Column, base: Column, n: int = 2) -> Column:
     return F.slice(F.array_distinct(F.transform(found, lambda x: F.when(x.startswith("/"), F.concat(root, x)).otherwise(x))), 1, n)
 
 
+@F.pandas_udf(T.StringType())
+def joined_link(base: pd.Series, link: pd.Series) -> pd.Series:
+    """A link as seen from a page; null where that is no address."""
+
+    def one(page: str | None, target: str | None) -> str | None:
+        try:
+            return urllib.parse.urljoin(page or "", html.unescape(target or ""))
+        except ValueError:
+            return None
+
+    return pd.Series([one(p, t) for p, t in zip(base, link)], dtype="object")
+
+
+def advertised_links(page: Column) -> Column:
+    """The documents that a page's meta and link tags name, in order."""
+    attribute = lambda tag, name: F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", 0)
+    value = lambda tag, name: F.regexp_replace(attribute(tag, name), r"""(?is)^\s\w+\s*=\s*["']?|["']$""", "")
+    tags = F.regexp_extract_all(page, F.lit(r"""(?is)<(?:meta|link)\b(?:[^>"']|"[^"]*"|'[^']*')*>"""), 0)
+    meta = lambda tag: F.when(F.lower(tag).startswith("<meta") & (F.lower(value(tag, "name")) == "citation_pdf_url"), value(tag, "content"))
+    link = lambda tag: F.when(F.lower(tag).startswith("<link") & (F.lower(value(tag, "type")) == "application/pdf"), value(tag, "href"))
+    return F.filter(F.transform(tags, lambda tag: F.coalesce(meta(tag), link(tag))), lambda x: x != "")
+
+
 def slug(c: Column) -> Column:
     made = F.regexp_replace(F.regexp_replace(F.lower(c), r"[^a-z0-9]+", "-"), r"^-+|-+$", "")
     return F.when(made == "", "section").otherwise(made)
@@ -196,6 +220,28 @@ def sentence(text: Column, start: Column, end: Column) -> Column:
     return F.concat(F.substring(text, before + 1, end - before), after)
 
 
+def sentence_or_quote(text: Column, start: Column, end: Column, quote: Column) -> Column:
+    """The sentence around a span; where the span is none, around the first place
+    of its quote; where that is nowhere, the quote."""
+    valid = F.coalesce((start >= 0) & (start < end) & (end <= F.length(text)), F.lit(False))
+    at = F.nullif(F.instr(text, quote), F.lit(0)) - 1
+    return F.when(valid, sentence(text, start, end)).when(at.isNotNull() & (quote != ""), sentence(text, at, at + F.length(quote))).otherwise(quote)
+
+
+def context(text: Column, start: Column, end: Column, width: int = 180) -> Column:
+    """Half of ``width`` characters before and after a span, on one line."""
+    low, high = F.greatest(F.lit(0), start - width // 2), F.least(F.length(text), end + width // 2)
+    return F.replace(F.substring(text, low + 1, F.greatest(F.lit(0), high - low)), F.lit("\n"), F.lit(" "))
+
+
+def pointer_value(document: Column, pointer: Column) -> Column:
+    """What a JSON text holds where a pointer points; null if nothing. A step of
+    digits is a place in a list."""
+    steps = F.transform(F.split(F.substring(pointer, 2, F.length(pointer)), "/"), lambda s: F.replace(F.replace(s, F.lit("~1"), F.lit("/")), F.lit("~0"), F.lit("~")))
+    path = F.concat(F.lit("$"), F.array_join(F.transform(steps, lambda s: F.when(s.rlike("^[0-9]+$"), F.concat(F.lit("["), s, F.lit("]"))).otherwise(F.concat(F.lit("['"), s, F.lit("']")))), ""))
+    return F.call_function("get_json_object", document, path)
+
+
 def unique_position(text: Column, part: Column) -> Column:
     """Where a text holds a part, from 0, if it does so once."""
     at = F.instr(text, part)

@@ -1,8 +1,10 @@
-"""Connected components by alternating large and small stars."""
+"""Connected components by alternating large and small stars, and places in an order."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from litmill.sources.scratch import Scratch
@@ -32,3 +34,20 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         now = after
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionAll(now.select("v", "v").distinct())
+
+
+def numbered(rows: DataFrame, order: Sequence[str], label: Sequence[str] = ()) -> DataFrame:
+    """Rows with ``place``, from 1 in the given order, within each label. Ranges
+    of label and order are sorted apart and written, then the sizes of a label's
+    ranges are summed, so no task orders a whole label. Ties stand in any order."""
+    scratch = Scratch(rows.sparkSession, "numbered")
+    row = F.monotonically_increasing_id()  # the partition in the upper bits, the row within it in the lower 33
+    ranges = rows.repartitionByRange(*label, *order).sortWithinPartitions(*label, *order)
+    kept = scratch.save(ranges.withColumns({"_range": F.shiftrightunsigned(row, 33), "_row": row.bitwiseAND(F.lit((1 << 33) - 1))}), "ranges")
+    sizes = kept.groupBy(*label, "_range").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy(*label).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.withColumn("_before", F.coalesce(before, F.lit(0).cast("long"))).withColumnsRenamed({c: f"_of_{c}" for c in (*label, "_range")})
+    same = F.col("_range") == F.col("_of__range")
+    for c in label:
+        same &= F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return kept.join(sizes, same).select(*rows.columns, (F.col("_row") - F.col("_first") + F.col("_before") + 1).alias("place"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,6 +82,15 @@ def coverage(selected: DataFrame) -> DataFrame:
     return out.withColumn("percent", F.round(100 * F.col("found") / F.col("n"), 2))
 
 
+def provider_overlaps(accepted: DataFrame, key: str, providers: Sequence[str]) -> DataFrame:
+    """For every set of providers how many records all of them answer, in one pass."""
+    flags = accepted.groupBy(key).agg(*(F.bool_or(F.col("provider") == p).alias(p) for p in providers))
+    sets = [s for n in range(1, len(providers) + 1) for s in itertools.combinations(providers, n)]
+    counts = flags.agg(*(F.count_if(reduce(lambda x, y: x & y, map(F.col, s))).alias("+".join(s)) for s in sets))
+    each = F.array(*(F.struct(F.lit("+".join(s)).alias("providers"), F.col(f"`{'+'.join(s)}`").alias("n")) for s in sets))
+    return counts.select(F.explode(each).alias("x")).select("x.*")
+
+
 def cache_split(requests: DataFrame, cache: DataFrame, key: str) -> DataFrame:
     """Requests with whether the cache answers them."""
     known = requests.join(cache.select(key).distinct(), key, "left_semi").withColumn("state", F.lit("cached"))

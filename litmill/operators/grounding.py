@@ -154,17 +154,148 @@ def violation_counts(rows: DataFrame, faults: str) -> DataFrame:
 def dedup_findings(findings: DataFrame, key: str) -> DataFrame:
     """Findings with the number of the first of their source and text within a
     record, counted anew over those that stay."""
-    same = Window.partitionBy(key, "source", "evidence_text")
-    rows = findings.withColumn("kept_place", F.min("place").over(same))
-    kept = rows.where("place = kept_place").select(key, F.col("place").alias("kept_place"), (F.row_number().over(Window.partitionBy(key).orderBy("place")) - 1).alias("new_place"))
-    return rows.join(kept, [key, "kept_place"]).select(*findings.columns, "new_place")
+    rows = findings.withColumn("_kept", F.min("place").over(Window.partitionBy(key, "source", "evidence_text")))
+    again = F.dense_rank().over(Window.partitionBy(key).orderBy("_kept", "source", "evidence_text")) - 1
+    return rows.withColumn("new_place", again.cast("long")).drop("_kept")
+
+
+def remapped(anchors: DataFrame, deduplicated: DataFrame, key: str) -> DataFrame:
+    """Anchors ``(key, item, pos, pointer)`` on findings at their new places, each
+    pointer of an item once, in order; others stay as they are."""
+    prefix = "/evidence/findings/"
+    place = F.try_to_number(F.regexp_extract("pointer", r"^/evidence/findings/([0-9]+)$", 1), F.lit("999999999")).cast("long")
+    moved = deduplicated.select(F.col(key).alias("_key"), F.col("place").cast("long").alias("_place"), "new_place")
+    rows = anchors.withColumn("_at", place)
+    rows = rows.join(moved, (F.col(key) == F.col("_key")) & (F.col("_at") == F.col("_place")), "left")
+    pointer = F.when(F.col("new_place").isNull(), F.col("pointer")).otherwise(F.concat(F.lit(prefix), F.col("new_place").cast("string")))
+    return rows.withColumn("pointer", pointer).groupBy(key, "item", "pointer").agg(F.min("pos").alias("pos"))
+
+
+#: The rules of an extracted document in the order in which they are tried.
+DOCUMENT_RULES = ("fulltext_not_asked", "content_without_text", "support_missing", "invalid_offsets", "quote_mismatch", "scale_unsupported", "value_outside_quote", "orphan_support", "finding_offsets", "finding_mismatch", "claim_outside_quote", "anchor_outside_evidence", "anchor_without_evidence")
+
+
+def document_faults(records: DataFrame, facts: DataFrame, supports: DataFrame, findings: DataFrame, anchors: DataFrame, key: str) -> DataFrame:
+    """``(key, first_fault, n_faults)`` for every record.
+
+    ``records (key, text, screening)``, ``facts (key, pointer, value)``,
+    ``supports (key, pointer, quote, a_start, a_end)``, ``findings (key, place,
+    claim, quote, a_start, a_end)``, ``anchors (key, pointer)``. Each fact needs a
+    support that is a slice of the text and holds its value, or wording of the
+    scale it names; each support a fact; each finding a slice that holds its
+    claim; each anchor of an inference a supported fact or a finding. Without text
+    only a request for the full text may stand: any content is one fault, and is not
+    held against a text. All rules are joins and counts.
+    """
+    texts = records.select(key, F.nullif(F.col("text"), F.lit("")).alias("text"))
+
+    def fault(rows: DataFrame, column) -> DataFrame:
+        return rows.withColumn("rule", column).where("rule is not null").select(key, "rule")
+
+    def slice_faults(prefix: str) -> Column:
+        inside = F.coalesce((F.col("a_start") >= 0) & (F.col("a_start") < F.col("a_end")) & (F.col("a_end") <= F.length("text")), F.lit(False))
+        piece = F.substring(F.col("text"), F.col("a_start").cast("int") + 1, (F.col("a_end") - F.col("a_start")).cast("int"))
+        names = ("invalid_offsets", "quote_mismatch") if not prefix else (f"{prefix}_offsets", f"{prefix}_mismatch")
+        return F.when(~inside, names[0]).when(~piece.eqNullSafe(F.col("quote")), names[1])
+
+    content = facts.select(key).unionByName(findings.select(key)).unionByName(anchors.select(key)).distinct()
+    empty = texts.where("text is null")
+    asked = records.join(empty.select(key), key, "left_semi")
+    found = [fault(asked, F.when(~F.coalesce(F.col("screening") == "needs_fulltext", F.lit(False)), "fulltext_not_asked"))]
+    found.append(fault(empty.join(content, key, "left_semi"), F.lit("content_without_text")))
+    held = facts.join(supports.withColumn("_there", F.lit(True)), [key, "pointer"], "left").join(texts.where("text is not null"), key)
+    scale = F.endswith("pointer", F.lit("/experimental_scale"))
+    worded = F.coalesce(F.array_contains(scales_in(F.col("quote")), F.col("value")), F.lit(False))
+    rule = F.when(F.col("_there").isNull(), "support_missing").otherwise(slice_faults(""))
+    value = F.when(scale & ~worded, "scale_unsupported").when(~scale & ~F.contains(F.lower("quote"), F.lower("value")), "value_outside_quote")
+    found.append(fault(held, F.coalesce(rule, value)))
+    found.append(fault(supports.join(facts.select(key, "pointer"), [key, "pointer"], "left_anti"), F.lit("orphan_support")))
+    told = findings.join(texts.where("text is not null"), key)
+    found.append(fault(told, F.coalesce(slice_faults("finding"), F.when(~F.contains("quote", F.col("claim")), "claim_outside_quote"))))
+    known = facts.select(key, "pointer").unionByName(findings.select(key, F.concat(F.lit("/evidence/findings/"), F.col("place").cast("string")).alias("pointer"))).distinct()
+    loose = anchors.join(known, [key, "pointer"], "left_anti")
+    found.append(fault(loose, F.when(~F.startswith("pointer", F.lit("/evidence/")), "anchor_outside_evidence").otherwise("anchor_without_evidence")))
+    every = found[0]
+    for rows in found[1:]:
+        every = every.unionByName(rows)
+    rank = F.array_position(F.array(*map(F.lit, DOCUMENT_RULES)), F.col("rule"))
+    worst = every.groupBy(key).agg(F.min_by("rule", rank).alias("first_fault"), F.count("*").alias("n_faults"))
+    return records.select(key).join(worst, key, "left").withColumn("n_faults", F.coalesce("n_faults", F.lit(0).cast("long")))
 
 
 #: Wording of association and of cause.
-ASSOCIATION, CAUSE = "correlat|associat", "caus|caused|led to|driv|promot|inhibit"
+LINKED, CAUSED = "correlat|associat", "caus|caused|led to|driv|promot|inhibit"
 
 
 def causal_overclaims(claims: DataFrame) -> DataFrame:
     """Causal claims whose quote only speaks of association."""
-    quote = F.lower("quote")
-    return claims.where((F.col("claim_type") == "causal") & quote.rlike(ASSOCIATION) & ~quote.rlike(CAUSE))
+    return claims.where(_overclaim(F.col("claim_type"), F.col("quote")))
+
+
+def _overclaim(claim_type: Column, quote: Column) -> Column:
+    return (claim_type == "causal") & F.lower(quote).rlike(LINKED) & ~F.lower(quote).rlike(CAUSED)
+
+
+def fulltext_faults(items: DataFrame, text: str = "text") -> DataFrame:
+    """Items of a full text with the rules they break: facts, findings, author
+    interpretations and the study system, each against its slice of the source.
+    ``items (kind, said, claim, claim_type, field, a_start, a_end, text)``; a
+    finding's ``said`` is its evidence text, which is the slice itself."""
+    start, end, kind = F.col("a_start"), F.col("a_end"), F.col("kind")
+    inside = F.coalesce((start >= 0) & (start < end) & (end <= F.length(text)), F.lit(False))
+    quote = F.when(inside, F.substring(F.col(text), start.cast("int") + 1, (end - start).cast("int")))
+    scale = F.coalesce(F.col("field") == "experimental_scale", F.lit(False))
+    rules = {
+        "invalid_offsets": ~inside,
+        "fact_outside_quote": (kind == "fact") & ~F.contains(quote, F.col("said")),
+        "finding_unsupported": (kind == "finding") & ((F.col("said") != quote) | ~F.contains(quote, F.col("claim"))),
+        "interpretation_unsupported": (kind == "interpretation") & ~F.contains(quote, F.col("said")),
+        "association_only": (kind == "interpretation") & F.coalesce(_overclaim(F.col("claim_type"), quote), F.lit(False)),
+        "scale_unsupported": (kind == "system") & scale & ~F.array_contains(scales_in(quote), F.col("said")),
+        "value_unsupported": (kind == "system") & ~scale & ~F.contains(F.lower(quote), F.lower("said")),
+    }
+    return items.withColumn("faults", all_true({name: F.coalesce(broken, F.lit(False)) for name, broken in rules.items()}))
+
+
+#: The later recogniser's terms, and cues of relation and of place.
+SCALE_TERMS = {
+    "field": r"\bfield(?:s)?(?:[ -](?:scale|based|study|experiment|trial))?\b",
+    "pot": r"\bpots?\b",
+    "greenhouse": r"\bgreenhouse\b",
+    "lab": r"\blaboratory\b|\blab\b|\bincubation\b",
+}
+PHYSICAL_CUES = r"\b(?:agricultur(?:al|e)|crop|rice|paddy|maize|cotton|soil|salin(?:e|ity)|reclaimed|coastal|farm|plot|integrated fields|field[- ](?:based|scale|study|experiment)|experimental field)\b"
+RELATION_CUES = r"\b(?:conduct(?:ed)?|perform(?:ed)?|investigat(?:e|ed|ing)|monitor(?:ed|ing)?|sampl(?:e|ed|ing)|treat(?:ed|ment)|experiment(?:s|al)?|study|studied|grow(?:n|ing)?)\b"
+POT_CUES = r"\b(?:maintain(?:ed)?|apply|applied|test(?:ed)?|grow(?:n|ing)?|cultivat(?:ed|ion)|conduct(?:ed)?|experiment(?:s|al)?|treat(?:ment|ed)|salinity|substrate|condition(?:s)?)\b"
+MODEL_STUDY = r"\b(?:model[- ]based\s+(?:study|experiment|analysis)|(?:modeling|modelling)\s+(?:study|experiment|analysis)|(?:simulation|numerical simulation)\s+study)\b"
+GENERIC_FIELD = r"\b(?:research field|field of study|field application potential|field conditions)\b"
+EXPLICIT_FIELD = r"\bfield(?:[- ]scale|[- ]based|[- ]study|[- ]experiments?|[- ]trial)\b"
+STUDIED_FIELD = r"\b(?:conduct(?:ed)?|perform(?:ed)?|investigat(?:e|ed|ing)|monitor(?:ed|ing)?|sampl(?:e|ed|ing))\b[\s\S]{0,320}\bfields?\b"
+FIELD_STUDIED = r"\bfields?\b[\s\S]{0,100}\b(?:experiment|study|conducted|investigated|monitored|sampled)\b"
+
+
+def scale_supported(scale: Column, quote: Column) -> Column:
+    """Whether a quote says that a study was of a scale: the term beside a word of
+    doing, for fields also a word of place, and no general use of the term."""
+    said = F.lower(quote)
+    explicit = said.rlike(EXPLICIT_FIELD)
+    linked = explicit | said.rlike(STUDIED_FIELD) | said.rlike(FIELD_STUDIED)
+    tests = {
+        "field": said.rlike(SCALE_TERMS["field"]) & (explicit | ~said.rlike(GENERIC_FIELD)) & linked & said.rlike(RELATION_CUES) & said.rlike(PHYSICAL_CUES),
+        "pot": said.rlike(SCALE_TERMS["pot"]) & said.rlike(POT_CUES),
+        "greenhouse": said.rlike(SCALE_TERMS["greenhouse"]) & said.rlike(RELATION_CUES),
+        "lab": said.rlike(SCALE_TERMS["lab"]) & said.rlike(RELATION_CUES),
+        "model": said.rlike(MODEL_STUDY),
+    }
+    found = F.lit(False)
+    for name, test in tests.items():
+        found |= (scale == name) & test
+    return F.coalesce(found, F.lit(False))
+
+
+def combined_completeness(abstract: Mapping[str, Column], fulltext: Mapping[str, Column], previous: Column, available: Column) -> tuple[dict[str, Column], Column]:
+    """What abstract and full text hold together, and whether the full text is
+    still needed: as before where there is none, else unless the four parts are there."""
+    flags = {name: F.coalesce(abstract[name], F.lit(False)) | F.coalesce(fulltext[name], F.lit(False)) for name in ("methods", "treatments", "measurements", "results", "mechanism", "limitations")}
+    enough = flags["methods"] & flags["treatments"] & flags["measurements"] & flags["results"]
+    return flags, F.when(available, ~enough).otherwise(previous)

@@ -8,7 +8,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from litmill.functions.text import formula_guard, legacy_id
+from litmill.functions.text import formula_guard, legacy_id, normalize_doi
+
+#: The shape of a search hit.
+HIT = (
+    "uid string, title string, types array<string>, sourceTypes array<string>,"
+    " source struct<sourceTitle: string, publishYear: int, publishMonth: string, volume: string, issue: string, articleNumber: string, pages: struct<count: int>>,"
+    " names struct<authors: array<struct<displayName: string, wosStandard: string, researcherId: string>>>,"
+    " identifiers struct<doi: string, issn: string, eissn: string, isbn: string, pmid: string>,"
+    " keywords struct<authorKeywords: array<string>>, citations array<struct<db: string, count: int>>,"
+    " links struct<record: string, references: string, related: string>"
+)
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:
@@ -30,19 +40,34 @@ def page_faults(pages: DataFrame, limit: int) -> DataFrame:
     return pages.withColumn("faults", faults).where(F.size("faults") > 0)
 
 
-def canonical(hits: DataFrame, *beside: str) -> DataFrame:
-    """Nested hits as flat records: a missing value is null, a missing list empty."""
+def canonical(hits: DataFrame, *beside: str, database: str = "MAIN") -> DataFrame:
+    """Hits of the shape ``HIT`` as flat records: a missing value is null, a
+    missing list empty. Abstracts come later."""
     none = F.array().cast("array<string>")
+    said = lambda name: F.filter(F.coalesce(F.transform("hit.names.authors", lambda x: x[name]), none), lambda x: x != "")
+    authors = F.transform("hit.names.authors", lambda x: F.struct(x["displayName"].alias("display_name"), x["wosStandard"].alias("standard_name"), x["researcherId"].alias("researcher_id")))
     return hits.select(
         *beside,
-        F.upper("hit.uid").alias("uid"),
+        F.col("hit.uid").alias("uid"),
         F.col("hit.title").alias("title"),
         F.coalesce("hit.types", none).alias("document_types"),
-        F.coalesce(F.transform("hit.names.authors", lambda x: x["displayName"]), none).alias("author_names"),
+        F.coalesce("hit.sourceTypes", none).alias("source_types"),
         F.col("hit.source.sourceTitle").alias("source_title"),
         F.col("hit.source.publishYear").alias("publish_year"),
-        first_match(F.col("hit.citations"), "db", "MAIN", "count").alias("times_cited"),
+        F.col("hit.source.publishMonth").alias("publication_date_raw"),
+        F.col("hit.source.volume").alias("volume"),
+        F.col("hit.source.issue").alias("issue"),
+        F.col("hit.source.articleNumber").alias("article_number"),
+        F.col("hit.source.pages.count").alias("page_count"),
+        F.coalesce(authors, F.array().cast("array<struct<display_name: string, standard_name: string, researcher_id: string>>")).alias("authors"),
+        said("displayName").alias("author_names"),
+        said("researcherId").alias("researcher_ids"),
+        normalize_doi(F.col("hit.identifiers.doi")).alias("doi"),
+        *(F.col(f"hit.identifiers.{c}").alias(c) for c in ("issn", "eissn", "isbn", "pmid")),
         F.coalesce("hit.keywords.authorKeywords", none).alias("author_keywords"),
+        first_match(F.col("hit.citations"), "db", database, "count").alias("times_cited"),
+        *(F.col(f"hit.links.{c}").alias(n) for c, n in (("record", "record_url"), ("references", "references_url"), ("related", "related_url"))),
+        *(F.lit(None).cast("string").alias(c) for c in ("abstract", "abstract_source", "abstract_retrieved_at")),
     )
 
 
@@ -69,6 +94,13 @@ def labelled_union(parts: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), (p.withColumn("query_id", F.lit(k)) for k, p in parts.items()))
 
 
+def named_manifests(histories: DataFrame, names: str, manifests: DataFrame) -> DataFrame:
+    """The manifests that histories name, each once, and whether they are there."""
+    named = histories.select(F.explode(names).alias("manifest")).distinct()
+    out = named.join(manifests.withColumn("_there", F.lit(True)), "manifest", "left")
+    return out.withColumn("state", F.when(F.col("_there"), "read").otherwise("missing")).drop("_there")
+
+
 def export_flat(records: DataFrame, lists: Sequence[str], texts: Sequence[str]) -> DataFrame:
     """Lists joined, text kept from being read as formulas."""
     out = records.select(*(F.array_join(c, "; ").alias(c) if c in lists else formula_guard(F.col(c)).alias(c) if c in texts else F.col(c) for c in records.columns))
@@ -103,12 +135,28 @@ def cumulative_unique(rows: DataFrame, label: str, page: str, key: str) -> DataF
     return pages.withColumn("unique_so_far", seen)
 
 
-def capped(rows: DataFrame, label: str, order: Sequence[str], cap: int) -> DataFrame:
-    """For each label the rows within a cap, how many were left out and why it ended."""
-    counted = rows.withColumn("_n", F.row_number().over(Window.partitionBy(label).orderBy(*order)))
-    out = counted.groupBy(label).agg(F.count("*").alias("total"), F.count(F.when(F.col("_n") <= cap, 1)).alias("kept"))
+def capped(rows: DataFrame, label: str, cap: int) -> DataFrame:
+    """For each label how many rows a cap keeps and leaves out, and why it ended."""
+    out = rows.groupBy(label).agg(F.count("*").alias("total"))
     omitted = F.greatest(F.col("total") - cap, F.lit(0).cast("long"))
-    return out.withColumn("omitted", omitted).withColumn("stop", F.when(omitted == 0, "exhausted").otherwise("record_cap"))
+    return out.withColumn("kept", F.col("total") - omitted).withColumn("omitted", omitted).withColumn("stop", F.when(omitted == 0, "exhausted").otherwise("record_cap"))
+
+
+def capped_runs(rows: DataFrame, label: str, page: str, key: str, declared: str, page_size: int, record_cap: int, page_cap: int) -> DataFrame:
+    """Where the run of each label ends and what it has then. It ends on the
+    first page that reaches the declared total, the cap of distinct records or
+    that of pages, in this order; it is complete if the total was reached,
+    nothing left out and the declared total never changed."""
+    totals = rows.groupBy(label).agg(F.min_by(declared, page).alias("total_hits"))
+    seen = cumulative_unique(rows, label, page, key).join(totals, label)
+    reason = F.when(F.col(page) * page_size >= F.col("total_hits"), "total_exhausted").when(F.col("unique_so_far") >= record_cap, "record_cap").when(F.col(page) >= page_cap, "page_cap")
+    ends = seen.withColumn("stop_reason", reason).where("stop_reason is not null").groupBy(label).agg(F.min_by(F.struct("stop_reason", page, "unique_so_far", "total_hits"), page).alias("end"))
+    fetched = rows.join(ends.select(label, F.col(f"end.{page}").alias("_last")), label).where(F.col(page) <= F.col("_last"))
+    read = fetched.groupBy(label).agg(F.count("*").alias("hits"), (F.min(declared) != F.max(declared)).alias("total_changed"))
+    out = ends.join(read, label).select(label, "end.stop_reason", F.col(f"end.{page}").alias("pages"), "end.total_hits", "hits", F.col("end.unique_so_far").alias("unique_records"), "total_changed")
+    omitted = F.greatest(F.col("unique_records") - record_cap, F.lit(0).cast("long"))
+    out = out.withColumn("collected", F.col("unique_records") - omitted).withColumn("duplicates", F.col("hits") - F.col("unique_records")).withColumn("omitted", omitted)
+    return out.withColumn("complete", (F.col("stop_reason") == "total_exhausted") & (F.col("omitted") == 0) & ~F.col("total_changed"))
 
 
 def run_status(runs: DataFrame, label: str) -> DataFrame:

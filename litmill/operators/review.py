@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from litmill.functions.text import zoned
+from litmill.operators.components import numbered
 from litmill.operators.metrics import boundary_equal
 from litmill.operators.quality import all_true
 
@@ -85,15 +86,31 @@ def assemble(agreed: DataFrame, disputed: DataFrame, decisions: DataFrame, key:
 
 
 def case_numbers(rows: DataFrame, order: Sequence[str], prefix: str = "F") -> DataFrame:
-    """Numbered cases. Ranks within ranges of the first column are added to the
-    rows before them, so no single task orders all."""
-    first = order[0]
-    inner = F.row_number().over(Window.partitionBy(first).orderBy(*order))
-    counts = rows.groupBy(first).agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select(first, before.alias("_before"))
-    numbered = rows.withColumn("_i", inner).join(offsets, first)
-    return numbered.withColumn("case_id", F.format_string(f"{prefix}%03d", F.col("_i") + F.col("_before"))).drop("_i", "_before", "_n")
+    """Cases numbered in order."""
+    return numbered(rows, order).withColumn("case_id", F.format_string(f"{prefix}%03d", "place")).drop("place")
+
+
+#: What a reference row can say of its field.
+REFERENCE_STATUSES = ("reported", "not_reported", "not_applicable", "uncertain")
+
+
+def sheet_faults(rows: DataFrame) -> DataFrame:
+    """Reference rows with the first rule they break: each occurrence of a field
+    once, a known status, a reviewer, evidence for what is reported and no value
+    for what is absent. Pending rows need only be unique."""
+    blank = lambda c: F.coalesce(F.col(c) == "", F.lit(True))
+    copies = rows.groupBy("uid", "field", "occurrence").agg(F.count("*").alias("_copies"))
+    both = rows.join(copies, ["uid", "field", "occurrence"], "left")
+    status = F.col("status")
+    fault = (
+        F.when(F.col("_copies").isNull() | blank("uid") | blank("field") | blank("occurrence") | (F.col("_copies") > 1), "duplicate_or_missing_occurrence")
+        .when(status == "pending", None)
+        .when(~F.coalesce(status.isin(*REFERENCE_STATUSES), F.lit(False)), "invalid_status")
+        .when(blank("reviewer"), "reviewer_required")
+        .when((status == "reported") & (blank("value") | blank("evidence_text")), "reported_needs_evidence")
+        .when(status.isin("not_reported", "not_applicable") & ~blank("value"), "absence_has_value")
+    )
+    return both.withColumn("fault", fault).drop("_copies")
 
 
 def key_checks(child: DataFrame, parent: DataFrame, key: str, parent_key: str, filled: Sequence[str], allowed: Mapping[str, Sequence[str]], primary: str) -> DataFrame:

@@ -21,7 +21,11 @@ def paragraphs(spark, sf_dir):
     return a.shaped(spark, sf_dir, "conversations", a.PARAGRAPHS)
 
 
-@query("parse_docs")
+@query(
+    "parse_docs",
+    r"""WITH c AS (SELECT conv_id AS doc, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS section_ord, trim(regexp_replace(regexp_replace(coalesce(text, ''), '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g'), '\s+', ' ', 'g')) AS text FROM conversations)
+SELECT doc, 'paragraph' AS part, section_ord, role AS heading, 0 AS para_ord, text FROM c WHERE text <> ''""",
+)
 def parse_docs(spark, sf_dir):
     """Conversations as TEI documents, parsed back to their paragraphs."""
     safe = F.replace(F.replace(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x00-\x08\x0B\x0C\x0E-\x1F]", ""), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
@@ -55,10 +59,13 @@ def abstract_pages(spark, sf_dir):
     return a.table(spark, sf_dir, "documents").select("doc_id", F.concat(head, F.replace("text", F.lit("\n"), F.lit(" ")), tail).alias("page"))
 
 
-@query("heading_style", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'standalone' WHEN 1 THEN 'inline' ELSE 'missing' END AS style, doc_id % 3 < 2 AND doc_id % 2 = 0 AS keywords FROM documents WHERE text IS NOT NULL")
+@query("heading_style", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'standalone' WHEN 1 THEN 'inline' ELSE 'missing' END AS style, doc_id % 3 < 2 AND doc_id % 2 = 0 AS keywords, doc_id % 7 = 0 AS second_keywords, doc_id % 3 < 2 AND doc_id % 5 = 0 AS other_matter FROM documents WHERE text IS NOT NULL")
 def heading_style(spark, sf_dir):
     style, keywords = ops.heading_style(F.col("page"))
-    return abstract_pages(spark, sf_dir).where("page is not null").select("doc_id", style.alias("style"), keywords.alias("keywords"))
+    first = F.when(F.col("doc_id") % 5 == 0, F.concat("page", F.lit("\n Highlights\n"))).otherwise(F.col("page"))
+    second = F.when(F.col("doc_id") % 7 == 0, "of the text\nKeywords: b").otherwise("of the text; keywords")
+    follows, other = ops.boundary_signs(first, second)
+    return abstract_pages(spark, sf_dir).where("page is not null").select("doc_id", style.alias("style"), keywords.alias("keywords"), follows.alias("second_keywords"), other.alias("other_matter"))
 
 
 @query("heading_span", "WITH x AS (SELECT doc_id, trim(replace(text, chr(10), ' ')) AS b FROM documents WHERE text IS NOT NULL) SELECT doc_id, CASE WHEN doc_id % 3 > 0 THEN 'no_heading' WHEN doc_id % 2 = 1 THEN 'no_boundary' WHEN length(b) < 300 OR length(b) > 6000 THEN 'length' WHEN right(b, 1) NOT IN ('.', '?', '!') THEN 'terminal' END AS reason, CASE WHEN doc_id % 6 = 0 AND length(b) BETWEEN 300 AND 6000 AND right(b, 1) IN ('.', '?', '!') THEN length(b) END AS chars FROM x")
@@ -145,15 +152,59 @@ def reference_compare(spark, sf_dir):
     return ops.compare_to_reference(merged, reference, ["k"]).select("k", "status")
 
 
-@query("line_cooccur", f"WITH {SENTENCES} SELECT doc, n, CAST(1 AS BIGINT) AS lines FROM (SELECT DISTINCT doc, n FROM s)")
+@query("line_cooccur", f"WITH {SENTENCES} SELECT doc, n, CAST(n % 3 > 0 AND n % 4 > 0 AS BIGINT) AS lines FROM (SELECT DISTINCT doc, n FROM s)")
 def line_cooccur(spark, sf_dir):
-    """Each line of an order says its own number; a result finds it on its page."""
+    """Each line of an order says its own number; some results name a number that
+    the page doesn't hold, or that of another line."""
+    n = F.col("n")
     rows = sentences(spark, sf_dir).select("doc", "n").distinct()
-    pages = rows.groupBy(F.col("doc").alias("page")).agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("T"), F.col("n").cast("string"), F.lit(" value "), (F.col("n") * 10).cast("string")))), "\n").alias("text"))
-    results = rows.select(F.concat_ws("-", "doc", "n").alias("result_id"), F.col("doc").alias("page"), "n", F.concat(F.lit("t"), F.col("n").cast("string")).alias("label"), (F.col("n") * 10).cast("string").alias("number"))
+    pages = rows.groupBy(F.col("doc").alias("page")).agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("T"), n.cast("string"), F.lit(" value "), (n * 10).cast("string")))), "\n").alias("text"))
+    number = F.when(n % 4 == 0, (n - 1) * 10).when(n % 3 == 0, n * 10 + 5).otherwise(n * 10)
+    results = rows.select(F.concat_ws("-", "doc", "n").alias("result_id"), F.col("doc").alias("page"), "n", F.concat(F.lit("t"), n.cast("string")).alias("label"), number.cast("string").alias("number"))
     return ops.line_cooccurrence(results, pages).select(F.col("page").alias("doc"), "n", "lines")
 
 
+FLAGS = """l AS (SELECT l_orderkey AS doc, l_linenumber AS n, l_quantity AS q, l_returnflag AS r FROM lineitem), o AS (SELECT l.*, CAST(n AS VARCHAR) AS p FROM l),
+a AS (SELECT DISTINCT doc, n FROM l WHERE n % 3 > 0)"""
+FLAG_PARTS = (
+    ("fields/", "medium", "field_uncertain", "o WHERE n % 4 = 0"),
+    ("fields/", "medium", "field_not_reported", "o WHERE n % 4 = 1"),
+    ("fields/", "high", "missing_evidence", "o WHERE n % 4 > 1"),
+    ("results/", "medium", "anchor_relocation_candidate", "o WHERE n % 3 > 0 AND r = 'A'"),
+    ("results/", "high", "unverified_quote_or_page", "o WHERE n % 3 > 0 AND r = 'N'"),
+    ("results/", "high", "missing_table_row_column", "o WHERE n % 3 > 0 AND q > 40"),
+    ("results/", "medium", "table_figure_alignment_requires_review", "o WHERE n % 3 > 0 AND q > 30"),
+    ("results/", "high", "result_without_evidence", "o WHERE n % 3 = 0"),
+    ("results/", "medium", "missing_or_uncertain_treatment", "o WHERE r = 'R'"),
+    ("results/", "medium", "missing_or_uncertain_comparator", "o WHERE q < 10"),
+    ("results/", "high", "calculated_result_needs_operands", "o WHERE n = 2"),
+    ("conflicts/", "high", "model_reported_source_conflict", "o WHERE n > 5"),
+    ("conflicts/", "high", "conflict_missing_both_sides", "o WHERE n > 5 AND q > 25"),
+)
+
+
+@query("response_flags", f"WITH {FLAGS} " + " UNION ALL ".join(f"SELECT doc, '{where}' || p AS path, '{severity}' AS severity, '{kind}' AS type FROM {rows}" for where, severity, kind, rows in FLAG_PARTS) + " UNION ALL SELECT o_orderkey, 'results', 'medium', 'fewer_than_five_results' FROM orders LEFT JOIN (SELECT doc, count(*) AS c FROM l GROUP BY 1) ON doc = o_orderkey WHERE coalesce(c, 0) < 5")
+def response_flags(spark, sf_dir):
+    n, q, r = F.col("l_linenumber"), F.col("l_quantity"), F.col("l_returnflag")
+    lines = a.table(spark, sf_dir, "lineitem").withColumn("doc", F.col("l_orderkey"))
+    path = lambda where: F.concat(F.lit(where), n.cast("string")).alias("path")
+    fields = lines.select("doc", path("fields/"), F.when(n % 4 == 0, "uncertain").when(n % 4 == 1, "not_reported").otherwise("reported").alias("status"))
+    evidence = lines.where(n % 3 > 0).select("doc", path("results/"), F.when(r == "A", "relocated").when(r == "N", "unverified").otherwise("verified").alias("state"), F.when(q > 30, "Table 1").otherwise("").alias("table_figure"), F.lit("1").alias("row"), F.when(q <= 40, "2").alias("col"))
+    results = lines.select("doc", path("results/"), F.when(r == "R", "Not reported").otherwise("water").alias("treatment"), F.when(q < 10, " ").otherwise("none").alias("comparator"), F.when(n == 2, "Derived by us").otherwise("table").alias("origin"))
+    conflicts = lines.where(n > 5).select("doc", path("conflicts/"), F.when(q > 25, 1).otherwise(2).alias("sides"))
+    documents = a.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc"))
+    return ops.response_flags(documents, fields, evidence, results, conflicts, "doc")
+
+
+@query("pdf_links")
+def pdf_links(spark, sf_dir):
+    """Pages with an address of their document put before and after what they say."""
+    head = F.concat(F.lit('<meta content="/files/'), F.col("page_id").cast("string"), F.lit('.pdf?token=s" name="Citation_PDF_URL">'))
+    tail = F.lit("<link type='application/pdf' href='https://files.example.org/a.pdf'><link type='application/pdf' href='http://files.example.org/b.pdf'>")
+    pages = a.table(spark, sf_dir, "pages").select("page_id", F.regexp_replace("url", "^http:", "https:").alias("url"), F.concat(head, F.coalesce("html", F.lit("")), tail).alias("html"))
+    return ops.pdf_links(pages, "page_id", "html", "url").select("page_id", F.array_join("links", " ").alias("links"))
+
+
 @query("token_diff")
 def token_diff(spark, sf_dir):
     """Each text against itself with words changed about its middle."""
@@ -245,26 +296,29 @@ def plugin(spark, sf_dir):
 
 
 def files_of(spark, sf_dir, name, frame, column):
-    """A table split in files, as pages come in."""
-    path = Scratch(spark, "stream").path(name)
-    frame.repartition(5, column).sortWithinPartitions(column).write.parquet(path)
-    return path
+    """A table split in files, as pages come in, and how many make a third."""
+    path, n = Scratch(spark, "stream").path(name), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frame.repartition(n, column).sortWithinPartitions(column).write.parquet(path)
+    return path, -(-n // 3)
 
 
 @query("stream_merge", f"WITH {HITS} SELECT query_id, hit, min(seq) AS seq, arg_min(page, seq) AS page FROM hits GROUP BY ALL")
 def stream_merge(spark, sf_dir):
     rows = hits(spark, sf_dir).select("query_id", "hit", "seq", "page")
-    return stream.merged_pages(spark, files_of(spark, sf_dir, "hits", rows, "seq"), rows.schema, ["query_id", "hit"], "seq")
+    path, some = files_of(spark, sf_dir, "hits", rows, "seq")
+    return stream.merged_pages(spark, path, rows.schema, ["query_id", "hit"], "seq", files=some)
 
 
 @query("stream_pages", "SELECT event_type AS query_id, count(DISTINCT user_id) AS pages FROM events GROUP BY 1")
 def stream_pages(spark, sf_dir):
     rows = a.table(spark, sf_dir, "events").select(F.col("event_type").alias("query_id"), F.array("user_id").alias("hits"), "event_id")
-    pages = stream.distinct_pages(spark, files_of(spark, sf_dir, "pages", rows, "event_id"), rows.schema, ["query_id"])
+    path, some = files_of(spark, sf_dir, "pages", rows, "event_id")
+    pages = stream.distinct_pages(spark, path, rows.schema, ["query_id"], files=some)
     return pages.groupBy("query_id").agg(F.count("*").alias("pages"))
 
 
 @query("stream_state", "SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id, count(*) AS n FROM events GROUP BY 1")
 def stream_state(spark, sf_dir):
     rows = a.table(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
-    return stream.last_status(spark, files_of(spark, sf_dir, "status", rows, "event_id"), rows.schema, "user_id", "event_type", "event_id")
+    path, some = files_of(spark, sf_dir, "status", rows, "event_id")
+    return stream.last_status(spark, path, rows.schema, "user_id", "event_type", "event_id", files=some)

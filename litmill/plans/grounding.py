@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from litmill.functions import text as t
@@ -128,11 +129,50 @@ def conformance(spark, sf_dir):
     return ops.conformance(a.table(spark, sf_dir, "orders"), rules).select("o_orderkey", "first_broken", F.size("broken").alias("n_broken"))
 
 
-@query("finding_dedup", "WITH f AS (SELECT l_orderkey AS uid, l_linenumber AS place, l_linestatus AS source, l_returnflag AS evidence_text FROM lineitem GROUP BY ALL), k AS (SELECT *, min(place) OVER (PARTITION BY uid, source, evidence_text) AS kp FROM f), n AS (SELECT uid, place AS kp, row_number() OVER (PARTITION BY uid ORDER BY place, source, evidence_text) - 1 AS new_place FROM k WHERE place = kp AND true) SELECT count(*) AS n, count(DISTINCT uid) AS papers FROM k WHERE place = kp")
+FINDINGS = """f AS (SELECT uid, row_number() OVER (PARTITION BY uid ORDER BY l_linenumber, source, evidence_text) - 1 AS place, source, evidence_text FROM (SELECT DISTINCT l_orderkey AS uid, l_linenumber, l_linestatus AS source, l_returnflag AS evidence_text FROM lineitem)),
+k AS (SELECT *, min(place) OVER (PARTITION BY uid, source, evidence_text) AS kept FROM f), d AS (SELECT uid, place, source, evidence_text, dense_rank() OVER (PARTITION BY uid ORDER BY kept) - 1 AS new_place FROM k)"""
+
+
+def line_findings(spark, sf_dir):
+    rows = a.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("uid"), "l_linenumber", F.col("l_linestatus").alias("source"), F.col("l_returnflag").alias("evidence_text")).distinct()
+    place = F.row_number().over(Window.partitionBy("uid").orderBy("l_linenumber", "source", "evidence_text")) - 1
+    return rows.select("uid", place.cast("long").alias("place"), "source", "evidence_text")
+
+
+@query("finding_dedup", f"WITH {FINDINGS} SELECT * FROM d")
 def finding_dedup(spark, sf_dir):
-    rows = a.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("uid"), F.col("l_linenumber").alias("place"), F.col("l_linestatus").alias("source"), F.col("l_returnflag").alias("evidence_text")).distinct()
-    kept = ops.dedup_findings(rows, "uid").groupBy("uid", "source", "evidence_text").agg(F.min("new_place").alias("p"))
-    return kept.agg(F.count("*").alias("n"), F.countDistinct("uid").alias("papers"))
+    return ops.dedup_findings(line_findings(spark, sf_dir), "uid")
+
+
+@query("anchor_remap", f"WITH {FINDINGS}, x AS (SELECT uid, place % 2 AS item, place AS pos, CASE WHEN place % 4 = 3 THEN '/evidence/methods/0' ELSE '/evidence/findings/' || new_place END AS pointer FROM d) SELECT uid, item, pointer, min(pos) AS pos FROM x GROUP BY ALL")
+def anchor_remap(spark, sf_dir):
+    rows = line_findings(spark, sf_dir)
+    place = F.col("place")
+    anchors = rows.select("uid", (place % 2).alias("item"), place.alias("pos"), F.when(place % 4 == 3, "/evidence/methods/0").otherwise(F.concat(F.lit("/evidence/findings/"), place.cast("string"))).alias("pointer"))
+    return ops.remapped(anchors, ops.dedup_findings(rows, "uid"), "uid")
+
+
+QUOTED = f"""sp AS (SELECT doc_id AS uid, text, unnest(range((length(text) - 1) // 40 + 1)) AS place FROM documents WHERE length(text) > 0), qs AS (SELECT uid, place, substr(text, place * 40 + 1, 30) AS quote, least(place * 40 + 30, length(text)) AS a_end, length(text) AS chars FROM sp)"""
+
+
+@query(
+    "document_conformance",
+    """SELECT doc_id AS uid, CASE WHEN coalesce(text, '') = '' THEN CASE WHEN doc_id % 2 = 0 THEN 'fulltext_not_asked' END ELSE [NULL, 'support_missing', 'quote_mismatch', 'value_outside_quote', 'orphan_support', 'claim_outside_quote', 'anchor_without_evidence'][doc_id % 7 + 1] END AS first_fault,
+CAST(CASE WHEN coalesce(text, '') = '' THEN CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END WHEN doc_id % 7 = 0 THEN 0 WHEN doc_id % 7 = 1 AND doc_id % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_faults FROM documents""",
+)
+def document_conformance(spark, sf_dir):
+    """Facts all along each text, with one fault or two in most documents."""
+    uid, kind = F.col("uid"), F.col("uid") % 7
+    rows = spans(spark, sf_dir, 0, 0).withColumn("first", F.col("place") == 0)
+    pointer = F.concat(F.lit("/evidence/methods/"), F.col("place").cast("string"))
+    odd = lambda n, c: F.when(F.col("first") & (kind == n), F.concat(F.lit("\u2603"), F.col(c))).otherwise(F.col(c))
+    records = a.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("uid"), "text", F.when(F.col("doc_id") % 2 == 1, "needs_fulltext").otherwise("include").alias("screening"))
+    facts = rows.select("uid", pointer.alias("pointer"), odd(3, "quote").alias("value"))
+    held = rows.where(~(F.col("first") & (kind == 1))).select("uid", pointer.alias("pointer"), odd(2, "quote").alias("quote"), "a_start", "a_end")
+    extra = rows.where(F.col("first") & ((kind == 4) | ((kind == 1) & (uid % 2 == 0)))).select("uid", F.lit("/evidence/other/0").alias("pointer"), "quote", "a_start", "a_end")
+    told = rows.where("first").select("uid", "place", odd(5, "quote").alias("claim"), "quote", "a_start", "a_end")
+    anchors = rows.where("first").select("uid", F.when(kind == 6, "/evidence/findings/7").otherwise("/evidence/findings/0").alias("pointer"))
+    return ops.document_faults(records, facts, held.unionByName(extra), told, anchors, "uid")
 
 
 @query("fulltext_rules", "SELECT event_id FROM events WHERE event_type = 'click'")
@@ -142,6 +182,86 @@ def fulltext_rules(spark, sf_dir):
     return ops.causal_overclaims(claims).select("event_id")
 
 
+@query(
+    "fulltext_audit",
+    f"""WITH {QUOTED} SELECT uid, place, CASE WHEN (uid + place) % 5 = 0 THEN 'invalid_offsets' WHEN (uid + place) % 5 = 1 THEN ['fact_outside_quote', 'finding_unsupported', 'interpretation_unsupported', 'value_unsupported'][place % 4 + 1]
+ WHEN (uid + place) % 5 = 2 AND place % 4 = 1 THEN 'finding_unsupported' WHEN (uid + place) % 5 = 2 AND place % 4 = 3 THEN 'scale_unsupported' ELSE '' END AS faults FROM qs""",
+)
+def fulltext_audit(spark, sf_dir):
+    """Items all along each text: one of five past the end of its source, one
+    with other words, and of a third sort findings with another claim and values
+    that name a scale."""
+    place = F.col("place")
+    kind, sort = place % 4, (F.col("uid") + place) % 5
+    name = F.get(F.array(*map(F.lit, ("fact", "finding", "interpretation", "system"))), kind.cast("int"))
+    rows = spans(spark, sf_dir, 0, 0).select(
+        "uid",
+        "place",
+        name.alias("kind"),
+        F.when(sort == 1, F.concat(F.lit("\u2603"), "quote")).when((sort == 2) & (kind == 3), "greenhouse").otherwise(F.col("quote")).alias("said"),
+        F.when(sort == 2, F.concat(F.lit("\u2603"), "quote")).otherwise(F.col("quote")).alias("claim"),
+        F.lit("hypothesis").alias("claim_type"),
+        F.when(sort == 2, "experimental_scale").otherwise("crop").alias("field"),
+        "a_start",
+        F.when(sort == 0, F.length("source_text") + 1).otherwise(F.col("a_end")).alias("a_end"),
+        F.col("source_text").alias("text"),
+    )
+    return ops.fulltext_faults(rows).select("uid", "place", F.array_join("faults", ",").alias("faults"))
+
+
+#: Wordings and the scales that each bears out.
+WORDINGS = (
+    ("A field experiment was conducted on saline soil", ("field",)),
+    ("under field conditions soil was sampled", ()),
+    ("We sampled rice fields", ("field",)),
+    ("a research field of growing interest", ()),
+    ("pots were maintained at 20 degrees", ("pot",)),
+    ("three pots", ()),
+    ("plants grown in a greenhouse", ("greenhouse",)),
+    ("greenhouse gases", ()),
+    ("a laboratory incubation experiment", ("lab",)),
+    ("a numerical simulation study", ("model",)),
+    ("the model was fitted", ()),
+)
+SCALE_NAMES = ("field", "pot", "greenhouse", "lab", "model")
+
+
+@query("scale_support", "SELECT event_id, CASE event_id % 11 " + " ".join(f"WHEN {i} THEN user_id % 5 IN ({', '.join(str(SCALE_NAMES.index(s)) for s in scales) or '-1'})" for i, (_, scales) in enumerate(WORDINGS)) + " END AS supported FROM events")
+def scale_support(spark, sf_dir):
+    pick = lambda values, c, n: F.get(F.array(*map(F.lit, values)), (F.col(c) % n).cast("int"))
+    made = ops.scale_supported(pick(SCALE_NAMES, "user_id", 5), pick([w for w, _ in WORDINGS], "event_id", 11))
+    return a.table(spark, sf_dir, "events").select("event_id", made.alias("supported"))
+
+
+@query("completeness_combined", "WITH f AS (SELECT doc_id, n_chars AS n, n_chars % 2 = 0 OR n_chars % 3 = 0 AS methods, n_chars % 3 > 0 OR n_chars % 5 = 0 AS treatments, n_chars % 5 > 0 OR n_chars % 7 = 0 AS measurements, n_chars % 7 > 0 AS results, n_chars % 11 = 0 AS mechanism, n_chars % 13 = 0 AS limitations FROM documents) SELECT doc_id, methods, treatments, measurements, results, mechanism, limitations, CASE WHEN n % 4 > 0 THEN NOT (methods AND treatments AND measurements AND results) ELSE n > 500 END AS needs_fulltext FROM f")
+def completeness_combined(spark, sf_dir):
+    n, no = F.col("n_chars"), F.lit(None).cast("boolean")
+    abstract = {"methods": n % 2 == 0, "treatments": n % 3 > 0, "measurements": n % 5 > 0, "results": n % 7 > 0, "mechanism": no, "limitations": n % 13 == 0}
+    fulltext = {"methods": n % 3 == 0, "treatments": n % 5 == 0, "measurements": n % 7 == 0, "results": no, "mechanism": n % 11 == 0, "limitations": no}
+    flags, needs = ops.combined_completeness(abstract, fulltext, n > 500, n % 4 > 0)
+    return a.table(spark, sf_dir, "documents").select("doc_id", *(c.alias(name) for name, c in flags.items()), needs.alias("needs_fulltext"))
+
+
+VALID_SPAN = "a_end <= length(text)"
+QUOTE_PLACE = f"p AS (SELECT uid, text, quote, CASE WHEN {VALID_SPAN} THEN a_start WHEN quote <> '' AND instr(text, quote) > 0 THEN instr(text, quote) - 1 END AS s, CASE WHEN {VALID_SPAN} THEN a_end WHEN quote <> '' AND instr(text, quote) > 0 THEN instr(text, quote) - 1 + length(quote) END AS e, greatest(0, a_start - 90) AS cs, least(length(text), a_end + 90) AS ce FROM anchors WHERE text IS NOT NULL)"
+
+
+@query("quote_context", f"WITH {ANCHORS}, {QUOTE_PLACE} SELECT uid, CASE WHEN s IS NULL THEN quote ELSE {SENTENCE.replace('a_start', 's').replace('a_end', 'e')} END AS sentence, replace(substr(text, cs + 1, greatest(0, ce - cs)), chr(10), ' ') AS context FROM p")
+def quote_context(spark, sf_dir):
+    """The sentence around an anchor, or where only its quote is found, and the
+    characters about it."""
+    rows = anchors(spark, sf_dir).where("text is not null")
+    at = (F.col("text"), F.col("a_start"), F.col("a_end"))
+    return rows.select("uid", t.sentence_or_quote(*at, F.col("quote")).alias("sentence"), t.context(*at, 180).alias("context"))
+
+
+@query("pointer_read", "SELECT doc_id, string_split(text, ' ')[doc_id % 50 + 1] AS word, source AS named FROM documents")
+def pointer_read(spark, sf_dir):
+    held = F.to_json(F.struct("lang", F.struct(F.split("text", " ").alias("a/b")).alias("words"), F.struct(F.col("source").alias("s~t")).alias("about")))
+    pointer = F.concat(F.lit("/words/a~1b/"), (F.col("doc_id") % 50).cast("string"))
+    return a.table(spark, sf_dir, "documents").select("doc_id", t.pointer_value(held, pointer).alias("word"), t.pointer_value(held, F.lit("/about/s~0t")).alias("named"))
+
+
 # Metrics: words of each document; the reference leaves out every fifth, the prediction every seventh.
 WORDS_OF = r"""w AS (SELECT doc_id AS uid, lang AS field, string_split(text, ' ') AS w FROM documents), t AS (SELECT uid, field, unnest(w) AS value, unnest(range(len(w))) AS place FROM w)"""
 GOLD = rf"""{WORDS_OF}, gold AS (SELECT DISTINCT uid, field, value FROM t WHERE place % 5 <> 1), pred AS (SELECT DISTINCT uid, field, value FROM t WHERE place % 7 <> 2),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from litmill.functions import text as t
 from litmill.operators import ingest as ops
+from litmill.operators.components import numbered
 from litmill.plans import adapters as a
 from litmill.plans.registry import query
 from litmill.sources import files
@@ -39,8 +39,7 @@ HITS = a.view("h", a.HITS, "events") + ", hits AS (SELECT *, 1 + CAST(floor((row
 
 def hits(spark, sf_dir):
     rows = a.shaped(spark, sf_dir, "events", a.HITS)
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy("seq"))
-    return rows.withColumn("page", 1 + F.floor((place - 1) / 50))
+    return numbered(rows, ["seq"], ["query_id"]).withColumn("page", 1 + F.floor((F.col("place") - 1) / 50)).drop("place")
 
 
 @query("cumulative_unique", f"WITH {HITS}, f AS (SELECT query_id, hit, min(page) AS page FROM hits GROUP BY ALL), n AS (SELECT query_id, page, count(*) AS new FROM f GROUP BY ALL) SELECT query_id, page, coalesce(new, 0) AS new, CAST(sum(coalesce(new, 0)) OVER (PARTITION BY query_id ORDER BY page) AS BIGINT) AS unique_so_far FROM (SELECT DISTINCT query_id, page FROM hits) LEFT JOIN n USING (query_id, page)")
@@ -50,7 +49,21 @@ def cumulative_unique(spark, sf_dir):
 
 @query("cap", f"WITH {HITS} SELECT query_id, count(*) AS total, least(count(*), 500) AS kept, greatest(count(*) - 500, 0) AS omitted, CASE WHEN count(*) > 500 THEN 'record_cap' ELSE 'exhausted' END AS stop FROM hits GROUP BY query_id")
 def cap(spark, sf_dir):
-    return ops.capped(hits(spark, sf_dir), "query_id", ["seq"], 500)
+    return ops.capped(a.shaped(spark, sf_dir, "events", a.HITS), "query_id", 500)
+
+
+RUNS = f"""{HITS}, t AS (SELECT query_id, count(*) AS total FROM hits GROUP BY 1), d AS (SELECT h.*, t.total + CASE WHEN page > 2 AND query_id = 'error' THEN 1 ELSE 0 END AS declared FROM hits h JOIN t USING (query_id)),
+f AS (SELECT query_id, hit, min(page) AS page FROM hits GROUP BY ALL), n AS (SELECT query_id, page, count(*) AS new FROM f GROUP BY ALL), u AS (SELECT query_id, page, sum(coalesce(new, 0)) OVER (PARTITION BY query_id ORDER BY page) AS u FROM (SELECT DISTINCT query_id, page FROM hits) LEFT JOIN n USING (query_id, page)),
+r AS (SELECT query_id, page, u, total, CASE WHEN page * 50 >= total THEN 'total_exhausted' WHEN u >= 300 THEN 'record_cap' WHEN page >= 12 THEN 'page_cap' END AS reason FROM u JOIN t USING (query_id)),
+e AS (SELECT * FROM r WHERE reason IS NOT NULL QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY page) = 1), g AS (SELECT e.query_id, count(*) AS hits, min(declared) <> max(declared) AS changed FROM d JOIN e ON d.query_id = e.query_id AND d.page <= e.page GROUP BY 1)"""
+
+
+@query("capped_runs", f"WITH {RUNS} SELECT query_id, reason AS stop_reason, page AS pages, total AS total_hits, hits, CAST(u AS BIGINT) AS unique_records, changed AS total_changed, CAST(least(u, 300) AS BIGINT) AS collected, CAST(hits - u AS BIGINT) AS duplicates, CAST(greatest(u - 300, 0) AS BIGINT) AS omitted, reason = 'total_exhausted' AND u <= 300 AND NOT changed AS complete FROM e JOIN g USING (query_id)")
+def capped_runs(spark, sf_dir):
+    rows = hits(spark, sf_dir)
+    totals = rows.groupBy("query_id").agg(F.count("*").alias("total"))
+    changed = F.when((F.col("page") > 2) & (F.col("query_id") == "error"), 1).otherwise(0)
+    return ops.capped_runs(rows.join(totals, "query_id").withColumn("declared", F.col("total") + changed), "query_id", "page", "hit", "declared", 50, 300, 12)
 
 
 @query("run_rollup", "SELECT user_id, CASE WHEN bool_or(event_type = 'error') THEN 'completed_with_errors' WHEN bool_or(value > 50) THEN 'truncated' ELSE 'completed' END AS status, count(*) AS n FROM events GROUP BY user_id")
@@ -86,14 +99,27 @@ def narrow_scan(spark, sf_dir):
 
 def nested():
     """An order line as a nested hit."""
+    line, part = F.col("l_linenumber"), F.col("l_partkey").cast("string")
+    author = F.struct(F.col("l_returnflag").alias("displayName"), F.col("l_linestatus").alias("wosStandard"), F.when(line == 3, part).alias("researcherId"))
     return F.struct(
         F.concat(F.lit("l"), "l_linenumber").alias("uid"),
         F.col("l_returnflag").alias("title"),
-        F.when(F.col("l_linenumber") > 1, F.array("l_linestatus")).alias("types"),
-        F.struct(F.when(F.col("l_quantity") > 10, F.array(F.struct(F.col("l_returnflag").alias("displayName"), F.col("l_linestatus").alias("other")))).alias("authors")).alias("names"),
-        F.struct(F.col("l_linestatus").alias("sourceTitle"), F.year("l_shipdate").alias("publishYear")).alias("source"),
-        F.array(F.struct(F.lit("SIDE").alias("db"), F.col("l_linenumber").alias("count")), F.struct(F.when(F.col("l_quantity") > 25, "MAIN").alias("db"), F.col("l_quantity").cast("int").alias("count"))).alias("citations"),
-        F.struct(F.when(F.col("l_linenumber") == 2, F.array("l_returnflag", "l_linestatus")).alias("authorKeywords")).alias("keywords"),
+        F.when(line > 1, F.array("l_linestatus")).alias("types"),
+        F.when(line > 2, F.array("l_returnflag", "l_linestatus")).alias("sourceTypes"),
+        F.struct(F.when(F.col("l_quantity") > 10, F.array(author, F.struct(F.lit("").alias("displayName"), F.lit(None).cast("string").alias("wosStandard"), F.lit(None).cast("string").alias("researcherId")))).alias("authors")).alias("names"),
+        F.struct(
+            F.col("l_linestatus").alias("sourceTitle"),
+            F.year("l_shipdate").alias("publishYear"),
+            F.date_format("l_shipdate", "MM-dd").alias("publishMonth"),
+            F.when(line != 4, part).alias("volume"),
+            F.col("l_suppkey").cast("string").alias("issue"),
+            F.when(line == 5, part).alias("articleNumber"),
+            F.when(line < 6, F.struct(F.col("l_quantity").cast("int").alias("count"))).alias("pages"),
+        ).alias("source"),
+        F.when(line != 2, F.struct(F.concat(F.lit("https://doi.org/10.5555/A"), part).alias("doi"), part.alias("issn"), F.when(line == 1, part).alias("pmid"))).alias("identifiers"),
+        F.array(F.struct(F.lit("SIDE").alias("db"), line.alias("count")), F.struct(F.when(F.col("l_quantity") > 25, "MAIN").alias("db"), F.col("l_quantity").cast("int").alias("count"))).alias("citations"),
+        F.struct(F.when(line == 2, F.array("l_returnflag", "l_linestatus")).alias("authorKeywords")).alias("keywords"),
+        F.struct(F.concat(F.lit("https://x.org/"), part).alias("record"), F.lit(None).cast("string").alias("related")).alias("links"),
     )
 
 
@@ -120,13 +146,17 @@ def page_faults(spark, sf_dir):
 
 @query(
     "project_canonical",
-    """SELECT l_orderkey AS page, concat('L', l_linenumber) AS uid, l_returnflag AS title, CASE WHEN l_linenumber > 1 THEN l_linestatus ELSE '' END AS document_types,
-CASE WHEN l_quantity > 10 THEN l_returnflag ELSE '' END AS author_names, l_linestatus AS source_title, CAST(year(l_shipdate) AS INT) AS publish_year,
-CASE WHEN l_quantity > 25 THEN CAST(l_quantity AS INT) END AS times_cited, CASE WHEN l_linenumber = 2 THEN l_returnflag || ';' || l_linestatus ELSE '' END AS author_keywords FROM lineitem""",
+    """WITH l AS (SELECT *, CAST(l_partkey AS VARCHAR) AS part FROM lineitem) SELECT l_orderkey AS page, concat('l', l_linenumber) AS uid, l_returnflag AS title, CASE WHEN l_linenumber > 1 THEN l_linestatus ELSE '' END AS document_types, CASE WHEN l_linenumber > 2 THEN l_returnflag || ';' || l_linestatus ELSE '' END AS source_types,
+CASE WHEN l_quantity > 10 THEN l_returnflag ELSE '' END AS author_names, CASE WHEN l_quantity > 10 AND l_linenumber = 3 THEN part ELSE '' END AS researcher_ids, CASE WHEN l_quantity > 10 THEN 2 ELSE 0 END AS authors, l_linestatus AS source_title, CAST(year(l_shipdate) AS INT) AS publish_year, strftime(l_shipdate, '%m-%d') AS publication_date_raw,
+CASE WHEN l_linenumber <> 4 THEN part END AS volume, CAST(l_suppkey AS VARCHAR) AS issue, CASE WHEN l_linenumber = 5 THEN part END AS article_number, CASE WHEN l_linenumber < 6 THEN CAST(l_quantity AS INT) END AS page_count, CASE WHEN l_linenumber <> 2 THEN '10.5555/a' || part END AS doi, CASE WHEN l_linenumber <> 2 THEN part END AS issn, CASE WHEN l_linenumber = 1 THEN part END AS pmid,
+CAST(NULL AS VARCHAR) AS eissn, CAST(NULL AS VARCHAR) AS isbn, CAST(NULL AS VARCHAR) AS references_url, CAST(NULL AS VARCHAR) AS related_url, CAST(NULL AS VARCHAR) AS abstract, CAST(NULL AS VARCHAR) AS abstract_source, CAST(NULL AS VARCHAR) AS abstract_retrieved_at, 'https://x.org/' || part AS record_url,
+CASE WHEN l_quantity > 25 THEN CAST(l_quantity AS INT) END AS times_cited, CASE WHEN l_linenumber = 2 THEN l_returnflag || ';' || l_linestatus ELSE '' END AS author_keywords FROM l""",
 )
 def project_canonical(spark, sf_dir):
-    rows = a.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), nested().alias("hit"))
-    return ops.canonical(rows, "page").withColumns({c: F.array_join(c, ";") for c in ("document_types", "author_names", "author_keywords")})
+    """Hits as JSON, as a provider sends them."""
+    sent = a.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), F.from_json(F.to_json(nested()), ops.HIT).alias("hit"))
+    lists = ("document_types", "source_types", "author_names", "researcher_ids", "author_keywords")
+    return ops.canonical(sent, "page").withColumns({c: F.array_join(c, ";") for c in lists}).withColumn("authors", F.size("authors"))
 
 
 @query("first_match", "SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 25 THEN CAST(l_quantity AS INT) END AS cited FROM lineitem")
@@ -211,17 +241,28 @@ def labelled_union(spark, sf_dir):
     return ops.labelled_union(parts)
 
 
-@query("manifest_rows", "SELECT 'documents' AS output, count(*) AS rows, count(DISTINCT doc_id) AS keys FROM documents UNION ALL SELECT 'labels', count(*), count(DISTINCT doc_id) FROM labels UNION ALL SELECT 'pages', count(*), count(DISTINCT page_id) FROM pages")
+HASH_SUM = "CAST(sum(CAST('0x' || left(sha256({}), 8) AS BIGINT)) AS BIGINT) AS content_sum"
+
+
+@query("manifest_rows", f"SELECT 'documents' AS output, count(*) AS rows, count(DISTINCT doc_id) AS keys, {HASH_SUM.format('text')} FROM documents UNION ALL SELECT 'orders', count(*), count(DISTINCT o_orderkey), {HASH_SUM.format('o_orderpriority')} FROM orders UNION ALL SELECT 'pages', count(*), count(DISTINCT page_id), {HASH_SUM.format('html')} FROM pages")
 def manifest_rows(spark, sf_dir):
-    made = [files.manifest(a.table(spark, sf_dir, n), k).select(F.lit(n).alias("output"), "rows", "keys") for n, k in (("documents", "doc_id"), ("labels", "doc_id"), ("pages", "page_id"))]
+    """Manifests written beside their outputs and read back."""
+    outputs = (("documents", "doc_id", "text"), ("orders", "o_orderkey", "o_orderpriority"), ("pages", "page_id", "html"))
+    scratch = Scratch(spark, "manifests")
+    made = [scratch.save(files.manifest(a.table(spark, sf_dir, n), k, c).select(F.lit(n).alias("output"), "rows", "keys", "content_sum"), n) for n, k, c in outputs]
     return made[0].unionByName(made[1]).unionByName(made[2])
 
 
-@query("search_manifests", f"WITH {a.MATCHED_CTE} SELECT DISTINCT query_id, lang FROM matched")
+@query("search_manifests", f"WITH {a.MATCHED_CTE}, h AS (SELECT query_id || '-' || lang AS manifest, query_id, lang, count(*) AS total_hits FROM matched GROUP BY ALL) SELECT manifest, CASE WHEN lang <> 'fr' THEN query_id END AS query_id, CASE WHEN lang <> 'fr' THEN total_hits END AS total_hits, CASE WHEN lang = 'fr' THEN 'missing' ELSE 'read' END AS state FROM h")
 def search_manifests(spark, sf_dir):
-    """Manifests that the histories of records name, each once."""
-    rows = a.matched(spark, sf_dir).groupBy("pos").agg(F.collect_set(F.struct("query_id", "lang")).alias("history"))
-    return rows.select(F.explode("history").alias("h")).select("h.*").distinct()
+    """Manifests that the histories of records name, each read once; those of one
+    language are not there."""
+    rows = a.matched(spark, sf_dir).where("lang is not null").withColumn("manifest", F.concat_ws("-", "query_id", "lang"))
+    there = rows.where("lang <> 'fr'").groupBy("manifest", "query_id").agg(F.count("*").alias("total_hits"))
+    path = Scratch(spark, "files").path("manifests")
+    there.write.partitionBy("manifest").json(path)
+    histories = rows.groupBy("pos").agg(F.collect_set("manifest").alias("manifests"))
+    return ops.named_manifests(histories, "manifests", spark.read.schema("query_id string, total_hits long, manifest string").json(path))
 
 
 @query("content_store", "SELECT DISTINCT sha256(text) AS sha256, CAST(length(text) AS INT) AS chars FROM documents WHERE text IS NOT NULL")
@@ -229,20 +270,21 @@ def content_store(spark, sf_dir):
     return files.content_store(a.table(spark, sf_dir, "documents"), "text").select("sha256", F.length("text").alias("chars"))
 
 
-@query("store_conflicts", "SELECT CAST(NULL AS VARCHAR) AS sha256, CAST(0 AS BIGINT) AS n WHERE false")
+@query("store_conflicts", "SELECT sha256(source) AS sha256, count(DISTINCT lang) AS n FROM documents WHERE source IS NOT NULL GROUP BY source HAVING count(DISTINCT lang) > 1")
 def store_conflicts(spark, sf_dir):
-    rows = a.table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("sha256"), "text")
-    return files.store_conflicts(rows, "text")
+    """Languages stored under the hash of their source."""
+    rows = a.table(spark, sf_dir, "documents").where("source is not null").select(F.sha2("source", 256).alias("sha256"), "lang")
+    return files.store_conflicts(rows, "lang")
 
 
-@query("fingerprints", "SELECT count(*) > 0 AS found, true AS same FROM documents")
+@query("fingerprints", "SELECT CAST(c_custkey // 20 AS VARCHAR) AS file, sha256(string_agg(c_name || chr(10), '' ORDER BY c_custkey)) AS sha256, CAST(sum(length(c_name) + 1) AS BIGINT) AS size FROM customer GROUP BY 1")
 def fingerprints(spark, sf_dir):
-    """Files written twice have the same fingerprints as their contents say."""
-    path = written(spark, "documents", a.table(spark, sf_dir, "documents"))
-    seen = files.fingerprints(spark, path).where(F.col("file").startswith("part-"))
-    again = files.fingerprints(spark, path).where(F.col("file").startswith("part-"))
-    gone = files.drift(seen, again, "file", "sha256").agg(F.count("*").alias("n"))
-    return seen.agg(F.count("*").alias("files")).join(gone).select((F.col("files") > 0).alias("found"), (F.col("n") == 0).alias("same"))  # one row each
+    """Customers in files of twenty keys, and what the files themselves say."""
+    rows = a.table(spark, sf_dir, "customer").select(F.expr("c_custkey div 20").alias("part"), "c_custkey", "c_name")
+    path = Scratch(spark, "files").path("parts")
+    rows.repartition("part").sortWithinPartitions("part", "c_custkey").select("part", "c_name").write.partitionBy("part").text(path)
+    seen = files.fingerprints(spark, path + "/part=*/*.txt", within=2)
+    return seen.withColumn("file", F.regexp_extract("file", "part=([^/]*)", 1))
 
 
 @query("snapshot_drift", "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'missing' WHEN doc_id % 7 = 0 THEN 'changed' END AS drift FROM documents WHERE text IS NOT NULL AND (doc_id % 5 = 0 OR doc_id % 7 = 0)")

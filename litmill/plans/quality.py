@@ -250,6 +250,14 @@ def coverage(spark, sf_dir):
     return enrich.coverage(selected(spark, sf_dir))
 
 
+SETS = (("one",), ("two",), ("three",), ("one", "two"), ("one", "three"), ("two", "three"), ("one", "two", "three"))
+
+
+@query("coverage_sets", f"WITH {VALID}, s AS (SELECT pos, list(provider) AS p FROM v WHERE NOT (r1 OR r2 OR r4 OR r5) GROUP BY pos) " + " UNION ALL ".join(f"SELECT '{'+'.join(s)}' AS providers, count(*) AS n FROM s WHERE list_has_all(p, {list(s)})" for s in SETS))
+def coverage_sets(spark, sf_dir):
+    return enrich.provider_overlaps(validated(spark, sf_dir).where("accepted"), "pos", ("one", "two", "three"))
+
+
 @query("cache_split", "SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 'cached' ELSE 'to_fetch' END AS state FROM customer")
 def cache_split(spark, sf_dir):
     asked, known = a.table(spark, sf_dir, "customer").select("c_custkey"), a.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))

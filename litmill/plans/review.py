@@ -81,10 +81,13 @@ def agreement(spark, sf_dir):
     return ops.consensus(reviews(spark, sf_dir)).groupBy("case_type").agg(F.count("*").alias("n"), F.round(F.avg(F.col("agree").cast("int")), 6).alias("rate"))
 
 
-@query("agreement_levels", f"WITH {REVIEWS}, l AS (SELECT case_type AS field, CASE WHEN a = b THEN 'exact' WHEN a > b THEN 'a_only' ELSE 'b_only' END AS level FROM r) SELECT field, count(*) FILTER (WHERE level = 'exact') AS exact, CAST(0 AS BIGINT) AS boundary, CAST(0 AS BIGINT) AS category, count(*) FILTER (WHERE level = 'a_only') AS a_only, count(*) FILTER (WHERE level = 'b_only') AS b_only FROM l GROUP BY field")
+LEVELS = ("exact", "boundary", "category", "a_only", "b_only")
+
+
+@query("agreement_levels", "SELECT source AS field, " + ", ".join(f"count(*) FILTER (WHERE n_chars % 7 {'>= 4' if i == 4 else f'= {i}'}) AS {level}" for i, level in enumerate(LEVELS)) + " FROM documents GROUP BY source")
 def agreement_levels(spark, sf_dir):
-    rows = ops.consensus(reviews(spark, sf_dir)).select(F.col("case_type").alias("field"), F.when(F.col("agree"), "exact").when(F.col("a") > F.col("b"), "a_only").otherwise("b_only").alias("level"))
-    return ops.agreement_levels(rows, "field")
+    level = F.get(F.array(*map(F.lit, LEVELS)), F.least(F.col("n_chars") % 7, F.lit(4)))
+    return ops.agreement_levels(a.table(spark, sf_dir, "documents").select(F.col("source").alias("field"), level.alias("level")), "field")
 
 
 @query("pair_compare")
@@ -129,9 +132,26 @@ def review_clusters(spark, sf_dir):
     return ops.clusters(items)
 
 
-@query("sheet_rules", "SELECT l_orderkey AS uid, l_linenumber AS occurrence, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+@query(
+    "sheet_rules",
+    """WITH r AS (SELECT event_id, CAST(CASE WHEN event_id % 29 = 0 THEN event_id - 1 ELSE event_id END AS VARCHAR) AS uid, ['pending', 'reported', 'not_reported', 'not_applicable', 'uncertain', 'other'][event_id % 6 + 1] AS status, CASE WHEN user_id % 4 > 0 THEN 'r' END AS reviewer, CASE WHEN value > 10 THEN 'v' ELSE '' END AS value, CASE WHEN value > 20 THEN 'e' END AS evidence FROM events),
+c AS (SELECT *, count(*) OVER (PARTITION BY uid) AS copies FROM r)
+SELECT event_id, CASE WHEN copies > 1 THEN 'duplicate_or_missing_occurrence' WHEN status = 'pending' THEN NULL WHEN status = 'other' THEN 'invalid_status' WHEN reviewer IS NULL THEN 'reviewer_required' WHEN status = 'reported' AND (value = '' OR evidence IS NULL) THEN 'reported_needs_evidence' WHEN status LIKE 'not_%' AND value <> '' THEN 'absence_has_value' END AS fault FROM c""",
+)
 def sheet_rules(spark, sf_dir):
-    return a.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("uid"), F.col("l_linenumber").alias("occurrence")).agg(F.count("*").alias("n")).where("n > 1")
+    n = F.col("event_id")
+    statuses = F.array(*map(F.lit, ("pending", *ops.REFERENCE_STATUSES, "other")))
+    rows = a.table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(n % 29 == 0, n - 1).otherwise(n).cast("string").alias("uid"),
+        F.lit("scale").alias("field"),
+        F.lit("1").alias("occurrence"),
+        F.get(statuses, n % 6).alias("status"),
+        F.when(F.col("user_id") % 4 > 0, "r").alias("reviewer"),
+        F.when(F.col("value") > 10, "v").otherwise("").alias("value"),
+        F.when(F.col("value") > 20, "e").alias("evidence_text"),
+    )
+    return ops.sheet_faults(rows).select("event_id", "fault")
 
 
 @query("flag_tasks", "SELECT l_orderkey AS doi, l_returnflag AS path, bool_or(l_linenumber = 5) AS high, string_agg(DISTINCT l_linestatus, ',' ORDER BY l_linestatus) AS types, count(*) AS n, left(sha256(CAST(l_orderkey AS VARCHAR) || '|' || l_returnflag), 24) AS task_key FROM lineitem GROUP BY l_orderkey, l_returnflag")

@@ -32,10 +32,11 @@ def write_new_csv(frame: DataFrame, path: str) -> None:
     frame.write.mode("errorifexists").options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
-def fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, sha256, size)`` of the files of a folder."""
+def fingerprints(spark: SparkSession, path: str, within: int = 1) -> DataFrame:
+    """``(file, sha256, size)`` of the files of a folder, named by the last
+    ``within`` parts of their paths."""
     read = spark.read.format("binaryFile").load(path)
-    return read.select(F.substring_index("path", "/", -1).alias("file"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+    return read.select(F.substring_index("path", "/", -within).alias("file"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
 
 
 def drift(stored: DataFrame, current: DataFrame, key: str, value: str) -> DataFrame:
@@ -55,7 +56,8 @@ def store_conflicts(store: DataFrame, content: str) -> DataFrame:
     return store.groupBy("sha256").agg(F.countDistinct(content).alias("n")).where("n > 1")
 
 
-def manifest(frame: DataFrame, key: str) -> DataFrame:
-    """One row that says what an output holds: rows, keys and a sum of hashes
-    that doesn't depend on the order."""
-    return frame.agg(F.count("*").alias("rows"), F.countDistinct(key).alias("keys"), F.sum(F.crc32(F.col(key).cast("string").cast("binary"))).alias("key_sum"))
+def manifest(frame: DataFrame, key: str, content: str) -> DataFrame:
+    """One row that says what an output holds: rows, keys, and sums of hashes of
+    keys and contents that don't depend on the order."""
+    hashed = F.conv(F.left(F.sha2(content, 256), F.lit(8)), 16, 10).cast("long")
+    return frame.agg(F.count("*").alias("rows"), F.countDistinct(key).alias("keys"), F.sum(F.crc32(F.col(key).cast("string").cast("binary"))).alias("key_sum"), F.sum(hashed).alias("content_sum"))

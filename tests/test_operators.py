@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from litmill.functions import text as t
 from litmill.operators import documents, enrich, grounding, identity, ingest, metrics, plugins, quality, review, sampling
-from litmill.operators.components import components
+from litmill.operators.components import components, numbered
 from litmill.sources import files
 from litmill.sources.scratch import Scratch
+from litmill.streaming import pages as stream
 
 RECORDS = "pos long, doi string, uid string, title string, publish_year int, tags array<string>"
 KEY = lambda: F.trim(F.regexp_replace(F.lower("title"), "[^a-z0-9]+", " "))
@@ -238,7 +239,7 @@ def test_sources_refuse_to_guess(spark, tmp_path):
 
 def test_caps_and_statuses(spark):
     table = spark.createDataFrame([("q", i, i % 3, i // 2) for i in range(5)], "q string, seq int, hit int, page int")
-    assert rows(ingest.capped(table, "q", ["seq"], 3), "total", "kept", "omitted", "stop") == [(5, 3, 2, "record_cap")]
+    assert rows(ingest.capped(table, "q", 3), "total", "kept", "omitted", "stop") == [(5, 3, 2, "record_cap")]
     assert rows(ingest.cumulative_unique(table, "q", "page", "hit"), "page", "new", "unique_so_far") == [(0, 2, 2), (1, 1, 3), (2, 0, 3)]
     assert isinstance(ingest.overlap_pairs(table, "hit", "page").toPandas(), pd.DataFrame)
 
@@ -251,3 +252,66 @@ def test_token_subsequence_reads_whole_texts(spark, tmp_path, monkeypatch):
     assert rows(plans.token_subsequence(spark, str(tmp_path)), "doc_id", "within") == [(i, i % 2 == 0) for i in (0, 1, 2, 3, 5)]
     monkeypatch.setattr(plans.ops, "token_subsequence", lambda a, b: F.size(F.split(b, " ")))
     assert rows(plans.token_subsequence(spark, str(tmp_path)), "doc_id", "within") == [(0, 1), (1, 60), (2, 61), (3, 5000), (5, 1)]
+
+
+def test_places_count_over_ranges(spark):
+    table = spark.createDataFrame([("a", i) for i in range(700)] + [(None, i) for i in range(20)] + [("b", 5)], "q string, i int").repartition(7)
+    found = numbered(table, ["i"], ["q"])
+    assert {(r.q, r.i, r.place) for r in found.collect()} == {("a", i, i + 1) for i in range(700)} | {(None, i, i + 1) for i in range(20)} | {("b", 5, 1)}
+    assert [r.place for r in numbered(table.where("q = 'a'"), ["i"]).orderBy("i").collect()] == list(range(1, 701))
+    assert numbered(table.limit(0), ["i"], ["q"]).count() == 0
+
+
+def test_runs_end_for_the_first_reason(spark):
+    """Pages of two hits: reached total, cap of records, cap of pages, and a changed total."""
+    hits = [("all", i, i // 2 + 1, 4) for i in range(4)] + [("cap", i, i // 2 + 1, 20) for i in range(20)] + [("same", 1, i // 2 + 1, 20) for i in range(20)] + [("odd", i, i // 2 + 1, 4 + i // 2) for i in range(4)] + [("odd", 9, 3, 5)]
+    out = ingest.capped_runs(spark.createDataFrame(hits, "q string, hit int, page int, total int"), "q", "page", "hit", "total", 2, 5, 4)
+    assert rows(out, "q", "stop_reason", "pages", "collected", "omitted", "duplicates", "complete") == [
+        ("all", "total_exhausted", 2, 4, 0, 0, True),
+        ("cap", "record_cap", 3, 5, 1, 0, False),
+        ("odd", "total_exhausted", 2, 4, 0, 0, False),
+        ("same", "page_cap", 4, 1, 0, 7, False),
+    ]
+
+
+def test_documents_fail_by_the_first_rule(spark):
+    records = spark.createDataFrame([(1, "a field trial of rice", "include"), (2, "a field trial of rice", "include"), (3, None, "needs_fulltext"), (4, "", "include"), (5, None, "needs_fulltext"), (6, "rice", "include")], "k int, text string, screening string")
+    facts = spark.createDataFrame([(1, "/evidence/study_system/experimental_scale", "field"), (1, "/evidence/crop/0", "RICE"), (2, "/evidence/study_system/experimental_scale", "pot"), (2, "/evidence/crop/0", "maize"), (5, "/evidence/crop/0", "x")], "k int, pointer string, value string")
+    supports = spark.createDataFrame([(k, "/evidence/study_system/experimental_scale", "a field trial", 0, 13) for k in (1, 2)] + [(k, "/evidence/crop/0", "rice", 17, 21) for k in (1, 2)] + [(6, "/evidence/crop/0", "rice", 0, 9)], "k int, pointer string, quote string, a_start int, a_end int")
+    findings = spark.createDataFrame([(1, 0, "rice", "of rice", 14, 21), (6, 0, "rice", "rice", 0, 9)], "k int, place int, claim string, quote string, a_start int, a_end int")
+    anchors = spark.createDataFrame([(1, "/evidence/findings/0"), (1, "/evidence/crop/0"), (6, "/inference/0")], "k int, pointer string")
+    out = grounding.document_faults(records, facts, supports, findings, anchors, "k")
+    assert rows(out, "k", "first_fault", "n_faults") == [(1, None, 0), (2, "scale_unsupported", 2), (3, None, 0), (4, "fulltext_not_asked", 1), (5, "content_without_text", 1), (6, "orphan_support", 3)]
+
+
+def test_findings_keep_their_anchors(spark):
+    found = grounding.dedup_findings(spark.createDataFrame([(1, 0, "s", "x"), (1, 1, "s", "x"), (1, 2, "s", "y"), (1, 3, "t", "x")], "k int, place int, source string, evidence_text string"), "k")
+    assert rows(found, "place", "new_place") == [(0, 0), (1, 0), (2, 1), (3, 2)]
+    anchors = spark.createDataFrame([(1, 0, 0, "/evidence/findings/1"), (1, 0, 1, "/evidence/findings/0"), (1, 0, 2, "/evidence/findings/3"), (1, 0, 3, "/evidence/crop/0"), (1, 0, 4, "/evidence/findings/7")], "k int, item int, pos int, pointer string")
+    assert rows(grounding.remapped(anchors, found, "k"), "pos", "pointer") == [(0, "/evidence/findings/0"), (2, "/evidence/findings/2"), (3, "/evidence/crop/0"), (4, "/evidence/findings/7")]
+
+
+def test_pages_advertise_documents(spark):
+    html = """<META content='a.pdf?x=1&amp;token=s' name=citation_pdf_url><link href="/b.pdf" type="application/pdf"><link href="/b.pdf" type="application/pdf"><link type="text/css" href="c"><a href="/d.pdf">d</a><link type="application/pdf" href="https://127.0.0.1/e.pdf"><link type="application/pdf" href="f.pdf">"""
+    pages = spark.createDataFrame([(1, "https://h.org/p/q", html), (2, "https://h.org/", None), (3, "ftp://h.org/", html)], "k int, url string, html string")
+    assert rows(documents.pdf_links(pages, "k", "html", "url"), "k", "links") == [(1, ["https://h.org/p/a.pdf?x=1", "https://h.org/b.pdf"]), (2, []), (3, [])]
+
+
+def test_tei_parts_and_faults(spark):
+    good = '<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><fileDesc><titleStmt><title>T</title></titleStmt></fileDesc><profileDesc><abstract><p>A b</p></abstract></profileDesc></teiHeader><text><body><p>loose</p><div><head>H</head><p>c</p><figure><head>F</head><figDesc>plot</figDesc></figure></div></body><back><listBibl><bibl>R 1</bibl></listBibl></back></text></TEI>'
+    parsed = documents.parse_tei(spark.createDataFrame([(1, good), (2, "<TEI>"), (3, None), (4, '<!DOCTYPE x [<!ENTITY a "b">]><x>&a;</x>')], "doc int, xml string"))
+    assert rows(parsed.where("doc = 1"), "part", "section_ord", "heading", "text") == [("abstract", None, None, "A b"), ("caption", 0, "F", "plot"), ("paragraph", -1, None, "loose"), ("paragraph", 0, "H", "c"), ("reference", None, None, "R 1"), ("title", None, None, "T")]
+    assert rows(parsed.where("doc > 1"), "doc", "part") == [(2, "malformed"), (3, "malformed"), (4, "malformed")]
+
+
+def test_streams_go_on_where_they_were(spark, tmp_path):
+    """A second run reads only what came since, and merges it with what was known."""
+    table, home, schema = f"{tmp_path}/in", f"file://{tmp_path}/home", "k string, seq int, v string"
+    write = lambda data: spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(table)
+    write([("a", 5, "five"), ("b", 2, "two")])
+    assert rows(stream.merged_pages(spark, table, schema, ["k"], "seq", home=f"{home}/m"), "k", "v") == [("a", "five"), ("b", "two")]
+    assert rows(stream.last_status(spark, table, schema, "k", "v", "seq", home=f"{home}/s"), "k", "v", "n") == [("a", "five", 1), ("b", "two", 1)]
+    write([("a", 3, "three"), ("c", 1, "one")])
+    for _ in range(2):  # the second time there is nothing new
+        assert rows(stream.merged_pages(spark, table, schema, ["k"], "seq", home=f"{home}/m"), "k", "v") == [("a", "three"), ("b", "two"), ("c", "one")]
+        assert rows(stream.last_status(spark, table, schema, "k", "v", "seq", home=f"{home}/s"), "k", "v", "n") == [("a", "five", 2), ("b", "two", 1), ("c", "one", 1)]
