@@ -44,17 +44,24 @@ LEVEL = 3
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, size: int) -> DataFrame:
     """``(doc_id, label, text)`` of at most so many rows and bytes a class, by
     hash of the id; texts over ``1 / LONG`` of the bytes come after all others,
-    the shortest first, so that none of them ends the sample before it is full."""
+    the shortest first, so that none of them ends the sample before it is full. Of
+    rows that repeat an id the one of the shortest place and first text counts."""
     known = labels.where(f"doc_id is not null and {label} in (0, 1)").groupBy("doc_id").agg(F.min(label).alias("label"))
     length, order = F.octet_length("text"), F.xxhash64("doc_id")
     held = docs.where("text is not null").select("doc_id", "text", F.when(length > size // LONG, length).otherwise(0).alias("late"))
     ids = held.select("doc_id", "late").join(known, "doc_id").groupBy("doc_id", "label").agg(F.min("late").alias("late"))
-    best = ids.withColumn("deal", F.pmod(order, F.lit(DEALS)))
-    for key in (["label", "deal"], ["label"]):  # no task orders all rows of a label, only the best of each deal
+    bucket = F.when(F.col("late") == 0, F.shiftright(order, 52)).otherwise(2048 + F.floor(F.log2("late") * 64)).cast("int")  # grows with the order
+    ids = ids.withColumn("bucket", bucket)
+    before = F.sum("n").over(Window.partitionBy("label").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    counts = ids.groupBy("label", "bucket").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(before, F.lit(0)))
+    first = counts.where(F.col("before") < rows).select("label", "bucket")  # some thousand buckets a label, whatever the corpus holds
+    best = ids.join(F.broadcast(first), ["label", "bucket"]).withColumn("deal", F.pmod(order, F.lit(DEALS)))
+    for key in (["label", "deal"], ["label"]):  # and where a bucket is large, only the best of each deal are ranked together
         rank = F.row_number().over(Window.partitionBy(*key).orderBy("late", order, "doc_id"))
         best = best.withColumn("rank", rank).where(F.col("rank") <= rows).drop("rank")
     chosen = best.select("doc_id", "label")
     texts = held.join(F.broadcast(chosen), "doc_id")  # at most 2 * rows ids
+    texts = texts.groupBy("doc_id", "label").agg(F.min_by(F.struct("late", "text"), F.struct("late", "text")).alias("t")).select("doc_id", "label", "t.*")
     sums = F.sum(length).over(Window.partitionBy("label").orderBy("late", order, "doc_id").rowsBetween(Window.unboundedPreceding, 0))
     return texts.withColumn("bytes", sums).where(F.col("bytes") <= size).select("doc_id", "label", "text")
 
