@@ -127,12 +127,21 @@ def overlap_pairs(matched: DataFrame, key: str, label: str) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
+#: Pages that one task sums up.
+PAGES_SUMMED = 1000
+
+
 def cumulative_unique(rows: DataFrame, label: str, page: str, key: str) -> DataFrame:
-    """For each page how many keys were seen first there, and up to it."""
+    """For each numbered page how many keys were seen first there, and up to it.
+    Pages are summed in blocks, and the blocks' sums added, so that a label with
+    many pages is no single task."""
     first = rows.groupBy(label, key).agg(F.min(page).alias(page)).groupBy(label, page).agg(F.count("*").alias("new"))
     pages = rows.select(label, page).distinct().join(first, [label, page], "left").withColumn("new", F.coalesce("new", F.lit(0).cast("long")))
-    seen = F.sum("new").over(Window.partitionBy(label).orderBy(page).rowsBetween(Window.unboundedPreceding, 0))
-    return pages.withColumn("unique_so_far", seen)
+    pages = pages.withColumn("_block", F.floor(F.col(page) / PAGES_SUMMED))
+    before = F.sum("_n").over(Window.partitionBy(label).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = pages.groupBy(label, "_block").agg(F.sum("new").alias("_n")).select(label, "_block", F.coalesce(before, F.lit(0).cast("long")).alias("_before"))
+    within = F.sum("new").over(Window.partitionBy(label, "_block").orderBy(page).rowsBetween(Window.unboundedPreceding, 0))
+    return pages.withColumn("_within", within).join(blocks, [label, "_block"]).select(label, page, "new", (F.col("_within") + F.col("_before")).alias("unique_so_far"))
 
 
 def capped(rows: DataFrame, label: str, cap: int) -> DataFrame:

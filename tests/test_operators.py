@@ -274,6 +274,13 @@ def test_runs_end_for_the_first_reason(spark):
     ]
 
 
+def test_pages_are_summed_over_blocks(spark):
+    """Two hits a page, one of them new, over more pages than a block holds."""
+    table = spark.range(2500).selectExpr("'q' as q", "id as page", "explode(array(id, 0)) as hit")
+    found = {r.page: (r.new, r.unique_so_far) for r in ingest.cumulative_unique(table, "q", "page", "hit").collect()}
+    assert found == {i: (1, i + 1) for i in range(2500)}
+
+
 def test_documents_fail_by_the_first_rule(spark):
     records = spark.createDataFrame([(1, "a field trial of rice", "include"), (2, "a field trial of rice", "include"), (3, None, "needs_fulltext"), (4, "", "include"), (5, None, "needs_fulltext"), (6, "rice", "include")], "k int, text string, screening string")
     facts = spark.createDataFrame([(1, "/evidence/study_system/experimental_scale", "field"), (1, "/evidence/crop/0", "RICE"), (2, "/evidence/study_system/experimental_scale", "pot"), (2, "/evidence/crop/0", "maize"), (5, "/evidence/crop/0", "x")], "k int, pointer string, value string")
