@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +37,25 @@ def encoded(column: pa.Array) -> Iterator[bytes]:
 
 def crc_of_id(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+def sliced(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts begin within the same ``size`` bytes; a text over that stands alone or last."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    starts = np.flatnonzero(np.diff(ends // size, prepend=-1))
+    for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(start, end - start)
+
+
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values in a row and where each begins and the last ends; null is empty."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+    return data[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def unflat(data: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """A column of binary or text out of what ``flat`` gives; bytes are not looked at."""
+    return pa.Array.from_buffers(kind, len(bounds) - 1, [None, pa.py_buffer(bounds.astype("<i4")), pa.py_buffer(np.ascontiguousarray(data))])

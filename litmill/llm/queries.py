@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from litmill.llm.chat import OP9_SQL, op9_chat_format
 from litmill.llm.decontaminate import OP3_SQL, op3_decontaminate
+from litmill.llm.infill import OP12_SQL, op12_fill_in_middle
 from litmill.llm.line_dedup import OP10_SQL, op10_line_dedup
 from litmill.llm.url_filter import OP2_SQL, op2_url_filter
 from litmill.llm.vector_search import OP5_SQL, op5_exact_topk
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_chat_format": op9_chat_format,
     "op10_line_dedup": op10_line_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 ORACLE_SQL = {
@@ -34,4 +36,5 @@ ORACLE_SQL = {
     "op8_ngram_join": OP8_SQL,
     "op9_chat_format": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op12_fill_in_middle": OP12_SQL,
 }
