@@ -11,6 +11,7 @@ from litmill.llm.vector_search import OP5_SQL, op5_exact_topk
 from litmill.llm.warc import OP1_SQL, op1_warc
 from litmill.llm.near_duplicates import OP8_SQL, op8_ngram_join
 from litmill.llm.packing import op4_best_fit_packing
+from litmill.llm.pieces import op13_sentencepiece
 from litmill.llm.quality import op6_quality
 from litmill.llm.toxicity import op7_toxicity
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_line_dedup": op10_line_dedup,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 ORACLE_SQL = {
