@@ -13,6 +13,7 @@ from litmill.llm.near_duplicates import OP8_SQL, op8_ngram_join
 from litmill.llm.packing import op4_best_fit_packing
 from litmill.llm.pieces import op13_sentencepiece
 from litmill.llm.quality import op6_quality
+from litmill.llm.resampling import OP11_SQL, op11_importance_resampling
 from litmill.llm.toxicity import op7_toxicity
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_chat_format": op9_chat_format,
     "op10_line_dedup": op10_line_dedup,
+    "op11_importance_resampling": op11_importance_resampling,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_sentencepiece": op13_sentencepiece,
 }
@@ -38,5 +40,6 @@ ORACLE_SQL = {
     "op8_ngram_join": OP8_SQL,
     "op9_chat_format": OP9_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op11_importance_resampling": OP11_SQL,
     "op12_fill_in_middle": OP12_SQL,
 }
