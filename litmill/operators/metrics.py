@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from litmill.functions.text import item_key, prf
+from litmill.operators.intervals import overlap_join
 from litmill.operators.quality import first_true
 
 
@@ -147,7 +148,7 @@ def span_overlap(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataF
     """Spans of two sides that share characters, within a key."""
     a = left.select(*key, F.col("a_start").alias("s1"), F.col("a_end").alias("e1"))
     b = right.select(*key, F.col("a_start").alias("s2"), F.col("a_end").alias("e2"))
-    return a.join(b, list(key)).where("s1 < e2 and s2 < e1")
+    return overlap_join(a, b, key, ("s1", "e1"), ("s2", "e2"))
 
 
 def same_span(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -100,15 +100,20 @@ PACKED = r"regexp_replace({}, '\s+', '', 'g')"
 
 @query(
     "relocate_quote",
-    f"""WITH p AS (SELECT conv_id AS doc, turn AS id, {PACKED.format("coalesce(text, '')")} AS t FROM conversations), q AS (SELECT conv_id AS doc, turn AS quote_id, CASE WHEN turn % 3 = 0 THEN turn ELSE turn + 1 END AS paragraph_id, {PACKED.format("substr(text, 5, 40)")} AS q FROM conversations),
-h AS (SELECT q.doc, quote_id, bool_or(p.id = paragraph_id) AS here, count(*) AS n, min(p.id) AS dest FROM q JOIN p ON p.doc = q.doc AND q.q <> '' AND contains(p.t, q.q) GROUP BY ALL)
+    f"""WITH p AS (SELECT conv_id AS doc, turn AS id, {PACKED.format("coalesce(text, '')")} AS t FROM conversations), s AS (SELECT conv_id AS doc, turn, coalesce(text, '') AS text, unnest(range(length(coalesce(text, '')) // 90 + 1)) AS k FROM conversations),
+q AS (SELECT doc, turn * 1000000 + k AS quote_id, CASE WHEN k % 3 = 0 THEN turn ELSE turn + 1 END AS paragraph_id, CASE WHEN k % 11 = 5 THEN 2 ELSE 1 END AS page, {PACKED.format("substr(text, k * 90 + 1, [40, 3, 120, 1, 17][k % 5 + 1]) || CASE WHEN k % 8 = 6 THEN '~' ELSE '' END")} AS q FROM s),
+h AS (SELECT q.doc, quote_id, bool_or(p.id = paragraph_id AND page = 1) AS here, count(*) AS n, min(p.id) AS dest FROM q JOIN p ON p.doc = q.doc AND q.q <> '' AND contains(p.t, q.q) GROUP BY ALL)
 SELECT q.doc, q.quote_id, CASE WHEN here THEN 'verified' WHEN n = 1 THEN 'relocated' ELSE 'unverified' END AS status, CASE WHEN NOT here AND n = 1 THEN dest END AS proposed FROM q LEFT JOIN h ON h.doc = q.doc AND h.quote_id = q.quote_id""",
 )
 def relocate_quote(spark, sf_dir):
+    """Quotes of five lengths all along each turn; some are altered, some name the turn or the page after."""
     rows = paragraphs(spark, sf_dir).withColumn("text", F.coalesce("text", F.lit("")))
-    turn = F.col("section_ord")
+    turn, k = F.col("section_ord"), F.col("k")
     paras = rows.select("doc", turn.alias("paragraph_id"), F.lit(1).alias("page"), "text")
-    quotes = rows.select("doc", turn.alias("quote_id"), F.when(turn % 3 == 0, turn).otherwise(turn + 1).alias("paragraph_id"), F.lit(1).alias("page"), F.substring("text", 5, 40).alias("quote"))
+    cuts = rows.select("doc", "section_ord", "text", F.explode(F.sequence(F.lit(0), F.floor(F.length("text") / 90).cast("int"))).alias("k"))
+    length = F.element_at(F.array(*map(F.lit, (40, 3, 120, 1, 17))), k % 5 + 1)
+    quote = F.concat(F.substring("text", k * 90 + 1, length), F.when(k % 8 == 6, "~").otherwise(""))
+    quotes = cuts.select("doc", (turn * 1000000 + k).alias("quote_id"), F.when(k % 3 == 0, turn).otherwise(turn + 1).alias("paragraph_id"), F.when(k % 11 == 5, 2).otherwise(1).alias("page"), quote.alias("quote"))
     return ops.relocate(quotes, paras).select("doc", "quote_id", "status", "proposed")
 
 
@@ -152,16 +157,26 @@ def reference_compare(spark, sf_dir):
     return ops.compare_to_reference(merged, reference, ["k"]).select("k", "status")
 
 
-@query("line_cooccur", f"WITH {SENTENCES} SELECT doc, n, CAST(n % 3 > 0 AND n % 4 > 0 AS BIGINT) AS lines FROM (SELECT DISTINCT doc, n FROM s)")
+@query(
+    "line_cooccur",
+    r"""WITH l AS (SELECT l_suppkey AS page, l_orderkey AS o, l_linenumber AS n, 'T' || l_partkey % 50 || ' and ' || l_returnflag || '-' || l_orderkey % 97 || ': ' || CAST(l_quantity AS INT) || '.5 of ' || l_shipdate::DATE AS line FROM lineitem),
+t AS (SELECT page, o, n, line, CASE WHEN n % 3 = 0 THEN upper(split_part(line, ' ', 1)) ELSE lower(split_part(line, ' ', 3)[1:-2]) END AS label, CASE WHEN n % 4 = 0 THEN split_part(line, ' ', 4)[1:-3] WHEN n % 4 = 1 THEN split_part(line, ' ', 4)[1:-2] ELSE split_part(line, ' ', 4) END AS number FROM l),
+c AS (SELECT page, label, number FROM t GROUP BY ALL),
+h AS (SELECT c.page, c.label, c.number, count(*) AS lines FROM c JOIN l ON l.page = c.page AND CASE WHEN contains(lower(l.line), lower(c.label)) AND contains(l.line, c.number) THEN regexp_matches(l.line, '(^|[^A-Za-z0-9])' || regexp_escape(c.label) || '($|[^A-Za-z0-9])', 'i') AND regexp_matches(l.line, '(^|[^A-Za-z0-9])' || regexp_escape(c.number) || '($|[^A-Za-z0-9])', 'i') ELSE false END GROUP BY ALL)
+SELECT t.page, o, n, coalesce(lines, 0) AS lines FROM t LEFT JOIN h ON h.page = t.page AND h.label = t.label AND h.number = t.number""",
+)
 def line_cooccur(spark, sf_dir):
-    """Each line of an order says its own number; some results name a number that
-    the page doesn't hold, or that of another line."""
-    n = F.col("n")
-    rows = sentences(spark, sf_dir).select("doc", "n").distinct()
-    pages = rows.groupBy(F.col("doc").alias("page")).agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("T"), n.cast("string"), F.lit(" value "), (n * 10).cast("string")))), "\n").alias("text"))
-    number = F.when(n % 4 == 0, (n - 1) * 10).when(n % 3 == 0, n * 10 + 5).otherwise(n * 10)
-    results = rows.select(F.concat_ws("-", "doc", "n").alias("result_id"), F.col("doc").alias("page"), "n", F.concat(F.lit("t"), n.cast("string")).alias("label"), number.cast("string").alias("number"))
-    return ops.line_cooccurrence(results, pages).select(F.col("page").alias("doc"), "n", "lines")
+    """Each supplier's page has a line for each of its order lines; results name
+    labels in another case, whole numbers and parts of them."""
+    whole = F.concat(F.lit("T"), (F.col("l_partkey") % 50).cast("string"), F.lit(" and "), "l_returnflag", F.lit("-"), (F.col("l_orderkey") % 97).cast("string"), F.lit(": "), F.col("l_quantity").cast("int").cast("string"), F.lit(".5 of "), F.col("l_shipdate").cast("date").cast("string"))
+    rows = a.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("page"), F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), whole.alias("line"))
+    part, n = lambda i: F.split_part("line", F.lit(" "), F.lit(i)), F.col("n")
+    less = lambda c, k: F.expr(f"left({c}, length({c}) - {k})")
+    rows = rows.withColumns({"w3": part(3), "w4": part(4)})
+    label = F.when(n % 3 == 0, F.upper(part(1))).otherwise(F.lower(less("w3", 1)))
+    number = F.when(n % 4 == 0, less("w4", 2)).when(n % 4 == 1, less("w4", 1)).otherwise(F.col("w4"))
+    pages = rows.groupBy("page").agg(F.array_join(F.collect_list("line"), "\n").alias("text"))
+    return ops.line_cooccurrence(rows.select("page", "o", "n", label.alias("label"), number.alias("number")), pages).select("page", "o", "n", "lines")
 
 
 FLAGS = """l AS (SELECT l_orderkey AS doc, l_linenumber AS n, l_quantity AS q, l_returnflag AS r FROM lineitem), o AS (SELECT l.*, CAST(n AS VARCHAR) AS p FROM l),
@@ -237,14 +252,13 @@ def first_hits(spark, sf_dir):
     return ops.first_hits(paragraphs(spark, sf_dir), PATTERNS).select("doc", "kind", "rank", "section_ord", F.col("at").alias("place"))
 
 
-BOXES = ((0, 10, 0.0, 0.05, "a"), (10, 30, 0.0, 0.05, "b"), (0, 30, 0.05, 0.2, "c"))
-
-
-@query("cells_from_points", "SELECT l_orderkey AS page, box, string_agg(l_returnflag, '' ORDER BY l_quantity, l_linenumber, l_returnflag) AS text, count(*) AS points FROM lineitem JOIN (VALUES " + ", ".join(map(str, BOXES)) + ") b(xl, xh, yl, yh, box) ON l_quantity >= xl AND l_quantity < xh AND l_discount >= yl AND l_discount < yh GROUP BY ALL")
+@query("cells_from_points", "WITH b AS (SELECT s_suppkey AS page, i * 100 + j AS box, i * 5 AS xl, CASE WHEN i = 9 THEN 'infinity'::DOUBLE ELSE i * 5 + 5 + i % 3 END AS xh, j / 50 AS yl, (j + 1) / 50 AS yh FROM supplier, range(10) t(i), range(6) u(j)) SELECT page, box, string_agg(l_returnflag, '' ORDER BY l_quantity, l_orderkey * 10 + l_linenumber, l_returnflag) AS text, count(*) AS points FROM lineitem JOIN b ON l_suppkey = page AND l_quantity >= xl AND l_quantity < xh AND l_discount >= yl AND l_discount < yh GROUP BY ALL")
 def cells_from_points(spark, sf_dir):
-    points = a.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_quantity").alias("x"), F.col("l_discount").alias("y"), F.col("l_linenumber").alias("seq"), F.col("l_returnflag").alias("ch"))
-    each = F.explode(F.array(*(F.struct(*(F.lit(v).cast("double" if i < 4 else "string").alias(n) for i, (v, n) in enumerate(zip(b, ("x_low", "x_high", "y_low", "y_high", "box"))))) for b in BOXES)))
-    boxes = points.select("page").distinct().withColumn("b", each).select("page", "b.*")
+    """A supplier's order lines as points on its page, in rows and columns of which some overlap and the last is open."""
+    points = a.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("page"), F.col("l_quantity").alias("x"), F.col("l_discount").alias("y"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.col("l_returnflag").alias("ch"))
+    boxes = a.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("page"), F.explode(F.sequence(F.lit(0), F.lit(9))).alias("i")).select("*", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("j"))
+    i, j = F.col("i").cast("double"), F.col("j")
+    boxes = boxes.select("page", (F.col("i") * 100 + j).cast("long").alias("box"), (i * 5).alias("x_low"), F.when(i == 9, float("inf")).otherwise(i * 5 + 5 + i % 3).alias("x_high"), (j / 50).alias("y_low"), ((j + 1) / 50).alias("y_high"))
     return ops.cells(points, boxes, "page")
 
 

@@ -359,9 +359,23 @@ def moved(spark, sf_dir):
     return rows.withColumn("a_start", F.when(even, F.col("a_start")).otherwise(F.col("a_start") + 25)).withColumn("a_end", F.when(even, F.col("a_end")).otherwise(F.col("a_end") + 40))
 
 
-@query("span_overlap", f"WITH {TWO} SELECT x.uid, x.lang, x.a_start AS s1, x.a_end AS e1, y.a_start AS s2, y.a_end AS e2 FROM anchors x JOIN y ON x.uid = y.uid AND x.lang = y.lang AND x.a_start < y.a_end AND y.a_start < x.a_end")
+#: Spans all along each text: of one length, and shifted ones of which some are long and some go on to the end.
+ALONG = "sp AS (SELECT doc_id AS uid, lang, text, length(text) AS chars, unnest(range((length(text) - 1) // 40 + 1)) AS place FROM documents WHERE length(text) > 0)"
+
+
+@query(
+    "span_overlap",
+    f"""WITH {ALONG}, x AS (SELECT uid, lang, place * 40 AS s1, place * 40 + 30 AS e1 FROM sp), y AS (SELECT uid, CASE WHEN place % 9 = 4 THEN 'other' ELSE lang END AS lang, place * 40 + 25 AS s2, CASE WHEN place % 60 = 7 THEN chars WHEN place % 7 = 3 THEN place * 40 + 625 WHEN place % 5 = 1 THEN place * 40 + 25 ELSE place * 40 + 45 END AS e2 FROM sp)
+SELECT x.uid, x.lang, s1, e1, s2, e2 FROM x JOIN y ON x.uid = y.uid AND x.lang = y.lang AND greatest(s1, s2) < least(e1, e2)""",
+)
 def span_overlap(spark, sf_dir):
-    return metrics.span_overlap(anchors(spark, sf_dir), moved(spark, sf_dir), ["uid", "lang"])
+    rows = a.table(spark, sf_dir, "documents").where("length(text) > 0").select(F.col("doc_id").alias("uid"), "lang", F.length("text").cast("long").alias("chars"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(chars - 1) div 40"))).alias("place"))
+    place, at = F.col("place"), F.col("place") * 40
+    left = rows.select("uid", "lang", at.alias("a_start"), (at + 30).alias("a_end"))
+    end = F.when(place % 60 == 7, F.col("chars")).when(place % 7 == 3, at + 625).when(place % 5 == 1, at + 25).otherwise(at + 45)
+    right = rows.select("uid", F.when(place % 9 == 4, "other").otherwise(F.col("lang")).alias("lang"), (at + 25).alias("a_start"), end.alias("a_end"))
+    return metrics.span_overlap(left, right, ["uid", "lang"])
 
 
 @query("same_span", f"WITH {TWO} SELECT x.uid, x.a_start, x.a_end, x.quote, x.lang AS field_a, y.field AS field_b FROM anchors x JOIN y ON x.uid = y.uid AND x.a_start = y.a_start AND x.a_end = y.a_end AND x.quote = y.quote WHERE x.lang <> y.field")
