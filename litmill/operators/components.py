@@ -9,12 +9,32 @@ from pyspark.sql import functions as F
 
 from litmill.sources.scratch import Scratch
 
+#: Edges of a node that one task may join; a node with more is a hub.
+HUB_EDGES = 50_000
+#: There are never more hubs than this, so they can be broadcast.
+MOST_HUBS = 4_000
 
-def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+
+def beside_least(edges: DataFrame, count: int, hub_edges: int) -> DataFrame:
+    """``(u, v, m)``: edges ``(u, v)`` with the least ``v`` of their ``u``. Minima
+    are summed up before the shuffle. Of ``count`` edges only ``count / limit``
+    nodes can have over ``limit``: these few get theirs by broadcast, where their
+    edges lie, so no task holds all edges of a hub; others are joined by node."""
+    limit = max(hub_edges, -(-count // MOST_HUBS))
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    if count <= limit:
+        return edges.join(least.drop("n"), "u")
+    hubs = F.broadcast(least.where(F.col("n") > limit).select("u", F.col("m").alias("hub")))
+    marked = edges.join(hubs, "u", "left")
+    rest = marked.where("hub is null").drop("hub").join(least.where(F.col("n") <= limit).drop("n"), "u")
+    return marked.where("hub is not null").select("u", "v", F.col("hub").alias("m")).unionAll(rest.select("u", "v", "m"))
+
+
+def components(edges: DataFrame, scratch: Scratch, hub_edges: int = HUB_EDGES) -> DataFrame:
     """``(node, root)`` for every node of ``edges (a, b)``; the root is the
     smallest node that can be reached. Rounds grow with the logarithm of the
-    size; a node's neighbours are aggregated, never gathered, and each round is
-    written to the shared folder."""
+    size; a node's neighbours are aggregated, never gathered or joined in one
+    task, and each round is written to the shared folder."""
     now = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
     while True:
@@ -24,11 +44,10 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         before = mark
         # Large star: every larger neighbour of a node points at the smallest around it.
         ways = now.unionAll(now.select("v", "u")).toDF("u", "v")
-        least = ways.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = ways.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = beside_least(ways, 2 * mark[0], hub_edges).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         # Small star: a node and its smaller neighbours point at the smallest of them.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.toDF("u", "v"))
+        around = beside_least(large, mark[0], hub_edges)
+        small = around.select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
         after = scratch.save(small.where("u <> v").distinct(), "stars")
         scratch.drop(now)
         now = after
