@@ -90,30 +90,20 @@ def identity_key(c: Column) -> Column:
     return _identity(c, F.regexp_replace(F.lower(c), r"[\s\x1c-\x1f]+", ""))
 
 
-def similarity_over(least: float):
-    """``similarity`` where it may be ``least`` or more; else a bound above it
-    that is less: the one of the lengths, or of the letters, which are cheap."""
+@F.pandas_udf(T.DoubleType())
+def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Share of matching blocks of two texts; 0 where one is empty. Where one text
+    holds the other that is all of the shorter one. Else it is quadratic for a
+    pair, so only for pairs that a join has found."""
 
-    def one(a: str, b: str) -> float:
-        bound = 2 * min(len(a), len(b)) / (len(a) + len(b))
+    def one(a: str | None, b: str | None) -> float:
+        if not a or not b:
+            return 0.0
         if a in b or b in a:
-            return bound  # then the bound is what is matched
-        match = difflib.SequenceMatcher(None, a, b, autojunk=False) if bound >= least else None
-        bound = match.quick_ratio() if match else bound
-        return match.ratio() if bound >= least else bound
-
-    @F.pandas_udf(T.DoubleType())
-    def bounded(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([one(a, b) if a and b else 0.0 for a, b in zip(left, right)], dtype="float64")
+            return 2 * min(len(a), len(b)) / (len(a) + len(b))
+        return difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
 
-    return bounded
-
-
-@F.pandas_udf(T.DoubleType())
-def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Share of matching blocks of two texts; 0 where one is empty. Quadratic
-    for a pair, so only for pairs that a join has found."""
-    return pd.Series([difflib.SequenceMatcher(None, a, b, autojunk=False).ratio() if a and b else 0.0 for a, b in zip(left, right)], dtype="float64")
+    return pd.Series([one(a, b) for a, b in zip(left, right)], dtype="float64")
 
 
 #: What a page has beside text: comments and declarations, elements that no one
@@ -134,6 +124,12 @@ def visible_text(pages: pd.Series) -> pd.Series:
     return pages.map(one, na_action="ignore")
 
 
+def unmarked(c: Column) -> Column:
+    """Text without tags and entities, where it has any."""
+    marked = c.rlike("[<&]")
+    return F.when(marked, visible_text(F.when(marked, c))).otherwise(c)
+
+
 def page_links(page: Column, base: Column, n: int = 2) -> Column:
     """The first ``n`` distinct link targets of a page, rooted ones resolved."""
     root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
@@ -249,23 +245,13 @@ def unique_position(text: Column, part: Column) -> Column:
     return F.when((at > 0) & (F.instr(rest, part) == 0), at - 1)
 
 
-#: Up to so many words a side the blocks are those of a plain sequence match.
-DIFF_WORDS = 1800
-
-
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def changed_blocks(left: pd.Series, right: pd.Series) -> pd.Series:
-    """The first five changed blocks between two texts, word by word. Of longer
-    texts what both begin and end with is set aside first, being unchanged."""
+    """The first five changed blocks between two texts of any length, word by word."""
 
     def one(a: str | None, b: str | None) -> list[str]:
         x, y = (a or "").split(), (b or "").split()
-        if max(len(x), len(y)) > DIFF_WORDS:
-            head = next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
-            x, y = x[head:], y[head:]
-            tail = next((i for i, (p, q) in enumerate(zip(reversed(x), reversed(y))) if p != q), min(len(x), len(y)))
-            x, y = x[: len(x) - tail], y[: len(y) - tail]
-        codes = difflib.SequenceMatcher(None, x, y, autojunk=False).get_opcodes()
+        codes = difflib.SequenceMatcher(None, x, y, autojunk=False).get_opcodes() if x != y else []
         return [f"{kind}: {' '.join(x[i:j])} -> {' '.join(y[k:m])}" for kind, i, j, k, m in codes if kind != "equal"][:5]
 
     return pd.Series([one(a, b) for a, b in zip(left, right)])

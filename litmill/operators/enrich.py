@@ -6,33 +6,41 @@ import itertools
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from litmill.functions.text import similarity, similarity_over
+from litmill.functions.text import empty_to_null, normalize_doi, similarity, title_key, unmarked
 from litmill.operators.quality import all_true, text_gate
 
 TITLE_RATIO, AGREEMENT = 0.85, 0.90
 
 
+def folded_similarity(a: Column, b: Column) -> Column:
+    """Similarity of two texts that are folded already, to six digits; equal ones need no matching."""
+    same = (a == b) & (a != "")
+    return F.when(same, 1.0).otherwise(F.round(similarity(F.when(~F.coalesce(same, F.lit(False)), a), b), 6))
+
+
 def validate(candidates: DataFrame) -> DataFrame:
-    """Candidates with ``accepted``, the reasons against and warnings. Title
-    ratios are computed only where titles differ and DOIs agree."""
-    same = F.col("title") == F.col("candidate_title")
-    ratio = F.when(same, 1.0).otherwise(similarity(F.when(~same & (F.col("doi") == F.col("candidate_doi")), F.col("title")), F.col("candidate_title")))
-    gap = F.abs(F.col("publish_year") - F.col("candidate_year"))
-    gate = text_gate(F.col("candidate_text"))
-    rows = candidates.withColumn("ratio", ratio).withColumn("gate", gate)
+    """Candidates with ``accepted``, the reasons against and warnings. DOIs are
+    compared in their canonical form, titles folded and without markup; a year
+    that is one off is a warning, a larger gap a reason. A ``parse_warning`` of
+    the provider's answer is a warning too, where there is such a column."""
+    doi, year = normalize_doi(F.col("doi")), F.col("candidate_year") - F.col("publish_year")
+    ratio = folded_similarity(title_key(F.col("title")), title_key(unmarked(F.col("candidate_title"))))
+    rows = candidates.withColumn("ratio", ratio).withColumn("gate", text_gate(F.col("candidate_text")))
     reasons = all_true(
         {
-            "doi_mismatch": ~F.col("doi").eqNullSafe(F.col("candidate_doi")) | F.col("doi").isNull(),
+            "doi_mismatch": ~F.coalesce(doi == normalize_doi(F.col("candidate_doi")), F.lit(False)),
             "title_missing": F.col("candidate_title").isNull(),
             "title_mismatch": F.col("candidate_title").isNotNull() & (F.col("ratio") < TITLE_RATIO),
-            "year_mismatch": gap > 1,
+            "year_mismatch": F.abs(year) > 1,
             "text_unusable": F.col("gate") != "ok",
         }
     )
-    warnings = all_true({"year_missing": F.col("candidate_year").isNull()})
+    warnings = all_true({"year_missing": year.isNull(), "publication_year_differs": year != 0})
+    if "parse_warning" in candidates.columns:
+        warnings = F.array_compact(F.array_append(warnings, empty_to_null(F.col("parse_warning"))))
     return rows.withColumn("reasons", reasons).withColumn("warnings", warnings).withColumn("accepted", F.size("reasons") == 0)
 
 
@@ -45,14 +53,12 @@ def by_provider(records: DataFrame, answers: DataFrame, providers: Sequence[str]
 
 
 def agreement(accepted: DataFrame, key: str) -> DataFrame:
-    """Similarity of every two accepted candidates of a record, or below
-    ``AGREEMENT`` a bound above it."""
-    left = accepted.select(key, F.col("priority").alias("a"), F.col("candidate_text").alias("text_a"))
-    right = accepted.select(key, F.col("priority").alias("b"), F.col("candidate_text").alias("text_b"))
+    """Similarity of every two accepted candidates of a record, case, width and
+    punctuation aside. A record has as many as there are providers."""
+    folded = accepted.select(key, "priority", title_key(F.col("candidate_text")).alias("folded"))
+    left, right = (folded.select(key, F.col("priority").alias(n), F.col("folded").alias(f"text_{n}")) for n in "ab")
     pairs = left.join(right, key).where("a < b")
-    differ = F.col("text_a") != F.col("text_b")
-    score = F.when(~differ, 1.0).otherwise(similarity_over(AGREEMENT)(F.when(differ, F.col("text_a")), F.col("text_b")))
-    return pairs.select(key, "a", "b", score.alias("similarity"))
+    return pairs.select(key, "a", "b", folded_similarity(F.col("text_a"), F.col("text_b")).alias("similarity"))
 
 
 def select_source(records: DataFrame, candidates: DataFrame, pairs: DataFrame, key: str) -> DataFrame:

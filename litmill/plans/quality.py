@@ -35,15 +35,21 @@ def topic_tags(spark, sf_dir):
     return a.records(spark, sf_dir).select("pos", F.explode(tags).alias("t")).select("pos", "t.topic", F.array_join("t.fields", ",").alias("fields"))
 
 
-GATE = r"""CASE WHEN {c} IS NULL OR trim({c}) = '' THEN 'empty' WHEN length({c}) < 120 THEN 'short' WHEN length({c}) > 60000 THEN 'oversized'
- WHEN regexp_matches({c}, '<[a-zA-Z/!][^>]*>') THEN 'markup' WHEN length(regexp_replace({c}, '[^\p{{L}}]', '', 'g')) < 0.35 * length({c}) THEN 'few_letters'
- WHEN length({c}) - length(regexp_replace({c}, '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g')) > 0.01 * length({c}) THEN 'control_characters' ELSE 'ok' END"""
+BLANKS = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+GATE = r"""CASE WHEN {c} IS NULL OR trim({c}, BLANKS) = '' THEN 'empty' WHEN length(trim({c}, BLANKS)) < 120 THEN 'short' WHEN length({c}) > 60000 THEN 'oversized'
+ WHEN regexp_matches({c}, '<[a-zA-Z/][^>]*>') THEN 'markup' WHEN length(regexp_replace({c}, '[^\p{{L}}]', '', 'g')) < 0.35 * length({c}) THEN 'few_letters'
+ WHEN length({c}) - length(regexp_replace({c}, '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g')) > 0.01 * length({c}) THEN 'control_characters' ELSE 'ok' END""".replace("BLANKS", BLANKS)
+#: Texts altered so that every reason occurs, and some that come near to one.
+ALTERED = """CASE doc_id % 9 WHEN 0 THEN concat('  ', chr(9), chr(10)) WHEN 1 THEN concat('<!-- x -->', text) WHEN 2 THEN concat(text, '</b>') WHEN 3 THEN concat(repeat(' ', 130), substr(text, 1, 110))
+ WHEN 4 THEN concat(text, repeat('1 ', length(text))) WHEN 5 THEN concat(text, repeat(chr(2), 2 + CAST(floor(length(text) * 0.02) AS INT))) WHEN 6 THEN repeat(text, CAST(ceil(60001 / greatest(length(text), 1)) AS INT)) WHEN 7 THEN NULL ELSE concat(text, repeat(' ', 60001)) END"""
 
 
-@query("text_gate", f"SELECT doc_id, {GATE.format(c='text')} AS gate FROM documents UNION ALL SELECT page_id, {GATE.format(c='html')} FROM pages")
+@query("text_gate", f"SELECT doc_id, {GATE.format(c='text')} AS gate FROM documents UNION ALL SELECT page_id, {GATE.format(c='html')} FROM pages UNION ALL SELECT doc_id, {GATE.format(c='t')} FROM (SELECT doc_id, {ALTERED} AS t FROM documents)")
 def text_gate(spark, sf_dir):
-    docs = a.table(spark, sf_dir, "documents").select("doc_id", ops.text_gate(F.col("text")).alias("gate"))
-    return docs.unionAll(a.table(spark, sf_dir, "pages").select("page_id", ops.text_gate(F.col("html"))))
+    docs = a.table(spark, sf_dir, "documents")
+    out = docs.select("doc_id", ops.text_gate(F.col("text")).alias("gate"))
+    out = out.unionAll(a.table(spark, sf_dir, "pages").select("page_id", ops.text_gate(F.col("html"))))
+    return out.unionAll(docs.select("doc_id", F.expr(ALTERED).alias("t")).select("doc_id", ops.text_gate(F.col("t"))))
 
 
 @query(
@@ -180,32 +186,40 @@ def failure_class(spark, sf_dir):
     return a.table(spark, sf_dir, "events").select("event_id", kind.alias("kind"), message.alias("message"))
 
 
+#: Answers of three providers: of another text, in capitals, cut, in letters that no record has; titles and DOIs in several forms.
+LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+GREEK = "ωψφ χυτ "
+CAPITALS = f"translate({{}}, '{LOWER}', '{UPPER}')"
+CANDIDATE = {
+    "candidate_text": f"CASE WHEN pos % 7 = 0 THEN other WHEN pos % 7 = 3 AND priority = 3 THEN repeat('{GREEK}', 20) WHEN priority = 2 THEN substr(abstract, 1, CAST(floor(length(abstract) * 0.95) AS INT)) WHEN pos % 2 = 0 THEN {CAPITALS.format('abstract')} ELSE abstract END",
+    "candidate_doi": f"CASE WHEN pos % 13 = 5 THEN '10.5555/other' WHEN priority = 1 THEN concat('https://doi.org/', {CAPITALS.format('doi')}) WHEN priority = 2 THEN concat('doi: ', doi) ELSE doi END",
+    "candidate_title": f"CASE pos % 9 WHEN 0 THEN NULL WHEN 4 THEN '{GREEK}' WHEN 5 THEN concat('<i>', {CAPITALS.format('title')}, '</i>!') WHEN 6 THEN concat(replace(title, ' ', '  - '), ' ...') ELSE title END",
+    "candidate_year": "CASE pos % 4 WHEN 1 THEN publish_year + 2 WHEN 2 THEN NULL WHEN 3 THEN publish_year - 1 ELSE publish_year END",
+}
 CANDIDATES = f"""{a.RECORDS_CTE}, b AS (SELECT item_id, text AS other FROM benchmark), n AS (SELECT count(*) AS n FROM benchmark),
-cand AS (SELECT r.*, p.provider, p.priority, p.k, CASE WHEN pos % 7 = 0 THEN b.other WHEN p.priority = 2 THEN substr(abstract, 1, CAST(floor(length(abstract) * 0.95) AS BIGINT)) ELSE abstract END AS candidate_text
- FROM records r JOIN (VALUES ('one', 1, 2), ('two', 2, 3), ('three', 3, 5)) p(provider, priority, k) ON r.pos % p.k <> 0 LEFT JOIN n ON true LEFT JOIN b ON b.item_id = r.pos % n.n)"""
+cand AS (SELECT *, {', '.join(f'{e} AS {c}' for c, e in CANDIDATE.items())} FROM (SELECT r.*, p.provider, p.priority, p.k, b.other
+ FROM records r JOIN (VALUES ('one', 1, 2), ('two', 2, 3), ('three', 3, 5)) p(provider, priority, k) ON r.pos % p.k <> 0 LEFT JOIN n ON true LEFT JOIN b ON b.item_id = r.pos % n.n))"""
 
 
 def candidates(spark, sf_dir):
-    """Three answers a record at most; some are cut, some of another text."""
+    """Three answers a record at most."""
     rows, others = a.records(spark, sf_dir), a.table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("other"))
     n = others.count()
     made = F.explode(F.array(*(F.struct(F.lit(p).alias("provider"), F.lit(i).alias("priority"), F.lit(k).alias("k")) for p, i, k in (("one", 1, 2), ("two", 2, 3), ("three", 3, 5)))))
     rows = rows.withColumn("p", made).select("*", "p.*").drop("p").where("pos % k <> 0").withColumn("item_id", F.col("pos") % n)
-    cut = F.substring(F.col("abstract"), F.lit(1), F.floor(F.length("abstract") * 0.95).cast("int"))
-    text = F.when(F.col("pos") % 7 == 0, F.col("other")).when(F.col("priority") == 2, cut).otherwise(F.col("abstract"))
-    return rows.join(others, "item_id", "left").withColumn("candidate_text", text)
+    return rows.join(others, "item_id", "left").selectExpr("*", *(f"{e} AS {c}" for c, e in CANDIDATE.items()))
 
 
 def validated(spark, sf_dir):
-    rows = candidates(spark, sf_dir).withColumn("candidate_doi", F.col("doi")).withColumn("candidate_title", F.when(F.col("pos") % 9 != 0, F.col("title")))
-    year = F.when(F.col("pos") % 4 == 1, F.col("publish_year") + 2).when(F.col("pos") % 4 == 2, F.lit(None).cast("bigint")).otherwise(F.col("publish_year") + 1)
-    return enrich.validate(rows.withColumn("candidate_year", year))
+    return enrich.validate(candidates(spark, sf_dir))
 
 
-VALID = f"""{CANDIDATES}, v AS (SELECT *, doi IS NULL AS r1, pos % 9 = 0 AS r2, pos % 4 = 1 AS r4, {GATE.format(c='candidate_text')} <> 'ok' AS r5 FROM cand)"""
+VALID = f"""{CANDIDATES}, v AS (SELECT *, doi IS NULL OR pos % 13 = 5 AS r1, pos % 9 = 0 AS r2, pos % 9 = 4 OR pos % 9 > 0 AND NOT regexp_matches(title, '[\\p{{L}}\\p{{N}}]') AS r3, pos % 4 = 1 AS r4, {GATE.format(c='candidate_text')} <> 'ok' AS r5 FROM cand)"""
+REASONS = {"doi_mismatch": "r1", "title_missing": "r2", "title_mismatch": "r3", "year_mismatch": "r4", "text_unusable": "r5"}
+REJECTED = "(" + " OR ".join(REASONS.values()) + ")"
 
 
-@query("candidate_validate", f"""WITH {VALID} SELECT pos, provider, concat_ws(',', CASE WHEN r1 THEN 'doi_mismatch' END, CASE WHEN r2 THEN 'title_missing' END, CASE WHEN r4 THEN 'year_mismatch' END, CASE WHEN r5 THEN 'text_unusable' END) AS reasons, CASE WHEN pos % 4 = 2 THEN 'year_missing' ELSE '' END AS warnings, NOT (r1 OR r2 OR r4 OR r5) AS accepted FROM v""")
+@query("candidate_validate", f"""WITH {VALID} SELECT pos, provider, concat_ws(',', {', '.join(f"CASE WHEN {r} THEN '{n}' END" for n, r in REASONS.items())}) AS reasons, CASE pos % 4 WHEN 2 THEN 'year_missing' WHEN 0 THEN '' ELSE 'publication_year_differs' END AS warnings, NOT {REJECTED} AS accepted FROM v""")
 def candidate_validate(spark, sf_dir):
     return validated(spark, sf_dir).select("pos", "provider", F.array_join("reasons", ",").alias("reasons"), F.array_join("warnings", ",").alias("warnings"), "accepted")
 
@@ -216,10 +230,18 @@ def provider_left(spark, sf_dir):
     return enrich.by_provider(a.records(spark, sf_dir), answers, ("one", "two", "three")).select("pos", "one", "two", "three")
 
 
-@query("agreement_pairs", f"WITH {VALID}, g AS (SELECT pos, priority, candidate_text AS c FROM v WHERE NOT (r1 OR r2 OR r4 OR r5)) SELECT x.pos, x.priority AS a, y.priority AS b, round(CASE WHEN x.c = y.c THEN 1.0 ELSE 2.0 * least(length(x.c), length(y.c)) / (length(x.c) + length(y.c)) END, 6) AS similarity FROM g x JOIN g y ON x.pos = y.pos AND x.priority < y.priority")
+FOLDED = r"trim(regexp_replace(replace(lower({}), 'ß', 'ss'), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+
+
+@query(
+    "agreement_pairs",
+    f"""WITH {VALID}, g AS (SELECT pos, priority, {FOLDED.format('candidate_text')} AS c, pos % 7 = 3 AND priority = 3 AS greek FROM v WHERE NOT {REJECTED}),
+p AS (SELECT x.pos, x.priority AS a, y.priority AS b, x.c = y.c AS same, y.greek AS apart, length(x.c) AS lx, length(y.c) AS ly, length(x.c) - length(replace(x.c, ' ', '')) AS sx, length(y.c) - length(replace(y.c, ' ', '')) AS sy FROM g x JOIN g y ON x.pos = y.pos AND x.priority < y.priority)
+SELECT pos, a, b, round(CASE WHEN same THEN 1.0 ELSE 2.0 * CASE WHEN apart THEN least(sx, sy) ELSE least(lx, ly) END / (lx + ly) END, 6) AS similarity FROM p""",
+)
 def agreement_pairs(spark, sf_dir):
-    good = validated(spark, sf_dir).where("accepted").select("pos", "priority", "candidate_text")
-    return enrich.agreement(good, "pos").select("pos", "a", "b", F.round("similarity", 6).alias("similarity"))
+    """Words of other letters share with a text its spaces alone; a cut text is whole in the other."""
+    return enrich.agreement(validated(spark, sf_dir).where("accepted").select("pos", "priority", "candidate_text"), "pos")
 
 
 @query("similarity")
@@ -235,12 +257,12 @@ def selected(spark, sf_dir):
     return enrich.select_source(records, rows, enrich.agreement(rows.where("accepted"), "pos"), "pos")
 
 
-SELECTED = f"""{VALID}, c AS (SELECT *, NOT (r1 OR r2 OR r4 OR r5) AS good FROM v),
-s AS (SELECT pos, arg_min(provider, priority) FILTER (WHERE good) AS best, arg_min(candidate_text, priority) FILTER (WHERE good) AS txt, bool_or(n_chars % 10 = 0) AS failed FROM c GROUP BY pos),
-z AS (SELECT r.pos, s.best, s.txt, CASE WHEN r.pos % 11 = 0 THEN r.title END AS previous, CASE WHEN r.doi IS NULL THEN 'no_doi' WHEN s.best IS NOT NULL THEN 'found' WHEN r.pos % 11 = 0 THEN 'retained_previous' WHEN coalesce(s.failed, false) THEN 'missing_with_errors' ELSE 'missing' END AS status FROM records r LEFT JOIN s USING (pos))"""
+SELECTED = f"""{VALID}, c AS (SELECT *, NOT {REJECTED} AS good FROM v),
+s AS (SELECT pos, arg_min(provider, priority) FILTER (WHERE good) AS best, arg_min(candidate_text, priority) FILTER (WHERE good) AS txt, bool_or(n_chars % 10 = 0) AS failed, pos % 7 = 3 AND bool_or(good AND priority = 3) AND bool_or(good AND priority < 3) AS conflict FROM c GROUP BY pos),
+z AS (SELECT r.pos, s.best, s.txt, CASE WHEN r.pos % 11 = 0 THEN r.title END AS previous, CASE WHEN r.doi IS NULL THEN 'no_doi' WHEN s.conflict THEN 'conflict' WHEN s.best IS NOT NULL THEN 'found' WHEN r.pos % 11 = 0 THEN 'retained_previous' WHEN coalesce(s.failed, false) THEN 'missing_with_errors' ELSE 'missing' END AS status FROM records r LEFT JOIN s USING (pos))"""
 
 
-@query("select_source", f"WITH {SELECTED} SELECT pos, status, CASE WHEN status = 'found' THEN best END AS provider, CASE WHEN status = 'found' THEN txt WHEN status = 'retained_previous' THEN previous END AS abstract FROM z")
+@query("select_source", f"WITH {SELECTED} SELECT pos, status, CASE WHEN status = 'found' THEN best END AS provider, CASE WHEN status = 'found' THEN txt WHEN status IN ('retained_previous', 'conflict') THEN previous END AS abstract FROM z")
 def select_source(spark, sf_dir):
     return selected(spark, sf_dir)
 
@@ -253,7 +275,7 @@ def coverage(spark, sf_dir):
 SETS = (("one",), ("two",), ("three",), ("one", "two"), ("one", "three"), ("two", "three"), ("one", "two", "three"))
 
 
-@query("coverage_sets", f"WITH {VALID}, s AS (SELECT pos, list(provider) AS p FROM v WHERE NOT (r1 OR r2 OR r4 OR r5) GROUP BY pos) " + " UNION ALL ".join(f"SELECT '{'+'.join(s)}' AS providers, count(*) AS n FROM s WHERE list_has_all(p, {list(s)})" for s in SETS))
+@query("coverage_sets", f"WITH {VALID}, s AS (SELECT pos, list(provider) AS p FROM v WHERE NOT {REJECTED} GROUP BY pos) " + " UNION ALL ".join(f"SELECT '{'+'.join(s)}' AS providers, count(*) AS n FROM s WHERE list_has_all(p, {list(s)})" for s in SETS))
 def coverage_sets(spark, sf_dir):
     return enrich.provider_overlaps(validated(spark, sf_dir).where("accepted"), "pos", ("one", "two", "three"))
 

@@ -1,5 +1,7 @@
 """Small literal tables against rules worked out by hand."""
 
+import difflib
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -73,7 +75,7 @@ def test_keys_and_text_functions(spark):
     assert one(spark, t.formula_guard, " =1+1") == "' =1+1" and one(spark, t.formula_guard, "a=1") == "a=1"
     assert one(spark, t.visible_text, "<p>a&amp;b<script>x</script></p><div>c</div>") == "a&b c"
     assert one(spark, t.visible_text, '<!DOCTYPE x><head><title>t</title></head><b title="a>b">x</b>y<br/>1 < 2 &eacute;<!-- <p> --><STYLE>z</STYLE >!<script>never') == "xy 1 < 2 é!"
-    scored = [one(spark, t.similarity_over(0.9), *pair) for pair in (("abcdefghij", "abcdefghiX"), ("ab", "abcdefgh"), ("abcd", "wxyz"), ("x" * 5000, "x" * 5200), ("", "a"))]
+    scored = [one(spark, t.similarity, *pair) for pair in (("abcdefghij", "abcdefghiX"), ("ab", "abcdefgh"), ("abcd", "wxyz"), ("x" * 5000, "x" * 5200), ("", "a"))]
     assert scored == [0.9, 0.4, 0.0, 10000 / 10200, 0.0]
     long = " ".join(f"w{i}" for i in range(2000))
     assert one(spark, t.changed_blocks, long, long.replace("w700 ", "").replace("w710 ", "new ")) == ["delete: w700 -> ", "replace: w710 -> new"]
@@ -93,11 +95,49 @@ def test_keys_and_text_functions(spark):
 
 
 def test_text_gate_limits(spark):
-    for said, why in {"": "empty", "a" * 119: "short", "a" * 120: "ok", "a" * 60_001: "oversized", "<p>" + "a" * 200: "markup", "1" * 90 + "a" * 40: "few_letters", "a" * 200 + "\x01" * 5: "control_characters"}.items():
-        assert one(spark, quality.text_gate, said) == why
+    said = {"": "empty", "a" * 119: "short", "a" * 120: "ok", "a" * 60_001: "oversized", "<p>" + "a" * 200: "markup", "1" * 90 + "a" * 40: "few_letters", "a" * 200 + "\x01" * 5: "control_characters"}
+    said |= {"a" * 110 + " " * 15: "short", "\u2003\n": "empty", "<!-- x -->" + "a" * 200: "ok", "a < b and c> " + "a" * 200: "ok", "</P>" + "a" * 200: "markup", "a" * 200 + " " * 60_000: "oversized", "a" * 200 + " " * 380: "few_letters"}
+    for text, why in said.items():
+        assert one(spark, quality.text_gate, text) == why
     assert one(spark, quality.text_gate, None) == "empty"
 
 
+def test_validation_folds_titles_and_dois(spark):
+    """Spellings of one title and DOI are accepted, other ones are not."""
+    text = "An abstract of a paper on salt stress in rice. " * 4
+    kinds = "i int, doi string, title string, publish_year int, candidate_doi string, candidate_title string, candidate_year int, candidate_text string, parse_warning string"
+    data = [
+        (0, "10.1/a", "SALT STRESS IN RICE, A REVIEW", 2020, "https://doi.org/10.1/A", "Salt stress in rice: a review", 2020, text, None),
+        (1, "DOI: 10.1/a", "Salt &amp; rice", 2020, "10.1/a", "<i>Salt</i> &amp; rice ", 2021, text, ""),
+        (2, "10.1/a", "Ｗｉｄｅ straße", 2020, "10.1/a", "wide STRASSE", None, text, "odd page"),
+        (3, "10.1/a", "Salt stress in rice", 2020, "10.1/b", "Growth of maize and its water", 2022, text, None),
+        (4, None, None, None, None, None, None, None, None),
+        (5, "10.1/a", "Salt stress in rice", 2020, "10.1/a", "Salt stress in the rice", 2019, text, None),
+    ]
+    got = {r.i: (r.accepted, r.reasons, r.warnings) for r in enrich.validate(spark.createDataFrame(data, kinds)).collect()}
+    assert got == {
+        0: (True, [], []),
+        1: (False, ["title_mismatch"], ["publication_year_differs"]),  # an entity in a record's own title is text
+        2: (True, [], ["year_missing", "odd page"]),
+        3: (False, ["doi_mismatch", "title_mismatch", "year_mismatch"], ["publication_year_differs"]),
+        4: (False, ["doi_mismatch", "title_missing", "text_unusable"], ["year_missing"]),
+        5: (True, [], ["publication_year_differs"]),
+    }
+
+
+def test_candidates_agree_without_regard_to_case(spark):
+    """Capitals and signs are no conflict; of texts that differ the ratio itself is told."""
+    one_text = "Salt stress in rice; a study."
+    data = [(1, 1, one_text), (1, 2, one_text.upper() + "!!"), (2, 1, one_text), (2, 2, "Growth of maize."), (3, 1, one_text)]
+    pairs = enrich.agreement(spark.createDataFrame(data, "pos int, priority int, candidate_text string"), "pos")
+    ratio = round(difflib.SequenceMatcher(None, "salt stress in rice a study", "growth of maize", autojunk=False).ratio(), 6)
+    assert {(r.pos, r.a, r.b): r.similarity for r in pairs.collect()} == {(1, 1, 2): 1.0, (2, 1, 2): ratio} and ratio < 0.6
+    records = spark.createDataFrame([(1, "d", None), (2, "d", "old"), (3, "d", None)], "pos int, doi string, previous string")
+    answers = spark.createDataFrame([(*r, f"p{r[1]}", True, False) for r in data], "pos int, priority int, candidate_text string, provider string, accepted boolean, failed boolean")
+    out = {r.pos: (r.status, r.provider, r.abstract) for r in enrich.select_source(records, answers, pairs, "pos").collect()}
+    assert out == {1: ("found", "p1", one_text), 2: ("conflict", None, "old"), 3: ("found", "p1", one_text)}
+
+
 def test_candidates_and_selection(spark):
     good = "a" * 150
     data = [(1, "10.1/a", "T", 2020, "10.1/a", "T", 2021, good, "p1", 1, False), (1, "10.1/a", "T", 2020, "10.1/a", "T", None, good[:-40] + "b" * 40, "p2", 2, False), (2, "10.1/b", "T", 2020, "10.1/b", None, 2020, good, "p1", 1, True), (3, "10.1/c", "T", 2020, "10.1/c", "Other", 2022, "x", "p1", 1, False)]
