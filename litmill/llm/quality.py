@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from litmill.llm.common import crc_of_id, encoded, per_batch, table
+from litmill.llm.common import crc_of_id, encoded, per_batch, table, tidy
 
 SAMPLE_ROWS = 1500
 SAMPLE_BYTES = 6 << 20
@@ -132,7 +132,7 @@ def quality_scores(docs: DataFrame, model: dict) -> DataFrame:
             z = model["weights"][0] + model["weights"][1] * x / model["scale"]
             yield pa.record_batch({"doc_id": batch.column(0), "score": pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, "doc_id long, score double")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(score), "doc_id long, score double")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> dict:

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litmill.llm.common import crc_of_id, per_batch, table
+from litmill.llm.common import crc_of_id, per_batch, table, tidy
 from litmill.llm.quality import labelled_sample, logistic
 from litmill.sources.scratch import Scratch
 
@@ -111,7 +111,7 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
         seen = np.flatnonzero(total)
         yield pa.record_batch({"gram": pa.array(seen.astype(np.int32)), "n": pa.array(total[seen])})
 
-    parts = docs.where("text is not null").select("text").mapInArrow(count, "gram int, n long")
+    parts = docs.where("text is not null").select("text").mapInArrow(tidy(count), "gram int, n long")
     return parts.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
@@ -374,7 +374,7 @@ def toxicity_scores(docs: DataFrame, model: dict) -> DataFrame:
                 out.append(1 / (1 + np.exp(-np.clip(z, -30, 30))) if weights else 0.0)
             yield pa.record_batch({**{c: batch.column(c) for c in batch.schema.names}, "score": pa.array(out, pa.float64())})
 
-    return docs.mapInArrow(score, docs.withColumn("score", F.lit(0.0)).schema)
+    return docs.mapInArrow(tidy(score), docs.withColumn("score", F.lit(0.0)).schema)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
