@@ -19,7 +19,10 @@ the response; payloads move once, by page.
 Defined cases: a null payload is empty; a null id is written as an empty one,
 read back as null and never revisits or is referred to; rows that repeat an id
 and payload are all responses if the id is the largest; extra columns are left
-out.
+out. Records of every type but revisits have a payload: their block, without
+HTTP headers where it has some; its length comes from the headers where the
+payload is not read, and is null where they don't tell. What is no record, and a
+record that is cut off, is an error, not an end.
 """
 
 from __future__ import annotations
@@ -75,10 +78,12 @@ def record(row: dict) -> tuple[bytes, bytes]:
 
 
 def member(data: bytes, level: int) -> bytes:
-    """A gzip member with its own length in the extra field ``sl``."""
+    """A gzip member with its own length in the extra field ``sl``, where it fits there."""
     deflate = zlib.compressobj(level, zlib.DEFLATED, -15)
     body = deflate.compress(data) + deflate.flush()
     total = 10 + 2 + 12 + len(body) + 8
+    if total > 0xFFFFFFFF:  # then readers inflate it to find its end
+        return b"\x1f\x8b\x08\0\0\0\0\0\0\xff" + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
     extra = b"sl" + struct.pack("<HII", 8, total, len(data) & 0xFFFFFFFF)
     return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H", len(extra)) + extra + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
 
@@ -176,11 +181,13 @@ class Reader(ds.DataSourceReader):
         with fs.open_input_file(partition.file) as file:
             source = Members(file, partition) if partition.file.endswith(".gz") else Plain(file, partition)
             for head, rest in source:
-                row = self.headers(head)
+                row, http = self.headers(head)
                 if not self.wanted(row):
                     continue
-                if self.payload and row["record_type"] == "response":
-                    row["payload"] = rest().partition(b"\r\n\r\n")[2]
+                if self.payload and row["record_type"] != "revisit":
+                    block = rest()
+                    row["payload"] = block.partition(b"\r\n\r\n")[2] if http else block
+                    row["payload_length"] = len(row["payload"])
                     size += len(row["payload"])
                 rows.append(row)
                 if size > BATCH_BYTES or len(rows) >= 2000:
@@ -190,13 +197,15 @@ class Reader(ds.DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, ARROW)
 
     @staticmethod
-    def headers(head: bytes) -> dict:
+    def headers(head: bytes) -> tuple[dict, bool]:
+        """A record without its payload, and whether HTTP headers stand before that."""
         found = {}
         for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
             name, _, value = line.partition(":")
             found[name.strip().lower()] = value.strip()
-        length = found.get("x-payload-length")
-        return {c: found.get(name.lower()) for c, name in HEADERS.items()} | {"payload_length": int(length) if length else None, "payload": None}
+        http = found.get("content-type", "").lower().startswith("application/http")
+        length = found.get("x-payload-length") or (None if http else found.get("content-length"))
+        return {c: found.get(name.lower()) for c, name in HEADERS.items()} | {"payload_length": int(length) if length else None, "payload": None}, http
 
 
 class Members:
@@ -259,7 +268,7 @@ class Members:
                         break
                     parts.append(got)
                 whole.append(b"".join(parts))
-                return whole[0][: content_length(head)]
+                return complete(whole[0][: content_length(head)], head, f"{self.part.file}:{at}")
 
             if not head.startswith(b"WARC/1."):
                 raise ValueError(f"no WARC record at {self.part.file}:{at}")
@@ -277,7 +286,7 @@ class Plain:
     """Records of a file without compression."""
 
     def __init__(self, file: pa.NativeFile, part: Slice):
-        self.file, self.end = file, part.end
+        self.file, self.end, self.name = file, part.end, part.file
 
     def __iter__(self) -> Iterator[tuple[bytes, object]]:
         at = 0
@@ -291,17 +300,26 @@ class Plain:
                 data += got
             head = data.partition(b"\r\n\r\n")[0]
             if not head.startswith(b"WARC/1."):
-                break
+                if not head.strip():  # line ends after the last record
+                    break
+                raise ValueError(f"no WARC record at {self.name}:{at}")
             start, n = at + len(head) + 4, content_length(head)
 
             def rest() -> bytes:
                 self.file.seek(start)
-                return self.file.read(n)
+                return complete(self.file.read(n), head, f"{self.name}:{at}")
 
             yield head, rest
             at = start + n + 4
 
 
+def complete(block: bytes, head: bytes, where: str) -> bytes:
+    """The block of a record; an archive that ends within one is broken."""
+    if len(block) < content_length(head):
+        raise ValueError(f"a WARC record is cut off at {where}")
+    return block
+
+
 def content_length(head: bytes) -> int:
     for line in head.split(b"\r\n"):
         if line.lower().startswith(b"content-length:"):

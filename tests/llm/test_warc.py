@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 
+import pytest
 from litmill.llm import warc
 from pyspark.sql import functions as F
 
@@ -56,3 +57,56 @@ def test_overwrite_and_long_headers(spark, tmp_path):
 
 def test_no_pages(spark, tables):
     assert warc.op1_warc(spark, tables(pages=spark.createDataFrame([], PAGES))).collect() == []
+
+
+OTHERS = [
+    ("warcinfo", "application/warc-fields", b"software: x\r\n\r\n", b"software: x\r\n\r\n"),
+    ("request", "application/http; msgtype=request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\nbody", b"body"),
+    ("response", "application/http; msgtype=response", b"HTTP/1.1 200 OK\r\n\r\na\r\n\r\nb", b"a\r\n\r\nb"),
+    ("resource", "text/plain", b"plain\r\n\r\ntext", b"plain\r\n\r\ntext"),
+    ("conversion", "text/plain", "é".encode() * 3000, "é".encode() * 3000),
+    ("metadata", "application/warc-fields", b"", b""),
+]
+
+
+def foreign(kind, content, block):
+    return f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{kind}>\r\nContent-Type: {content}\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+def test_records_of_all_types_have_their_payload(spark, tmp_path):
+    warc.register(spark)
+    (tmp_path / "plain.warc").write_bytes(b"".join(foreign(*o[:3]) for o in OTHERS) + b"\r\n\r\n")
+    (tmp_path / "own.warc.gz").write_bytes(b"".join(gzip.compress(foreign(*o[:3])) for o in OTHERS))
+    read = spark.read.format(warc.FORMAT).load(f"file://{tmp_path}")
+    got = sorted((r.record_type, bytes(r.payload), r.payload_length) for r in read.collect())
+    assert got == sorted([(o[0], o[3], len(o[3])) for o in OTHERS] * 2)
+    heads = spark.read.format(warc.FORMAT).option("payload", "false").load(f"file://{tmp_path}").collect()
+    http = ("request", "response")
+    assert sorted((r.record_type, r.payload, str(r.payload_length)) for r in heads) == sorted([(o[0], None, "None" if o[0] in http else str(len(o[2]))) for o in OTHERS] * 2)
+
+
+@pytest.mark.parametrize("junk, why", [(b"junk between records\r\n\r\n", "no WARC record"), (b"", "cut off")])
+def test_broken_archives_are_errors(spark, tmp_path, junk, why):
+    warc.register(spark)
+    whole = [foreign(*o[:3]) for o in OTHERS[:5]]
+    for name, pack in (("a.warc", lambda x: x), ("b.warc.gz", gzip.compress)):
+        parts = [*map(pack, whole[:4]), pack(junk) if junk else b"", pack(whole[4] if junk else whole[4][:-3000])]
+        (tmp_path / name[0]).mkdir()
+        (tmp_path / name[0] / name).write_bytes(b"".join(parts))
+        with pytest.raises(Exception, match=why):
+            spark.read.format(warc.FORMAT).load(f"file://{tmp_path}/{name[0]}").collect()
+
+
+def test_members_too_long_for_their_field(monkeypatch):
+    monkeypatch.setattr(warc.zlib, "compressobj", lambda *_: type("Huge", (), {"compress": lambda self, data: Long(), "flush": lambda self: b""})())
+    assert warc.member(b"data", 3)[:4] == b"\x1f\x8b\x08\0"
+
+
+class Long(bytes):
+    """Bytes that say they are more than a field holds."""
+
+    def __add__(self, other):
+        return self
+
+    def __len__(self):
+        return 1 << 32
