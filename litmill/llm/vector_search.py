@@ -19,8 +19,8 @@ Defined cases: vectors that are null or hold a null or non-finite component take
 no part; empty ones take part with scores of zero; a query never meets rows of
 its own id; ties go to the smaller id; fewer candidates than k give fewer rows;
 components that only one side has count as zero; rows that repeat an id are
-ranked as rows of their own, and queries that repeat one share a list; scores
-are 64-bit integers.
+ranked as rows of their own, and queries that repeat one share a list; a weight
+or a score that 64 bits do not hold is an error, as it is in SQL.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 from litmill.llm.common import per_batch, table
 
 SCALE = 1024.0
+#: Weights are less than this.
+LARGEST = float(1 << 63)
 TOP_K = 10
 BLOCK_ROWS = 4096
 QUERY_ROWS = 512
@@ -52,7 +54,8 @@ PARTS = (("ids", np.int64), ("terms", np.int32), ("starts", np.int64), ("rows",
 def integer_vectors(vectors: DataFrame, scale: float = SCALE) -> DataFrame:
     """``(vec_id, weights array<long>)`` of the vectors that take part."""
     good = F.col("embedding").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    return vectors.where(F.col("vec_id").isNotNull()).where(good).select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * scale)).alias("weights"))
+    whole = lambda x: F.when(F.abs(x) < LARGEST, F.floor(x)).otherwise(F.raise_error(F.lit("a weight is beyond 64 bits")).cast("long"))
+    return vectors.where(F.col("vec_id").isNotNull()).where(good).select("vec_id", F.transform("embedding", lambda x: whole(x.cast("double") * scale)).alias("weights"))
 
 
 def postings(ids: list[int], rows: list[np.ndarray]) -> tuple[np.ndarray, ...]:
@@ -97,8 +100,9 @@ def scores_of(queries: tuple[np.ndarray, ...], block: tuple[np.ndarray, ...]) ->
     ids, terms, starts, rows, weights = block
     q_ids, q_terms, q_starts, q_rows, q_weights = queries
     both, at, q_at = np.intersect1d(terms, q_terms, assume_unique=True, return_indices=True)
-    most = lambda x: int(np.abs(x).max(initial=0))
-    kind = np.int32 if most(weights) * most(q_weights) * len(both) < 1 << 31 else np.int64
+    most = lambda x: max(-int(x.min(initial=0)), int(x.max(initial=0)))
+    bound = most(weights) * most(q_weights) * len(both)
+    kind = np.int32 if bound < 1 << 31 else np.int64 if bound < 1 << 63 else object  # Python's own numbers don't wrap
     asked = np.zeros((len(both), len(q_ids)), kind)
     for j, t in enumerate(q_at):
         mine = slice(q_starts[t], q_starts[t + 1])
@@ -112,6 +116,11 @@ def scores_of(queries: tuple[np.ndarray, ...], block: tuple[np.ndarray, ...]) ->
                 scores += asking[:, None] * weight
             elif asking.any():
                 scores[:, where] += asking[:, None] * weight
+        if kind is object:
+            scores[q_ids[first : first + TOGETHER, None] == ids] = 0  # never looked at
+            if any(abs(s) >= 1 << 63 for s in scores.ravel()):
+                raise OverflowError("a score is beyond 64 bits")
+            scores = scores.astype(np.int64)
         yield q_ids[first : first + TOGETHER], scores
 
 

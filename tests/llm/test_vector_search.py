@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from litmill.llm import vector_search as search
 from litmill.llm.vector_search import integer_vectors, top_k
 
@@ -53,3 +54,17 @@ def test_sparse_rows_few_rows_and_no_rows(spark):
     got = {(r.query_id, r.vec_id): r.score for r in top_k(vectors, vectors, 10).collect()}
     assert got == {(0, 1): 0, (0, 2): 3, (1, 0): 0, (1, 2): 0, (2, 0): 3, (2, 1): 0}
     assert top_k(vectors.limit(0), vectors.limit(0), 10).collect() == []
+
+
+def test_numbers_beyond_64_bits(spark):
+    """Scores that fit are exact, others and weights that don't fit are errors."""
+    big = 1 << 40
+    fits = spark.createDataFrame([(0, [big, big, 3]), (1, [big, -big, 5]), (2, [1 << 22, 7, 0])], "vec_id long, weights array<long>")
+    got = {(r.query_id, r.vec_id): r.score for r in top_k(fits, fits, 10).collect()}
+    assert got[0, 1] == 15 and got[0, 2] == (big << 22) + 7 * big and got[1, 2] == (big << 22) - 7 * big
+    wraps = spark.createDataFrame([(0, [big]), (1, [big])], "vec_id long, weights array<long>")
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        top_k(wraps, wraps, 10).collect()
+    huge = spark.createDataFrame([(0, [1e30]), (1, [1e30])], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        integer_vectors(huge).collect()
