@@ -20,9 +20,10 @@ a few times over, so that words that merely accompany a toxic passage stay out.
 Scale: the counts of a task are bounded by the alphabet (``SYMBOLS`` cubed), so
 every document is counted at the cost of one small table a task; the model that
 is sent out has that bound too. The fit takes at most ``SAMPLE_ROWS`` labelled
-rows and ``SAMPLE_BYTES`` of text a class by hash of the id; of the words and
-beginnings there, the ``CANDIDATES`` in most toxic rows may enter a lexicon of at
-most ``LEXICON``. Scoring is one scan without a shuffle.
+rows and ``SAMPLE_BYTES`` of text a class by hash of the id; all words and
+beginnings there that toxic rows favour enough may enter the lexicon, and each
+entry must add rows, so the sample bounds both. Scoring is one scan without a
+shuffle.
 
 Defined cases: null and empty texts hold no word and get the score of such
 texts; a null id gets a row as any other; labels that are null or neither 0
@@ -49,8 +50,6 @@ from litmill.sources.scratch import Scratch
 
 SAMPLE_ROWS = 2500
 SAMPLE_BYTES = 10 << 20
-CANDIDATES = 2000
-LEXICON = 200
 #: Lengths of the beginnings of words that count as features beside the words.
 STEMS = (4, 5, 6, 7)
 DEPTH = 3
@@ -281,7 +280,7 @@ def features(text: str, decoder: Decoder) -> set[str]:
     return words | {w[:k] + "~" for w in words for k in STEMS if len(w) > k}
 
 
-def cover(rows: list[tuple[int, set[int]]], names: list[str], size: int = LEXICON, depth: int = DEPTH) -> list[int]:
+def cover(rows: list[tuple[int, set[int]]], names: list[str], depth: int = DEPTH) -> list[int]:
     """Greedy cover of the toxic rows, each ``depth`` times: the feature taken
     is in the most rows that hold fewer of those before it; of equals the
     longest. Features of which one begins the other count as one."""
@@ -289,7 +288,7 @@ def cover(rows: list[tuple[int, set[int]]], names: list[str], size: int = LEXICO
     least = max(4, 0.006 * sum(y for y, _ in rows))  # more than chance leaves to words of a copied passage
     stems = [name.rstrip("~") for name in names]
     barred: set[int] = set()
-    while len(chosen) < size:
+    while left:
         gain = Counter(x for _, held in left for x in held if x not in barred)
         best, n = max(gain.items(), key=lambda x: (x[1], len(stems[x[0]]), names[x[0]]), default=(0, 0))
         if n < least:
@@ -336,7 +335,7 @@ def fit_model(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, size:
     sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     odds = (F.col("toxic") / sizes.get(1, 1)) > 20 * (F.col("clean") + 0.2) / sizes.get(0, 1)
     known = sample.mapInArrow(counts_of, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    names = [r.feature for r in known.where((F.col("toxic") >= 3) & odds).orderBy(F.desc("toxic"), "feature").limit(CANDIDATES).collect()]
+    names = [r.feature for r in known.where((F.col("toxic") >= 3) & odds).orderBy(F.desc("toxic"), "feature").collect()]  # of the sample
     number = {name: i for i, name in enumerate(names)}
 
     def held_by(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
