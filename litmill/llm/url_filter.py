@@ -10,8 +10,9 @@ is more than ``THRESHOLD`` of the two; a host that neither reaches is allowed.
 Scale: links are summed to weighted edges between hosts before they are
 shuffled, so a host with a third of all pages costs a row for each of its
 neighbours and task. A round joins edges with the scores of their sources and
-sums by target, also combined on the map side; lineage is cut in the shared
-folder. Verdicts of hosts join pages as a written table, whose large keys Spark
+sums by target, also combined on the map side; the edges of hubs, of which there
+are ``MOST_HUBS`` at most, get their scores by broadcast, so no task holds all
+edges of a host; lineage is cut in the shared folder. Verdicts of hosts join pages as a written table, whose large keys Spark
 can split.
 
 Defined cases: a null url or one without ``://`` has empty host and path, no
@@ -33,6 +34,9 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 DAMPING = 0.85
 STEPS = 6
 TOLERANCE = 1e-3
+#: Edges of a host that one task may join, and hosts that can have more.
+HUB_EDGES = 50_000
+MOST_HUBS = 4_000
 #: Rounds in the SQL, which can't tell when to stop.
 SQL_ROUNDS = 48
 THRESHOLD = 0.5
@@ -79,7 +83,7 @@ def seeds(pages: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(total), "kind").select("kind", "host", (F.col("n") / F.col("total")).alias("share"))  # two rows
 
 
-def propagate(edges: DataFrame, start: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+def propagate(edges: DataFrame, start: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, hub_edges: int = HUB_EDGES) -> DataFrame:
     """``(kind, host, score)``: allow follows the edges, block goes back."""
     scratch = Scratch(edges.sparkSession, "hosts")
     back = edges.groupBy("dst").agg(F.sum("p").alias("all"))
@@ -88,15 +92,31 @@ def propagate(edges: DataFrame, start: DataFrame, damping: float = DAMPING, tole
     both = scratch.save(forward.unionAll(reverse), "edges")
     own = scratch.save(start.select("kind", "host", ((1 - damping) * F.col("share")).alias("score")), "seeds")
     score, before = own, None
-    if both.isEmpty():
+    count = both.count()
+    if not count:
         return score
+    limit = max(hub_edges, -(-count // MOST_HUBS))
+    key, hubs = ["kind", "host"], None
+    if count > limit:  # no more than count / limit hosts have over limit edges
+        degrees = both.groupBy(*key).agg(F.count("*").alias("n"))
+        hubs = scratch.save(degrees.where(F.col("n") > limit).select(*key), "hubs")
+        of_hubs = scratch.save(both.join(F.broadcast(hubs), key, "left_semi"), "hub_edges")
+        both = scratch.save(both.join(F.broadcast(hubs), key, "left_anti"), "other_edges")
+
+    def beside_scores(score: DataFrame) -> DataFrame:
+        joined = both.join(score, key)
+        if hubs is None:
+            return joined
+        few = score.join(F.broadcast(hubs), key, "left_semi")
+        return joined.unionByName(of_hubs.join(F.broadcast(few), key))
+
     while True:
         now = score.agg(F.count("*").alias("hosts"), F.coalesce(F.sum("score"), F.lit(0.0)).alias("sum")).first()
         if before and now.hosts == before.hosts and now.sum - before.sum < tolerance * now.sum or not now.hosts:
             return score
         before = now
         for _ in range(STEPS):
-            moved = both.join(score, ["kind", "host"]).select("kind", F.col("to").alias("host"), (damping * F.col("p") * F.col("score")).alias("score"))
+            moved = beside_scores(score).select("kind", F.col("to").alias("host"), (damping * F.col("p") * F.col("score")).alias("score"))
             score = own.unionAll(moved).groupBy("kind", "host").agg(F.sum("score").alias("score"))
         score = scratch.save(score, "score")
 

@@ -56,3 +56,14 @@ def test_trust_and_distrust_travel(spark):
     out = {r.page_id: r.verdict for r in u.url_filter(spark.createDataFrame(rows, PAGES), rules).collect()}
     assert out == {1: "allow", 2: "allow", 3: "allow", 4: "block", 5: "block", 6: "block", 7: "allow"}
     assert u.url_filter(spark.createDataFrame([], PAGES)).collect() == []
+
+
+def test_edges_of_hubs_apart_give_the_same_scores(spark):
+    """A host that nearly all others link to, and one that links to all."""
+    rules = (("hub.net", "/", "allow"), ("h7.net", "/", "block"))
+    rows = [(i, f"http://h{i}.net/", link("hub.net", f"h{(i * 7) % 60}.net"), "") for i in range(60)] + [(99, "http://hub.net/", link(*(f"h{i}.net" for i in range(60))), "")]
+    pages = u.judged(spark.createDataFrame(rows, PAGES), rules)
+    edges, start = u.host_edges(pages).cache(), u.seeds(pages).cache()
+    plain, apart = ({(r.kind, r.host): r.score for r in u.propagate(edges, start, damping=0.5, hub_edges=n).collect()} for n in (10**6, 3))
+    assert set(plain) == set(apart) and len(plain) > 100
+    assert all(abs(plain[k] - apart[k]) < 1e-9 for k in plain)
