@@ -47,8 +47,11 @@ GROUPS_AT_ONCE = 8
 LAST_PLAIN = "\u0130"
 #: Plain letters before the last sign.
 SIGNED = "[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f][.,]$"
+#: Rows that make a range worth a task, and the most that one sweeps.
 ROWS_PER_TASK = 4000
+MOST_ROWS = 1_000_000
 MAX_SLOTS = 64
+BATCH_ROWS = 10_000
 
 
 class Words:
@@ -160,23 +163,28 @@ def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for a match of item ``id`` with gap ``other``; what is left of either kind
     with its rank, gaps ranked from the last, which is taken first."""
     part = TaskContext.get().partitionId()
-    gaps: list[tuple[int, int]] = []
-    matched: list[tuple[int, int, int]] = []
-    left: list[tuple[int, int]] = []
+    gaps: list[tuple[int, int]] = []  # those still free, in order of their size
+    items_left = 0
+
+    def told(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) or [()] * 6
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+        return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=["part", "kind", "rank", "id", "other", "size"])
+
     for batch in batches:
+        rows: list[tuple] = []
         for size, kind, name in zip(*(batch.column(c).to_pylist() for c in ("size", "kind", "id"))):
             if kind == 0:
                 gaps.append((name, size))
             elif gaps:
-                matched.append((name, gaps.pop()[0], size))
+                rows.append((part, 2, 0, name, gaps.pop()[0], size))
             else:
-                left.append((name, size))
-    rows = [(part, 2, 0, i, g, s) for i, g, s in matched]
-    rows += [(part, 1, r, i, None, s) for r, (i, s) in enumerate(left)]
-    rows += [(part, 0, r, g, None, s) for r, (g, s) in enumerate(reversed(gaps))]
-    columns = list(zip(*rows)) or [()] * 6
-    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-    yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=["part", "kind", "rank", "id", "other", "size"])
+                rows.append((part, 1, items_left, name, None, size))
+                items_left += 1
+        yield told(rows)
+    for first in range(0, len(gaps), BATCH_ROWS):
+        some = reversed(gaps[max(0, len(gaps) - first - BATCH_ROWS) : len(gaps) - first])
+        yield told([(part, 0, first + r, g, None, s) for r, (g, s) in enumerate(some)])
 
 
 SWEPT = "part int, kind int, rank long, id long, other long, size long"
@@ -227,7 +235,7 @@ def best_fit(items: DataFrame, length: int = LENGTH) -> DataFrame:
         slots = gaps.select(F.floor(F.col("gap") / k).alias("size"), F.lit(0).alias("kind"), F.col("bin").alias("id"), F.explode(F.sequence(F.lit(1).cast("long"), k)).alias("slot"))
         both = slots.unionAll(rest.select("size", F.lit(1).alias("kind"), "id", F.lit(0).cast("long")))
         order = [F.desc("size"), F.asc("kind"), F.asc("id"), F.asc("slot")]
-        n = max(1, min(parts, (left + n_gaps) // ROWS_PER_TASK))
+        n = max(1, min(parts, (left + n_gaps) // ROWS_PER_TASK), -(-(left + n_gaps) // MOST_ROWS))
         swept = scratch.save(both.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(sweep, SWEPT), "sweep")
         counts: dict[int, list[int]] = {}
         for row in swept.where("kind < 2").groupBy("part", "kind").count().collect():  # two rows a range partition

@@ -66,6 +66,26 @@ def test_as_few_sequences_as_best_fit(spark, monkeypatch):
         assert checked(rows, 100) <= first_fit_decreasing(sizes, 100) * 1.01 + 1
 
 
+def test_a_range_of_many_batches_sweeps_as_one(spark, monkeypatch):
+    """What a range has left is told batch by batch, with one row of ranks."""
+    monkeypatch.setattr(p, "BATCH_ROWS", 7)
+    monkeypatch.setattr(p, "TaskContext", type("Context", (), {"get": staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 3})())}))
+    rng = random.Random(6)
+    rows = sorted(((rng.randint(1, 30), rng.randint(0, 1), i) for i in range(300)), key=lambda r: (-r[0], r[1], r[2]))
+    batches = [p.pa.record_batch([p.pa.array(c) for c in zip(*rows[k : k + 20])], names=["size", "kind", "id"]) for k in range(0, 300, 20)]
+    got = [tuple(r.values()) for b in p.sweep(iter(batches)) for r in b.to_pylist()]
+    gaps, want, left = [], [], 0
+    for size, kind, i in rows:
+        if kind == 0:
+            gaps.append((i, size))
+        elif gaps:
+            want.append((3, 2, 0, i, gaps.pop()[0], size))
+        else:
+            want.append((3, 1, left, i, None, size))
+            left += 1
+    assert got == want + [(3, 0, r, i, None, s) for r, (i, s) in enumerate(reversed(gaps))]
+
+
 def test_across_matches_brackets():
     rng = random.Random(3)
     for _ in range(200):
