@@ -4,28 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from litmill.operators.folds import BLOCK_ROWS, greedy_batches
 
-def pack_batches(records: DataFrame, shard_size: int, most: int = 8, chars: int = 60_000) -> DataFrame:
+
+def pack_batches(records: DataFrame, most: int = 8, chars: int = 60_000, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Batches of records in order, closed at ``most`` records or before
-    ``chars``; a long record is alone. The fold runs in shards of positions, so
-    it spreads; with one shard it is one fold over all."""
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("pos")
-        batch, n, used, out = 0, 0, 0, []
-        for size in rows["size"]:
-            if n and (n == most or used + size > chars):
-                batch, n, used = batch + 1, 0, 0
-            n, used = n + 1, used + size
-            out.append(batch)
-        return rows.assign(batch=out)
-
-    rows = records.select("pos", F.col("size").cast("long").alias("size"), F.floor(F.col("pos") / shard_size).alias("shard"))
-    return rows.groupBy("shard").applyInPandas(fold, "pos long, size long, shard long, batch long")
+    ``chars``; a long record is alone."""
+    return greedy_batches(records.select("pos", F.col("size").cast("long").alias("size")), ["pos"], "size", most, chars, block_rows).select("pos", "size", "batch")
 
 
 def priority_queue(rows: DataFrame, first: Sequence, key: str, n: int) -> DataFrame:

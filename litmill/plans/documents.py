@@ -276,9 +276,16 @@ def priority(spark, sf_dir):
     return out.select("o_orderkey", (F.col("state") == "taken").alias("taken"))
 
 
-@query("pack")
+@query(
+    "pack",
+    """WITH RECURSIVE r AS MATERIALIZED (SELECT row_number() OVER (ORDER BY doc_id) AS i, doc_id AS pos, n_chars * 9 AS size FROM documents),
+f AS (SELECT i, pos, size, CAST(0 AS BIGINT) AS batch, 1 AS n, size AS used FROM r WHERE i = 1
+ UNION ALL SELECT r.i, r.pos, r.size, batch + CASE WHEN n = 8 OR used + r.size > 60000 THEN 1 ELSE 0 END, CASE WHEN n = 8 OR used + r.size > 60000 THEN 1 ELSE n + 1 END, CASE WHEN n = 8 OR used + r.size > 60000 THEN r.size ELSE used + r.size END FROM f JOIN r ON r.i = f.i + 1)
+SELECT pos, CAST(size AS BIGINT) AS size, batch FROM f""",
+)
 def pack(spark, sf_dir):
-    return sampling.pack_batches(a.records(spark, sf_dir).select("pos", F.col("n_chars").alias("size")), 10_000)
+    """Sizes such that batches close for either reason."""
+    return sampling.pack_batches(a.records(spark, sf_dir).select("pos", (F.col("n_chars") * 9).alias("size")))
 
 
 @query("stratified")

@@ -11,36 +11,51 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from litmill.sources.scratch import Scratch
 
 
-class Versions:
-    """A table in numbered versions, one for each batch that changed it. A batch
-    that runs again writes its version anew from the one before; only the last
-    two stay."""
+#: Buckets of a keyed table; the same for every run of a home.
+BUCKETS = 64
+BUCKET = "_bucket"
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+
+class Buckets:
+    """A keyed table in hash buckets of its key, each a partition of files. A batch
+    reads the buckets that its keys fall in, merges, and writes these anew by
+    dynamic partition overwrite; no other file is touched. What is merged stands
+    in a folder of its own before it takes the old files' place. Merging has to
+    give the same when a batch comes again, so a batch that was ended runs again."""
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, key: list[str], buckets: int = BUCKETS):
+        self.spark, self.root, self.schema, self.key, self.n = spark, root, schema, key, buckets
         self.path = spark._jvm.org.apache.hadoop.fs.Path
         self.files = self.path(root).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def written(self) -> list[int]:
-        """The versions that were written to their end."""
-        if not self.files.exists(self.path(self.root)):
-            return []
-        names = [f.getPath().getName() for f in self.files.listStatus(self.path(self.root))]
-        return sorted(int(n) for n in names if n.isdigit() and self.files.exists(self.path(f"{self.root}/{n}/_SUCCESS")))
+    def exists(self) -> bool:
+        return self.files.exists(self.path(self.root))
+
+    def _rows(self) -> DataFrame:
+        return self.spark.read.schema(StructType([*self.schema.fields, StructField(BUCKET, IntegerType())])).parquet(self.root)
 
-    def read(self, schema, before: int | None = None) -> DataFrame | None:
-        """The last version, or the last before a batch."""
-        found = [n for n in self.written() if before is None or n < before]
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{found[-1]}") if found else None
+    def read(self) -> DataFrame:
+        return self._rows().drop(BUCKET) if self.exists() else self.spark.createDataFrame([], self.schema)
 
-    def write(self, frame: DataFrame, number: int) -> None:
-        frame.write.mode("overwrite").parquet(f"{self.root}/{number}")
-        for old in [n for n in self.written() if n < number][:-1]:
-            self.files.delete(self.path(f"{self.root}/{old}"), True)
+    def merge(self, batch: DataFrame, number: int, combine: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
+        staged = f"{self.root}-staged/{number}"
+        bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.n)).cast("int").alias(BUCKET)
+        batch = self._kept(batch.select("*", bucket), f"{staged}/batch")
+        touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # as many as there are buckets
+        if touched:
+            known = self._rows().where(F.col(BUCKET).isin(touched)).drop(BUCKET) if self.exists() else None
+            merged = combine(known, batch.drop(BUCKET)).select(*self.schema.names, bucket).repartition(BUCKET)
+            self._kept(merged, f"{staged}/merged").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.root)
+        self.files.delete(self.path(staged), True)
+
+    def _kept(self, frame: DataFrame, where: str) -> DataFrame:
+        frame.write.mode("overwrite").parquet(where)
+        return self.spark.read.schema(frame.schema).parquet(where)
 
 
 def _run(stream: DataFrame, home: str, mode: str, sink: Callable[[DataFrame, int], None]) -> None:
@@ -48,22 +63,23 @@ def _run(stream: DataFrame, home: str, mode: str, sink: Callable[[DataFrame, int
     query.awaitTermination()
 
 
-def merged_pages(spark: SparkSession, path: str, schema, key: list[str], order: str, home: str | None = None, files: int = 2) -> DataFrame:
+def _schema(spark: SparkSession, schema: StructType | str) -> StructType:
+    return spark.createDataFrame([], schema).schema
+
+
+def merged_pages(spark: SparkSession, path: str, schema, key: list[str], order: str, home: str | None = None, files: int = 2, buckets: int = BUCKETS) -> DataFrame:
     """The first row of each key over all files of a folder, merged batch by
     batch into a keyed table; a batch that runs twice changes nothing."""
     home = home or Scratch(spark, "stream").root
-    table = Versions(spark, f"{home}/merged")
+    table = Buckets(spark, f"{home}/merged", _schema(spark, schema), key, buckets)
 
-    def merge(batch: DataFrame, number: int) -> None:
-        known = table.read(schema, number)
+    def first(known: DataFrame | None, batch: DataFrame) -> DataFrame:
         rows = batch if known is None else known.unionByName(batch)
         columns = [c for c in rows.columns if c not in key]
-        first = rows.groupBy(*key).agg(F.min_by(F.struct(*columns), order).alias("r")).select(*key, "r.*")
-        table.write(first.select(*batch.columns), number)
+        return rows.groupBy(*key).agg(F.min_by(F.struct(*columns), order).alias("r")).select(*key, "r.*")
 
-    _run(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path), home, "append", merge)
-    merged = table.read(schema)
-    return spark.createDataFrame([], schema) if merged is None else merged
+    _run(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path), home, "append", lambda batch, number: table.merge(batch, number, first))
+    return table.read()
 
 
 def distinct_pages(spark: SparkSession, path: str, schema, key: list[str], watermark: str | None = None, home: str | None = None, files: int = 2) -> DataFrame:
@@ -80,18 +96,15 @@ def distinct_pages(spark: SparkSession, path: str, schema, key: list[str], water
     return spark.read.schema(pages.schema).option("recursiveFileLookup", True).parquet(f"{home}/pages")
 
 
-def last_status(spark: SparkSession, path: str, schema, key: str, status: str, order: str, home: str | None = None, files: int = 2) -> DataFrame:
+def last_status(spark: SparkSession, path: str, schema, key: str, status: str, order: str, home: str | None = None, files: int = 2, buckets: int = BUCKETS) -> DataFrame:
     """The last status of each key, kept as streaming state."""
     home = home or Scratch(spark, "stream").root
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
     last = stream.groupBy(key).agg(F.max_by(status, order).alias(status), F.max(order).alias(order), F.count("*").alias("n"))
-    table = Versions(spark, f"{home}/status")
+    table = Buckets(spark, f"{home}/status", last.schema, [key], buckets)
 
-    def upsert(batch: DataFrame, number: int) -> None:
-        known = table.read(last.schema, number)
-        kept = batch if known is None else known.join(batch.select(key), key, "left_anti").unionByName(batch)
-        table.write(kept, number)
+    def upsert(known: DataFrame | None, batch: DataFrame) -> DataFrame:
+        return batch if known is None else known.join(batch.select(key), key, "left_anti").unionByName(batch)
 
-    _run(last, home, "update", upsert)
-    found = table.read(last.schema)
-    return spark.createDataFrame([], last.schema) if found is None else found
+    _run(last, home, "update", lambda batch, number: table.merge(batch, number, upsert))
+    return table.read()

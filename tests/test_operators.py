@@ -253,7 +253,7 @@ def test_documents(spark):
 
 def test_packing_and_samples(spark):
     records = spark.createDataFrame([(i, 10) for i in range(20)] + [(20, 70_000), (21, 10)], "pos long, size long")
-    out = sampling.pack_batches(records, 1000)
+    out = sampling.pack_batches(records)
     assert [r["n"] for r in out.groupBy("batch").agg(F.count("*").alias("n")).orderBy("batch").collect()] == [8, 8, 4, 1, 1]
     pool = spark.createDataFrame([(i, 2020 + i % 3, "t", ["q"], f"j{i % 4}") for i in range(40)], "k long, year int, type string, queries array<string>, journal string")
     picks = [rows(sampling.stratified(pool.repartition(n), "k", 6, 1), "k", "year", "journal") for n in (1, 3)]
@@ -362,3 +362,26 @@ def test_streams_go_on_where_they_were(spark, tmp_path):
     for _ in range(2):  # the second time there is nothing new
         assert rows(stream.merged_pages(spark, table, schema, ["k"], "seq", home=f"{home}/m"), "k", "v") == [("a", "three"), ("b", "two"), ("c", "one")]
         assert rows(stream.last_status(spark, table, schema, "k", "v", "seq", home=f"{home}/s"), "k", "v", "n") == [("a", "five", 2), ("b", "two", 1), ("c", "one", 1)]
+
+
+def test_batches_of_keys_rewrite_only_their_buckets(spark, tmp_path):
+    """Files of buckets that no key of a batch falls in stay as they are; a batch that runs again changes nothing."""
+    table, home, schema = f"{tmp_path}/in", f"{tmp_path}/home", "k string, seq int, v string"
+    write = lambda data: spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(table)
+    held = lambda: {f.parent.name + f.name for f in (tmp_path / "home" / "m" / "merged").rglob("*.parquet")}
+    run = lambda: rows(stream.merged_pages(spark, table, schema, ["k"], "seq", home=f"file://{home}/m", buckets=32), "k", "seq", "v")
+    write([(f"k{i}", i + 10, "old") for i in range(200)])
+    assert len(run()) == 200
+    before = held()
+    assert len(before) == 32
+    write([("k7", 1, "new"), ("k8", 99, "later"), ("z", 5, "z")])
+    want = sorted([(f"k{i}", i + 10, "old") for i in range(200) if i != 7] + [("k7", 1, "new"), ("z", 5, "z")], key=str)
+    assert run() == want
+    after = held()
+    assert len(before - after) <= 3 and len(after - before) <= 3 and len(before & after) >= 29
+    assert run() == want and held() == after  # nothing new came
+    again = stream.Buckets(spark, f"file://{home}/m/merged", stream._schema(spark, schema), ["k"], 32)
+    batch = spark.createDataFrame([("k7", 1, "new")], schema)
+    for _ in range(2):
+        again.merge(batch, 9, lambda known, new: known.unionByName(new).groupBy("k").agg(F.min_by(F.struct("seq", "v"), "seq").alias("r")).select("k", "r.*"))
+        assert rows(again.read(), "k", "seq", "v") == want
