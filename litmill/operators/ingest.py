@@ -76,15 +76,26 @@ def first_match(items: Column, field: str, value: str, take: str) -> Column:
     return F.get(F.filter(items, lambda x: x[field] == value), F.lit(0))[take]
 
 
-def prepare_provenance(rows: DataFrame, query_id: Column) -> DataFrame:
+#: The field of a history entry that names the file a row came from.
+SOURCE_FILE = "processed_source_file"
+
+
+def prepare_provenance(rows: DataFrame, query_id: Column, source_file: Column | None = None) -> DataFrame:
     """The query id of a row - given, its own, its single match, else a hash -
-    a history entry for it unless one is there, and the matches recounted."""
+    a history entry for it unless one is there, and the matches recounted. With
+    ``source_file`` the entry names it, and so does one that was there already
+    and named none; the history's structs then have that field."""
     single = F.when(F.size("matched_queries") == 1, F.get("matched_queries", F.lit(0)))
     resolved = F.coalesce(query_id, F.col("own_id"), single, legacy_id(F.col("database"), F.col("query")))
     out = rows.withColumn("query_id", resolved)
-    entry = F.struct("query_id", "query", "database")
-    known = F.exists("history", lambda h: (h["query_id"] == F.col("query_id")) & h["query"].eqNullSafe(F.col("query")) & h["database"].eqNullSafe(F.col("database")))
-    out = out.withColumn("history", F.when(known, F.col("history")).otherwise(F.concat("history", F.array(entry))))
+    own = lambda h: (h["query_id"] == F.col("query_id")) & h["query"].eqNullSafe(F.col("query")) & h["database"].eqNullSafe(F.col("database"))
+    fields, kept = ["query_id", "query", "database"], F.col("history")
+    if source_file is not None:
+        fields.append(SOURCE_FILE)
+        out = out.withColumn(SOURCE_FILE, source_file)
+        before = lambda i: F.exists(F.slice("history", F.lit(1), i), own)
+        kept = F.transform("history", lambda h, i: F.when(own(h) & ~before(i), h.withField(SOURCE_FILE, F.coalesce(h[SOURCE_FILE], F.col(SOURCE_FILE)))).otherwise(h))
+    out = out.withColumn("history", F.when(F.exists("history", own), kept).otherwise(F.concat("history", F.array(F.struct(*fields)))))
     matched = F.array_distinct(F.concat("matched_queries", F.transform("history", lambda h: h["query_id"])))
     return out.withColumn("matched_queries", matched).withColumn("query_match_count", F.size("matched_queries"))
 

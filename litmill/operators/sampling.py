@@ -35,6 +35,8 @@ def stratified(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """A sample of ``n`` of ``(key, year, type, queries, journal)`` that follows
     the population in years, types and queries, with a bonus for new journals.
     Only the rows that can matter for n picks reach the driver."""
+    none = F.array().cast("array<string>")
+    rows = rows.withColumn("queries", F.filter(F.coalesce("queries", none), lambda q: q.isNotNull()))
     total = rows.count()
     target = {}
     for group, column in (("year", F.array(F.col("year").cast("string"))), ("type", F.array("type")), ("query", F.col("queries"))):
@@ -64,6 +66,7 @@ def stratified(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 
 def coverage_sample(rows: DataFrame, key: str, tags: str, prefix: str, n: int) -> DataFrame:
     """A sample that covers tags first, then prefixes not seen, then by key."""
+    rows = rows.withColumn(tags, F.filter(F.coalesce(tags, F.array().cast("array<string>")), lambda x: x.isNotNull()))
     pool = rows.groupBy(F.array_sort(tags).alias("tags"), prefix).agg(F.slice(F.array_sort(F.collect_set(key)), 1, n).alias("keys")).collect()  # signatures, n keys each
     left = {k: (set(r["tags"]), r[prefix]) for r in pool for k in r["keys"]}
     covered, seen, chosen = set(), set(), []

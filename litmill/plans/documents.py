@@ -143,11 +143,27 @@ def unit_support(spark, sf_dir):
     return sentences(spark, sf_dir).select("doc", "n", F.contains(t.packed_text(F.col("txt")), t.packed_text(F.col("unit"))).alias("supported"))
 
 
-@query("response_audit", f"WITH {SENTENCES} SELECT doc, n, concat_ws(',', CASE WHEN n % 4 = 0 THEN 'numbers_not_in_bound_paragraphs' END, CASE WHEN unit = 'kg' THEN 'unit_not_text_verified' END, CASE WHEN n % 3 = 0 THEN 'mixed_significance_language' END) AS issues FROM s")
+AUDITED = """CASE WHEN NOT bound OR n % 4 = 0 THEN 'numbers_not_in_bound_paragraphs' END, CASE WHEN n = 4 THEN 'missing_or_uncertain_treatment' END, CASE WHEN n = 3 AND r <> 'A' THEN 'missing_or_uncertain_comparator' END,
+CASE WHEN unit IS NULL OR unit = ' ' THEN 'missing_or_uncertain_unit' END, CASE WHEN unit <> '' AND (NOT bound AND unit <> ' ' OR unit = 'kg/ha' AND n % 2 = 1 OR unit = 'dS/m') THEN 'unit_not_text_verified' END, CASE WHEN n % 3 = 0 THEN 'mixed_significance_language' END"""
+
+
+@query(
+    "response_audit",
+    f"""WITH {SENTENCES.replace("l_linenumber AS n,", "l_linenumber AS n, l_returnflag AS r,")}, x AS (SELECT doc, n, r, n <> 6 AND (n % 5 <> 2 OR count(*) OVER (PARTITION BY doc, n, split_part(txt, 'Then', 2)) = 1) AS bound, CASE WHEN n = 7 THEN NULL WHEN n = 6 AND r = 'A' THEN ' ' WHEN r = 'A' THEN '%' WHEN r = 'N' THEN 'kg/ha' ELSE 'dS/m' END AS unit FROM s)
+SELECT doc, n, concat_ws(',', {AUDITED}) AS issues FROM x""",
+)
 def response_audit(spark, sf_dir):
-    n = F.col("n")
-    rows = sentences(spark, sf_dir).select("doc", "n", F.col("txt").alias("bound"), F.when(n % 4 == 0, "987654321.5").otherwise(F.col("amount")).alias("value"), "unit", F.when(n % 3 == 0, "not significant but significant").otherwise(F.col("claim")).alias("significance"))
-    return ops.response_issues(rows).select("doc", "n", F.array_join("issues", ",").alias("issues"))
+    """Results bound to the sentences of their order: some cite the one before
+    their own and are bound by their quote, some quote what is nowhere."""
+    n, r = F.col("n"), F.col("l_returnflag")
+    rows = a.table(spark, sf_dir, "lineitem").selectExpr(*a.SENTENCES, "l_returnflag", "concat_ws('-', l_linenumber, l_partkey, l_suppkey) AS line").drop("unit")
+    text = F.concat("txt", F.when(n % 2 == 0, " in kg / hm2").otherwise(""))
+    paras = rows.select("doc", n.alias("paragraph_id"), F.lit(1).alias("page"), text.alias("text"))
+    quotes = rows.select("doc", F.col("line").alias("quote_id"), F.when(n % 5 == 2, n - 1).otherwise(n).alias("paragraph_id"), F.lit(1).alias("page"), F.when(n == 6, "nowhere").otherwise(F.substring_index("txt", "Then", -1)).alias("quote"))
+    bound = ops.bound_texts(ops.relocate(quotes, paras), paras, ["doc", "quote_id"]).withColumnRenamed("quote_id", "line")
+    unit = F.when(n == 7, None).when((n == 6) & (r == "A"), " ").when(r == "A", "%").when(r == "N", "kg/ha").otherwise("dS/m")
+    results = rows.select("doc", "n", "line", F.when(n % 4 == 0, "987654321.5").otherwise(F.col("amount")).alias("value"), unit.alias("unit"), F.when(n % 3 == 0, "not significant but significant").otherwise(F.col("claim")).alias("significance"), F.when(n == 4, "Not reported").otherwise("salt").alias("treatment"), F.when((n == 3) & (r != "A"), None).otherwise("none").alias("comparator"))
+    return ops.response_issues(results.join(bound, ["doc", "line"], "left")).select("doc", "n", F.array_join("issues", ",").alias("issues"))
 
 
 @query("reference_compare", "WITH v AS (SELECT l_orderkey AS k, count(DISTINCT l_returnflag) AS n, min(l_returnflag) AS v FROM lineitem GROUP BY 1) SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 = 0 THEN 'excluded' WHEN n IS NULL THEN 'absent' WHEN n > 1 THEN 'conflict' WHEN v = o_orderstatus THEN 'literal_match' ELSE 'difference' END AS status FROM orders LEFT JOIN v ON k = o_orderkey")

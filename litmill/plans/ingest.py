@@ -233,12 +233,24 @@ def responses_left(spark, sf_dir):
     return ops.with_responses(a.table(spark, sf_dir, "documents").select("doc_id"), files.read_strict_json(spark, path, "doc_id long, response int"), "doc_id")
 
 
-@query("labelled_union", "SELECT lang AS query_id, doc_id, CASE WHEN lang = 'en' THEN source END AS source FROM documents WHERE lang IS NOT NULL")
+@query(
+    "labelled_union",
+    """WITH d AS (SELECT doc_id, coalesce(lang, 'none') AS query_id, CASE WHEN lang = 'en' THEN source END AS source FROM documents)
+SELECT query_id, doc_id, source, CASE WHEN doc_id % 3 = 0 THEN 'old.json' ELSE 'query_id=' || query_id END AS files, 1 AS query_match_count FROM d""",
+)
 def labelled_union(spark, sf_dir):
+    """Files by language, read in one scan; the history of each row names its
+    file, also where it had an entry without one."""
     docs = a.table(spark, sf_dir, "documents")
-    languages = [r.lang for r in docs.where("lang is not null").select("lang").distinct().collect()]  # a file each
-    parts = {lang: docs.where(F.col("lang") == lang).select("doc_id", *(["source"] if lang == "en" else [])) for lang in languages}
-    return ops.labelled_union(parts)
+    path = Scratch(spark, "labelled").path("searches")
+    docs.select("doc_id", F.when(F.col("lang") == "en", F.col("source")).alias("source"), F.coalesce("lang", F.lit("none")).alias("query_id")).write.partitionBy("query_id").parquet(path)
+    rows = spark.read.parquet(path).withColumn("file", F.regexp_extract(F.col("_metadata.file_path"), "(query_id=[^/]*)/", 1))
+    n = F.col("doc_id") % 3
+    entry = lambda file: F.array(F.struct("query_id", F.lit("q").alias("query"), F.lit("main").alias("database"), F.lit(file).cast("string").alias(ops.SOURCE_FILE)))
+    history = F.when(n == 0, entry("old.json")).when(n == 1, entry(None)).otherwise(F.slice(entry(None), 1, 0))
+    rows = rows.withColumns({"query": F.lit("q"), "database": F.lit("main"), "own_id": F.lit(None).cast("string"), "matched_queries": F.array().cast("array<string>"), "history": history})
+    out = ops.prepare_provenance(rows, F.col("query_id"), F.col("file"))
+    return out.select("query_id", "doc_id", "source", F.array_join(F.transform("history", lambda h: h[ops.SOURCE_FILE]), ",").alias("files"), "query_match_count")
 
 
 HASH_SUM = "CAST(sum(CAST('0x' || left(sha256({}), 8) AS BIGINT)) AS BIGINT) AS content_sum"

@@ -104,14 +104,40 @@ ISSUE_ROWS = f"WITH {a.RECORDS_CTE}, issues AS (" + " UNION ALL ".join(f"SELECT
     f"""{ISSUE_ROWS}, g AS (SELECT pos, string_agg(issue, ',' ORDER BY i) FILTER (WHERE issue IN ('missing_uid', 'missing_or_invalid_doi', 'admission:pdf_identity_doubt')) AS identity,
  string_agg(issue, ',' ORDER BY i) FILTER (WHERE issue IN ('abstract_layout_review', 'admission:late')) AS content FROM issues GROUP BY pos),
 s AS (SELECT pos, {STATE} AS state, CASE WHEN contains(abstract, 'that') AND contains(abstract, 'to') THEN 'possible_core_review' WHEN contains(abstract, 'les') THEN 'possible_transfer_or_context' ELSE 'uncertain_insufficient_scope_evidence' END AS suggestion FROM records)
-SELECT pos, coalesce(identity, '') AS identity, coalesce(content, '') AS content, CASE state WHEN 'missing' THEN 'abstract_missing' WHEN 'needs_source_review' THEN 'abstract_source_missing' ELSE '' END AS completeness, suggestion,
+SELECT pos, coalesce(identity, '') AS identity, coalesce(content, '') AS content, concat_ws(',', CASE WHEN state = 'missing' THEN 'abstract_missing' END, CASE WHEN pos % 5 = 0 THEN 'fulltext_unavailable' END, CASE WHEN state = 'needs_source_review' THEN 'abstract_source_missing' END) AS completeness, suggestion,
+ CASE WHEN (2020 + pos % 7) > 2025 THEN 'screening_pending,publication_year_rule_review' ELSE 'screening_pending' END AS scientific, concat_ws(',', CASE WHEN pos % 4 = 0 THEN 'one:error' WHEN pos % 4 = 1 THEN 'one:parse_error' END, CASE WHEN pos % 3 = 0 THEN 'two:error' END) AS incidents,
  CASE suggestion WHEN 'possible_core_review' THEN 'high_review_first' WHEN 'possible_transfer_or_context' THEN 'medium_review' ELSE 'manual_priority_uncertain' END AS priority FROM s LEFT JOIN g USING (pos)""",
 )
 def triage(spark, sf_dir):
     has = lambda w: F.contains("abstract", F.lit(w))
     rows = with_issues(spark, sf_dir).withColumn("tags", ops.all_true({"rice_paddy": has("that"), "salinity": has("to"), "water": has("les")}))
-    out = rows.select("pos", ops.triage(F.col("issues"), F.col("tags"), F.col("state")).alias("t")).select("pos", "t.*")
-    return out.withColumns({c: F.array_join(c, ",") for c in ("identity", "content", "completeness")})
+    pos = F.col("pos")
+    statuses = {"one": F.when(pos % 4 == 0, "error").when(pos % 4 == 1, "parse_error").otherwise("found"), "two": F.when(pos % 3 == 0, "error").when(pos % 3 == 1, "not_found"), "three": F.lit("skipped")}
+    answers = F.array(*(F.struct(F.lit(p).alias("provider"), s.alias("status")) for p, s in statuses.items()))
+    admission = F.when(pos % 5 == 0, "not_available").when(pos % 5 == 1, "accepted")
+    out = rows.select("pos", ops.triage(F.col("issues"), F.col("tags"), F.col("state"), admission, answers).alias("t")).select("pos", "t.*")
+    out = out.withColumn("incidents", F.transform("incidents", lambda x: F.concat_ws(":", x["provider"], x["status"])))
+    return out.withColumns({c: F.array_join(c, ",") for c in ("identity", "content", "completeness", "scientific", "incidents")})
+
+
+@query(
+    "evidence_scope",
+    f"""WITH {a.RECORDS_CTE}, t AS (SELECT pos, publish_year, [x FOR x IN string_split(abstract, ' ') IF lower(x) IN ('the', 'der')] AS soil, [x FOR x IN string_split(abstract, ' ') IF lower(x) IN ('les', 'que')] AS water, [x FOR x IN string_split(abstract, ' ') IF lower(x) = 'una'] AS yields FROM records WHERE abstract IS NOT NULL)
+SELECT pos, concat_ws(',', CASE WHEN len(water) > 0 THEN 'irrigation' END, CASE WHEN len(yields) > 0 OR publish_year = 2021 THEN 'yield' END) AS themes, len(list_filter(soil, lambda x: contains(lower(x), 'der'))) > 0 AS saline,
+ concat_ws(',', array_to_string(['/abstract_evidence/soil/' || i FOR i IN range(len(soil))], ','), CASE WHEN publish_year = 2022 THEN '/fulltext_evidence/study_system/crop/0' END, array_to_string(['/fulltext_evidence/measurements/' || i FOR i IN range(len(yields))], ',')) AS anchors_text FROM t""",
+)
+def evidence_scope(spark, sf_dir):
+    """Themes, context and anchors of records from words that stand for their facts."""
+    words = lambda *wanted: F.filter(F.split("abstract", " "), lambda x: F.lower(x).isin(*wanted))
+    rows = a.records(spark, sf_dir).where("abstract is not null").select("pos", "publish_year", words("the", "der").alias("soil"), words("les", "que").alias("water"), words("una").alias("yields"))
+    year = F.col("publish_year")
+    stated = F.when(year == 2021, F.array(F.lit("yield"), F.lit("unheard of"))).when(year == 2022, F.array(F.lit(None).cast("string")))
+    found = ops.themes({"irrigation": F.col("water"), "yield": F.col("yields")}, stated, ("irrigation", "yield"))
+    system = F.when(year == 2022, F.array(F.lit("/study_system/crop/0")))
+    anchors = ops.evidence_anchors(F.transform("soil", lambda _, i: F.concat(F.lit("/soil/"), i.cast("string"))), system, {"methods": F.lit(None).cast("array<string>"), "measurements": F.col("yields")})
+    # Empty lists leave an empty text between commas in the SQL as well.
+    parts = F.array_compact(F.array(F.array_join(F.filter(anchors, lambda x: x.startswith("/abstract")), ","), F.when(F.size(F.coalesce(system, F.array().cast("array<string>"))) > 0, F.array_join(F.filter(anchors, lambda x: x.contains("/study_system/")), ",")), F.array_join(F.filter(anchors, lambda x: x.contains("/measurements/")), ",")))
+    return rows.select("pos", F.array_join(found, ",").alias("themes"), ops.in_context(F.col("soil"), ("DER",)).alias("saline"), F.array_join(parts, ",").alias("anchors_text"))
 
 
 @query("year_bounds", f"WITH {a.RECORDS_CTE} SELECT pos, publish_year FROM records WHERE publish_year < 2021 OR publish_year > 2024")
