@@ -64,6 +64,7 @@ def _folding(transform):
 
 _title = _folding(lambda t: " ".join(re.sub(r"[\W_]+", " ", unicodedata.normalize("NFKC", t).casefold()).split()))
 _item = _folding(lambda t: " ".join(unicodedata.normalize("NFKC", t).casefold().split()))
+_words = _folding(lambda t: " ".join(t.casefold().split()))
 _packed = _folding(lambda t: "".join(unicodedata.normalize("NFKC", t).split()))
 _identity = _folding(lambda t: "".join(unicodedata.normalize("NFKC", t).casefold().translate({ord(d): "-" for d in DASHES}).split()))
 
@@ -78,6 +79,12 @@ def item_key(c: Column) -> Column:
     return _item(c, F.trim(F.regexp_replace(F.lower(c), r"[\s\x1c-\x1f]+", " ")))
 
 
+def folded_words(c: Column) -> Column:
+    """The words of a text, case folded, each once."""
+    folded = _words(c, F.trim(F.regexp_replace(F.lower(c), r"[\s\x1c-\x1f]+", " ")))
+    return F.filter(F.array_distinct(F.split(folded, " ")), lambda w: w != "")
+
+
 def packed_text(c: Column) -> Column:
     """Width folded, without white space."""
     return _packed(c, F.regexp_replace(c, r"[\s\x1c-\x1f]+", ""))

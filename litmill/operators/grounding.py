@@ -240,13 +240,15 @@ def fulltext_faults(items: DataFrame, text: str = "text") -> DataFrame:
     """Items of a full text with the rules they break: facts, findings, author
     interpretations and the study system, each against its slice of the source.
     ``items (kind, said, claim, claim_type, field, a_start, a_end, text)``; a
-    finding's ``said`` is its evidence text, which is the slice itself."""
+    finding's ``said`` is its evidence text, which is the slice itself. With
+    ``anchor_sha256`` and ``document_sha256`` an anchor must name its document."""
     start, end, kind = F.col("a_start"), F.col("a_end"), F.col("kind")
     inside = F.coalesce((start >= 0) & (start < end) & (end <= F.length(text)), F.lit(False))
     quote = F.when(inside, F.substring(F.col(text), start.cast("int") + 1, (end - start).cast("int")))
     scale = F.coalesce(F.col("field") == "experimental_scale", F.lit(False))
     rules = {
         "invalid_offsets": ~inside,
+        **({"wrong_document": ~F.coalesce(F.col("anchor_sha256") == F.col("document_sha256"), F.lit(False))} if "anchor_sha256" in items.columns else {}),
         "fact_outside_quote": (kind == "fact") & ~F.contains(quote, F.col("said")),
         "finding_unsupported": (kind == "finding") & ((F.col("said") != quote) | ~F.contains(quote, F.col("claim"))),
         "interpretation_unsupported": (kind == "interpretation") & ~F.contains(quote, F.col("said")),
@@ -257,6 +259,15 @@ def fulltext_faults(items: DataFrame, text: str = "text") -> DataFrame:
     return items.withColumn("faults", all_true({name: F.coalesce(broken, F.lit(False)) for name, broken in rules.items()}))
 
 
+def system_support_gaps(documents: DataFrame, supports: DataFrame, key: str, lists: Sequence[str], scalars: Sequence[str]) -> DataFrame:
+    """``(key, pointer, kind)``: values of the study system without support in the
+    full text, and supports of what is no value. Missing, empty and unknown values
+    need none; ``supports (key, pointer)``."""
+    path = lambda c: f"/study_system/{c}"
+    facts = pointer_rows(documents, key, {path(c): c for c in lists}, {path(c): c for c in scalars})
+    return orphans(facts, supports, key)
+
+
 #: The later recogniser's terms, and cues of relation and of place.
 SCALE_TERMS = {
     "field": r"\bfield(?:s)?(?:[ -](?:scale|based|study|experiment|trial))?\b",

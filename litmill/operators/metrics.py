@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from litmill.functions.text import item_key, prf
+from litmill.functions.text import folded_words, item_key, prf
 from litmill.operators.intervals import overlap_join
 from litmill.operators.quality import first_true
 
@@ -236,6 +236,25 @@ def salinity_class(kind: Column, text: Column, document_types: Column) -> Column
     return first_true(rules, "other/ambiguous")
 
 
+def other_routes(gold: DataFrame, pred: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Where else items that were missed have gone: ``gold (key, item, a_start,
+    a_end, value)`` with the first of ``pred (key, place, ...)`` that has the same
+    span, shares characters, or shares a word of its value, and which of these it
+    is. Predictions without a span say nothing. Of a word only the first place is
+    kept, so a word that all have makes no pairs."""
+    pred = pred.where("a_start is not null and a_end is not null")
+    a = gold.where("a_start is not null").select(*key, "item", F.col("a_start").alias("s1"), F.col("a_end").alias("e1"))
+    b = pred.select(*key, "place", F.col("a_start").alias("s2"), F.col("a_end").alias("e2"))
+    same = a.join(b, [(a[k] == b[k]) for k in key] + [a["s1"] == b["s2"], a["e1"] == b["e2"]]).select(*(a[k] for k in key), "item", "place", F.lit(0).alias("rank"))  # empty spans too
+    shared = overlap_join(a, b, key, ("s1", "e1"), ("s2", "e2")).select(*key, "item", "place", F.lit(1).alias("rank"))
+    words = lambda t, *columns: t.where("a_start is not null").select(*key, *columns, F.explode(folded_words(F.col("value"))).alias("word"))
+    first = words(pred, "place").groupBy(*key, "word").agg(F.min("place").alias("place"))
+    said = words(gold, "item").join(first, [*key, "word"]).select(*key, "item", "place", F.lit(2).alias("rank"))
+    best = same.unionByName(shared).unionByName(said).groupBy(*key, "item").agg(F.min(F.struct("place", "rank")).alias("m"))
+    names = F.array(*map(F.lit, ("exact_span", "partial_span", "semantic_only")))
+    return gold.select(*key, "item").join(best, [*key, "item"], "left").select(*key, "item", F.col("m.place").alias("place"), F.get(names, F.col("m.rank")).alias("route"))
+
+
 def paired_runs(before: DataFrame, after: DataFrame, field: str, gain: float = 0.01) -> DataFrame:
     """Change of F1 by field between two runs, and what to do with it."""
     b, a = before.select(field, F.col("f1").alias("f1_before")), after.select(field, F.col("f1").alias("f1_after"))

@@ -184,8 +184,8 @@ def fulltext_rules(spark, sf_dir):
 
 @query(
     "fulltext_audit",
-    f"""WITH {QUOTED} SELECT uid, place, CASE WHEN (uid + place) % 5 = 0 THEN 'invalid_offsets' WHEN (uid + place) % 5 = 1 THEN ['fact_outside_quote', 'finding_unsupported', 'interpretation_unsupported', 'value_unsupported'][place % 4 + 1]
- WHEN (uid + place) % 5 = 2 AND place % 4 = 1 THEN 'finding_unsupported' WHEN (uid + place) % 5 = 2 AND place % 4 = 3 THEN 'scale_unsupported' ELSE '' END AS faults FROM qs""",
+    f"""WITH {QUOTED} SELECT uid, place, concat_ws(',', CASE WHEN (uid + place) % 5 = 0 THEN 'invalid_offsets' END, CASE WHEN place % 6 = 5 THEN 'wrong_document' END, CASE WHEN (uid + place) % 5 = 1 THEN ['fact_outside_quote', 'finding_unsupported', 'interpretation_unsupported', 'value_unsupported'][place % 4 + 1]
+ WHEN (uid + place) % 5 = 2 AND place % 4 = 1 THEN 'finding_unsupported' WHEN (uid + place) % 5 = 2 AND place % 4 = 3 THEN 'scale_unsupported' END) AS faults FROM qs""",
 )
 def fulltext_audit(spark, sf_dir):
     """Items all along each text: one of five past the end of its source, one
@@ -205,10 +205,27 @@ def fulltext_audit(spark, sf_dir):
         "a_start",
         F.when(sort == 0, F.length("source_text") + 1).otherwise(F.col("a_end")).alias("a_end"),
         F.col("source_text").alias("text"),
+        F.sha2("source_text", 256).alias("document_sha256"),
+        F.when(place % 6 != 5, F.sha2("source_text", 256)).when(place % 12 == 5, "stale").alias("anchor_sha256"),
     )
     return ops.fulltext_faults(rows).select("uid", "place", F.array_join("faults", ",").alias("faults"))
 
 
+@query(
+    "system_support",
+    """WITH d AS (SELECT doc_id AS uid, string_split(text, ' ') AS w, CASE WHEN doc_id % 4 = 0 THEN NULL WHEN doc_id % 4 = 1 THEN 'unknown' ELSE source END AS scale FROM documents WHERE text IS NOT NULL), x AS (SELECT uid, w[i + 1] AS v, i FROM (SELECT uid, w, unnest(range(len(w))) AS i FROM d))
+SELECT uid, '/study_system/crop/' || i AS pointer, 'missing_support' AS kind FROM x WHERE v NOT IN ('', 'unknown') AND i % 5 = 4 UNION ALL SELECT uid, '/study_system/crop/' || i, 'orphan_support' FROM x WHERE v IN ('', 'unknown') AND i % 5 <> 4
+UNION ALL SELECT uid, '/study_system/experimental_scale', 'missing_support' FROM d WHERE scale NOT IN ('unknown', '') AND uid % 3 = 0 UNION ALL SELECT uid, '/study_system/experimental_scale', 'orphan_support' FROM d WHERE (scale IS NULL OR scale IN ('unknown', '')) AND uid % 3 <> 0""",
+)
+def system_support(spark, sf_dir):
+    """Words of texts as values of the study system, of which one in five has no support."""
+    docs = a.table(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").alias("uid"), F.split("text", " ").alias("crop"), F.expr(WORDS).alias("experimental_scale"))
+    words = docs.select("uid", F.explode(F.sequence(F.lit(0), F.size("crop") - 1)).alias("i")).where("i % 5 <> 4")
+    supports = words.select("uid", F.concat(F.lit("/study_system/crop/"), F.col("i").cast("string")).alias("pointer"))
+    supports = supports.unionByName(docs.where("uid % 3 <> 0").select("uid", F.lit("/study_system/experimental_scale").alias("pointer")))
+    return ops.system_support_gaps(docs, supports, "uid", ["crop"], ["experimental_scale"])
+
+
 #: Wordings and the scales that each bears out.
 WORDINGS = (
     ("A field experiment was conducted on saline soil", ("field",)),
@@ -406,6 +423,51 @@ def error_class(spark, sf_dir):
     return errors(spark, sf_dir)
 
 
+#: Wordings of soil and salinity that are put into texts, and what each is a miss of.
+SOILS = (("in a Paddy Field of the coast", "land-use ambiguity"), ("in pots of clay", "explicit studied-soil descriptor"), ("at the site", "actual-system linkage missing"), ("elsewhere", "worker abstention"), ("a review of soils", "review scope"))
+SALTS = (("salt stress was induced", "treatment-induced salinity"), ("has potential under salt stress", "background/application FP"), ("was measured", "other/ambiguous"))
+PLANTS = (("Chlorophyll and Na+", "pigments"), ("photosynthetic rate", "photosynthesis"), ("Na+ and K+", "plant_ions"), ("proline, mRNA", "osmolyte"), ("height of plants", "other_physiology"))
+
+
+def _one_of(words, column):
+    return F.get(F.array(*map(F.lit, words)), (F.col(column) % len(words)).cast("int"))
+
+
+@query(
+    "error_subclasses",
+    "SELECT event_id, CASE WHEN user_id % 5 = 0 THEN 'review scope' ELSE " + f"{[s[1] for s in SOILS]}[event_id % {len(SOILS)} + 1] END AS soil, {[s[1] for s in PLANTS]}[event_id % {len(PLANTS)} + 1] AS plant,"
+    + f" CASE WHEN user_id % 5 = 0 AND value > 10 THEN 'review_scope_errors' WHEN event_id % 3 = 1 THEN 'background/application FP' WHEN value > 10 THEN 'bare descriptor FP' ELSE {[s[1] for s in SALTS]}[event_id % {len(SALTS)} + 1] END AS salinity FROM events",
+)
+def error_subclasses(spark, sf_dir):
+    kind, types = F.when(F.col("value") > 10, "FP").otherwise("FN"), F.array(F.when(F.col("user_id") % 5 == 0, "Review").otherwise("Article"))
+    soil = metrics.soil_miss_class(_one_of([s[0] for s in SOILS], "event_id"), types)
+    salinity = metrics.salinity_class(kind, _one_of([s[0] for s in SALTS], "event_id"), types)
+    plant = metrics.physiology_class(_one_of([s[0] for s in PLANTS], "event_id"))
+    return a.table(spark, sf_dir, "events").select("event_id", soil.alias("soil"), plant.alias("plant"), salinity.alias("salinity"))
+
+
+@query(
+    "other_routes",
+    """WITH sp AS (SELECT doc_id AS uid, text, length(text) AS chars, unnest(range((length(text) - 1) // 80 + 1)) AS place FROM documents WHERE length(text) > 0),
+g AS (SELECT uid, place AS item, place * 80 AS s1, place * 80 + 30 AS e1, substr(text, place * 80 + 1, 8) AS v1 FROM sp),
+p AS (SELECT uid, place, CASE WHEN place % 7 <> 6 THEN place * 80 + CASE WHEN place % 3 = 0 THEN 0 WHEN place % 3 = 1 THEN 29 ELSE 30 END END AS s2, CASE WHEN place % 7 <> 6 THEN place * 80 + CASE WHEN place % 3 = 0 THEN 30 WHEN place % 3 = 1 THEN 60 ELSE 60 END END AS e2, substr(text, place * 80 + 41, 8) AS v2 FROM sp),
+r AS (SELECT g.uid, item, place, CASE WHEN s1 = s2 AND e1 = e2 THEN 0 WHEN greatest(s1, s2) < least(e1, e2) THEN 1 ELSE 2 END AS rank FROM g JOIN p ON g.uid = p.uid AND s2 IS NOT NULL
+ AND (s1 = s2 AND e1 = e2 OR greatest(s1, s2) < least(e1, e2) OR len(list_intersect(list_filter(string_split_regex(replace(lower(v1), 'ß', 'ss'), '\\s+'), lambda x: x <> ''), list_filter(string_split_regex(replace(lower(v2), 'ß', 'ss'), '\\s+'), lambda x: x <> ''))) > 0)),
+b AS (SELECT uid, item, arg_min(rank, place) AS rank, min(place) AS place FROM r GROUP BY ALL)
+SELECT g.uid, g.item, b.place, ['exact_span', 'partial_span', 'semantic_only'][b.rank + 1] AS route FROM g LEFT JOIN b USING (uid, item)""",
+)
+def other_routes(spark, sf_dir):
+    """Spans all along texts against others that are the same, touch, or stand beside them."""
+    rows = a.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("uid"), "text", F.length("text").alias("chars"))
+    rows = rows.where("chars > 0").select("*", F.explode(F.sequence(F.lit(0), F.expr("int((chars - 1) div 80)"))).alias("place"))
+    at, place = F.col("place") * 80, F.col("place")
+    gold = rows.select("uid", place.alias("item"), at.alias("a_start"), (at + 30).alias("a_end"), F.substring("text", at + 1, F.lit(8)).alias("value"))
+    start = at + F.when(place % 3 == 0, 0).when(place % 3 == 1, 29).otherwise(30)
+    end = at + F.when(place % 3 == 0, 30).otherwise(60)
+    pred = rows.select("uid", "place", F.when(place % 7 != 6, start).alias("a_start"), F.when(place % 7 != 6, end).alias("a_end"), F.substring("text", at + 41, F.lit(8)).alias("value"))
+    return metrics.other_routes(gold, pred, ["uid"])
+
+
 @query("top_errors", f"WITH {ERRORS} SELECT * FROM n ORDER BY n DESC, class LIMIT 5")
 def top_errors(spark, sf_dir):
     return errors(spark, sf_dir).groupBy("class").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "class").limit(5)
