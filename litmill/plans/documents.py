@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from litmill.functions import text as t
 from litmill.operators import documents as ops
@@ -322,14 +323,30 @@ def usage_totals(spark, sf_dir):
     return rows.groupBy("key").agg(F.sum("value").alias("total"))
 
 
-@plugins.register("first_words")
-def _first_words(records):
-    return records.select("pos", F.slice(F.split("abstract", " "), 1, 3).alias("words"))
+WORD = StructType([StructField("place", IntegerType()), StructField("word", StringType())])
 
 
-@query("plugin", "SELECT doc_id AS pos, array_to_string(string_split(text, ' ')[1:3], ' ') AS words FROM documents")
+@plugins.register("long_words", ["abstract"], WORD)
+def long_words(text):
+    """The words of over thirteen signs, with their places."""
+    for place, word in enumerate((text or "").split(" ")):
+        if len(word) > 13:
+            yield place, word
+
+
+LONG_WORDS = "SELECT doc_id AS pos, CAST(i AS INT) AS place, w[i + 1] AS word FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)) WHERE length(w[i + 1]) > 13"
+
+
+@query("plugin", LONG_WORDS)
 def plugin(spark, sf_dir):
-    return plugins.extract("first_words", a.records(spark, sf_dir)).select("pos", F.array_join("words", " ").alias("words"))
+    return plugins.extract("long_words", a.records(spark, sf_dir), ["pos"])
+
+
+@query("plugin_sql", LONG_WORDS.replace("SELECT doc_id AS pos, CAST(i AS INT) AS place, w[i + 1] AS word", "SELECT w[i + 1] AS word, count(*) AS n") + " GROUP BY ALL")
+def plugin_sql(spark, sf_dir):
+    """The same table function by its name in SQL."""
+    plugins.publish(spark, "long_words")
+    return spark.sql("SELECT w.word, count(*) AS n FROM {r} r, LATERAL long_words(r.abstract) w GROUP BY w.word", r=a.records(spark, sf_dir))
 
 
 def files_of(spark, sf_dir, name, frame, column):

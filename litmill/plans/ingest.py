@@ -265,6 +265,18 @@ def manifest_rows(spark, sf_dir):
     return made[0].unionByName(made[1]).unionByName(made[2])
 
 
+OBSERVED = "CAST(count(*) AS BIGINT) AS rows, " + HASH_SUM
+
+
+@query("observed_manifests", f"SELECT 'documents' AS output, {OBSERVED.format('text')} FROM documents UNION ALL SELECT 'orders', {OBSERVED.format('o_orderpriority')} FROM orders UNION ALL SELECT 'pages', {OBSERVED.format('html')} FROM pages")
+def observed_manifests(spark, sf_dir):
+    """Outputs written, and what was counted as they were."""
+    outputs = (("documents", "doc_id", "text"), ("orders", "o_orderkey", "o_orderpriority"), ("pages", "page_id", "html"))
+    scratch = Scratch(spark, "observed")
+    made = [files.write_observed(a.table(spark, sf_dir, n), scratch.path(n), k, c).select(F.lit(n).alias("output"), "rows", "content_sum") for n, k, c in outputs]
+    return made[0].unionByName(made[1]).unionByName(made[2])
+
+
 @query("search_manifests", f"WITH {a.MATCHED_CTE}, h AS (SELECT query_id || '-' || lang AS manifest, query_id, lang, count(*) AS total_hits FROM matched GROUP BY ALL) SELECT manifest, CASE WHEN lang <> 'fr' THEN query_id END AS query_id, CASE WHEN lang <> 'fr' THEN total_hits END AS total_hits, CASE WHEN lang = 'fr' THEN 'missing' ELSE 'read' END AS state FROM h")
 def search_manifests(spark, sf_dir):
     """Manifests that the histories of records name, each read once; those of one
@@ -295,7 +307,7 @@ def fingerprints(spark, sf_dir):
     rows = a.table(spark, sf_dir, "customer").select(F.expr("c_custkey div 20").alias("part"), "c_custkey", "c_name")
     path = Scratch(spark, "files").path("parts")
     rows.repartition("part").sortWithinPartitions("part", "c_custkey").select("part", "c_name").write.partitionBy("part").text(path)
-    seen = files.fingerprints(spark, path + "/part=*/*.txt", within=2)
+    seen = files.fingerprints(spark, path, within=2, pattern="*.txt")
     return seen.withColumn("file", F.regexp_extract("file", "part=([^/]*)", 1))
 
 

@@ -8,6 +8,8 @@ from litmill.functions import text as t
 from litmill.operators import enrich, ingest, quality as ops
 from litmill.plans import adapters as a
 from litmill.plans.registry import query
+from litmill.sources import files
+from litmill.sources.scratch import Scratch
 
 #: Words of the tables' texts, where the topics themselves never occur.
 TERMS = ("idiot", "token", "the and", "benchmark", "schaft")
@@ -167,7 +169,10 @@ QUEUES = {"no_doi": "doi IS NULL", "no_uid": "uid IS NULL", "long": "n_chars > 5
 
 @query("queue_fanout", f"WITH {a.RECORDS_CTE} " + " UNION ALL ".join(f"SELECT '{k}' AS queue, pos FROM records WHERE {v}" for k, v in QUEUES.items()))
 def queue_fanout(spark, sf_dir):
-    return ingest.fan_out(a.records(spark, sf_dir), {k: F.expr(v) for k, v in QUEUES.items()}, "pos")
+    """Queues as partitions of files, written in one pass and read back."""
+    rows, path = a.records(spark, sf_dir).select("pos", "doi", "uid", "publish_year", "abstract", "n_chars", "lang", "title", "source_title"), Scratch(spark, "queues").path("queues")
+    files.write_queues(rows, {k: F.expr(v) for k, v in QUEUES.items()}, path)
+    return files.read_queue(spark, path, rows.schema).select("queue", "pos")
 
 
 @query("severity", f"WITH {a.RECORDS_CTE}, s AS (SELECT pos, {STATE} AS state FROM records) SELECT pos, state, row_number() OVER (ORDER BY CASE state WHEN 'conflict' THEN 0 WHEN 'missing' THEN 1 WHEN 'needs_source_review' THEN 2 ELSE 3 END, pos) <= 100 AS urgent FROM s")

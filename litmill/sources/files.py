@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from litmill.sources.digests import digests
 
 
 def read_strict_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -32,11 +37,10 @@ def write_new_csv(frame: DataFrame, path: str) -> None:
     frame.write.mode("errorifexists").options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
-def fingerprints(spark: SparkSession, path: str, within: int = 1) -> DataFrame:
+def fingerprints(spark: SparkSession, path: str, within: int = 1, pattern: str = "*") -> DataFrame:
     """``(file, sha256, size)`` of the files of a folder, named by the last
     ``within`` parts of their paths."""
-    read = spark.read.format("binaryFile").load(path)
-    return read.select(F.substring_index("path", "/", -within).alias("file"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+    return digests(spark, path, pattern).select(F.substring_index("path", "/", -within).alias("file"), "sha256", "size")
 
 
 def drift(stored: DataFrame, current: DataFrame, key: str, value: str) -> DataFrame:
@@ -56,8 +60,39 @@ def store_conflicts(store: DataFrame, content: str) -> DataFrame:
     return store.groupBy("sha256").agg(F.countDistinct(content).alias("n")).where("n > 1")
 
 
-def manifest(frame: DataFrame, key: str, content: str) -> DataFrame:
-    """One row that says what an output holds: rows, keys, and sums of hashes of
-    keys and contents that don't depend on the order."""
+def _sums(key: str, content: str) -> list[Column]:
+    """Sums of hashes of keys and contents, which don't depend on the order."""
     hashed = F.conv(F.left(F.sha2(content, 256), F.lit(8)), 16, 10).cast("long")
-    return frame.agg(F.count("*").alias("rows"), F.countDistinct(key).alias("keys"), F.sum(F.crc32(F.col(key).cast("string").cast("binary"))).alias("key_sum"), F.sum(hashed).alias("content_sum"))
+    none = F.lit(0).cast("long")
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.crc32(F.col(key).cast("string").cast("binary"))), none).alias("key_sum"), F.coalesce(F.sum(hashed), none).alias("content_sum")]
+
+
+def manifest(frame: DataFrame, key: str, content: str) -> DataFrame:
+    """One row that says what an output holds: rows, keys, and sums of hashes."""
+    return frame.agg(*_sums(key, content), F.countDistinct(key).alias("keys"))
+
+
+def write_observed(frame: DataFrame, path: str, key: str, content: str) -> DataFrame:
+    """Write ``frame`` to a place where nothing is yet and return what was
+    written, one row of ``rows``, ``key_sum`` and ``content_sum``. They are taken
+    as the rows go by, so the output is neither computed nor read again."""
+    seen = Observation()
+    frame.observe(seen, *_sums(key, content)).write.mode("errorifexists").parquet(path)
+    held = seen.get
+    return frame.sparkSession.createDataFrame([(held["rows"], held["key_sum"], held["content_sum"])], "rows long, key_sum long, content_sum long")
+
+
+QUEUE = "queue"
+
+
+def write_queues(rows: DataFrame, queues: Mapping[str, Column], path: str) -> None:
+    """Each row in the files of all queues whose test it passes, in one pass; a
+    row of none is left out. ``path`` must be new."""
+    held = F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in queues.items())))
+    rows.withColumn(QUEUE, F.explode(held)).write.mode("errorifexists").partitionBy(QUEUE).parquet(path)
+
+
+def read_queue(spark: SparkSession, path: str, schema: StructType, name: str | None = None) -> DataFrame:
+    """The rows of one queue, from its own files alone, or of all with their queue."""
+    read = spark.read.schema(StructType([*schema.fields, StructField(QUEUE, StringType())])).parquet(path)
+    return read if name is None else read.where(F.col(QUEUE) == name).drop(QUEUE)

@@ -274,7 +274,7 @@ def test_sources_refuse_to_guess(spark, tmp_path):
     with pytest.raises(Exception):
         files.write_new_json(frame, f"{tmp_path}/new")
     with pytest.raises(KeyError):
-        plugins.extract("none", frame)
+        plugins.extract("none", frame, ["a"])
 
 
 def test_caps_and_statuses(spark):
