@@ -20,14 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def per_batch(function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> Callable:
+def per_batch(function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], keeps: str = "") -> Callable:
     """A mapInArrow function out of one that turns a batch into batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from function(batch)
 
-    return tidy(run)
+    return tidy(run, keeps)
 
 
 def give_back() -> None:
@@ -38,12 +38,20 @@ def give_back() -> None:
         trim(0)
 
 
-def tidy(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+#: How to empty the tables that operators keep in a worker from one task to the next.
+TABLES: dict[str, Callable[[], None]] = {}
+
+
+def tidy(function: Callable[[Iterator], Iterator], keeps: str = "") -> Callable[[Iterator], Iterator]:
     """A mapInArrow function whose task gives its memory back when it ends: a
     worker serves the tasks of many stages, and each would find the peak of those
-    before it still taken."""
+    before it still taken. Tables that other operators have left go first; those
+    of ``keeps`` stay for its next task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, empty in TABLES.items():
+            if name != keeps:
+                empty()
         try:
             yield from function(batches)
         finally:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from litmill.llm.common import give_back, table, tidy
+from litmill.llm.common import TABLES, give_back, table, tidy
 from litmill.sources.scratch import Scratch
 
 LENGTH = 4096
@@ -125,6 +125,9 @@ class Words:
                     self.codes.update(zip(group, (data[a:b] for a, b in zip(cuts, cuts[1:]))))
 
 
+TABLES["packing"] = Words.kept.clear
+
+
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     size = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy())
     starts = np.flatnonzero(np.diff(size // BYTES_AT_ONCE, prepend=-1))
@@ -154,7 +157,7 @@ def tokenized(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int
             yield pa.record_batch([pa.array(rows["doc_id"], pa.int64()), pa.array(rows["piece"], pa.int32()), pa.array(rows["start"], pa.int64()), pa.array(rows["length"], pa.int64()), pa.array(rows["ids"], pa.binary())], names=list(rows))
             give_back()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(cut), "doc_id long, piece int, start long, length long, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(cut, "packing"), "doc_id long, piece int, start long, length long, ids binary")
 
 
 def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

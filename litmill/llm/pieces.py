@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litmill.llm.common import flat, per_batch, sliced, table, unflat
+from litmill.llm.common import TABLES, flat, per_batch, sliced, table, unflat
 
 MARKER = "▁"
 BYTES_AT_ONCE = 4 << 20
@@ -73,7 +73,8 @@ class Vocabulary:
     @classmethod
     def of(cls, model: bytes) -> Vocabulary:
         if model not in cls.kept:
-            cls.kept = {model: cls(model)}
+            cls.kept.clear()
+            cls.kept[model] = cls(model)
         return cls.kept[model]
 
     def encoded(self, texts: pa.Array, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,6 +152,9 @@ class Vocabulary:
         return data, text_bounds
 
 
+TABLES["pieces"] = Vocabulary.kept.clear
+
+
 def model_of(spark: SparkSession, path: str):
     with open(path, "rb") as file:
         return spark.sparkContext.broadcast(file.read())  # the file's size
@@ -170,7 +174,7 @@ def encode(docs: DataFrame, model: str, begin: int = 1, end: int = 2) -> DataFra
             yield pa.record_batch({c: some.column(c) for c in rest} | made)
 
     schema = docs.select(*rest, *(F.lit(None).cast(t).alias(c) for c, t in MADE.items())).schema
-    return docs.select(*rest, "text").mapInArrow(per_batch(run), schema)
+    return docs.select(*rest, "text").mapInArrow(per_batch(run, "pieces"), schema)
 
 
 def decode(rows: DataFrame, model: str) -> DataFrame:
@@ -185,7 +189,7 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
             text = known.decoded(np.frombuffer(data.tobytes(), "<u4"), bounds // 4)
             yield pa.record_batch({c: some.column(c) for c in rest} | {"decoded": unflat(*text, pa.string())})
 
-    return rows.select(*rest).mapInArrow(per_batch(run), rows.select(*rest, F.lit("").alias("decoded")).schema)
+    return rows.select(*rest).mapInArrow(per_batch(run, "pieces"), rows.select(*rest, F.lit("").alias("decoded")).schema)
 
 
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
