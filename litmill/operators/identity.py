@@ -18,10 +18,16 @@ def uid_conflicts(records: DataFrame) -> DataFrame:
     return keyed.distinct().groupBy("uid").agg(F.sort_array(F.collect_list("doi")).alias("doi_candidates")).where(F.size("doi_candidates") > 1)
 
 
+def conflicted_uids(records: DataFrame) -> DataFrame:
+    """``(uid)`` of the uids in conflict: two different DOIs are all there is to know."""
+    doi = normalize_doi(F.col("doi"))
+    return records.groupBy(F.upper(F.trim("uid")).alias("uid")).agg(F.min(doi).alias("low"), F.max(doi).alias("high")).where("uid is not null and low < high").select("uid")
+
+
 def identity_keys(records: DataFrame, title_key: Column) -> DataFrame:
     """``(pos, key)``: DOI and uid of a record; title and year only without
     either. A uid in conflict is a key that merges nothing."""
-    conflicts = uid_conflicts(records).select(F.col("uid").alias("_bad"))
+    conflicts = conflicted_uids(records).select(F.col("uid").alias("_bad"))
     keyed = records.select("pos", normalize_doi(F.col("doi")).alias("doi"), F.upper(F.trim("uid")).alias("uid"), title_key.alias("t"), F.col("publish_year").alias("y"))
     keyed = keyed.join(conflicts, F.col("uid") == F.col("_bad"), "left")
     title = F.when(F.col("doi").isNull() & F.col("uid").isNull() & (F.col("t") != "") & F.col("y").isNotNull(), F.concat(F.lit("t:"), "t", F.lit("|"), F.col("y").cast("string")))
@@ -50,9 +56,26 @@ def first_filled(column: str, order: str, empty: Sequence[str] = ("",)) -> Colum
 
 def merge_groups(grouped: DataFrame, values: Sequence[str], lists: Sequence[str] = ()) -> DataFrame:
     """One record for each ``group``: values by ``first_filled``, lists as
-    their distinct elements in the order of rows."""
-    joined = [F.array_distinct(F.flatten(F.array_sort(F.collect_list(F.struct("pos", F.col(c).alias("list")))).getField("list"))).alias(c) for c in lists]
-    return grouped.groupBy("group").agg(*(first_filled(c, "pos").alias(c) for c in values), *joined, F.count("*").alias("copies"))
+    their distinct elements in the order of rows. The rows of a group are only
+    ever summed up: of an element the first place is kept, so a group that a third
+    of all records share costs its distinct elements."""
+    out = grouped.groupBy("group").agg(*(first_filled(c, "pos").alias(c) for c in values), F.count("*").alias("copies"))
+    for c in lists:
+        held = grouped.select("group", "pos", F.posexplode(c).alias("i", "e")).groupBy("group", "e").agg(F.min(F.struct("pos", "i")).alias("at"))
+        ordered = held.groupBy("group").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "e"))), lambda x: x["e"]).alias(c))
+        out = out.join(ordered, "group", "left").withColumn(c, F.coalesce(c, F.array().cast(dict(grouped.dtypes)[c])))
+    return out.select("group", *values, *lists, "copies")
+
+
+def duplicate_members(records: DataFrame, key: Column, kind: str, apart: Column | None = None) -> DataFrame:
+    """``(kind, key, n, pos)``: a row for each record whose key others have too;
+    with ``apart`` only keys under which that column has two values."""
+    keyed = records.select(key.alias("key"), "pos", (F.lit(None).cast("string") if apart is None else apart).alias("apart")).where("key is not null")
+    counts = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("apart").alias("low"), F.max("apart").alias("high"))
+    counts = counts.where("n > 1" if apart is None else "low < high").select("key", "n")
+    # A written table: Spark can split the records of a key that many have.
+    counts = Scratch(records.sparkSession, "identity").save(counts, "counts")
+    return keyed.join(counts, "key").select(F.lit(kind).alias("kind"), "key", "n", "pos")
 
 
 def keep_first(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -188,16 +188,16 @@ def union_all(spark, sf_dir):
 
 @query(
     "duplicate_groups",
-    f"""WITH {a.RECORDS_CTE} SELECT 'doi' AS kind, doi AS key, count(*) AS n, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS members FROM records WHERE doi IS NOT NULL GROUP BY doi HAVING count(*) > 1
-UNION ALL SELECT 'uid', uid, count(*), string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) FROM records WHERE uid IS NOT NULL GROUP BY uid HAVING count(*) > 1
-UNION ALL SELECT 'title', {TITLE} AS tt, count(*), string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) FROM records GROUP BY tt HAVING count(DISTINCT doi) > 1""",
+    f"""WITH {a.RECORDS_CTE}, k AS (SELECT pos, doi, uid, {TITLE} AS tt FROM records), t AS (SELECT tt FROM k GROUP BY tt HAVING count(DISTINCT doi) > 1)
+SELECT 'doi' AS kind, doi AS key, count(*) OVER (PARTITION BY doi) AS n, pos FROM k WHERE doi IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doi) > 1
+UNION ALL SELECT 'uid', uid, count(*) OVER (PARTITION BY uid), pos FROM k WHERE uid IS NOT NULL QUALIFY count(*) OVER (PARTITION BY uid) > 1
+UNION ALL SELECT 'title', tt, count(*) OVER (PARTITION BY tt), pos FROM k WHERE tt IN (SELECT tt FROM t)""",
 )
 def duplicate_groups(spark, sf_dir):
-    rows = a.records(spark, sf_dir).withColumn("t", ascii_title())
-    members = F.array_join(F.transform(F.array_sort(F.collect_list("pos")), lambda p: p.cast("string")), ",").alias("members")
-    same = [rows.where(f"{k} is not null").groupBy(F.lit(k).alias("kind"), F.col(k).alias("key")).agg(F.count("*").alias("n"), members).where("n > 1") for k in ("doi", "uid")]
-    titles = rows.groupBy(F.lit("title").alias("kind"), F.col("t").alias("key")).agg(F.count("*").alias("n"), members, F.countDistinct("doi").alias("d")).where("d > 1").drop("d")
-    return same[0].unionByName(same[1]).unionByName(titles)
+    """A row for each member, so that a key that many share is no single row."""
+    rows = a.records(spark, sf_dir)
+    out = ops.duplicate_members(rows, F.col("doi"), "doi").unionByName(ops.duplicate_members(rows, F.col("uid"), "uid"))
+    return out.unionByName(ops.duplicate_members(rows, ascii_title(), "title", F.col("doi")))
 
 
 @query("doi_normalise", "SELECT page_id, nullif(trim(regexp_replace(lower(trim(url)), '^(https?://(dx\\.)?doi\\.org/|doi\\s*:\\s*)', '')), '') AS doi, regexp_full_match(nullif(trim(regexp_replace(lower(trim(url)), '^(https?://(dx\\.)?doi\\.org/|doi\\s*:\\s*)', '')), ''), '10\\.\\d{4,9}/\\S+') AS valid FROM pages")
