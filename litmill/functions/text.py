@@ -137,10 +137,24 @@ def unmarked(c: Column) -> Column:
     return F.when(marked, visible_text(F.when(marked, c))).otherwise(c)
 
 
+def _tags(page: Column, names: str) -> Column:
+    """Tags of a page as they are written; signs in quotes end none."""
+    return F.regexp_extract_all(page, F.lit(rf"""(?is)<(?:{names})\b(?:[^>"']|"[^"]*"|'[^']*')*>"""), 0)
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's first attribute of a name, quoted or not; empty if it
+    has none. Other attributes are passed over whole, with what stands in their quotes."""
+    value = r"""(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+    other = rf"""\s+(?!{name}[\s=])[^\s=>"']+(?:\s*=\s*{value})?"""
+    found = F.regexp_extract(tag, rf"(?is)^<[a-z]+(?:{other})*\s+{name}\s*=\s*({value})", 1)
+    return F.regexp_replace(found, r"""(?s)^"(.*)"$|^'(.*)'$""", "$1$2")
+
+
 def page_links(page: Column, base: Column, n: int = 2) -> Column:
     """The first ``n`` distinct link targets of a page, rooted ones resolved."""
     root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    found = F.regexp_extract_all(page, F.lit(r"""<a href="([^"]*)\""""), 1)
+    found = F.filter(F.transform(_tags(page, "a"), lambda tag: _attribute(tag, "href")), lambda x: x != "")
     return F.slice(F.array_distinct(F.transform(found, lambda x: F.when(x.startswith("/"), F.concat(root, x)).otherwise(x))), 1, n)
 
 
@@ -159,12 +173,9 @@ def joined_link(base: pd.Series, link: pd.Series) -> pd.Series:
 
 def advertised_links(page: Column) -> Column:
     """The documents that a page's meta and link tags name, in order."""
-    attribute = lambda tag, name: F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", 0)
-    value = lambda tag, name: F.regexp_replace(attribute(tag, name), r"""(?is)^\s\w+\s*=\s*["']?|["']$""", "")
-    tags = F.regexp_extract_all(page, F.lit(r"""(?is)<(?:meta|link)\b(?:[^>"']|"[^"]*"|'[^']*')*>"""), 0)
-    meta = lambda tag: F.when(F.lower(tag).startswith("<meta") & (F.lower(value(tag, "name")) == "citation_pdf_url"), value(tag, "content"))
-    link = lambda tag: F.when(F.lower(tag).startswith("<link") & (F.lower(value(tag, "type")) == "application/pdf"), value(tag, "href"))
-    return F.filter(F.transform(tags, lambda tag: F.coalesce(meta(tag), link(tag))), lambda x: x != "")
+    meta = lambda tag: F.when(F.lower(tag).startswith("<meta") & (F.lower(_attribute(tag, "name")) == "citation_pdf_url"), _attribute(tag, "content"))
+    link = lambda tag: F.when(F.lower(tag).startswith("<link") & (F.lower(_attribute(tag, "type")) == "application/pdf"), _attribute(tag, "href"))
+    return F.filter(F.transform(_tags(page, "meta|link"), lambda tag: F.coalesce(meta(tag), link(tag))), lambda x: x != "")
 
 
 def slug(c: Column) -> Column:

@@ -142,3 +142,11 @@ def test_extractors_yield_any_number_of_rows(spark):
     plugins.publish(spark, "long_words")
     rows.createOrReplaceTempView("some_records")
     assert spark.sql("SELECT r.pos, count(*) AS n FROM some_records r, LATERAL long_words(r.abstract) GROUP BY r.pos").collect()[0].n == 2
+
+
+def test_links_of_a_page_however_they_are_written(spark):
+    from litmill.functions.text import page_links
+
+    page = """<A class="x" HREF='/one'>a</A><a href=two>b</a><abbr href="no"><a data-x="<a href='no'>" href = "https://o.org/3">c</a><a href="">d</a><a name=y><a href='/one'>"""
+    row = spark.createDataFrame([(page, "http://h.org/p?q")], "page string, base string")
+    assert row.select(page_links(F.col("page"), F.col("base"), 9).alias("x")).first().x == ["http://h.org/one", "two", "https://o.org/3"]
