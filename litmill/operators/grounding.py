@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -172,10 +173,51 @@ def remapped(anchors: DataFrame, deduplicated: DataFrame, key: str) -> DataFrame
 
 
 #: The rules of an extracted document in the order in which they are tried.
-DOCUMENT_RULES = ("fulltext_not_asked", "content_without_text", "support_missing", "invalid_offsets", "quote_mismatch", "scale_unsupported", "value_outside_quote", "orphan_support", "finding_offsets", "finding_mismatch", "claim_outside_quote", "anchor_outside_evidence", "anchor_without_evidence")
-
-
-def document_faults(records: DataFrame, facts: DataFrame, supports: DataFrame, findings: DataFrame, anchors: DataFrame, key: str) -> DataFrame:
+DOCUMENT_RULES = (
+    "identity_differs",
+    "fulltext_not_asked",
+    "content_without_text",
+    "support_missing",
+    "invalid_offsets",
+    "quote_mismatch",
+    "scale_unsupported",
+    "value_outside_quote",
+    "orphan_support",
+    "finding_offsets",
+    "finding_mismatch",
+    "claim_outside_quote",
+    "interpretation_source",
+    "interpretation_offsets",
+    "interpretation_mismatch",
+    "interpretation_outside_quote",
+    "anchor_outside_evidence",
+    "anchor_without_evidence",
+    "completeness_differs",
+    "completeness_label_differs",
+)
+FLAGS = ("has_abstract", "has_treatment", "has_methods", "has_findings", "needs_fulltext")
+
+
+def reported_completeness(records: DataFrame, facts: DataFrame, findings: DataFrame, reported: DataFrame, key: str) -> DataFrame:
+    """``(key, rule)`` of reports that differ from what a document holds.
+    ``reported`` has the columns ``FLAGS`` and ``label``; one that is null is not
+    reported."""
+    under = lambda name: F.bool_or(F.startswith("pointer", F.lit(f"/evidence/{name}"))).alias(f"is_{name}")
+    seen = facts.groupBy(key).agg(under("treatments"), under("methods"))
+    told = findings.select(key).distinct().withColumn("is_told", F.lit(True))
+    rows = records.select(key, "text", "screening").join(seen, key, "left").join(told, key, "left").join(reported, key)
+    no = lambda c: F.coalesce(c, F.lit(False))
+    held = [no(F.col("text") != ""), no("is_treatments"), no("is_methods"), no("is_told")]
+    needed, label = completeness(*held)
+    actual = [*held, needed | no(F.col("screening") == "needs_fulltext")]
+    differs = no(functools.reduce(Column.__or__, (no(F.col(name) != is_so) for name, is_so in zip(FLAGS, actual))))
+    rules = F.array_compact(F.array(F.when(differs, "completeness_differs"), F.when(F.col("label") != label, "completeness_label_differs")))
+    return rows.select(key, F.explode(rules).alias("rule"))
+
+
+def document_faults(
+    records: DataFrame, facts: DataFrame, supports: DataFrame, findings: DataFrame, anchors: DataFrame, key: str, interpretations: DataFrame | None = None, reported: DataFrame | None = None, identity: Sequence[str] = ()
+) -> DataFrame:
     """``(key, first_fault, n_faults)`` for every record.
 
     ``records (key, text, screening)``, ``facts (key, pointer, value)``,
@@ -185,7 +227,11 @@ def document_faults(records: DataFrame, facts: DataFrame, supports: DataFrame, f
     scale it names; each support a fact; each finding a slice that holds its
     claim; each anchor of an inference a supported fact or a finding. Without text
     only a request for the full text may stand: any content is one fault, and is not
-    held against a text. All rules are joins and counts.
+    held against a text. ``interpretations (key, source, said, quote, a_start,
+    a_end)`` must be slices of the abstract that hold what they say, ``reported``
+    is held against ``reported_completeness``, and of each column of ``identity``
+    the record's value must be that of ``reported_<column>``. All rules are joins
+    and counts.
     """
     texts = records.select(key, F.nullif(F.col("text"), F.lit("")).alias("text"))
 
@@ -215,6 +261,15 @@ def document_faults(records: DataFrame, facts: DataFrame, supports: DataFrame, f
     known = facts.select(key, "pointer").unionByName(findings.select(key, F.concat(F.lit("/evidence/findings/"), F.col("place").cast("string")).alias("pointer"))).distinct()
     loose = anchors.join(known, [key, "pointer"], "left_anti")
     found.append(fault(loose, F.when(~F.startswith("pointer", F.lit("/evidence/")), "anchor_outside_evidence").otherwise("anchor_without_evidence")))
+    if interpretations is not None:
+        said = interpretations.join(texts.withColumn("text", F.coalesce("text", F.lit(""))), key)
+        outside = F.when(~F.coalesce(F.contains("quote", F.col("said")), F.lit(False)), "interpretation_outside_quote")
+        found.append(fault(said, F.coalesce(F.when(~F.coalesce(F.col("source") == "abstract", F.lit(False)), "interpretation_source"), slice_faults("interpretation"), outside)))
+    if reported is not None:
+        found.append(reported_completeness(records, facts, findings, reported, key))
+    if identity:
+        other = functools.reduce(Column.__or__, (~F.col(c).eqNullSafe(F.col(f"reported_{c}")) for c in identity))
+        found.append(fault(records, F.when(other, "identity_differs")))
     every = found[0]
     for rows in found[1:]:
         every = every.unionByName(rows)

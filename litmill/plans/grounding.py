@@ -155,24 +155,31 @@ def anchor_remap(spark, sf_dir):
 QUOTED = f"""sp AS (SELECT doc_id AS uid, text, unnest(range((length(text) - 1) // 40 + 1)) AS place FROM documents WHERE length(text) > 0), qs AS (SELECT uid, place, substr(text, place * 40 + 1, 30) AS quote, least(place * 40 + 30, length(text)) AS a_end, length(text) AS chars FROM sp)"""
 
 
+BROKEN = "[NULL, 'support_missing', 'quote_mismatch', 'value_outside_quote', 'orphan_support', 'claim_outside_quote', 'anchor_without_evidence', 'identity_differs', 'interpretation_source', 'interpretation_outside_quote']"
+
+
 @query(
     "document_conformance",
-    """SELECT doc_id AS uid, CASE WHEN coalesce(text, '') = '' THEN CASE WHEN doc_id % 2 = 0 THEN 'fulltext_not_asked' END ELSE [NULL, 'support_missing', 'quote_mismatch', 'value_outside_quote', 'orphan_support', 'claim_outside_quote', 'anchor_without_evidence'][doc_id % 7 + 1] END AS first_fault,
-CAST(CASE WHEN coalesce(text, '') = '' THEN CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END WHEN doc_id % 7 = 0 THEN 0 WHEN doc_id % 7 = 1 AND doc_id % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_faults FROM documents""",
+    f"""SELECT doc_id AS uid, CASE WHEN coalesce(text, '') = '' THEN CASE WHEN doc_id % 2 = 0 THEN 'fulltext_not_asked' END WHEN doc_id % 11 = 10 THEN CASE WHEN doc_id % 2 = 0 THEN 'completeness_differs' ELSE 'completeness_label_differs' END ELSE {BROKEN}[doc_id % 11 + 1] END AS first_fault,
+CAST(CASE WHEN coalesce(text, '') = '' THEN CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END WHEN doc_id % 11 = 0 THEN 0 WHEN doc_id % 11 = 1 AND doc_id % 2 = 0 THEN 2 ELSE 1 END AS BIGINT) AS n_faults FROM documents""",
 )
 def document_conformance(spark, sf_dir):
     """Facts all along each text, with one fault or two in most documents."""
-    uid, kind = F.col("uid"), F.col("uid") % 7
+    uid, kind = F.col("uid"), F.col("uid") % 11
     rows = spans(spark, sf_dir, 0, 0).withColumn("first", F.col("place") == 0)
     pointer = F.concat(F.lit("/evidence/methods/"), F.col("place").cast("string"))
     odd = lambda n, c: F.when(F.col("first") & (kind == n), F.concat(F.lit("\u2603"), F.col(c))).otherwise(F.col(c))
-    records = a.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("uid"), "text", F.when(F.col("doc_id") % 2 == 1, "needs_fulltext").otherwise("include").alias("screening"))
+    docs = a.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("uid"), "text", F.when(F.col("doc_id") % 2 == 1, "needs_fulltext").otherwise("include").alias("screening"), "source")
+    records = docs.withColumn("reported_source", F.when((kind == 7) & (F.col("text") != ""), "another").otherwise(F.col("source")))
     facts = rows.select("uid", pointer.alias("pointer"), odd(3, "quote").alias("value"))
     held = rows.where(~(F.col("first") & (kind == 1))).select("uid", pointer.alias("pointer"), odd(2, "quote").alias("quote"), "a_start", "a_end")
     extra = rows.where(F.col("first") & ((kind == 4) | ((kind == 1) & (uid % 2 == 0)))).select("uid", F.lit("/evidence/other/0").alias("pointer"), "quote", "a_start", "a_end")
     told = rows.where("first").select("uid", "place", odd(5, "quote").alias("claim"), "quote", "a_start", "a_end")
     anchors = rows.where("first").select("uid", F.when(kind == 6, "/evidence/findings/7").otherwise("/evidence/findings/0").alias("pointer"))
-    return ops.document_faults(records, facts, held.unionByName(extra), told, anchors, "uid")
+    said = rows.select("uid", F.when(F.col("first") & (kind == 8), "fulltext").otherwise("abstract").alias("source"), odd(9, "quote").alias("said"), "quote", "a_start", "a_end")
+    wrong = (kind == 10) & (uid % 2 == 0)
+    report = records.where("text <> ''").select("uid", F.lit(True).alias("has_abstract"), wrong.alias("has_treatment"), F.lit(True).alias("has_methods"), F.when(uid % 3 > 0, True).alias("has_findings"), F.lit(True).alias("needs_fulltext"), F.when((kind == 10) & (uid % 2 == 1), "high").when(uid % 5 > 0, "medium").alias("label"))
+    return ops.document_faults(records, facts, held.unionByName(extra), told, anchors, "uid", said, report, ["source"])
 
 
 @query("fulltext_rules", "SELECT event_id FROM events WHERE event_type = 'click'")
