@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from litmill.functions.text import zoned
 from litmill.operators.components import numbered
-from litmill.operators.metrics import boundary_equal
+from litmill.operators.metrics import boundary_equal, exact_pairs
 from litmill.operators.quality import all_true
 
 
@@ -50,30 +51,39 @@ def consensus(reviews: DataFrame) -> DataFrame:
 
 
 def pair_compare(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Two annotators' items one to one: exact in Spark, then by boundaries,
-    then the same span under another field; the first of a side first."""
+    """Two annotators' items one to one. Equal values of a field pair off in
+    Spark, the k-th with the k-th; what that leaves of a document is matched by
+    boundaries, then by the same span under another field, the first of a side
+    first."""
+    exact = exact_pairs(a, b, [key, "field"]).select(key, "field", F.col("gold_place").cast("long").alias("a_place"), F.col("pred_place").cast("long").alias("b_place"))
+    rest = [t.join(exact.select(key, "field", F.col(c).alias("place")), [key, "field", "place"], "left_anti") for t, c in ((a, "a_place"), (b, "b_place"))]
 
     def match(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        left, right = (list(t.sort_values("place").itertuples(index=False)) for t in (x, y))
-        rows = []
+        x, y = x.sort_values("place"), y.sort_values("place")
+        left, right = (list(t.itertuples(index=False)) for t in (x, y))
+        start, end, field = (y[c].to_numpy() for c in ("a_start", "a_end", "field"))
+        free, rows = np.ones(len(y), bool), []
         tests = (
-            ("exact", lambda g, p: g.field == p.field and g.value == p.value),
-            ("boundary", lambda g, p: g.field == p.field and boundary_equal(g, p)),
-            ("category", lambda g, p: g.field != p.field and (g.a_start, g.a_end) == (p.a_start, p.a_end)),
+            ("boundary", lambda g: (field == g.field) & (start < g.a_end) & (end > g.a_start), boundary_equal),
+            ("category", lambda g: (field != g.field) & (start == g.a_start) & (end == g.a_end), lambda g, p: True),
         )
-        for level, same in tests:
-            for g in list(left):
-                p = next((p for p in right if same(g, p)), None)
-                if p is not None:
-                    rows.append((getattr(g, key), level, g.field, g.place, p.place))
-                    left.remove(g)
-                    right.remove(p)
+        for level, near, same in tests:
+            waiting = []
+            for g in left:
+                found = next((i for i in np.flatnonzero(free & near(g)) if same(g, right[i])), None)
+                if found is None:
+                    waiting.append(g)
+                else:
+                    free[found] = False
+                    rows.append((getattr(g, key), level, g.field, g.place, right[found].place))
+            left = waiting
         rows += [(getattr(g, key), "a_only", g.field, g.place, None) for g in left]
-        rows += [(getattr(p, key), "b_only", p.field, None, p.place) for p in right]
+        rows += [(getattr(right[i], key), "b_only", right[i].field, None, right[i].place) for i in np.flatnonzero(free)]
         return pd.DataFrame(rows, columns=[key, "level", "field", "a_place", "b_place"]).astype({"a_place": "Int64", "b_place": "Int64"})
 
     kind = dict(a.dtypes)[key]
-    return a.groupBy(key).cogroup(b.groupBy(key)).applyInPandas(match, f"{key} {kind}, level string, field string, a_place long, b_place long")
+    near = rest[0].groupBy(key).cogroup(rest[1].groupBy(key)).applyInPandas(match, f"{key} {kind}, level string, field string, a_place long, b_place long")
+    return exact.select(key, F.lit("exact").alias("level"), "field", "a_place", "b_place").unionByName(near)
 
 
 def assemble(agreed: DataFrame, disputed: DataFrame, decisions: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:

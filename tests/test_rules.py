@@ -1,10 +1,12 @@
 """Rules of records, results and full texts on small tables, and sinks on small files."""
 
 import hashlib
+import random
+from collections import namedtuple
 
 from pyspark.sql import functions as F
 
-from litmill.operators import documents, grounding, ingest, metrics, plugins, quality, sampling
+from litmill.operators import documents, grounding, ingest, metrics, plugins, quality, review, sampling
 from litmill.sources import digests, files
 
 NONE = "cast(array() as array<string>)"
@@ -150,3 +152,38 @@ def test_links_of_a_page_however_they_are_written(spark):
     page = """<A class="x" HREF='/one'>a</A><a href=two>b</a><abbr href="no"><a data-x="<a href='no'>" href = "https://o.org/3">c</a><a href="">d</a><a name=y><a href='/one'>"""
     row = spark.createDataFrame([(page, "http://h.org/p?q")], "page string, base string")
     assert row.select(page_links(F.col("page"), F.col("base"), 9).alias("x")).first().x == ["http://h.org/one", "two", "https://o.org/3"]
+
+
+def test_items_of_two_annotators(spark):
+    """Against the levels tried one after the other, item by item."""
+    text, rng = "the saline soil of the paddy field was flooded " * 3, random.Random(5)
+
+    def items(n):
+        out = []
+        for place in range(n):
+            start = rng.randrange(0, 20) * 3
+            end = start + rng.choice([4, 9])
+            out.append((rng.choice("de"), rng.choice(["soil", "water", "salt", "crop"]), place, text[start:end].strip() or "x", start, end, text[start:end], text))
+        return out
+
+    names = ["uid", "field", "place", "value", "a_start", "a_end", "quote", "source_text"]
+    Item = namedtuple("Item", names)
+    x, y = ([Item(*r) for r in items(60)] for _ in range(2))
+    want = set()
+    for uid in "de":
+        left, right = [g for g in x if g.uid == uid], [p for p in y if p.uid == uid]
+        for level, same in (
+            ("exact", lambda g, p: (g.field, g.value) == (p.field, p.value)),
+            ("boundary", lambda g, p: g.field == p.field and g.a_start < p.a_end and p.a_start < g.a_end and metrics.boundary_equal(g, p)),
+            ("category", lambda g, p: g.field != p.field and (g.a_start, g.a_end) == (p.a_start, p.a_end)),
+        ):
+            for g in list(left):
+                p = next((p for p in right if same(g, p)), None)
+                if p:
+                    want.add((uid, level, g.field, g.place, p.place))
+                    left.remove(g)
+                    right.remove(p)
+        want |= {(uid, "a_only", g.field, g.place, None) for g in left} | {(uid, "b_only", p.field, None, p.place) for p in right}
+    kinds = "uid string, field string, place long, value string, a_start int, a_end int, quote string, source_text string"
+    got = {tuple(r) for r in review.pair_compare(spark.createDataFrame(x, kinds), spark.createDataFrame(y, kinds), "uid").select("uid", "level", "field", "a_place", "b_place").collect()}
+    assert got == want and {w[1] for w in want} == {"exact", "boundary", "category", "a_only", "b_only"}
