@@ -43,15 +43,16 @@ TABLES: dict[str, Callable[[], None]] = {}
 
 
 def tidy(function: Callable[[Iterator], Iterator], keeps: str = "") -> Callable[[Iterator], Iterator]:
-    """A mapInArrow function whose task gives its memory back when it ends: a
-    worker serves the tasks of many stages, and each would find the peak of those
-    before it still taken. Tables that other operators have left go first; those
+    """A mapInArrow function whose task gives memory back when it begins and when
+    it ends: a worker serves the tasks of many stages, and each would find the peak
+    of those before it still taken. Tables that other operators have left go first; those
     of ``keeps`` stay for its next task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, empty in TABLES.items():
             if name != keeps:
                 empty()
+        give_back()
         try:
             yield from function(batches)
         finally:
@@ -90,3 +91,15 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def unflat(data: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A column of binary or text out of what ``flat`` gives; bytes are not looked at."""
     return pa.Array.from_buffers(kind, len(bounds) - 1, [None, pa.py_buffer(bounds.astype("<i4")), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def tidy_group(function: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """The same for an applyInArrow function: memory goes back after each group."""
+
+    def run(group: pa.Table) -> pa.Table:
+        try:
+            return function(group)
+        finally:
+            give_back()
+
+    return run

@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from litmill.llm.common import encoded, per_batch, table, tidy
+from litmill.llm.common import encoded, per_batch, table, tidy, tidy_group
 from litmill.llm.shingles import mix, shingle_set
 from litmill.operators.components import components
 from litmill.sources.scratch import Scratch
@@ -182,7 +182,7 @@ def profiles(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     fragments = max(LEAST_FRAGMENTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // FRAGMENT_BYTES))
     parts = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(split_sets(fragments)), PART)
-    counts = parts.groupBy("part").applyInArrow(count_repeats, "block long, docs binary, dense boolean, repeats binary")
+    counts = parts.groupBy("part").applyInArrow(tidy_group(count_repeats), "block long, docs binary, dense boolean, repeats binary")
     return counts.groupBy("block").applyInArrow(sum_repeats, "doc_id long, n long, key long, key2 long, repeated long")
 
 
@@ -218,7 +218,7 @@ def segments(texts: DataFrame, fragments: int) -> DataFrame:
         lists = (pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (np.concatenate(found)[kept].view(np.int64), np.minimum(times[kept], 1 << 30).astype(np.int32)))
         return pa.table([*(group.column(c).combine_chunks() for c in ("part", "node", "n")), *lists], names=["part", "node", "n", "shingles", "times"])
 
-    return texts.mapInArrow(tidy(cut), "part long, node long, n long, found binary").groupBy("part").applyInArrow(count, SEGMENT)
+    return texts.mapInArrow(tidy(cut), "part long, node long, n long, found binary").groupBy("part").applyInArrow(tidy_group(count), SEGMENT)
 
 
 def outlines(parts: DataFrame) -> DataFrame:
@@ -242,7 +242,7 @@ def outlines(parts: DataFrame) -> DataFrame:
             yield pa.record_batch([*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.list_(pa.int64())), *map(pa.array, np.ascontiguousarray(sketch.T))], names=["node", "n", "alone", "prefix", *SKETCHES])
 
     whole = parts.groupBy("node", "n").agg(F.collect_list("shingles").alias("shingles"), F.collect_list("times").alias("times"))
-    return whole.mapInArrow(choose, "node long, n long, alone long, prefix array<long>, " + ", ".join(f"{s} long" for s in SKETCHES))
+    return whole.mapInArrow(tidy(choose), "node long, n long, alone long, prefix array<long>, " + ", ".join(f"{s} long" for s in SKETCHES))
 
 
 # 4. and 5. Hubs and links ---------------------------------------------------

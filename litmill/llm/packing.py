@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from litmill.llm.common import TABLES, table, tidy
+from litmill.llm.common import TABLES, give_back, table, tidy
 from litmill.sources.scratch import Scratch
 
 LENGTH = 4096
@@ -155,6 +155,7 @@ def tokenized(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int
                         for name, value in zip(rows, (doc, piece, first, len(part), part.tobytes())):
                             rows[name].append(value)
             yield pa.record_batch([pa.array(rows["doc_id"], pa.int64()), pa.array(rows["piece"], pa.int32()), pa.array(rows["start"], pa.int64()), pa.array(rows["length"], pa.int64()), pa.array(rows["ids"], pa.binary())], names=list(rows))
+            give_back()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(cut, "packing"), "doc_id long, piece int, start long, length long, ids binary")
 
