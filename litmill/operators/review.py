@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from litmill.functions.text import zoned
 from litmill.operators.components import numbered
-from litmill.operators.metrics import boundary_equal, exact_pairs
+from litmill.operators.metrics import exact_pairs, in_source, quotes_equal
 from litmill.operators.quality import all_true
 
 
@@ -54,17 +54,18 @@ def pair_compare(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Two annotators' items one to one. Equal values of a field pair off in
     Spark, the k-th with the k-th; what that leaves of a document is matched by
     boundaries, then by the same span under another field, the first of a side
-    first."""
+    first. Sources are looked at before any row moves and stay where they are."""
+    a, b = (in_source(t).withColumnRenamed("__sound", "sound") for t in (a, b))
     exact = exact_pairs(a, b, [key, "field"]).select(key, "field", F.col("gold_place").cast("long").alias("a_place"), F.col("pred_place").cast("long").alias("b_place"))
     rest = [t.join(exact.select(key, "field", F.col(c).alias("place")), [key, "field", "place"], "left_anti") for t, c in ((a, "a_place"), (b, "b_place"))]
 
     def match(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         x, y = x.sort_values("place"), y.sort_values("place")
         left, right = (list(t.itertuples(index=False)) for t in (x, y))
-        start, end, field = (y[c].to_numpy() for c in ("a_start", "a_end", "field"))
+        start, end, field, sound = (y[c].to_numpy() for c in ("a_start", "a_end", "field", "sound"))
         free, rows = np.ones(len(y), bool), []
         tests = (
-            ("boundary", lambda g: (field == g.field) & (start < g.a_end) & (end > g.a_start), boundary_equal),
+            ("boundary", lambda g: sound & g.sound & (field == g.field) & (start < g.a_end) & (end > g.a_start), quotes_equal),
             ("category", lambda g: (field != g.field) & (start == g.a_start) & (end == g.a_end), lambda g, p: True),
         )
         for level, near, same in tests:
