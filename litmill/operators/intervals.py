@@ -60,7 +60,8 @@ def overlap_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_spa
     (s1, e1), (s2, e2) = left_span, right_span
     left, right = (t.where(F.col(s) < F.col(e)) for t, s, e in ((left, s1, e1), (right, s2, e2)))
     levels = [r[0] for r in _levels((left, [span_level(F.col(s1), F.col(e1))]), (right, [span_level(F.col(s2), F.col(e2))]))]
-    a, b = _laid_out(left, s1, e1, levels), _laid_out(right, s2, e2, levels).withColumnRenamed(OWN, f"{OWN}2")
+    # Bins multiply the spans, which a file's size doesn't tell; no side goes through the driver.
+    a, b = _laid_out(left, s1, e1, levels), _laid_out(right, s2, e2, levels).withColumnRenamed(OWN, f"{OWN}2").hint("merge")
     on = [*key, LEVEL, BIN]
     # The longer span stands on its own level; of two on the same level the left one does.
     pairs = a.where(F.col(LEVEL) == F.col(OWN)).join(b, on).unionByName(a.where(F.col(LEVEL) > F.col(OWN)).join(b.where(F.col(LEVEL) == F.col(f"{OWN}2")), on))
@@ -104,7 +105,8 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, key: Sequence[str], axe
     placed = points.withColumn("__grid", F.explode(grid))
     for name, level, (at, _, _) in zip(bins, levels, axes):
         placed = placed.withColumn(level, F.col(f"__grid.{level}")).withColumn(name, _box_bin(F.col(at), F.col(level)))
-    pairs = placed.drop("__grid").join(boxes, [*key, *levels, *bins])
+    # Bins multiply the boxes, which a file's size doesn't tell; no side goes through the driver.
+    pairs = placed.drop("__grid").join(boxes.hint("merge"), [*key, *levels, *bins])
     for at, low, high in axes:
         pairs = pairs.where((F.col(at) >= F.col(low)) & (F.col(at) < F.col(high)) & ~F.isnan(F.col(at).cast("double")))
     return pairs.drop(*levels, *bins)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from litmill.operators import metrics, review
+from litmill.operators.intervals import overlap_join, points_in_boxes
+from litmill.plans import registry
+from tests.oracle import same
 
 SPAN = "uid int, field string, place long, value string, quote string, a_start long, a_end long, source_text string"
 
@@ -22,3 +26,28 @@ def test_sources_stay_where_they_are(spark, name):
     assert {r.uid for r in out.where("level = 'boundary'").collect()} == {1}
     moved = [line for line in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "FlatMapCoGroups" in line]
     assert moved and not any("source_text" in line for line in moved)
+
+
+def test_boxes_do_not_go_through_the_driver(spark):
+    """Whatever the files' sizes say, neither points nor boxes are broadcast."""
+    points = spark.createDataFrame([(1, 0.5, 0.5), (1, 2.5, 0.5)], "page int, x double, y double")
+    boxes = spark.createDataFrame([(1, 0.0, 1.0, 0.0, 1.0, 7)], "page int, xl double, xh double, yl double, yh double, box int")
+    out = points_in_boxes(points, boxes, ["page"], [("x", "xl", "xh"), ("y", "yl", "yh")])
+    assert [(r.x, r.box) for r in out.collect()] == [(0.5, 7)]
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    spans = spark.createDataFrame([(1, 0, 9), (1, 20, 30)], "k int, s int, e int")
+    both = overlap_join(spans, spans.toDF("k", "s2", "e2"), ["k"], ("s", "e"), ("s2", "e2"))
+    assert sorted((r.s, r.s2) for r in both.collect()) == [(0, 0), (20, 20)]
+    assert "Broadcast" not in both._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_cut_title_gives_no_topic(spark, tmp_path):
+    """A title that ends within a word is no other word's title."""
+    text = "x" * 57 + " TOgether with more"
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate((text, text + " to", "to " + text))]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    frame = registry.queries()["topic_tags"](spark, str(tmp_path))
+    same(frame, con, registry.oracle_sql()["topic_tags"])
+    assert {(r.pos, r.topic) for r in frame.collect()} == {(1, "salinity"), (2, "salinity")}
