@@ -4,7 +4,6 @@ as vectorised functions and only on the rows that need them."""
 
 from __future__ import annotations
 
-import difflib
 import html
 import ipaddress
 import re
@@ -16,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from litmill.functions.blocks import Blocks, matching_share
+
 #: How DOIs and numbers are written.
 DOI_PREFIX = r"^(https?://(dx\.)?doi\.org/|doi\s*:\s*)"
 DOI = r"^10\.\d{4,9}/\S+$"
@@ -100,15 +101,14 @@ def identity_key(c: Column) -> Column:
 @F.pandas_udf(T.DoubleType())
 def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     """Share of matching blocks of two texts; 0 where one is empty. Where one text
-    holds the other that is all of the shorter one. Else it is quadratic for a
-    pair, so only for pairs that a join has found."""
+    holds the other that is all of the shorter one."""
 
     def one(a: str | None, b: str | None) -> float:
         if not a or not b:
             return 0.0
         if a in b or b in a:
             return 2 * min(len(a), len(b)) / (len(a) + len(b))
-        return difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+        return matching_share(a, b)
 
     return pd.Series([one(a, b) for a, b in zip(left, right)], dtype="float64")
 
@@ -269,7 +269,7 @@ def changed_blocks(left: pd.Series, right: pd.Series) -> pd.Series:
 
     def one(a: str | None, b: str | None) -> list[str]:
         x, y = (a or "").split(), (b or "").split()
-        codes = difflib.SequenceMatcher(None, x, y, autojunk=False).get_opcodes() if x != y else []
+        codes = Blocks(x, y).get_opcodes() if x != y else []
         return [f"{kind}: {' '.join(x[i:j])} -> {' '.join(y[k:m])}" for kind, i, j, k, m in codes if kind != "equal"][:5]
 
     return pd.Series([one(a, b) for a, b in zip(left, right)])

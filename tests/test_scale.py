@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import difflib
+import random
+import time
+
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from litmill.functions.blocks import Blocks, matching_share
 from litmill.operators import metrics, review
 from litmill.operators.intervals import overlap_join, points_in_boxes
 from litmill.plans import registry
@@ -51,3 +57,37 @@ def test_a_cut_title_gives_no_topic(spark, tmp_path):
     frame = registry.queries()["topic_tags"](spark, str(tmp_path))
     same(frame, con, registry.oracle_sql()["topic_tags"])
     assert {(r.pos, r.topic) for r in frame.collect()} == {(1, "salinity"), (2, "salinity")}
+
+
+def test_blocks_are_those_of_difflib():
+    """The search by arrays finds what the search by lists does, in its order."""
+    rng = random.Random(7)
+
+    for case in range(300):
+        a, b = ([rng.choice("abcdef"[: 1 + case % 6]) for _ in range(rng.randrange(1, 60))] for _ in range(2))
+        if case % 3 == 0:
+            b = a[:10] + b[:5] + a[12:]
+        want, got = difflib.SequenceMatcher(None, a, b, autojunk=False), Blocks(a, b)
+        got.work = got.work * 10**9 + np.arange(len(got.work)) * 10**9  # never by lists
+        assert got.get_opcodes() == want.get_opcodes()
+        left, right = "".join(a) + "ωψφ"[case % 3 :], "xyz"[case % 3 :] + "".join(b)
+        assert matching_share(left, right) == difflib.SequenceMatcher(None, left, right, autojunk=False).ratio()
+
+
+def test_frequent_words_do_not_make_a_diff_quadratic():
+    """Lists of places would be walked 25 million times for each block."""
+    a = ["the"] * 5000
+    b = a[:2500] + ["new"] + a[2500:]
+    began = time.process_time()
+    assert [c for c in Blocks(a, b).get_opcodes() if c[0] != "equal"] == [("insert", 2500, 2500, 2500, 2501)]
+    assert time.process_time() - began < 2
+
+
+def test_a_long_text_is_split_once(spark, tmp_path):
+    """Each word of a text would split it again if the split stood in the function of a word."""
+    text = " ".join(f"w{i}" for i in range(12000))
+    spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    began = time.time()
+    (row,) = registry.queries()["token_diff"](spark, str(tmp_path)).collect()
+    assert row.changes == "replace: w6000 -> w6000☃|insert:  -> put in"
+    assert time.time() - began < 15
