@@ -1,13 +1,15 @@
 """Joins on containment: which texts of a key hold which strings.
 
-An inverted index of character q-grams finds candidates. Each string is looked up
+Keys with few pairs of a string and a text are joined as they are. For all others
+an inverted index of character q-grams finds candidates. Each string is looked up
 by the one of its grams that the fewest texts of its key hold, and only texts
 that hold this gram are compared with it. Grams are hashed with their key, so a
 row of the index is two numbers; a string has grams of the largest power of two
 up to ``LONGEST`` that fits in it, so short strings find texts as well, and a
 string with a gram that no text holds is done at once.
 
-Scale: the index has a row for each distinct gram of a text and size that any
+Scale: a key is joined as it is up to ``DIRECT`` pairs, which is at most half the
+root of that for each of its rows. Beyond, the index has a row for each distinct gram of a text and size that any
 string asks for, and only grams that are asked for are kept. It is written, so
 that Spark counts it with partial sums and splits the rows of a frequent gram
 between tasks. What is compared is what holds the rarest gram, never all texts
@@ -33,6 +35,8 @@ from litmill.sources.scratch import Scratch
 
 #: Code points of the longest grams.
 LONGEST = 8
+#: Pairs of a key that are compared without an index.
+DIRECT = 4096
 ASK, TEXT, KEYED, GRAM = "__ask", "__text", "__keyed", "__gram"
 
 
@@ -89,9 +93,22 @@ def candidates(asks: DataFrame, texts: DataFrame, key: Sequence[str], asked: str
     all strings of the array ``asked``; all columns of both come back, so their
     names must differ but for the key's."""
     scratch = Scratch(asks.sparkSession, "containment")
+    asks = scratch.save(asks.dropna(subset=list(key)).withColumn(asked, F.filter(asked, lambda s: s != "")).where(F.size(asked) > 0), "asks")
+    texts = scratch.save(texts.dropna(subset=[*key, text]), "texts")
+    count = lambda rows, name: rows.groupBy(*key).agg(F.count("*").alias(name))
+    large = scratch.save(count(asks, "__n").join(count(texts, "__m"), list(key)).where(F.col("__n") * F.col("__m") > DIRECT).select(*key), "large")
+    if large.isEmpty():
+        return asks.join(texts, list(key))
+    few = asks.join(large, list(key), "left_anti").join(texts, list(key))
+    many = _indexed(scratch, asks.join(large, list(key), "left_semi"), texts.join(large, list(key), "left_semi"), key, asked, text, fold)
+    return few.unionByName(many)
+
+
+def _indexed(scratch: Scratch, asks: DataFrame, texts: DataFrame, key: Sequence[str], asked: str, text: str, fold: bool) -> DataFrame:
+    """``candidates`` by the index; ``asks`` and ``texts`` hold nothing null or empty."""
     keyed = F.xxhash64(*key)
-    asks = scratch.save(asks.dropna(subset=list(key)).withColumn(asked, F.filter(asked, lambda s: s != "")).where(F.size(asked) > 0).withColumn(ASK, F.monotonically_increasing_id()), "asks")
-    texts = scratch.save(texts.dropna(subset=[*key, text]).withColumn(TEXT, F.monotonically_increasing_id()), "texts")
+    asks = scratch.save(asks.withColumn(ASK, F.monotonically_increasing_id()), "numbered")
+    texts = scratch.save(texts.withColumn(TEXT, F.monotonically_increasing_id()), "numbered")
     strings = asks.select(ASK, keyed.alias(KEYED), F.explode(asked).alias("s"))
     longest = F.least(F.length("s"), F.lit(LONGEST))
     sizes = [gram_size(r[0]) for r in strings.select(longest).distinct().collect()]  # at most LONGEST rows

@@ -124,3 +124,20 @@ def test_lines_that_hold_a_label_and_a_number(spark):
     assert want[1, "ck", "3.5"] == 3 and want[2, "STRASSE", "7"] == 1 and want[1, "T", "4"] == 0
     assert {r.status for r in out if r.lines} == {"both_share_a_line"}
     assert folded("Kſµİ") == folded("kSμi") and len(folded("ßẞŉ")) == 3
+
+
+def test_few_pairs_of_a_key_need_no_index(spark, monkeypatch):
+    """Keys of few strings and texts are joined as they are, beside one that is indexed."""
+    from litmill.operators import containment
+
+    made = []
+    monkeypatch.setattr(containment, "_gram_rows", lambda *args, plain=containment._gram_rows: made.append(1) or plain(*args))
+    s = spark.range(200).selectExpr("id div 2 AS k", "concat('s', id % 2) AS s")
+    t = spark.range(200).selectExpr("id div 2 AS k", "concat('a s', id % 3) AS t")
+    find = lambda: sorted((r.k, r.s, r.t) for r in containment_join(s, t, ["k"], "s", "t").collect())
+    want = sorted((i // 2, f"s{j}", f"a s{i % 3}") for i in range(200) for j in (0, 1) if i % 3 == j)
+    assert find() == want and not made
+    hot = spark.range(100).selectExpr("7 AS k", "concat('h', id) AS s")
+    s, t = s.unionByName(hot), t.unionByName(hot.selectExpr("k", "concat(s, '.') AS t"))
+    got = sorted((r.k, r.s, r.t) for r in containment_join(s, t, ["k"], "s", "t").collect())
+    assert made and got == sorted(want + [(7, f"h{i}", f"h{j}.") for i in range(100) for j in range(100) if f"h{i}" in f"h{j}."])
