@@ -124,6 +124,7 @@ def negative_proof(claims: DataFrame, archive: DataFrame) -> DataFrame:
 
 def rebuild_text(index: DataFrame, key: str) -> DataFrame:
     """Texts from ``(key, word, position)``; null unless the positions are 0 to n-1."""
-    whole = index.groupBy(key).agg(F.count("*").alias("n"), F.countDistinct("position").alias("d"), F.min("position").alias("low"), F.max("position").alias("high"), F.array_sort(F.collect_list(F.struct("position", "word"))).getField("word").alias("words"))
-    good = (F.col("n") == F.col("d")) & (F.col("low") == 0) & (F.col("high") == F.col("n") - 1)
-    return whole.select(key, F.when(good, F.array_join("words", " ")).alias("text"))
+    words = index.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("position").cast("long").alias("position"), "word"))).alias("words"))
+    # Without a distinct count a word moves once, in the list of its text.
+    good = F.coalesce(F.col("words.position") == F.sequence(F.lit(0).cast("long"), F.size("words").cast("long") - 1), F.lit(False))
+    return words.select(key, F.when(good, F.array_join("words.word", " ")).alias("text"))

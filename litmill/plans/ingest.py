@@ -72,10 +72,10 @@ def run_rollup(spark, sf_dir):
     return ops.run_status(rows, "user_id")
 
 
-def written(spark, name, frame):
+def written(spark, name, frame, codec="none"):
     """A table as JSON lines in the shared folder."""
     path = Scratch(spark, "files").path(name)
-    files.write_new_json(frame, path)
+    files.write_new_json(frame, path, codec)
     return path
 
 
@@ -97,43 +97,48 @@ def narrow_scan(spark, sf_dir):
     return ops.narrow(spark, path, "doc_id long, lang string, source string", "text")
 
 
-def nested():
-    """An order line as a nested hit."""
-    line, part = F.col("l_linenumber"), F.col("l_partkey").cast("string")
-    author = F.struct(F.col("l_returnflag").alias("displayName"), F.col("l_linestatus").alias("wosStandard"), F.when(line == 3, part).alias("researcherId"))
+LINE = ("l_linenumber", "l_returnflag", "l_linestatus", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+
+
+def nested(of=F.col):
+    """An order line as a nested hit; ``of`` gives its columns by their names."""
+    line, part = of("l_linenumber"), of("l_partkey").cast("string")
+    author = F.struct(of("l_returnflag").alias("displayName"), of("l_linestatus").alias("wosStandard"), F.when(line == 3, part).alias("researcherId"))
     return F.struct(
-        F.concat(F.lit("l"), "l_linenumber").alias("uid"),
-        F.col("l_returnflag").alias("title"),
-        F.when(line > 1, F.array("l_linestatus")).alias("types"),
-        F.when(line > 2, F.array("l_returnflag", "l_linestatus")).alias("sourceTypes"),
-        F.struct(F.when(F.col("l_quantity") > 10, F.array(author, F.struct(F.lit("").alias("displayName"), F.lit(None).cast("string").alias("wosStandard"), F.lit(None).cast("string").alias("researcherId")))).alias("authors")).alias("names"),
+        F.concat(F.lit("l"), line).alias("uid"),
+        of("l_returnflag").alias("title"),
+        F.when(line > 1, F.array(of("l_linestatus"))).alias("types"),
+        F.when(line > 2, F.array(of("l_returnflag"), of("l_linestatus"))).alias("sourceTypes"),
+        F.struct(F.when(of("l_quantity") > 10, F.array(author, F.struct(F.lit("").alias("displayName"), F.lit(None).cast("string").alias("wosStandard"), F.lit(None).cast("string").alias("researcherId")))).alias("authors")).alias("names"),
         F.struct(
-            F.col("l_linestatus").alias("sourceTitle"),
-            F.year("l_shipdate").alias("publishYear"),
-            F.date_format("l_shipdate", "MM-dd").alias("publishMonth"),
+            of("l_linestatus").alias("sourceTitle"),
+            F.year(of("l_shipdate")).alias("publishYear"),
+            F.date_format(of("l_shipdate"), "MM-dd").alias("publishMonth"),
             F.when(line != 4, part).alias("volume"),
-            F.col("l_suppkey").cast("string").alias("issue"),
+            of("l_suppkey").cast("string").alias("issue"),
             F.when(line == 5, part).alias("articleNumber"),
-            F.when(line < 6, F.struct(F.col("l_quantity").cast("int").alias("count"))).alias("pages"),
+            F.when(line < 6, F.struct(of("l_quantity").cast("int").alias("count"))).alias("pages"),
         ).alias("source"),
         F.when(line != 2, F.struct(F.concat(F.lit("https://doi.org/10.5555/A"), part).alias("doi"), part.alias("issn"), F.when(line == 1, part).alias("pmid"))).alias("identifiers"),
-        F.array(F.struct(F.lit("SIDE").alias("db"), line.alias("count")), F.struct(F.when(F.col("l_quantity") > 25, "MAIN").alias("db"), F.col("l_quantity").cast("int").alias("count"))).alias("citations"),
-        F.struct(F.when(line == 2, F.array("l_returnflag", "l_linestatus")).alias("authorKeywords")).alias("keywords"),
+        F.array(F.struct(F.lit("SIDE").alias("db"), line.alias("count")), F.struct(F.when(of("l_quantity") > 25, "MAIN").alias("db"), of("l_quantity").cast("int").alias("count"))).alias("citations"),
+        F.struct(F.when(line == 2, F.array(of("l_returnflag"), of("l_linestatus"))).alias("authorKeywords")).alias("keywords"),
         F.struct(F.concat(F.lit("https://x.org/"), part).alias("record"), F.lit(None).cast("string").alias("related")).alias("links"),
     )
 
 
 def nested_pages(spark, sf_dir):
-    """Orders as pages and their lines as nested hits."""
-    rows = a.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), "l_linenumber", nested().alias("hit"))
-    pages = rows.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "hit"))).getField("hit").alias("hits"), F.count("*").cast("int").alias("total"))
+    """Orders as pages and their lines as nested hits, which are made where a
+    page's lines have come together."""
+    rows = a.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), F.struct(*LINE).alias("line"))
+    pages = rows.groupBy("page").agg(F.array_sort(F.collect_list("line")).alias("lines"), F.count("*").cast("int").alias("total"))
+    pages = pages.withColumn("hits", F.transform("lines", lambda x: nested(lambda name: x[name])))
     return pages.select(F.lit("q").alias("query_id"), "page", F.struct("total", F.col("page").alias("page"), F.lit(50).alias("limit")).alias("metadata"), "hits")
 
 
 @query("pages_explode", "SELECT l_orderkey AS page, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag) - 1 AS place, concat('l', l_linenumber) AS uid FROM lineitem")
 def pages_explode(spark, sf_dir):
     pages = nested_pages(spark, sf_dir)
-    path = written(spark, "pages", pages)
+    path = written(spark, "pages", pages, "gzip")
     read = spark.read.schema(pages.schema).json(path)
     return ops.explode_pages(read).select("page", F.col("place").cast("long").alias("place"), F.col("hit.uid").alias("uid"))
 

@@ -28,9 +28,9 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
     return read.toDF(*(c.lstrip("﻿") for c in read.columns))
 
 
-def write_new_json(frame: DataFrame, path: str) -> None:
+def write_new_json(frame: DataFrame, path: str, codec: str = "none") -> None:
     """JSON lines in a place where nothing is yet."""
-    frame.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+    frame.write.mode("errorifexists").option("ignoreNullFields", False).option("compression", codec).json(path)
 
 
 def write_new_csv(frame: DataFrame, path: str) -> None:

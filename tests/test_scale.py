@@ -12,9 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from litmill.functions.blocks import Blocks, matching_share
-from litmill.operators import documents, grounding, metrics, review
+from litmill.operators import documents, enrich, grounding, metrics, review
 from litmill.operators.intervals import overlap_join, points_in_boxes
-from litmill.plans import registry
+from litmill.plans import ingest, registry
 from tests.oracle import same
 
 SPAN = "uid int, field string, place long, value string, quote string, a_start long, a_end long, source_text string"
@@ -142,3 +142,22 @@ def test_facts_and_supports_move_at_once(spark):
     want = [(1, "a", missing), (1, "c", orphan), (None, "a", missing), (None, "a", orphan), (2, None, missing), (2, None, orphan)]
     assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
     assert len(_shuffles(out)) == 1
+
+
+def test_pages_move_as_lines(spark, tmp_path):
+    """Hits are made where a page's lines have come together, and pages are written packed."""
+    frame = ingest.nested_pages(spark, "/root/testdata/sf0.001")
+    after, before = frame._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")
+    assert "hits" in after and "hit" not in before and "l_partkey" in before
+    path = ingest.written(spark, "pages", frame, "gzip")
+    read = spark.read.schema(frame.schema).json(path)
+    assert read.inputFiles() and all(name.endswith(".gz") for name in read.inputFiles())
+    assert sorted(map(str, read.collect())) == sorted(map(str, frame.collect()))
+
+
+def test_a_word_moves_once(spark):
+    """Texts are rebuilt without a shuffle by position; places that are missing, double or null give none."""
+    rows = [(1, "b", 1), (1, "a", 0), (2, "a", 1), (3, "a", 0), (3, "b", 0), (4, "a", 0), (4, "b", None), (5, "", 0), (5, "x", 1), (5, "y", 2), (6, "a", 0), (6, "b", 2)]
+    out = enrich.rebuild_text(spark.createDataFrame(rows, "k int, word string, position int"), "k")
+    assert {r.k: r.text for r in out.collect()} == {1: "a b", 2: None, 3: None, 4: None, 5: " x y", 6: None}
+    assert len(_shuffles(out)) == 1
