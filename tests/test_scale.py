@@ -15,6 +15,7 @@ from litmill.functions.blocks import Blocks, matching_share
 from litmill.operators import documents, enrich, grounding, metrics, review
 from litmill.operators.intervals import overlap_join, points_in_boxes
 from litmill.plans import ingest, registry
+from litmill.sources.digests import digests
 from tests.oracle import same
 
 SPAN = "uid int, field string, place long, value string, quote string, a_start long, a_end long, source_text string"
@@ -198,3 +199,44 @@ def test_words_in_order_of_a_long_text(spark):
     began = time.time()
     assert spark.createDataFrame([(words,)], "y string").select(documents.token_subsequence(F.col("y"), F.col("y"))).first()[0]
     assert time.time() - began < 5
+
+
+def test_findings_match_as_if_all_were_tried(spark):
+    """The first free reference with the text, else the first that holds it or lies in it."""
+    rng = random.Random(8)
+    make = lambda: "".join(rng.choices("abé", k=rng.choice([0, 1, 2, 3, 5, 9, 14])))
+    gold, pred = ([(u, i, rng.choice([make(), "ab" * rng.randrange(9), None])) for u in range(30) for i in range(40)] for _ in range(2))
+    pred += [(u, 100 + i, t[: rng.randrange(1, 9)] if t else t) for u, i, t in gold if i % 3]
+    want = []
+    for u in range(30):
+        free = {i: t for k, i, t in gold if k == u}
+        for _, place, text in sorted((r for r in pred if r[0] == u), key=lambda r: r[1]):
+            same = next((i for i, t in free.items() if t == text), None)
+            near = next((i for i, t in free.items() if t and text and (t in text or text in t)), None) if same is None else same
+            want.append((u, place, near, "exact" if same is not None else "contained" if near is not None else "none"))
+            free.pop(near, None)
+    schema = "uid long, place long, text string"
+    indexed = type("Indexed", (metrics._Free,), {"FEW": 0})
+    for u in range(30):
+        texts = {i: t for k, i, t in gold if k == u}
+        free = indexed(texts)
+        for _, _, text in (r for r in pred if r[0] == u and r[2]):
+            near = next((i for i, t in texts.items() if t and (t in text or text in t)), None)
+            assert free.holding(text) == near
+            free.take(near)
+            texts.pop(near, None)
+    out = metrics.finding_match(spark.createDataFrame(gold, schema), spark.createDataFrame(pred, schema), "uid")
+    assert sorted((r.uid, r.pred_place, r.gold_place, r.level) for r in out.collect()) == sorted(want)
+    many = metrics._Free({i: f"sentence {i} of many that begin alike {i * 7919 % 10_007}" for i in range(10_000)})
+    began = time.time()
+    assert [many.holding(f"alike {i * 7919 % 10_007}x") for i in range(10_000)] == [None] * 10_000
+    assert time.time() - began < 8
+
+
+def test_small_files_are_dealt_out(spark, tmp_path):
+    """A task opens a bounded number of files, however small they are."""
+    for i in range(2000):
+        (tmp_path / f"{i}.txt").write_text(str(i))
+    out = digests(spark, f"file://{tmp_path}", "*.txt")
+    assert out.rdd.getNumPartitions() >= 2
+    assert {r.path: r.size for r in out.collect()} == {f"{i}.txt": len(str(i)) for i in range(2000)}
