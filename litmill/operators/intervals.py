@@ -1,16 +1,18 @@
 """Joins on intervals over a grid: spans that overlap, points within boxes.
 
-A span belongs to the level of the smallest power of two that holds it, and a
-level's grid has bins of that width, so a span touches two bins at most however
-long it is. Two spans that overlap meet on the level of the longer one: each
-side is laid out on its own level and on the other side's higher ones, and the
-rest is an equi-join on key, level and bin. A pair is reported in the bin of the
-later start alone. Bins spread what one key holds, so a document of any number of
-spans is many small groups, and what is compared stays in proportion to what
-overlaps.
-
-Scale: a row is copied twice for each level that the other side has, at most 64
-and a handful in practice; levels are the only thing that reaches the driver.
+A span's level is that of the smallest power of two that holds it. The grid has
+bins of a few widths. Spans stand on one of them, chosen by their level, and a
+span touches two bins there, or more where that makes fewer rows than another
+width would, as each width has a copy of all shorter spans of the other side. Two
+spans that overlap meet on the wider bins of their two: each side is laid out on
+its own and on the other side's wider ones, and the rest is an equi-join on key,
+level and bin. A pair is reported in the bin of the later start alone. Bins spread
+what one key holds, so a document of any number of spans is many small groups, and
+what is compared stays in proportion to what overlaps.
+
+Scale: a row is copied for each width of the other side, at most 64 and one or two
+in practice; what spans are laid out over beyond that is less than the copies it
+saves. Counts of levels are the only thing that reaches the driver.
 
 Defined cases: empty and reversed spans overlap nothing and boxes without extent
 hold nothing; null keys, ends or coordinates never match; repeated rows pair each
@@ -42,12 +44,57 @@ def span_level(start: Column, end: Column) -> Column:
     return F.when(length > 1, F.length(F.bin(length - 1))).otherwise(0)
 
 
-def _laid_out(spans: DataFrame, start: str, end: str, levels: list[int]) -> DataFrame:
+#: The narrowest bins are so many powers of two wider than the shortest spans: few of those then touch two.
+SLACK = 3
+#: A span touches at most two to this power of bins, and one.
+REACH = 10
+
+
+def _grid(left: dict[int, int], right: dict[int, int], lengths: dict[int, float]) -> list[tuple[int, int]]:
+    """The grid for spans counted by level, with the sum of their lengths: the lowest
+    level of spans and that of the bins they and longer ones stand on, ascending.
+    Shorter spans stand on the bins of longer ones where even all their pairs are no
+    more than the longer ones. Bins of another width come in where to lay longer spans
+    out on the narrower ones makes more rows than to copy what the other side has below."""
+    grid: list[tuple[int, int]] = []
+    below, stand, spent = [0, 0], [0, 0], 0.0
+    for level in sorted({*left, *right}):
+        here = [left.get(level, 0), right.get(level, 0)]
+        if stand[0] * below[1] + stand[1] * below[0] <= sum(here):
+            low = grid.pop()[0] if grid else level
+            grid.append((low, level if grid else min(level + SLACK, 63)))
+            spent = 0.0
+        else:
+            bins = grid[-1][1]
+            more = lengths[level] / 2.0**bins if level > bins else 0.0
+            copies = below[1] * (here[0] > 0) + below[0] * (here[1] > 0)
+            if level - bins > REACH or spent + more > copies:
+                grid.append((level, level))
+                stand, spent = [0, 0], 0.0
+            else:
+                spent += more
+        stand, below = ([n + k for n, k in zip(held, here)] for held in (stand, below))
+    return grid or [(0, 0)]
+
+
+def _stands(start: Column, end: Column, grid: list[tuple[int, int]]) -> Column:
+    """The level of the bins that a span stands on."""
+    length = (end - start).cast("long")
+    (_, first), *more = grid
+    return F.coalesce(*(F.when(length > 1 << (low - 1), bins) for low, bins in reversed(more)), F.lit(first))
+
+
+def _in_bins(rows: DataFrame, start: str, end: str) -> DataFrame:
+    """Spans in the bins that they touch on the level of their row."""
+    return rows.withColumn(BIN, F.explode(F.sequence(_span_bin(F.col(start)), _span_bin(F.col(end) - 1))))
+
+
+def _laid_out(spans: DataFrame, start: str, end: str, levels: list[int], own: Column | None = None) -> DataFrame:
     """Spans in the bins of their own level and of the higher ones of ``levels``."""
-    own = span_level(F.col(start), F.col(end))
-    every = F.array(*(F.lit(k) for k in levels))
+    own = span_level(F.col(start), F.col(end)) if own is None else own
+    every = F.array(*(F.lit(k) for k in levels)).cast("array<int>")
     rows = spans.withColumn(OWN, own).withColumn(LEVEL, F.explode(F.filter(every, lambda k: k >= F.col(OWN))))
-    return rows.withColumn(BIN, F.explode(F.sequence(_span_bin(F.col(start)), _span_bin(F.col(end) - 1))))
+    return _in_bins(rows, start, end)
 
 
 def _span_bin(value: Column) -> Column:
@@ -59,15 +106,29 @@ def overlap_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_spa
     """Pairs of rows of equal ``key`` whose spans ``[start, end)`` share a place."""
     (s1, e1), (s2, e2) = left_span, right_span
     left, right = (t.where(F.col(s) < F.col(e)) for t, s, e in ((left, s1, e1), (right, s2, e2)))
-    levels = [r[0] for r in _levels((left, [span_level(F.col(s1), F.col(e1))]), (right, [span_level(F.col(s2), F.col(e2))]))]
+    level1, level2 = span_level(F.col(s1), F.col(e1)), span_level(F.col(s2), F.col(e2))
+    found = [t.select(F.lit(side).alias("side"), level.alias("level"), (F.col(e) - F.col(s)).cast("double").alias("n")) for side, t, level, s, e in ((0, left, level1, s1, e1), (1, right, level2, s2, e2))]
+    counts: tuple[dict[int, int], dict[int, int]] = {}, {}
+    lengths: dict[int, float] = {}
+    for side, level, n, length in found[0].unionAll(found[1]).groupBy("side", "level").agg(F.count("*"), F.sum("n")).collect():
+        counts[side][level] = n
+        lengths[level] = lengths.get(level, 0.0) + length
+    grid = _grid(*counts, lengths)
+    # The bins that each side's spans stand on.
+    of1, of2 = (sorted({max(g for g in grid if g[0] <= k)[1] for k in side}) for side in counts)
+    own1, own2 = _stands(F.col(s1), F.col(e1), grid), _stands(F.col(s2), F.col(e2), grid)
+    a, b = (_in_bins(t.withColumn(LEVEL, own), s, e) for t, own, s, e in ((left, own1, s1, e1), (right, own2, s2, e2)))
+    late = F.greatest(s1, s2)
+    met = (late < F.least(e1, e2)) & (_span_bin(late) == F.col(BIN))
     # Bins multiply the spans, which a file's size doesn't tell; no side goes through the driver.
-    a, b = _laid_out(left, s1, e1, levels), _laid_out(right, s2, e2, levels).withColumnRenamed(OWN, f"{OWN}2").hint("merge")
+    if len(grid) == 1:
+        return a.join(b.drop(LEVEL).hint("merge"), [*key, BIN]).where(met).drop(LEVEL, BIN)
     on = [*key, LEVEL, BIN]
     # The longer span stands on its own level; of two on the same level the left one does.
-    pairs = a.where(F.col(LEVEL) == F.col(OWN)).join(b, on).unionByName(a.where(F.col(LEVEL) > F.col(OWN)).join(b.where(F.col(LEVEL) == F.col(f"{OWN}2")), on))
-    late = F.greatest(s1, s2)
-    met = (late < F.least(e1, e2)) & (_span_bin(late) == F.col(BIN))
-    return pairs.where(met).drop(LEVEL, BIN, OWN, f"{OWN}2")
+    pairs = a.join(_laid_out(right, s2, e2, of1, own2).drop(OWN).hint("merge"), on)
+    if of1 and of2 and of2[-1] > of1[0]:
+        pairs = pairs.unionByName(_laid_out(left, s1, e1, of2, own1).where(F.col(LEVEL) > F.col(OWN)).drop(OWN).join(b.hint("merge"), on))
+    return pairs.where(met).drop(LEVEL, BIN)
 
 
 #: A level above that of any number, with one bin.

@@ -32,6 +32,35 @@ def test_spans_that_overlap(spark):
     assert overlap_join(a.limit(0), b, ["k"], ("s1", "e1"), ("s2", "e2")).collect() == []
 
 
+def test_spans_on_any_grid(spark):
+    """Sides of one length and of many, few short ones among long and few long ones among short."""
+    rng = random.Random(5)
+    kinds = {"short": [3, 4], "long": [700, 1000], "many": [1, 2, 30, 900, 40_000], "few long": [9] * 40 + [5000, 70_000], "few short": [300] * 40 + [1, 2], "none": [0]}
+    made = {kind: [(rng.choice("ab"), i, s, s + rng.choice(lengths)) for i in range(120) for s in [rng.randrange(-1500, 1500)]] for kind, lengths in kinds.items()}
+    grids = set()
+    for left, right in (("short", "short"), ("short", "many"), ("many", "short"), ("few long", "few short"), ("few short", "few long"), ("long", "few long"), ("many", "many"), ("short", "long"), ("none", "many"), ("many", "none")):
+        a, b = spark.createDataFrame(made[left], "k string, i int, s1 long, e1 long"), spark.createDataFrame(made[right], "k string, j int, s2 long, e2 long")
+        out = overlap_join(a, b, ["k"], ("s1", "e1"), ("s2", "e2"))
+        assert out.columns == ["k", "i", "s1", "e1", "j", "s2", "e2"]
+        want = sorted((x[1], y[1]) for x in made[left] for y in made[right] if x[0] == y[0] and max(x[2], y[2]) < min(x[3], y[3]))
+        assert sorted((r.i, r.j) for r in out.collect()) == want, (left, right)
+        grids.add(out._jdf.queryExecution().optimizedPlan().toString().count("Join Inner"))
+    assert grids == {1, 2}
+
+
+def test_grid_of_few_widths():
+    """Bins are as wide as most spans ask for; a width more comes in where it makes fewer rows."""
+    grid = lambda left, right, most=1.0: intervals._grid(left, right, {k: (left.get(k, 0) + right.get(k, 0)) * most * 2.0**k for k in {*left, *right}})
+    assert grid({}, {}) == [(0, 0)]
+    assert grid({5: 1000}, {0: 1, 1: 2, 5: 700, 10: 100, 11: 3, 14: 2}) == [(0, 8)]
+    assert grid({5: 1000}, {5: 1000, 10: 1000}) == [(5, 8), (10, 10)]
+    assert grid({5: 10**9}, {5: 10**9, 40: 1}) == [(5, 8), (40, 40)]  # no span over millions of bins
+    assert grid({2: 10}, {9: 1000}) == [(2, 12)]
+    assert grid({0: 1000}, {0: 1000, 20: 5000}) == [(0, 3), (20, 20)]  # short ones may all be of one key
+    assert grid({0: 1000}, {0: 1000, 20: 5000, 24: 9000}) == [(0, 3), (20, 20), (24, 24)]
+    assert grid({62: 1}, {63: 1}) == [(62, 63)]
+
+
 def test_levels_hold_their_spans(spark):
     rows = [(0, n) for n in (1, 2, 3, 4, 5, 1024, 1025, (1 << 62) + 1)]
     got = [r[0] for r in spark.createDataFrame(rows, "s long, e long").select(span_level(F.col("s"), F.col("e"))).collect()]
