@@ -1,9 +1,10 @@
 """Joins on intervals over a grid: spans that overlap, points within boxes.
 
-A span's level is that of the smallest power of two that holds it. The grid has
-bins of a few widths. Spans stand on one of them, chosen by their level, and a
-span touches two bins there, or more where that makes fewer rows than another
-width would, as each width has a copy of all shorter spans of the other side. Two
+A span's level is that of the smallest power of two that holds it. Where spans are
+of like lengths and counts by key and bin show that few meet, bins have one width.
+Else the grid has bins of a few widths. Spans stand on one of them, chosen by their
+level, and a span touches two bins there, or more where that makes fewer rows than
+another width would, as each width has a copy of all shorter spans of the other side. Two
 spans that overlap meet on the wider bins of their two: each side is laid out on
 its own and on the other side's wider ones, and the rest is an equi-join on key,
 level and bin. A pair is reported in the bin of the later start alone. Bins spread
@@ -12,7 +13,8 @@ what is compared stays in proportion to what overlaps.
 
 Scale: a row is copied for each width of the other side, at most 64 and one or two
 in practice; what spans are laid out over beyond that is less than the copies it
-saves. Counts of levels are the only thing that reaches the driver.
+saves. Counts of levels, and of what meets in bins of one width, are the only thing
+that reaches the driver.
 
 Defined cases: empty and reversed spans overlap nothing and boxes without extent
 hold nothing; null keys, ends or coordinates never match; repeated rows pair each
@@ -22,6 +24,7 @@ sides come back, so their names must differ but for the key's.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -77,6 +80,28 @@ def _grid(left: dict[int, int], right: dict[int, int], lengths: dict[int, float]
     return grid or [(0, 0)]
 
 
+#: One width of bins holds so many times the mean length, so that few spans touch two,
+WIDE = 8
+#: and is taken if rows are compared with so many others at most, on the mean.
+COMPARED = 64
+
+
+def _one_width(left: DataFrame, right: DataFrame, key: Sequence[str], left_span: tuple[str, str], right_span: tuple[str, str], counts: Sequence[dict[int, int]], length: float) -> int | None:
+    """The level of bins that all spans of both sides can stand on, none of them
+    longer than a bin, if what meets there by key and bin is counted to be in
+    proportion to the rows; no span is then copied for any other width."""
+    rows = sum(sum(side.values()) for side in counts)
+    if not all(counts):
+        return None
+    width = max(0, math.ceil(math.log2(WIDE * length / rows)))
+    if width > 63 or max(max(side) for side in counts) > width:
+        return None
+    sides = [t.select(*key, F.lit(width).alias(LEVEL), F.col(s).alias("s"), F.col(e).alias("e"), F.lit(side).alias("side")) for side, t, (s, e) in ((0, left, left_span), (1, right, right_span))]
+    met = _in_bins(sides[0].unionAll(sides[1]), "s", "e").groupBy(*key, BIN).agg(F.count_if(F.col("side") == 0).alias("n"), F.count_if(F.col("side") == 1).alias("m"))
+    pairs = met.agg(F.sum(F.col("n").cast("double") * F.col("m"))).first()[0] or 0.0
+    return width if pairs <= COMPARED * rows else None
+
+
 def _stands(start: Column, end: Column, grid: list[tuple[int, int]]) -> Column:
     """The level of the bins that a span stands on."""
     length = (end - start).cast("long")
@@ -102,18 +127,23 @@ def _span_bin(value: Column) -> Column:
     return F.call_function("shiftright", value.cast("long"), F.col(LEVEL))
 
 
-def overlap_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_span: tuple[str, str], right_span: tuple[str, str]) -> DataFrame:
-    """Pairs of rows of equal ``key`` whose spans ``[start, end)`` share a place."""
+def overlap_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_span: tuple[str, str], right_span: tuple[str, str], counted: Sequence[DataFrame] | None = None) -> DataFrame:
+    """Pairs of rows of equal ``key`` whose spans ``[start, end)`` share a place.
+    Bins are chosen by the keys and spans of ``counted``, which has those of both
+    sides and may have more, if rows themselves cost more to make."""
     (s1, e1), (s2, e2) = left_span, right_span
-    left, right = (t.where(F.col(s) < F.col(e)) for t, s, e in ((left, s1, e1), (right, s2, e2)))
+    spans = lambda rows: [t.where(F.col(s) < F.col(e)) for t, s, e in zip(rows, (s1, s2), (e1, e2))]
+    left, right = spans((left, right))
+    some, others = spans(counted) if counted else (left, right)
     level1, level2 = span_level(F.col(s1), F.col(e1)), span_level(F.col(s2), F.col(e2))
-    found = [t.select(F.lit(side).alias("side"), level.alias("level"), (F.col(e) - F.col(s)).cast("double").alias("n")) for side, t, level, s, e in ((0, left, level1, s1, e1), (1, right, level2, s2, e2))]
+    found = [t.select(F.lit(side).alias("side"), level.alias("level"), (F.col(e) - F.col(s)).cast("double").alias("n")) for side, t, level, s, e in ((0, some, level1, s1, e1), (1, others, level2, s2, e2))]
     counts: tuple[dict[int, int], dict[int, int]] = {}, {}
     lengths: dict[int, float] = {}
     for side, level, n, length in found[0].unionAll(found[1]).groupBy("side", "level").agg(F.count("*"), F.sum("n")).collect():
         counts[side][level] = n
         lengths[level] = lengths.get(level, 0.0) + length
-    grid = _grid(*counts, lengths)
+    width = _one_width(some, others, key, (s1, e1), (s2, e2), counts, sum(lengths.values()))
+    grid = _grid(*counts, lengths) if width is None else [(0, width)]
     # The bins that each side's spans stand on.
     of1, of2 = (sorted({max(g for g in grid if g[0] <= k)[1] for k in side}) for side in counts)
     own1, own2 = _stands(F.col(s1), F.col(e1), grid), _stands(F.col(s2), F.col(e2), grid)
