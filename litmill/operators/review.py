@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from litmill.functions.text import zoned
 from litmill.operators.components import numbered
-from litmill.operators.metrics import exact_pairs, in_source, quotes_equal
+from litmill.operators.metrics import boundary_pairs, exact_pairs, in_source, one_to_one, without
 from litmill.operators.quality import all_true
+from litmill.sources.scratch import Scratch
 
 
 def decisions_on_tasks(tasks: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -51,40 +52,47 @@ def consensus(reviews: DataFrame) -> DataFrame:
 
 
 def pair_compare(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Two annotators' items one to one. Equal values of a field pair off in
-    Spark, the k-th with the k-th; what that leaves of a document is matched by
-    boundaries, then by the same span under another field, the first of a side
-    first. Sources are looked at before any row moves and stay where they are."""
-    a, b = (in_source(t).withColumnRenamed("__sound", "sound") for t in (a, b))
-    exact = exact_pairs(a, b, [key, "field"]).select(key, "field", F.col("gold_place").cast("long").alias("a_place"), F.col("pred_place").cast("long").alias("b_place"))
-    rest = [t.join(exact.select(key, "field", F.col(c).alias("place")), [key, "field", "place"], "left_anti") for t, c in ((a, "a_place"), (b, "b_place"))]
-
-    def match(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        x, y = x.sort_values("place"), y.sort_values("place")
-        left, right = (list(t.itertuples(index=False)) for t in (x, y))
-        start, end, field, sound = (y[c].to_numpy() for c in ("a_start", "a_end", "field", "sound"))
-        free, rows = np.ones(len(y), bool), []
-        tests = (
-            ("boundary", lambda g: sound & g.sound & (field == g.field) & (start < g.a_end) & (end > g.a_start), quotes_equal),
-            ("category", lambda g: (field != g.field) & (start == g.a_start) & (end == g.a_end), lambda g, p: True),
-        )
-        for level, near, same in tests:
-            waiting = []
-            for g in left:
-                found = next((i for i in np.flatnonzero(free & near(g)) if same(g, right[i])), None)
-                if found is None:
-                    waiting.append(g)
-                else:
-                    free[found] = False
-                    rows.append((getattr(g, key), level, g.field, g.place, right[found].place))
-            left = waiting
-        rows += [(getattr(g, key), "a_only", g.field, g.place, None) for g in left]
-        rows += [(getattr(right[i], key), "b_only", right[i].field, None, right[i].place) for i in np.flatnonzero(free)]
-        return pd.DataFrame(rows, columns=[key, "level", "field", "a_place", "b_place"]).astype({"a_place": "Int64", "b_place": "Int64"})
-
+    """Two annotators' items one to one. Equal values of a field pair off, the k-th
+    with the k-th; what that leaves of a document is matched by boundaries, then by
+    the same span under another field, the first of a side first. Sources are looked
+    at before any row moves and stay where they are; spans that no item of the other
+    side has under another field are done without a group of their own."""
+    on, names = [key, "field"], {"gold_place": "a_place", "pred_place": "b_place"}
+    a, b = (in_source(t.withColumn("place", F.col("place").cast("long"))) for t in (a, b))
+    scratch = Scratch(a.sparkSession, "compare")
+    exact = scratch.save(exact_pairs(a, b, on).drop("value"), "exact")
+    rest = [without(t, exact, on, c) for t, c in ((a, "gold_place"), (b, "pred_place"))]
+    near = boundary_pairs(*(t.where("__sound") for t in rest), on, (a, b))
+    near = scratch.save(one_to_one(near, on, "gold_place", "pred_place"), "boundary")
+    rest = [without(t, near, on, c).select(*on, "place", "a_start", "a_end", F.lit(left).alias("left")) for t, c, left in ((rest[0], "gold_place", True), (rest[1], "pred_place", False))]
+    place = Window.partitionBy(key, "a_start", "a_end")
+    both = F.bool_or("left").over(place) & F.bool_or(~F.col("left")).over(place)
+    named = F.count("field").over(place)
+    fields = (F.min("field").over(place) != F.max("field").over(place)) | ((named > 0) & (named < F.count("*").over(place)))
+    met = F.col("a_start").isNotNull() & F.col("a_end").isNotNull() & both & F.coalesce(fields, F.lit(False))
+    rows = rest[0].unionByName(rest[1]).repartition(key).withColumn("met", met)
+    only = lambda c, left: F.when(F.col("left") == left, F.col("place")).alias(c)
+    alone = rows.where("not met").select(key, F.when(F.col("left"), "a_only").otherwise("b_only").alias("level"), "field", only("a_place", True), only("b_place", False))
+    met_rows = rows.where("met").select(key, "a_start", "a_end", "left", "field", "place")
     kind = dict(a.dtypes)[key]
-    near = rest[0].groupBy(key).cogroup(rest[1].groupBy(key)).applyInPandas(match, f"{key} {kind}, level string, field string, a_place long, b_place long")
-    return exact.select(key, F.lit("exact").alias("level"), "field", "a_place", "b_place").unionByName(near)
+
+    def match(x: pa.Table, y: pa.Table) -> pa.Table:
+        order = lambda t: sorted(zip(t["place"].to_pylist(), (f or "" for f in t["field"].to_pylist()), t["field"].to_pylist()))
+        free: dict[str | None, deque] = {}
+        for item in order(y):
+            free.setdefault(item[2], deque()).append(item[:2])
+        out = []
+        for at, _, field in order(x):
+            found = min(((held[0], f) for f, held in free.items() if held and f != field), key=lambda h: h[0], default=None)
+            out.append(("a_only", field, at, None) if found is None else ("category", field, at, free[found[1]].popleft()[0]))
+        out += [("b_only", field, None, at) for field, held in free.items() for at, _ in held]
+        of = pa.array([x[key][0].as_py()] * len(out), x.schema.field(key).type)
+        return pa.table([of, *map(pa.array, zip(*out), (pa.string(), pa.string(), pa.int64(), pa.int64()))], names=[key, "level", "field", "a_place", "b_place"])
+
+    left, right = (met_rows.where(F.col("left") == side).select(*(F.col(c).alias(c) for c in (key, "a_start", "a_end", "field", "place"))) for side in (True, False))
+    category = left.groupBy(key, "a_start", "a_end").cogroup(right.groupBy(key, "a_start", "a_end")).applyInArrow(match, f"`{key}` {kind}, level string, field string, a_place long, b_place long")
+    done = [t.withColumnsRenamed(names).select(key, F.lit(level).alias("level"), "field", "a_place", "b_place") for t, level in ((exact, "exact"), (near, "boundary"))]
+    return done[0].unionByName(done[1]).unionByName(alone).unionByName(category)
 
 
 def assemble(agreed: DataFrame, disputed: DataFrame, decisions: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:

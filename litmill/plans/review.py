@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from litmill.functions import text as t
 from litmill.operators import review as ops
 from litmill.plans import adapters as a
-from litmill.plans.grounding import spans
+from litmill.plans.grounding import sourced_spans
 from litmill.plans.registry import query
 
 TASKS = "t AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'x' ELSE 'y' END AS type, doc_id AS uid, md5(text) AS object_sha256 FROM documents)"
@@ -92,8 +92,8 @@ def agreement_levels(spark, sf_dir):
 
 @query("pair_compare")
 def pair_compare(spark, sf_dir):
-    other = spans(spark, sf_dir, 2, 5).withColumn("field", F.when(F.col("uid") % 3 == 0, F.lit("other")).otherwise(F.col("field")))
-    return ops.pair_compare(spans(spark, sf_dir, 0, 0), other, "uid")
+    other = sourced_spans(spark, sf_dir, 2, 5).withColumn("field", F.when(F.col("uid") % 3 == 0, F.lit("other")).otherwise(F.col("field")))
+    return ops.pair_compare(sourced_spans(spark, sf_dir, 0, 0), other, "uid")
 
 
 @query(
