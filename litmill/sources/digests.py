@@ -3,8 +3,8 @@ becomes a row.
 
 ``spark.read.format("litmill_digest").load(folder)`` gives ``(path, sha256, size)``
 of every file under a folder, paths relative to it. Small files are put together
-in partitions of about ``partition_bytes``, each counted as ``OPEN_BYTES`` at least;
-a large one is a partition of its own.
+in partitions of about ``partition_bytes``, at most ``FILES`` of them in one; a large
+one is a partition of its own.
 A task holds one block, whatever the size of its file.
 
 Defined cases: an empty file has the digest of nothing; hidden files and folders,
@@ -26,8 +26,8 @@ from pyspark.sql import datasource as ds
 FORMAT = "litmill_digest"
 BLOCK_BYTES = 4 << 20
 PARTITION_BYTES = 128 << 20
-#: What a file counts at least, since to open it takes its time.
-OPEN_BYTES = 128 << 10
+#: Files of a partition at most, since to open one takes its time.
+FILES = 1024
 
 
 @dataclass
@@ -47,7 +47,7 @@ class Reader(ds.DataSourceReader):
             parts = info.path[len(base) :].strip("/").split("/")
             if not info.is_file or any(p[0] in "_." for p in parts) or not fnmatch.fnmatchcase(parts[-1], self.pattern):
                 continue
-            cost = max(info.size, OPEN_BYTES)
+            cost = max(info.size, self.size // FILES)
             if held and total + cost > self.size:
                 out.append(Files(tuple(held)))
                 held, total = [], 0
