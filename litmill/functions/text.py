@@ -57,7 +57,7 @@ def _folding(transform):
         return texts.map(transform, na_action="ignore")
 
     def fold(c: Column, ascii: Column) -> Column:
-        plain = c.rlike(r"^[\x00-\x7F]*$")
+        plain = F.octet_length(c) == F.length(c)
         return F.when(plain, ascii).otherwise(other(F.when(~plain, c)))
 
     return fold
@@ -210,7 +210,7 @@ def number_tokens(c: Column) -> Column:
 
 
 def without_sign(c: Column) -> Column:
-    return F.regexp_replace(c, r"^[+\u2212-]+", "")
+    return F.ltrim(c, F.lit("+\u2212-"))
 
 
 def zoned(c: Column) -> Column:
