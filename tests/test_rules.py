@@ -187,3 +187,10 @@ def test_items_of_two_annotators(spark):
     kinds = "uid string, field string, place long, value string, a_start int, a_end int, quote string, source_text string"
     got = {tuple(r) for r in review.pair_compare(spark.createDataFrame(x, kinds), spark.createDataFrame(y, kinds), "uid").select("uid", "level", "field", "a_place", "b_place").collect()}
     assert got == want and {w[1] for w in want} == {"exact", "boundary", "category", "a_only", "b_only"}
+
+
+def test_a_line_end_that_is_not_ascii_is_white_space(spark):
+    from litmill.functions.text import item_key, packed_text
+
+    row = spark.createDataFrame([("A b\u0085",)], "t string").select(item_key(F.col("t")), packed_text(F.col("t"))).first()
+    assert tuple(row) == ("a b", "Ab")
